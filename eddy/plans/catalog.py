@@ -398,3 +398,203 @@ def wrapped_numbers(spark, sf):
     idx = ordered.zip_with_index(o, ["o_orderkey"], "i")
     series = idx.select("i", (F.lit(3) + F.lit(11) * F.col("i")).alias("n"))
     return text.wrapped_lines(series, ["i"], F.col("n"))
+
+
+# --- tagged JSON ---------------------------------------------------------
+
+_JSON_SQL_TYPE = "CASE WHEN event_type = 'error' THEN 'type3' WHEN event_id % 2 = 0 THEN 'type1' ELSE 'type2' END"
+
+
+@query("json_dispatch", f"""
+SELECT event_id, {_JSON_SQL_TYPE} AS msg_type,
+  CASE WHEN event_type = 'error' THEN CAST(json_extract(props, '$.k') AS VARCHAR) ELSE event_type END AS first,
+  CASE WHEN event_type = 'error' THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS first_int,
+  CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS second,
+  CASE WHEN event_type <> 'error' THEN ts END AS third,
+  CASE WHEN event_type <> 'error' AND event_id % 2 = 1 THEN CAST(user_id AS INTEGER) END AS fourth,
+  CASE WHEN event_type = 'error' THEN 'skipped' WHEN event_id % 2 = 0 THEN 'business' ELSE 'business2' END
+    AS handler
+FROM events
+""")
+def json_dispatch(spark, sf):
+    """F-j/F-k/F-l + T19: each event becomes one of three JSON message
+    types (two by id parity, a third whose ``first`` is a number), is
+    decoded with the superset schema and dispatched on its type; the
+    unknown third type is skipped."""
+    from pyspark.sql import types as T
+
+    from eddy.functions import json as J
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    odd = F.pmod("event_id", F.lit(2)) == 1
+    msg = (F.when(F.col("event_type") == "error", J.encode("type3", {"first": k}))
+            .when(~odd, J.encode("type1", {"first": F.col("event_type"), "second": k, "third": F.col("ts")}))
+            .otherwise(J.encode("type2", {"first": F.col("event_type"), "second": k, "third": F.col("ts"),
+                                          "fourth": F.col("user_id").cast("int")})))
+    schema = J.superset_schema({
+        "type1": [("first", T.StringType()), ("second", T.IntegerType()), ("third", T.TimestampNTZType())],
+        "type2": [("first", T.StringType()), ("second", T.IntegerType()), ("third", T.TimestampNTZType()),
+                  ("fourth", T.IntegerType())],
+        "type3": [("first", T.IntegerType())]})
+    parsed = ev.select("event_id", J.decode(msg, schema).alias("m"))
+    ok, rejected = routing.supervise(parsed, F.when(F.col("m._corrupt_record").isNull(), F.col("m")))
+    known = J.is_valid(F.col("parsed"), ["type1", "type2"])
+    handler = (F.when(~known, F.lit("skipped")).when(F.col("parsed.type") == "type1", F.lit("business"))
+                .otherwise(F.lit("business2")))
+    return ok.select("event_id", F.col("parsed.type").alias("msg_type"), F.col("parsed.first").alias("first"),
+                     F.when(F.col("parsed.type") == "type3", F.col("parsed.first").cast("int")).alias("first_int"),
+                     F.col("parsed.second").alias("second"), F.col("parsed.third").alias("third"),
+                     F.col("parsed.fourth").alias("fourth"), handler.alias("handler"))
+
+
+# --- topic log -----------------------------------------------------------
+
+def _event_records(spark, sf, topic_expr=None):
+    from eddy.sources import topiclog
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    topic = topic_expr if topic_expr is not None else F.lit("events")
+    return topiclog.records(ev, topic, F.pmod("user_id", F.lit(4)), F.col("user_id").cast("string"),
+                            F.col("event_type"), F.col("ts").cast("timestamp"))
+
+
+@query("log_append_report", """
+SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset", event_id,
+       'events/' || CAST(user_id % 4 AS VARCHAR) || ' '
+         || CAST(row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS VARCHAR)
+         || ': ' || event_type AS report
+FROM events
+""")
+def log_append_report(spark, sf):
+    """Events appended to topic ``events`` (partition
+    ``user_id % 4``, key user, value type) of an empty log; offsets per
+    partition and the ``topic/partition offset: value`` result."""
+    from eddy.sources import topiclog
+    recs = topiclog.assign_offsets(_event_records(spark, sf), ["event_id"])
+    return topiclog.report(recs).select("topic", "partition", "offset", "event_id", "report")
+
+
+@query("log_commit_positions", """
+WITH r AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'clicks' ELSE 'other' END AS topic,
+                  CAST(user_id % 4 AS INTEGER) AS partition, event_id FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS "offset" FROM r)
+SELECT "offset" // 10 AS batch, topic, partition, count(*) AS n, max("offset") + 1 AS commit_offset
+FROM o GROUP BY ALL
+""")
+def log_commit_positions(spark, sf):
+    """A13 + S12/S14: events published to two topics, consumed from both
+    (subscribe, earliest) partition by partition in batches of 10; the
+    offset committed per batch and partition."""
+    from eddy.sources import topiclog
+    topic = F.when(F.col("event_type").isin("click", "view"), "clicks").otherwise("other")
+    recs = topiclog.assign_offsets(_event_records(spark, sf, topic), ["event_id"])
+    consumed = recs.filter(F.col("topic").isin("clicks", "other"))
+    return topiclog.commit_positions(topiclog.offset_batches(consumed, 10))
+
+
+@query("fanout_topics", """
+SELECT event_id, t AS topic, 'published to ' || t AS result
+FROM (SELECT event_id, CASE WHEN event_type = 'purchase' THEN ['orders', 'audit']
+                            WHEN event_type = 'click' THEN ['clicks'] ELSE ['misc'] END AS ts_
+      FROM events WHERE event_type <> 'signup'), unnest(ts_) u(t)
+UNION ALL
+SELECT event_id, NULL AS topic, 'passed through' AS result FROM events WHERE event_type = 'signup'
+""")
+def fanout_topics(spark, sf):
+    """Purchases go to two topics, clicks to one, signups pass
+    through (published nowhere, still a result), the rest to ``misc``."""
+    from eddy.sources import topiclog
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    targets = (F.when(F.col("event_type") == "purchase", F.array(F.lit("orders"), F.lit("audit")))
+                .when(F.col("event_type") == "click", F.array(F.lit("clicks")))
+                .when(F.col("event_type") == "signup", F.array().cast("array<string>"))
+                .otherwise(F.array(F.lit("misc"))))
+    return topiclog.fan_out(ev, targets).select("event_id", "topic", "result")
+
+
+@query("copartition_zip", """
+WITH c AS (SELECT event_id, user_id % 4 AS p,
+                  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos
+           FROM events WHERE event_type = 'click'),
+v AS (SELECT event_id, user_id % 4 AS p,
+             row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos
+      FROM events WHERE event_type = 'view')
+SELECT CAST(c.p AS INTEGER) AS partition, c.pos, c.event_id AS left_event_id, v.event_id AS right_event_id
+FROM c JOIN v ON c.p = v.p AND c.pos = v.pos
+""")
+def copartition_zip(spark, sf):
+    """A clicks topic and a views topic (4 partitions each, by user),
+    partition p zipped with partition p record by record."""
+    from eddy.sources import topiclog
+    recs = _event_records(spark, sf, F.col("event_type"))
+    clicks = topiclog.assign_offsets(recs.filter(F.col("event_type") == "click"), ["event_id"])
+    views = topiclog.assign_offsets(recs.filter(F.col("event_type") == "view"), ["event_id"])
+    z = topiclog.zip_partitions(clicks.select("partition", "offset", "event_id"),
+                                views.select("partition", "offset", "event_id"))
+    return z.select("partition", "pos", "left_event_id", "right_event_id")
+
+
+@query("bulk_report", """
+WITH b AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch FROM documents)
+SELECT batch, count(*) AS n, max(doc_id) AS last_doc,
+       'wrote ' || CAST(count(*) AS VARCHAR) || ' up to: ' || CAST(max(doc_id) AS VARCHAR) AS report
+FROM b GROUP BY batch
+""")
+def bulk_report(spark, sf):
+    """Documents bulk-inserted in batches of 100; ``wrote N up to:
+    last`` per batch."""
+    d = table(spark, sf, "documents").select("doc_id")
+    b = ordered.count_batches(d, ["doc_id"], 100)
+    agg = b.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last_doc"))
+    return agg.withColumn("report", F.format_string("wrote %d up to: %d", F.col("n"), F.col("last_doc")))
+
+
+# --- keyed tables --------------------------------------------------------
+
+@query("table_update", """
+WITH f AS (SELECT p_brand, min(p_partkey) AS k FROM part GROUP BY p_brand),
+u1 AS (SELECT p_partkey, p_brand, CASE WHEN p_partkey IN (SELECT k FROM f) THEN -1 ELSE p_size END AS p_size
+       FROM part)
+SELECT p_partkey, p_brand, CASE WHEN p_size IN (5, 6) THEN -p_size ELSE p_size END AS p_size FROM u1
+""")
+def table_update(spark, sf):
+    """K15 then K16 on part: per brand the first part gets size -1
+    (update one), then sizes 5 and 6 become -5 and -6 (update many)."""
+    from eddy.sources import tables
+    p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
+    upd1 = p.select("p_brand").distinct().withColumn("new_size", F.lit(-1))
+    u1 = tables.apply_update_one(p, upd1, "p_brand", {"p_size": "new_size"}, "p_partkey")
+    upd2 = spark.createDataFrame([(5, -5, 0), (6, -6, 1)], "p_size int, new_size int, seq int")
+    return tables.apply_update_many(u1, upd2, "p_size", "new_size", "seq")
+
+
+@query("table_delete", """
+SELECT p_partkey, p_size FROM part
+WHERE p_size NOT IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, -1, -2, -3, -4, -5, -6, -7, -8, -9, -10)
+""")
+def table_delete(spark, sf):
+    """Delete every part matching ``or(eq(size, i), eq(size, -i))``
+    for i in 1..10."""
+    from eddy.sources import tables
+    p = table(spark, sf, "part").select("p_partkey", "p_size")
+    keys = tables.disjuncts(spark, [s * i for i in range(1, 11) for s in (1, -1)], "p_size", "int")
+    return tables.apply_delete(p, keys, "p_size")
+
+
+@query("table_insert_copy", """
+SELECT p_partkey, p_name FROM part
+UNION ALL
+SELECT p_partkey + 1000000 AS p_partkey, upper(p_name) AS p_name FROM part
+""")
+def table_insert_copy(spark, sf):
+    """K14 + K18: parts inserted into table A, then more rows inserted
+    (unique key checked), then A copied into table B; B is read back."""
+    from eddy.session import scratch_path
+    from eddy.sources import tables
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    base = scratch_path(spark, "tables")
+    a = tables.KeyedTable(spark, f"{base}/a", key="p_partkey")
+    b = tables.KeyedTable(spark, f"{base}/b", key="p_partkey")
+    a.insert(p)
+    a.insert(p.select((F.col("p_partkey") + 1000000).alias("p_partkey"), F.upper("p_name").alias("p_name")))
+    return a.copy_to(b)
