@@ -598,3 +598,152 @@ def table_insert_copy(spark, sf):
     a.insert(p)
     a.insert(p.select((F.col("p_partkey") + 1000000).alias("p_partkey"), F.upper("p_name").alias("p_name")))
     return a.copy_to(b)
+
+
+# --- keyed state -------------------------------------------------------------
+
+def _cart_commands(spark, sf):
+    ev = table(spark, sf, "events").filter(F.col("event_type") != "purchase")
+    cmd = (F.when(F.col("event_type") == "signup", "add").when(F.col("event_type") == "click", "update")
+            .when(F.col("event_type") == "error", "remove").otherwise("get"))
+    return ev.select(F.col("user_id").alias("cart"), F.col("event_id").alias("seq"), cmd.alias("cmd"),
+                     F.pmod("event_id", F.lit(7)).alias("item"),
+                     (F.pmod("event_id", F.lit(5)) + 1).cast("int").alias("quantity"))
+
+
+_CART_SQL = """
+c AS (SELECT user_id AS cart, event_id AS seq, event_id % 7 AS item,
+             CAST(event_id % 5 + 1 AS INTEGER) AS quantity,
+             CASE event_type WHEN 'signup' THEN 'add' WHEN 'click' THEN 'update'
+                             WHEN 'error' THEN 'remove' ELSE 'get' END AS cmd
+      FROM events WHERE event_type <> 'purchase'),
+i AS (SELECT cart, min(seq) AS init FROM c WHERE cmd = 'add' GROUP BY cart),
+r AS (SELECT c.*, CASE WHEN i.init IS NULL OR c.seq < i.init THEN 'ItemNotFound'
+                       WHEN c.cmd = 'add' AND c.seq > i.init THEN 'unhandled' ELSE 'ok' END AS reply
+      FROM c LEFT JOIN i USING (cart))
+"""
+
+
+@query("cart_state", f"""
+WITH {_CART_SQL},
+l AS (SELECT cart, item, arg_max(cmd, seq) AS cmd, arg_max(quantity, seq) AS quantity, max(seq) AS touched
+      FROM r WHERE reply = 'ok' AND cmd IN ('add', 'update', 'remove') GROUP BY cart, item)
+SELECT cart, item, quantity, touched FROM l WHERE cmd <> 'remove'
+""")
+def cart_state(spark, sf):
+    """F1 + F2: events as cart commands (signup add, click update, error
+    remove, view get; cart = user, item = id % 7); the journal of accepted
+    events replayed into cart contents."""
+    from eddy.operators import state
+    journal = state.cart_journal(_cart_commands(spark, sf))
+    return state.cart_state(journal)
+
+
+@query("cart_replies", f"""
+WITH {_CART_SQL}
+SELECT seq, cart, cmd, reply FROM r
+""")
+def cart_replies(spark, sf):
+    """the reply to every cart command (ok, ItemNotFound before the
+    first add, unhandled for later adds)."""
+    from eddy.operators import state
+    return state.cart_accepted(_cart_commands(spark, sf)).select("seq", "cart", "cmd", "reply")
+
+
+_RANKED_EVENTS = """
+e AS (SELECT user_id, event_id, ts, event_type,
+             row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+"""
+
+
+@query("in_flight", f"""
+WITH RECURSIVE {_RANKED_EVENTS},
+r AS (SELECT user_id, rn, event_id, ts AS last_acc, true AS accepted FROM e WHERE rn = 1
+      UNION ALL
+      SELECT e.user_id, e.rn, e.event_id,
+             CASE WHEN e.ts >= r.last_acc + INTERVAL 6 HOUR THEN e.ts ELSE r.last_acc END,
+             e.ts >= r.last_acc + INTERVAL 6 HOUR
+      FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT event_id, user_id, accepted FROM r
+""")
+def in_flight(spark, sf):
+    """per user, a request is put off while an accepted one runs
+    (6 hours from its start)."""
+    from eddy.operators import state
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    out = state.suppress_in_flight(ev, "user_id", "event_id", "ts", 6 * HOUR_US)
+    return out.select("event_id", "user_id", "accepted")
+
+
+@query("grouped_within", f"""
+WITH RECURSIVE {_RANKED_EVENTS},
+r AS (SELECT user_id, rn, event_id, 0 AS batch, ts AS open_ts, 1 AS cnt FROM e WHERE rn = 1
+      UNION ALL
+      SELECT e.user_id, e.rn, e.event_id,
+             CASE WHEN r.cnt < 4 AND e.ts < r.open_ts + INTERVAL 2 DAY THEN r.batch ELSE r.batch + 1 END,
+             CASE WHEN r.cnt < 4 AND e.ts < r.open_ts + INTERVAL 2 DAY THEN r.open_ts ELSE e.ts END,
+             CASE WHEN r.cnt < 4 AND e.ts < r.open_ts + INTERVAL 2 DAY THEN r.cnt + 1 ELSE 1 END
+      FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT user_id, CAST(batch AS BIGINT) AS batch, count(*) AS n, min(event_id) AS first_id,
+       max(event_id) AS last_id
+FROM r GROUP BY ALL
+""")
+def grouped_within(spark, sf):
+    """Per user, batches of at most 4 events or 2 days, whichever
+    comes first."""
+    from eddy.operators import state
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    b = state.grouped_within(ev, "user_id", "event_id", "ts", 4, 48 * HOUR_US)
+    return b.groupBy("user_id", "batch").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"),
+                                             F.max("event_id").alias("last_id"))
+
+
+@query("fsm", f"""
+WITH RECURSIVE {_RANKED_EVENTS},
+x AS (SELECT user_id, event_id, rn,
+             CASE event_type WHEN 'signup' THEN 'wake' WHEN 'view' THEN 'stroke' WHEN 'purchase' THEN 'grow'
+                             WHEN 'error' THEN 'sleep' ELSE 'other' END AS cmd,
+             CAST(event_id % 7 + 1 AS INTEGER) AS by_,
+             coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY event_id))
+                      >= 21600000000, false) AS tmo
+      FROM e),
+r AS (SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, 0 AS phase, 60 AS hunger,
+             CAST(NULL AS VARCHAR) AS reply
+      FROM (SELECT DISTINCT user_id FROM events)
+      UNION ALL
+      SELECT user_id, rn, event_id, np,
+             CASE WHEN np = 3 THEN 0 WHEN p0 <> 3 AND cmd = 'grow' THEN hunger + by_ ELSE hunger END,
+             CASE WHEN p0 = 3 THEN NULL
+                  WHEN cmd = 'stroke' AND p0 = 1 THEN CASE WHEN hunger >= 30 THEN 'mewww' ELSE 'purrr' END
+                  WHEN cmd = 'grow' THEN CASE WHEN hunger + by_ >= 100 THEN 'failed'
+                                              ELSE CAST(hunger + by_ AS VARCHAR) END
+                  WHEN cmd = 'sleep' THEN CAST(hunger AS VARCHAR) END
+      FROM (SELECT s.*,
+                   CASE WHEN p0 = 3 THEN 3
+                        WHEN cmd = 'wake' AND p0 = 0 THEN 1
+                        WHEN cmd = 'sleep' THEN 0
+                        WHEN cmd = 'grow' AND p0 = 2 THEN CASE WHEN hunger + by_ < 100 THEN 2 ELSE 3 END
+                        WHEN cmd = 'grow' THEN CASE WHEN hunger + by_ < 85 THEN p0
+                                                    WHEN hunger + by_ < 100 THEN 2 ELSE 3 END
+                        ELSE p0 END AS np
+            FROM (SELECT x.user_id, x.rn, x.event_id, x.cmd, x.by_, r.hunger,
+                         CASE WHEN x.tmo AND r.phase = 0 THEN 1 ELSE r.phase END AS p0
+                  FROM r JOIN x ON x.user_id = r.user_id AND x.rn = r.rn + 1) s) t)
+SELECT user_id, event_id,
+       CASE phase WHEN 0 THEN 'Sleeping' WHEN 1 THEN 'Awake' WHEN 2 THEN 'VeryHungry' ELSE 'Failed' END AS state,
+       CASE WHEN phase = 3 THEN NULL ELSE hunger END AS hunger, reply
+FROM r WHERE rn > 0
+""")
+def fsm(spark, sf):
+    """a cat state machine per user: signup wakes it, view strokes it,
+    purchase makes it hungrier by ``id % 7 + 1``, error puts it to sleep;
+    after 6 hours without an event a sleeping cat wakes up."""
+    from eddy.operators import state
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    cmd = (F.when(F.col("event_type") == "signup", "wake").when(F.col("event_type") == "view", "stroke")
+            .when(F.col("event_type") == "purchase", "grow").when(F.col("event_type") == "error", "sleep")
+            .otherwise("other"))
+    ev = ev.withColumn("cmd", cmd).withColumn("by", (F.pmod("event_id", F.lit(7)) + 1).cast("int"))
+    ev = state.timed_out(ev, "user_id", "event_id", "ts", 6 * HOUR_US)
+    out = state.run_machine(ev, state.CatMachine(), "user_id", "event_id")
+    return out.select("user_id", "event_id", "state", "hunger", "reply")

@@ -75,6 +75,15 @@ def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool,
     return F.floor(base / F.lit(float(chunk_width))).cast("long"), n_chunks
 
 
+def add_chunk(df: DataFrame, lead: str, name: str = "chunk", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+              chunk_width: float | None = None) -> tuple[DataFrame, int]:
+    """Tag rows with the chunk of their leading order column (step 1 of
+    the scan) for operators that fold each chunk themselves.  Returns the
+    tagged frame and the bound on the chunk count."""
+    chunk, n_chunks = _chunk_plan(df, lead, chunk_rows, False, chunk_width)
+    return df.withColumn(name, chunk), n_chunks
+
+
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
             chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None) -> DataFrame:
