@@ -3,8 +3,8 @@
 * F1/F2 (cart) is set-based: which commands a cart accepts depends only
   on its first Add, so joins and map-side aggregates give the state.
 * F3 (in-flight suppression) and A12 (count-or-time batches) are greedy
-  chains, solved with as-of lookups and pointer doubling
-  (:mod:`eddy.plans.chains`).
+  chains.  Keys up to a row bound are walked in one task; hotter keys are
+  solved with as-of lookups and pointer doubling (:mod:`eddy.plans.chains`).
 * F4 (a finite-state machine) is a fold whose step is a function on a
   finite state set.  Functions compose associatively, so each chunk of a
   key's events is turned into its transfer table (state -> state) in
@@ -61,15 +61,66 @@ def cart_state(journal: DataFrame, cart: str = "cart", item: str = "item", seq:
                     .select(cart, item, *[F.col("__last")[c].alias(c) for c in value_cols], "touched"))
 
 
-# --- F3: in-flight suppression ------------------------------------------------
+# --- F3 / A12: greedy chains --------------------------------------------------
+
+# Keys with at most this many rows are scanned whole in one task (a bounded
+# group); larger keys go through the distributed chain (pointer doubling).
+DIRECT_KEY_ROWS = 1 << 15
+
+
+def _split_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows of keys with at most ``limit`` rows, rows of the other keys,
+    and whether there are other keys.  The big keys are at most
+    ``rows / limit``, so their list is small (size-checked broadcast)."""
+    big = df.groupBy(key).count().filter(F.col("count") > limit).select(key)
+    has_big = big.limit(1).count() > 0
+    if not has_big:
+        return df, df.limit(0), False
+    return (join_small(df, big, on=key, how="left_anti"),
+            join_small(df, big, on=key, how="left_semi"), True)
+
+
+def _greedy_direct(df: DataFrame, key: str, order_by: str, ts: str, name: str, out_type: str,
+                   walk) -> DataFrame:
+    """Run ``walk(times_us) -> values`` over each (bounded) key in order."""
+    from eddy.plans.groupscan import sorted_group_map
+    t = prefix.order_number(df, ts)
+    src = df.withColumn("__t", t)
+    schema = T.StructType([*src.schema.fields, T.StructField(name, T._parse_datatype_string(out_type))])
+    schema = T.StructType([f for f in schema.fields if f.name != "__t"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.drop(columns=["__t"]).reset_index(drop=True)
+        out[name] = walk(pdf["__t"].to_numpy(dtype=np.int64))
+        return out
+
+    return sorted_group_map(src, [key], [order_by], run, schema)
 
 
 def suppress_in_flight(df: DataFrame, key: str, order_by: str, ts: str, duration_us: int,
-                       name: str = "accepted") -> DataFrame:
+                       name: str = "accepted", direct_rows: int = DIRECT_KEY_ROWS) -> DataFrame:
     """a request is accepted unless an accepted request of its key is
     still running (``duration`` after its start); put-off requests are
     flagged ``accepted = false``.  ``ts`` must not fall in ``order_by``
-    order within a key."""
+    order within a key.  Keys up to ``direct_rows`` rows are walked in one
+    task; hotter keys take the distributed chain."""
+    def walk(t):
+        acc = np.zeros(len(t), dtype=bool)
+        free_at = None
+        for i, v in enumerate(t):
+            if free_at is None or v >= free_at:
+                acc[i] = True
+                free_at = v + duration_us
+        return acc
+
+    small, big, has_big = _split_keys(df, key, direct_rows)
+    direct = _greedy_direct(small, key, order_by, ts, name, "boolean", walk)
+    if not has_big:
+        return direct
+    return direct.unionByName(_in_flight_chain(big, key, order_by, ts, duration_us, name))
+
+
+def _in_flight_chain(df, key, order_by, ts, duration_us, name):
     idx = prefix.with_index(df, [order_by], "__idx", partition_by=[key])
     t = prefix.order_number(idx, ts)
     nodes = chains.as_of_next(idx, [key], "__idx", t, t + F.lit(duration_us), "__next")
@@ -78,14 +129,31 @@ def suppress_in_flight(df: DataFrame, key: str, order_by: str, ts: str, duration
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False))).drop("__idx", "__next")
 
 
-# --- A12: batches by count or time -------------------------------------------------
-
-
 def grouped_within(df: DataFrame, key: str, order_by: str, ts: str, n: int, duration_us: int,
-                   name: str = "batch") -> DataFrame:
+                   name: str = "batch", direct_rows: int = DIRECT_KEY_ROWS) -> DataFrame:
     """Per key, a batch opens at its first row and takes rows until it
     holds ``n`` or a row comes at or after ``open + duration``, which opens
-    the next batch.  Adds the 0-based batch number per key."""
+    the next batch.  Adds the 0-based batch number per key.  Keys up to
+    ``direct_rows`` rows are walked in one task; hotter keys take the
+    distributed chain."""
+    def walk(t):
+        out = np.zeros(len(t), dtype=np.int64)
+        batch, opened, count = -1, None, n
+        for i, v in enumerate(t):
+            if count >= n or v >= opened + duration_us:
+                batch, opened, count = batch + 1, v, 0
+            count += 1
+            out[i] = batch
+        return out
+
+    small, big, has_big = _split_keys(df, key, direct_rows)
+    direct = _greedy_direct(small, key, order_by, ts, name, "bigint", walk)
+    if not has_big:
+        return direct
+    return direct.unionByName(_grouped_chain(big, key, order_by, ts, n, duration_us, name))
+
+
+def _grouped_chain(df, key, order_by, ts, n, duration_us, name):
     idx = prefix.with_index(df, [order_by], "__idx", partition_by=[key])
     t = prefix.order_number(idx, ts)
     nodes = chains.as_of_next(idx, [key], "__idx", t, t + F.lit(duration_us), "__nt")
@@ -127,6 +195,10 @@ class Machine:
     def describe(self, state: int) -> dict:
         raise NotImplementedError
 
+    def step_one(self, state: int, ev) -> int:
+        """The step from one state (override with scalar code for speed)."""
+        return int(self.step(np.array([state], dtype=np.int32), ev)[0])
+
 
 FANIN = 1024
 FSM_CHUNK_ROWS = 1 << 15
@@ -139,24 +211,25 @@ def _compose_tables(tables: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _entry_states(tables: DataFrame, keys: list[str], pos: str, initial: int, n_states: int) -> DataFrame:
-    """Entry state of each (keys, pos) transfer table: the initial state
-    run through all earlier tables of the key.  Groups are at most
-    ``FANIN`` tables; longer keys go through a tree of compositions."""
+def _exit_states(tables: DataFrame, keys: list[str], pos: str, initial: int) -> DataFrame:
+    """For each (keys, pos) transfer table: the state on leaving it, i.e.
+    the initial state run through this and all earlier tables of the key.
+    Groups are at most ``FANIN`` tables; longer keys go through a tree of
+    compositions (one level per factor of ``FANIN``)."""
     longest = tables.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     schema = T.StructType([*[tables.schema[k] for k in keys], T.StructField(pos, T.LongType()),
-                           T.StructField("entry", T.IntegerType())])
+                           T.StructField("exit", T.IntegerType())])
 
     def walk(start_of):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(pos)
             state = start_of(pdf)
-            entries = []
+            exits = []
             for t in pdf["table"]:
-                entries.append(state)
                 state = int(np.asarray(t)[state])
+                exits.append(state)
             out = pdf[keys + [pos]].copy()
-            out["entry"] = np.asarray(entries, dtype=np.int32)
+            out["exit"] = np.asarray(exits, dtype=np.int32)
             return out
         return run
 
@@ -176,54 +249,88 @@ def _entry_states(tables: DataFrame, keys: list[str], pos: str, initial: int, n_
         return pd.DataFrame(row)
 
     parents = parent.groupBy(*keys, "__parent").applyInPandas(compose, pschema).checkpoint()
-    p_entry = _entry_states(parents, keys, pos, initial, n_states) \
-        .withColumnRenamed(pos, "__parent").withColumnRenamed("entry", "__pentry")
-    tagged = parent.join(p_entry, on=[*keys, "__parent"], how="inner")
+    # The entry of parent p is the exit of parent p - 1 (initial for p = 0).
+    p_exit = _exit_states(parents, keys, pos, initial).select(
+        *keys, (F.col(pos) + 1).alias("__parent"), F.col("exit").alias("__pentry"))
+    tagged = parent.join(p_exit, on=[*keys, "__parent"], how="left")
+    tagged = tagged.withColumn("__pentry", F.coalesce(F.col("__pentry"), F.lit(initial)))
     return tagged.groupBy(*keys, "__parent").applyInPandas(
         walk(lambda pdf: int(pdf["__pentry"].iloc[0])), schema)
 
 
 def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
-                chunk_rows: int = FSM_CHUNK_ROWS) -> DataFrame:
+                chunk_rows: int = FSM_CHUNK_ROWS, ts: str | None = None,
+                timeout_us: int | None = None) -> DataFrame:
     """run ``machine`` over each key's events in ``order_by`` order.
-    Returns the events with the machine's output columns (state after the
-    event and reply)."""
-    ev = df.select(key, order_by, *machine.event_cols)
-    tagged, _ = prefix.add_chunk(ev, order_by, "__chunk", chunk_rows=chunk_rows)
-    keys = [key]
+    Returns the rows of ``df`` with the machine's output columns (state
+    after the event and reply).  With ``ts`` and ``timeout_us`` the
+    ``timed_out`` event column is derived too (the gap since the key's
+    previous event reaches the timeout; the timer restarts with each
+    event).
+
+    Each key's events are cut into chunks of ``chunk_rows`` by their
+    position in the key.  A key of one chunk is replayed directly from the
+    initial state.  For longer keys every chunk but the last is turned into
+    its transfer table in parallel, the tables give each chunk's entry
+    state, and all chunks are replayed in parallel."""
+    from eddy.plans.groupscan import sorted_group_map
+
+    folds = {"__pos": ("count", None)}
+    if ts is not None:
+        folds["__prev"] = ("max", prefix.order_number(df, ts))
+    run = prefix.running(df, [order_by], folds, partition_by=[key], exclusive=True)
+    if ts is not None:
+        gap = prefix.order_number(df, ts) - F.col("__prev")
+        run = run.withColumn("timed_out", F.coalesce(gap >= F.lit(timeout_us), F.lit(False))).drop("__prev")
+    tagged = run.withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows).cast("long")).drop("__pos")
     n_states = machine.n_states
 
-    tschema = T.StructType([ev.schema[key], T.StructField("__chunk", T.LongType()),
-                            T.StructField("table", T.ArrayType(T.IntegerType()))])
-
-    def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_by)
-        tbl = np.arange(n_states, dtype=np.int32)
-        for ev_row in pdf.itertuples(index=False):
-            tbl = machine.step(tbl, ev_row)
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "__chunk": [int(pdf["__chunk"].iloc[0])],
-                             "table": [tbl.astype(np.int32).tolist()]})
-
-    tables = tagged.groupBy(key, "__chunk").applyInPandas(transfer, tschema).checkpoint()
-    entries = _entry_states(tables, keys, "__chunk", machine.initial, n_states)
-    with_entry = tagged.join(entries, on=[key, "__chunk"], how="inner")
-
-    out_schema = T.StructType([ev.schema[key], ev.schema[order_by],
-                               *T._parse_datatype_string(machine.out_schema).fields])
+    # Keys with more than one chunk; at most rows / chunk_rows of them.
+    multi = (tagged.filter(F.col("__chunk") > 0).groupBy(key)
+                   .agg(F.max("__chunk").alias("__last")))
+    if multi.limit(1).count() == 0:
+        with_entry = tagged.withColumn("entry", F.lit(machine.initial))
+    else:
+        need = join_small(tagged.select(key, order_by, "__chunk", *machine.event_cols), multi,
+                          on=key, how="inner").filter(F.col("__chunk") < F.col("__last"))
+        tschema = T.StructType([df.schema[key], T.StructField("__chunk", T.LongType()),
+                                T.StructField("table", T.ArrayType(T.IntegerType()))])
+
+        def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
+            tbl = np.arange(n_states, dtype=np.int32)
+            for ev_row in pdf.itertuples(index=False):
+                tbl = machine.step(tbl, ev_row)
+            return pd.DataFrame({key: [pdf[key].iloc[0]], "__chunk": [int(pdf["__chunk"].iloc[0])],
+                                 "table": [tbl.astype(np.int32).tolist()]})
+
+        tables = sorted_group_map(need.drop("__last"), [key, "__chunk"], [order_by], transfer,
+                                  tschema).checkpoint()
+        exits = _exit_states(tables, [key], "__chunk", machine.initial)
+        entries = exits.select(key, (F.col("__chunk") + 1).alias("__chunk"), F.col("exit").alias("entry"))
+        with_entry = join_small(tagged, entries, on=[key, "__chunk"], how="left")
+        with_entry = with_entry.withColumn("entry", F.coalesce(F.col("entry"), F.lit(machine.initial)))
+
+    extra = T._parse_datatype_string(machine.out_schema).fields
+    passed = [f for f in with_entry.schema.fields if f.name not in ("entry", "__chunk")]
+    out_schema = T.StructType(passed + list(extra))
+    pass_names = [f.name for f in passed]
+    extra_names = [f.name for f in extra]
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_by)
         state = int(pdf["entry"].iloc[0])
-        rows = []
+        outs = {n: [] for n in extra_names}
         for ev_row in pdf.itertuples(index=False):
             reply = machine.reply(state, ev_row)
-            state = int(machine.step(np.array([state], dtype=np.int32), ev_row)[0])
-            rows.append({key: getattr(ev_row, key), order_by: getattr(ev_row, order_by),
-                         **machine.describe(state), "reply": reply})
-        return pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
+            state = machine.step_one(state, ev_row)
+            for n, v in machine.describe(state).items():
+                outs[n].append(v)
+            outs["reply"].append(reply)
+        res = pdf[pass_names].reset_index(drop=True)
+        for n in extra_names:
+            res[n] = pd.Series(outs[n], dtype="object")
+        return res
 
-    result = with_entry.groupBy(key, "__chunk").applyInPandas(replay, out_schema)
-    return df.join(result, on=[key, order_by], how="inner")
+    return sorted_group_map(with_entry, [key, "__chunk"], [order_by], replay, out_schema)
 
 
 class CatMachine(Machine):
@@ -269,9 +376,33 @@ class CatMachine(Machine):
         hunger = np.where(phase == self.FAILED, 0, hunger)
         return (phase * self.STRIDE + hunger).astype(np.int32)
 
+    def _pre_one(self, state, ev):
+        phase, hunger = divmod(int(state), self.STRIDE)
+        if phase == self.SLEEPING and bool(ev.timed_out):
+            phase = self.AWAKE
+        return phase, hunger
+
+    def step_one(self, state, ev):
+        phase, hunger = self._pre_one(state, ev)
+        if phase != self.FAILED:
+            cmd = ev.cmd
+            if cmd == "wake" and phase == self.SLEEPING:
+                phase = self.AWAKE
+            elif cmd == "sleep":
+                phase = self.SLEEPING
+            elif cmd == "grow":
+                hunger += int(ev.by)
+                limit = 100 if phase == self.VERY_HUNGRY else 85
+                if hunger >= 100:
+                    phase = self.FAILED
+                elif hunger >= limit:
+                    phase = self.VERY_HUNGRY
+        if phase == self.FAILED:
+            hunger = 0
+        return phase * self.STRIDE + hunger
+
     def reply(self, state, ev):
-        phase, hunger = self._pre(np.array([state]), ev)
-        phase, hunger = int(phase[0]), int(hunger[0])
+        phase, hunger = self._pre_one(state, ev)
         if phase == self.FAILED:
             return None
         if ev.cmd == "stroke" and phase == self.AWAKE:

@@ -744,8 +744,7 @@ def fsm(spark, sf):
             .when(F.col("event_type") == "purchase", "grow").when(F.col("event_type") == "error", "sleep")
             .otherwise("other"))
     ev = ev.withColumn("cmd", cmd).withColumn("by", (F.pmod("event_id", F.lit(7)) + 1).cast("int"))
-    ev = state.timed_out(ev, "user_id", "event_id", "ts", 6 * HOUR_US)
-    out = state.run_machine(ev, state.CatMachine(), "user_id", "event_id")
+    out = state.run_machine(ev, state.CatMachine(), "user_id", "event_id", ts="ts", timeout_us=6 * HOUR_US)
     return out.select("user_id", "event_id", "state", "hunger", "reply")
 
 

@@ -58,13 +58,22 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot chunk on order column {name!r} of type {dtype}")
 
 
+def key_stats(df: DataFrame, lead: str) -> tuple:
+    """(min, max, count) of the leading order column as a number: one
+    small aggregate, collected as three scalars."""
+    k = order_number(df, lead)
+    st = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
+    return st["lo"], st["hi"], st["n"]
+
+
 def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool,
-                chunk_width: float | None):
-    """Chunk column for ``df`` plus a proven upper bound on the chunk count."""
+                chunk_width: float | None, bounds: tuple | None = None):
+    """Chunk column for ``df`` plus a proven upper bound on the chunk count.
+    ``bounds = (lo, hi, n)`` (bounds on the key, a row count) skips the
+    stats job when the caller knows them, e.g. from the source table of a
+    derived frame."""
     k = order_number(df, lead)
-    stats = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"),
-                   F.count(k).alias("n")).first()
-    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+    lo, hi, n = bounds if bounds is not None else key_stats(df, lead)
     if n == 0 or lo is None:
         return F.lit(0).cast("long"), 1
     span = float(hi) - float(lo) + 1.0
@@ -76,17 +85,18 @@ def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool,
 
 
 def add_chunk(df: DataFrame, lead: str, name: str = "chunk", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-              chunk_width: float | None = None) -> tuple[DataFrame, int]:
+              chunk_width: float | None = None, bounds: tuple | None = None) -> tuple[DataFrame, int]:
     """Tag rows with the chunk of their leading order column (step 1 of
     the scan) for operators that fold each chunk themselves.  Returns the
     tagged frame and the bound on the chunk count."""
-    chunk, n_chunks = _chunk_plan(df, lead, chunk_rows, False, chunk_width)
+    chunk, n_chunks = _chunk_plan(df, lead, chunk_rows, False, chunk_width, bounds)
     return df.withColumn(name, chunk), n_chunks
 
 
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
-            chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None) -> DataFrame:
+            chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None,
+            bounds: tuple | None = None) -> DataFrame:
     """Add running folds over ``order_by`` (optionally per ``partition_by``).
 
     ``folds`` maps an output name to ``(fold, column)``; fold is one of
@@ -97,7 +107,7 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     for name, (fold, _) in folds.items():
         if fold not in _FOLDS:
             raise ValueError(f"fold {fold!r} for {name!r} is not associative/supported")
-    chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width)
+    chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, bounds)
     ck = "__chunk"
     src = df.withColumn(ck, chunk)
     for name, (fold, col) in folds.items():

@@ -62,7 +62,7 @@ def run_machine(stream: DataFrame, machine, key: str, order_by: str, ts: str | N
         rows = []
         for ev in pdf.itertuples(index=False):
             reply = machine.reply(cur, ev)
-            cur = int(machine.step(np.array([cur], dtype=np.int32), ev)[0])
+            cur = machine.step_one(cur, ev)
             rows.append({key: getattr(ev, key), order_by: getattr(ev, order_by),
                          **machine.describe(cur), "reply": reply})
         state.update((cur, last))

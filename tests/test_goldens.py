@@ -163,3 +163,30 @@ def test_zip_ends_with_shorter(spark):
     b = generators.int_range(spark, 10, 13).withColumnRenamed("n", "m")
     out = ordered.zip_positional(a, b, ["n"], ["m"]).orderBy("idx").collect()
     assert [(r["n"], r["m"]) for r in out] == [(1, 10), (2, 11), (3, 12)]
+
+
+def _greedy_df(spark):
+    import random
+    rnd = random.Random(7)
+    rows, t = [], 0
+    for i in range(300):
+        t += rnd.choice([1, 2, 5, 30, 90])
+        rows.append((i, i % 3, t))
+    return spark.createDataFrame(rows, "seq long, k long, s long").withColumn("ts", F.timestamp_seconds("s"))
+
+
+def test_in_flight_chain_equals_direct(spark):
+    df = _greedy_df(spark)
+    a = state.suppress_in_flight(df, "k", "seq", "ts", 60 * 10**6)
+    b = state.suppress_in_flight(df, "k", "seq", "ts", 60 * 10**6, direct_rows=0)
+    key = lambda d: sorted((r["seq"], r["accepted"]) for r in d.collect())
+    assert key(a) == key(b)
+    assert 0 < sum(v for _, v in key(a)) < 300
+
+
+def test_grouped_within_chain_equals_direct(spark):
+    df = _greedy_df(spark)
+    a = state.grouped_within(df, "k", "seq", "ts", 4, 100 * 10**6)
+    b = state.grouped_within(df, "k", "seq", "ts", 4, 100 * 10**6, direct_rows=0)
+    key = lambda d: sorted((r["seq"], r["batch"]) for r in d.collect())
+    assert key(a) == key(b)
