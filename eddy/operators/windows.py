@@ -55,6 +55,16 @@ def drop_late(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_us: int
     return exact_watermark(df, ts, order_by, max_delay_us, **kw).filter(~F.col("late")).drop("late")
 
 
+def _interval_us(text: str) -> int:
+    """Micros of a simple interval string such as ``3 hours``."""
+    units = {"microsecond": 1, "millisecond": 10**3, "second": 10**6, "minute": 60 * 10**6,
+             "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
+    total, parts = 0, text.split()
+    for num, unit in zip(parts[0::2], parts[1::2]):
+        total += int(num) * units[unit.rstrip("s")]
+    return total
+
+
 def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_us: int,
                      length: str, step: str | None = None, by: Sequence[str] = (),
                      event_id: str | None = None) -> DataFrame:
@@ -66,13 +76,19 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     The watermark never falls, so only the rows where it rises can close a
     window.  Those rows and the window ends are put in one list ordered by
     value; the close row of a window is the smallest arrival among the
-    rising rows after it, a reverse running min: no range join.
+    rising rows after it, a reverse running min: no range join.  The key
+    ranges of the three scans come from one stats pass over the input.
     """
     event_id = event_id or order_by[-1]
     if len(order_by) != 1:
         raise ValueError("window_lifecycle needs one unique integer arrival column")
     arrival = order_by[0]
-    marked = exact_watermark(df, ts, order_by, max_delay_us)
+    a_lo, a_hi, n = prefix.key_stats(df, arrival)
+    t_lo, t_hi, _ = prefix.key_stats(df, ts)
+    if n == 0:
+        t_lo = t_hi = 0
+    arrival_bounds = (a_lo, a_hi, n)
+    marked = exact_watermark(df, ts, order_by, max_delay_us, bounds=arrival_bounds)
     accepted = marked.filter(~F.col("late"))
     wins = (assign_windows(accepted, ts, length, step)
             .groupBy("window_start", "window_end", *by)
@@ -81,7 +97,7 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     # Rows that raise the watermark (wm strictly above every earlier wm).
     wm_us = prefix.order_number(marked, "wm")
     prev = prefix.running(marked.select(arrival, wm_us.alias("__wm")), [arrival],
-                          {"__prev": ("max", F.col("__wm"))}, exclusive=True)
+                          {"__prev": ("max", F.col("__wm"))}, exclusive=True, bounds=arrival_bounds)
     rising = (prev.filter(F.col("__prev").isNull() | (F.col("__wm") > F.col("__prev")))
               .select(F.col("__wm").alias("__val"), F.lit(0).alias("__kind"),
                       F.col(arrival).cast("long").alias("__row")))
@@ -91,8 +107,10 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     # At equal value a rising row sorts before the window end, so only
     # rows strictly above the end follow it.
     merged = rising.unionByName(ends)
+    span_us = _interval_us(length)
+    merged_bounds = (t_lo - max_delay_us - span_us, t_hi + span_us, 2 * max(n, 1))
     nxt = prefix.running(merged, ["__val", "__kind"], {"__close": ("min", F.col("__row"))},
-                         reverse=True, exclusive=True)
+                         reverse=True, exclusive=True, bounds=merged_bounds)
     closes = nxt.filter(F.col("__kind") == 1).select(
         F.timestamp_micros(F.col("__val")).cast(_ts_type(df, ts)).alias("window_end"),
         F.col("__close").alias("close_event"))

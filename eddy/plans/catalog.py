@@ -857,3 +857,29 @@ def stream_fsm(spark, sf):
             .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "state", "hunger", "reply")
+
+
+# --- files -------------------------------------------------------------------
+
+@query("text_file_lines", """
+WITH d AS (SELECT text, (row_number() OVER (ORDER BY doc_id) - 1) % 4 AS bucket FROM documents)
+SELECT CAST(bucket AS INTEGER) AS bucket, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
+       CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes
+FROM d GROUP BY bucket
+""")
+def text_file_lines(spark, sf):
+    """K1 + K2 + S9 + A1: documents written as text, row i to bucket
+    ``i % 4`` (bucketed append), the bytes each bucket's sink wrote, then
+    all files read back line by line (lines end at ``\\n`` only) and
+    counted per bucket."""
+    from eddy.session import scratch_path
+    from eddy.sources import files
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    idx = ordered.zip_with_index(d, ["doc_id"], "i")
+    tagged = idx.withColumn("bucket", F.pmod("i", F.lit(4)).cast("int"))
+    path = f"{scratch_path(spark, 'text')}/out"
+    files.write_text(tagged, path, "text", mode="append", bucket=F.col("bucket"))
+    written = files.bytes_written(tagged, "text", by=["bucket"]).select("bucket", "bytes")
+    back = files.read_lines(spark, path)  # the bucket comes back as a partition column
+    lines = back.groupBy("bucket").agg(F.count(F.lit(1)).alias("lines"))
+    return lines.join(written, "bucket").select(F.col("bucket").cast("int").alias("bucket"), "lines", "bytes")

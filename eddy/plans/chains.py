@@ -39,10 +39,12 @@ def as_of_next(df: DataFrame, keys: Sequence[str], idx: str, t: Column, probe: C
     probes = df.select(*keys, probe.cast("long").alias("__val"), F.lit(0).alias("__kind"),
                        F.lit(None).cast("long").alias("__row"), F.col(idx).cast("long").alias("__src"))
     # At equal value a probe sorts before the rows, so rows at exactly the
-    # probe value count as "at or after".
-    u = rows.unionByName(probes)
-    nxt = prefix.running(u, ["__val", "__kind"], {name: ("min", F.col("__row"))},
-                         partition_by=keys, reverse=True, exclusive=True)
+    # probe value count as "at or after".  ``__tb`` = (kind, index) as one
+    # unique number: the tie-break that splits a hot time value.
+    u = rows.unionByName(probes).withColumn(
+        "__tb", F.col("__kind") * F.lit(1 << 48) + F.coalesce(F.col("__row"), F.col("__src")))
+    nxt = prefix.running(u, ["__val", "__tb"], {name: ("min", F.col("__row"))},
+                         partition_by=keys, reverse=True, exclusive=True, split_ties=True)
     found = nxt.filter(F.col("__kind") == 0).select(*keys, F.col("__src").alias(idx), name)
     return df.join(found, on=[*keys, idx], how="left")
 

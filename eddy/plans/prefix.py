@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eddy.plans.joins import join_small
+
 DEFAULT_CHUNK_ROWS = 1 << 20
 # Above this many chunks the carry table is joined by shuffle, not broadcast.
 MAX_BROADCAST_CHUNKS = 1 << 21
@@ -93,55 +95,100 @@ def add_chunk(df: DataFrame, lead: str, name: str = "chunk", chunk_rows: int = D
     return df.withColumn(name, chunk), n_chunks
 
 
+# Bucket of more than this many chunk sizes counts as heavy (tied values).
+HEAVY_FACTOR = 2
+MAX_HEAVY_BROADCAST_ROWS = 2_000_000
+
+
+def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows: int,
+                reverse: bool) -> tuple[DataFrame, list[str]]:
+    """Split buckets that hold many rows of one leading value.
+
+    A bucket of the leading column can only grow past its width when values
+    repeat.  For such buckets the chunk gets two more parts: ``__c2``
+    orders the rows around the heavy values of the bucket (2 x the number
+    of heavy values before the row's value, +1 on a heavy value) and
+    ``__c3`` cuts the rows of one heavy value by ranges of the second order
+    column.  The heavy-value tables hold at most rows / chunk_rows entries
+    (each heavy value has more than chunk_rows rows), so they are
+    broadcast after a size check.
+    """
+    limit = HEAVY_FACTOR * chunk_rows
+    heavy_b = (src.groupBy(*keys, "__c1").count().filter(F.col("count") > limit)
+                  .select(*keys, "__c1"))
+    if heavy_b.limit(1).count() == 0:
+        return src, ["__c1"]
+    lead, second = order_by[0], order_by[1]
+    k = order_number(src, lead)
+    k2 = order_number(src, second)
+    tagged = src.withColumn("__k", k).withColumn("__k2", k2)
+    in_heavy = join_small(tagged, heavy_b, on=[*keys, "__c1"], how="left_semi", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    hv = (in_heavy.groupBy(*keys, "__c1", "__k")
+                  .agg(F.count(F.lit(1)).alias("__n"), F.min("__k2").alias("__lo2"), F.max("__k2").alias("__hi2"))
+                  .filter(F.col("__n") > chunk_rows))
+    per_bucket = hv.groupBy(*keys, "__c1").agg(F.sort_array(F.collect_list("__k")).alias("__hv"))
+    width2 = F.greatest(F.lit(1.0), F.ceil((F.col("__hi2") - F.col("__lo2") + 1) * F.lit(chunk_rows) / F.col("__n")))
+    stats = hv.select(*keys, "__k", "__lo2", "__hi2", width2.cast("double").alias("__w2"))
+    out = join_small(tagged, per_bucket, on=[*keys, "__c1"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    out = join_small(out, stats, on=[*keys, "__k"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    before = (lambda v: v > F.col("__k")) if reverse else (lambda v: v < F.col("__k"))
+    c2 = F.when(F.col("__hv").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("__hv", before)) * 2 + F.array_contains("__hv", F.col("__k")).cast("int"))
+    base2 = (F.col("__hi2") - F.col("__k2")) if reverse else (F.col("__k2") - F.col("__lo2"))
+    c3 = F.when(F.col("__w2").isNull(), F.lit(0)).otherwise(F.floor(base2 / F.col("__w2"))).cast("long")
+    out = out.withColumn("__c2", c2.cast("long")).withColumn("__c3", c3)
+    return out.drop("__k", "__k2", "__hv", "__lo2", "__hi2", "__w2"), ["__c1", "__c2", "__c3"]
+
+
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
             chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None,
-            bounds: tuple | None = None) -> DataFrame:
+            bounds: tuple | None = None, split_ties: bool = False) -> DataFrame:
     """Add running folds over ``order_by`` (optionally per ``partition_by``).
 
     ``folds`` maps an output name to ``(fold, column)``; fold is one of
     count/sum/max/min (``count`` ignores the column).  ``exclusive`` leaves
     the current row out; ``reverse`` runs from the last row backwards.
+    With ``split_ties`` a leading value shared by very many rows (a hot
+    timestamp) is split further by the second order column, so no chunk
+    grows past a few ``chunk_rows``; leave it off for a unique leading
+    column.
     """
     order_by, keys = list(order_by), list(partition_by)
     for name, (fold, _) in folds.items():
         if fold not in _FOLDS:
             raise ValueError(f"fold {fold!r} for {name!r} is not associative/supported")
     chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, bounds)
-    ck = "__chunk"
-    src = df.withColumn(ck, chunk)
+    src = df.withColumn("__c1", chunk)
+    cks = ["__c1"]
+    if split_ties and len(order_by) > 1:
+        src, cks = _split_ties(src, order_by, keys, chunk_rows, reverse)
+        n_chunks *= 3  # heavy values add at most two sub-chunks per chunk of rows
     for name, (fold, col) in folds.items():
         src = src.withColumn(f"__v_{name}", F.lit(1).cast("long") if fold == "count" else col)
 
     ordering = [F.col(c).desc() if reverse else F.col(c).asc() for c in order_by]
     upto = -1 if exclusive else Window.currentRow
-    local_w = Window.partitionBy(*keys, ck).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, upto)
+    local_w = Window.partitionBy(*keys, *cks).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, upto)
 
-    def local_fold(fold, v):
-        if fold in ("count", "sum"):
-            return F.sum(v).over(local_w)
-        return (F.max if fold == "max" else F.min)(v).over(local_w)
-
-    def total_fold(fold, v):
-        if fold in ("count", "sum"):
-            return F.sum(v)
-        return (F.max if fold == "max" else F.min)(v)
+    def fold_fn(fold):
+        return F.sum if fold in ("count", "sum") else (F.max if fold == "max" else F.min)
 
     local = src
     for name, (fold, _) in folds.items():
-        local = local.withColumn(f"__l_{name}", local_fold(fold, F.col(f"__v_{name}")))
-
-    totals = src.groupBy(*keys, ck).agg(
-        *[total_fold(fold, F.col(f"__v_{name}")).alias(f"__t_{name}") for name, (fold, _) in folds.items()])
-    carry_w = Window.partitionBy(*keys).orderBy(F.col(ck)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, ck, *[
-        (F.sum if fold in ("count", "sum") else (F.max if fold == "max" else F.min))(
-            F.col(f"__t_{name}")).over(carry_w).alias(f"__c_{name}")
+        local = local.withColumn(f"__l_{name}", fold_fn(fold)(F.col(f"__v_{name}")).over(local_w))
+
+    totals = src.groupBy(*keys, *cks).agg(
+        *[fold_fn(fold)(F.col(f"__v_{name}")).alias(f"__t_{name}") for name, (fold, _) in folds.items()])
+    carry_w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in cks]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, *cks, *[
+        fold_fn(fold)(F.col(f"__t_{name}")).over(carry_w).alias(f"__c_{name}")
         for name, (fold, _) in folds.items()])
     if not keys and n_chunks <= MAX_BROADCAST_CHUNKS:
         # One row per chunk; the bound comes from the chunk plan.
         carry = F.broadcast(carry)
-    joined = local.join(carry, on=[*keys, ck], how="left")
+    joined = local.join(carry, on=[*keys, *cks], how="left")
 
     out = joined
     for name, (fold, _) in folds.items():
@@ -156,7 +203,7 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
         else:
             val = F.least(c, l)
         out = out.withColumn(name, val)
-    drop = [ck] + [f"__{p}_{n}" for n in folds for p in ("v", "l", "c")]
+    drop = cks + [f"__{p}_{n}" for n in folds for p in ("v", "l", "c")]
     return out.drop(*drop)
 
 

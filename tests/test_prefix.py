@@ -69,4 +69,35 @@ def test_no_unpartitioned_window_on_rows(spark):
     df = spark.range(10_000).withColumnRenamed("id", "x")
     plan = prefix.with_index(df, ["x"], "i")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in plan or "Window" in plan
-    assert "hashpartitioning(__chunk" in plan
+    assert "hashpartitioning(__c1" in plan
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_heavy_ties_are_split(spark, reverse, keyed):
+    """A third of the rows share one leading value: with split_ties the
+    chunks stay small and the result still equals the window."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(1500):
+        t = 500 if i % 3 == 0 else rnd.randrange(0, 1000)
+        rows.append((t, i, i % 2 if keyed else 0, rnd.randrange(100)))
+    df = spark.createDataFrame(rows, "t long, id long, k long, v long")
+    keys = ["k"] if keyed else []
+    got = prefix.running(df, ["t", "id"], {"s": ("sum", F.col("v")), "c": ("count", None)},
+                         partition_by=keys, reverse=reverse, chunk_rows=40, split_ties=True)
+    order = [F.col("t").desc(), F.col("id").desc()] if reverse else [F.col("t"), F.col("id")]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert sorted(tuple(r) for r in got.select("id", "s", "c").collect()) == \
+        sorted(tuple(r) for r in want.collect())
+
+
+def test_split_ties_bounds_chunks(spark):
+    rows = [(7 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "t long, id long")
+    chunk, _ = prefix._chunk_plan(df, "t", 50, False, None)
+    src, cks = prefix._split_ties(df.withColumn("__c1", chunk), ["t", "id"], [], 50, False)
+    assert cks == ["__c1", "__c2", "__c3"]
+    biggest = src.groupBy(*cks).count().agg(F.max("count")).first()[0]
+    assert biggest <= 2 * 50 + 1
