@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddy.plans import prefix
-from eddy.plans.joins import join_small
 
 
 def zip_with_index(df: DataFrame, order_by: Sequence[str], name: str = "idx",
@@ -34,19 +33,13 @@ def take(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
 def take_while(df: DataFrame, order_by: Sequence[str], keep: Column,
                partition_by: Sequence[str] = (), inclusive: bool = True) -> DataFrame:
     """Rows up to the first row where ``keep`` fails (that row too when
-    ``inclusive``), per key.  The first failing position per key is a
-    map-side-combined min, joined back by key; keys that never fail keep
-    all rows."""
-    if len(order_by) != 1:
-        raise ValueError("take_while needs one unique order column")
-    o = order_by[0]
-    stop = df.groupBy(*partition_by).agg(F.min(F.when(~keep, F.col(o))).alias("__stop"))
-    if partition_by:
-        joined = join_small(df, stop, on=list(partition_by), how="left")
-    else:
-        joined = df.crossJoin(F.broadcast(stop))  # one row: the global stop
-    cmp = F.col(o) <= F.col("__stop") if inclusive else F.col(o) < F.col("__stop")
-    return joined.filter(F.col("__stop").isNull() | cmp).drop("__stop")
+    ``inclusive``), per key.  A row stays while no earlier row failed: a
+    running count of failures (chunked prefix scan, so a hot key is spread
+    over many tasks, and no join or cross product is needed)."""
+    failed = F.when(F.coalesce(keep, F.lit(False)), F.lit(0)).otherwise(F.lit(1))
+    run = prefix.running(df, order_by, {"__fails": ("sum", failed)}, partition_by=partition_by,
+                         exclusive=inclusive)
+    return run.filter(F.coalesce(F.col("__fails"), F.lit(0)) == 0).drop("__fails")
 
 
 def round_robin(df: DataFrame, order_by: Sequence[str], n: int, name: str = "worker") -> DataFrame:

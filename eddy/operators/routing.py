@@ -27,9 +27,11 @@ def partition(df: DataFrame, selector: Column, n: int, name: str = "branch") ->
 
 
 def hash_route(df: DataFrame, key: Column, n: int, name: str = "worker",
-               physical: bool = True) -> DataFrame:
-    """Route each row to worker ``pmod(key, n)``; with ``physical``
-    the rows are also hash-partitioned on it (one shuffle)."""
+               physical: bool = False) -> DataFrame:
+    """Route each row to worker ``pmod(key, n)`` (a column: each
+    branch is a filter on it and runs in parallel tasks).  ``physical``
+    also hash-partitions the rows into exactly ``n`` partitions, one per
+    worker; only worth it when ``n`` is large enough for the data."""
     out = df.withColumn(name, F.pmod(key, F.lit(n)).cast("int"))
     return out.repartition(n, F.col(name)) if physical else out
 

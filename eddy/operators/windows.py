@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddy.plans import prefix
@@ -142,16 +142,14 @@ def count_windows(df: DataFrame, order_by: Sequence[str], size: int, step: int,
 def interval_between(df: DataFrame, ts: str, order_by: Sequence[str], marked: Column,
                      partition_by: Sequence[str] = ()) -> DataFrame:
     """For rows matching ``marked``, the time since the previous
-    marked row (in order).  Per key the lag runs in a keyed window; without
-    keys the marked rows are indexed by the prefix scan and paired with the
-    previous index by an equi-join."""
+    marked row (in order, per key).  The marked rows are indexed by the
+    prefix scan and paired with the previous index by an equi-join on
+    (keys, index), so no key or order is gathered in one task."""
+    keys = list(partition_by)
     m = df.filter(marked)
-    if partition_by:
-        w = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return m.withColumn("prev_ts", F.lag(ts).over(w))
-    idx = prefix.with_index(m, order_by, "__i")
-    prev = idx.select((F.col("__i") + 1).alias("__i"), F.col(ts).alias("prev_ts"))
-    return idx.join(prev, on="__i", how="left").drop("__i")
+    idx = prefix.with_index(m, order_by, "__i", partition_by=keys)
+    prev = idx.select(*keys, (F.col("__i") + 1).alias("__i"), F.col(ts).alias("prev_ts"))
+    return idx.join(prev, on=[*keys, "__i"], how="left").drop("__i")
 
 
 def conflict_rounds(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

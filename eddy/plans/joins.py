@@ -1,8 +1,10 @@
 """Joins with a checked broadcast side.
 
-A side is broadcast only when its row count is proven small: a bounded
-count (``limit(max_rows + 1).count()``) runs first, and a side over the
-bound is joined by shuffle instead, where AQE splits skewed partitions.
+A side is broadcast only when its row count is proven small.  The side is
+computed once (persisted), counted, and broadcast from the persisted rows
+when it is within the bound; a side over the bound is released again and
+joined by shuffle, where AQE splits skewed partitions.  A lost executor
+recomputes persisted blocks from lineage, so nothing is lost with it.
 """
 
 from __future__ import annotations
@@ -28,8 +30,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     (inner, left, left_semi, left_anti)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"broadcast of the right side does not fit a {how!r} join")
-    side = F.broadcast(small) if is_small(small, max_rows) else small
-    return big.join(side, on=on, how=how)
+    from pyspark import StorageLevel
+    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        return big.join(F.broadcast(kept), on=on, how=how)
+    kept.unpersist()
+    return big.join(small, on=on, how=how)
 
 
 def key_table(values: Sequence, name: str, spark, dtype: str = "long") -> DataFrame:
