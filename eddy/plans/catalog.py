@@ -788,6 +788,19 @@ class _InjectedFailure(RuntimeError):
     pass
 
 
+def _run_once_more_after_crash(start) -> None:
+    """Run a stream to the end; after the injected crash start it again on
+    the same checkpoint.  Any other error is raised."""
+    for attempt in range(2):
+        q = start()
+        try:
+            q.awaitTermination()
+            return
+        except Exception as e:  # noqa: BLE001
+            if "injected crash" not in str(e) or attempt == 1:
+                raise
+
+
 @query("stream_delivery", """
 SELECT event_id, user_id, event_type FROM events
 """)
@@ -808,16 +821,8 @@ def stream_delivery(spark, sf):
             crashed["done"] = True
             raise _InjectedFailure("injected crash after the write, before the commit")
 
-    def start():
-        return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt")
-                      .trigger(availableNow=True).start())
-    for _ in range(2):
-        q = start()
-        try:
-            q.awaitTermination()
-            break
-        except Exception:  # noqa: BLE001 - the injected failure; restart once
-            continue
+    _run_once_more_after_crash(lambda: stream.writeStream.foreachBatch(sink)
+                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
 
 
@@ -883,3 +888,67 @@ def text_file_lines(spark, sf):
     back = files.read_lines(spark, path)  # the bucket comes back as a partition column
     lines = back.groupBy("bucket").agg(F.count(F.lit(1)).alias("lines"))
     return lines.join(written, "bucket").select(F.col("bucket").cast("int").alias("bucket"), "lines", "bytes")
+
+
+@query("stream_at_most_once", """
+WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
+SELECT event_id, user_id, event_type FROM events, b
+WHERE least(floor((event_id - lo) * (4.0 / (hi - lo + 1))), 3) <> 1
+""")
+def stream_at_most_once(spark, sf):
+    """L4: events as a file stream, one file per micro-batch; each batch's
+    id is committed first, then the batch is processed.  A crash between
+    the two in batch 1 loses that batch on restart (and never duplicates
+    a row): delivered = all events but the second file."""
+    from eddy.streaming import delivery
+    base, stream = _staged_events(spark, sf, cols=["event_id", "user_id", "event_type"])
+    out = f"{base}/out"
+    crashed = {"done": False}
+
+    def process(batch, batch_id):
+        if batch_id == 1 and not crashed["done"]:
+            crashed["done"] = True
+            raise _InjectedFailure("injected crash after the commit, before processing")
+        batch.write.mode("append").parquet(out)
+
+    fn = delivery.at_most_once(spark, f"{base}/commits", process)
+    _run_once_more_after_crash(lambda: stream.writeStream.foreachBatch(fn)
+                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
+@query("log_consume_publish", """
+SELECT 'upper' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+       upper(event_type) AS value
+FROM events
+""")
+def log_consume_publish(spark, sf):
+    """K13 + L3: events appended to log A; a stream consumes A, publishes
+    the upper-cased values to log B, and commits A only after the publish.
+    The job crashes after publishing, before the commit; the replayed
+    batch finds its batch id in B and publishes nothing twice."""
+    from eddy.session import scratch_path
+    from eddy.sources import topiclog
+    from eddy.streaming import delivery
+    base = scratch_path(spark, "consume")
+    log_a = topiclog.TopicLog(spark, f"{base}/a")
+    log_a.append(_event_records(spark, sf), ["event_id"], batch_id=0)
+    def upper(b):
+        src = b.select(F.col("key").alias("k"), F.col("value").cast("string").alias("v"),
+                       F.col("partition").alias("a_partition"), F.col("offset").alias("a_offset"))
+        return topiclog.records(src, "upper", F.col("a_partition"), F.col("k"), F.upper("v"))
+
+    publish = delivery.consume_publish(spark, f"{base}/b", upper, ["a_offset"])
+    crashed = {"done": False}
+
+    def sink(batch, batch_id):
+        publish(batch, batch_id)
+        if not crashed["done"]:
+            crashed["done"] = True
+            raise _InjectedFailure("injected crash after the publish, before the commit")
+
+    _run_once_more_after_crash(lambda: log_a.read_stream().writeStream.foreachBatch(sink)
+                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    out = topiclog.TopicLog(spark, f"{base}/b").read()
+    return out.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
