@@ -190,3 +190,26 @@ def test_grouped_within_chain_equals_direct(spark):
     b = state.grouped_within(df, "k", "seq", "ts", 4, 100 * 10**6, direct_rows=0)
     key = lambda d: sorted((r["seq"], r["batch"]) for r in d.collect())
     assert key(a) == key(b)
+
+
+def test_fsm_composition_tree(spark, monkeypatch):
+    """More chunk tables per key than FANIN: the entry states come from the
+    tree of compositions and still equal a plain loop."""
+    import pandas as pd
+    monkeypatch.setattr(state, "FANIN", 3)
+    rng = np.random.default_rng(5)
+    cmds = rng.choice(["wake", "stroke", "sleep", "grow", "other"], size=240, p=[.2, .3, .2, .05, .25])
+    rows = [(int(i % 2), int(i), str(c), int(rng.integers(0, 2)), bool(rng.random() < .2))
+            for i, c in enumerate(cmds)]
+    df = spark.createDataFrame(rows, "k long, seq long, cmd string, by int, timed_out boolean")
+    m = state.CatMachine()
+    got = {r["seq"]: (r["state"], r["hunger"], r["reply"])
+           for r in state.run_machine(df, m, "k", "seq", chunk_rows=4).collect()}
+    for k in (0, 1):
+        cur = m.initial
+        for row in [r for r in rows if r[0] == k]:
+            ev = pd.Series({"cmd": row[2], "by": row[3], "timed_out": row[4]})
+            reply = m.reply(cur, ev)
+            cur = m.step_one(cur, ev)
+            d = m.describe(cur)
+            assert got[row[1]] == (d["state"], d["hunger"], reply)
