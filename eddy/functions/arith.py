@@ -1,0 +1,33 @@
+"""F-o: arithmetic with JVM semantics as Column expressions.  Spark runs
+with ANSI mode on, so overflow fails instead of wrapping; ``%`` keeps the
+sign of the dividend like the JVM, ``pmod`` gives the non-negative
+remainder used for buckets."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def rem(a: Column, b) -> Column:
+    """``a % b`` with the dividend's sign (JVM ``%``)."""
+    return a % F.lit(b) if not isinstance(b, Column) else a % b
+
+
+def bucket(a: Column, n: int) -> Column:
+    """Non-negative remainder, for routing and buckets."""
+    return F.pmod(a, F.lit(n))
+
+
+def negate(a: Column) -> Column:
+    return -a
+
+
+def larger(a: Column, b: Column) -> Column:
+    """``math.max`` (nulls skipped)."""
+    return F.greatest(a, b)
+
+
+def magnitude(a: Column) -> Column:
+    """``math.abs``."""
+    return F.abs(a)

@@ -24,7 +24,7 @@ def zip_with_index(df: DataFrame, order_by: Sequence[str], name: str = "idx",
 
 
 def take(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in order.  Spark plans this as a
+    """The first ``n`` rows in order.  Spark plans this as a
     TakeOrderedAndProject: a per-partition top-n, then one merge of
     at most n rows per partition."""
     return df.orderBy(*order_by).limit(n)

@@ -44,8 +44,8 @@ def word_counts(df: DataFrame, text: str, rules: Sequence[tuple[str, str]] = (),
 
 def frequent_words(counts: DataFrame, min_count: int, name: str = "word",
                    count: str = "n") -> DataFrame:
-    """Words longer than 3, or upper-case words of exactly 3, seen more
-    than ``min_count`` times, most frequent first (ties by word)."""
+    """A6 + O1: words longer than 3, or upper-case words of exactly 3, seen
+    more than ``min_count`` times, most frequent first (ties by word)."""
     w, n = F.col(name), F.col(count)
     keep = ((F.length(w) > 3) | (strings.is_upper(w) & (F.length(w) == 3))) & (n > min_count)
     return counts.filter(keep).orderBy(F.desc(count), F.asc(name))

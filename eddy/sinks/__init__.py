@@ -18,6 +18,12 @@ def console(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
+def rows(df: DataFrame) -> DataFrame:
+    """K5: all rows to the caller (``Sink.seq``): the DataFrame itself is
+    the result; the caller decides whether and how to collect it."""
+    return df
+
+
 def discard(df: DataFrame) -> None:
     """K4: run to completion, keep nothing (``format("noop")``)."""
     df.write.format("noop").mode("overwrite").save()

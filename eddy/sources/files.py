@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], max_line_bytes: int | None = None,
                encoding: str = "UTF-8", with_file: bool = True) -> DataFrame:
-    """The lines of one or many text files.  Lines end at ``\\n``
+    """The lines of one or many text files.  Lines end at ``\\n``
     only (the default reader also splits at ``\\r``).  With
     ``max_line_bytes`` a longer line fails the job, as a framing limit
     does.  Each line keeps its file, so file boundaries stay."""

@@ -127,8 +127,9 @@ class TopicLog:
 
     def read(self, topics: Sequence[str] | None = None,
              assignment: Mapping[tuple[str, int], int | None] | None = None) -> DataFrame:
-        """Records of ``topics`` (subscribe, from earliest) or of
-        an assignment ``{(topic, partition): start_offset or None}``."""
+        """Records of ``topics`` (subscribe, from earliest) or
+        of an assignment ``{(topic, partition): start_offset or None}``
+        (a None start reads the whole partition)."""
         if not self._exists():
             return self.spark.createDataFrame([], LOG_SCHEMA)
         df = self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
