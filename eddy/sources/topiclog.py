@@ -17,7 +17,6 @@ the chunked prefix scan, so a hot partition is indexed by many tasks.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,28 +110,50 @@ def zip_partitions(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 class TopicLog:
-    """An append-only log in a folder (parquet, partitioned by topic and
-    partition)."""
+    """An append-only log in a folder.
+
+    Records live under ``topic=/partition=/batch_id=`` folders.  After a
+    batch is written, ``_positions/batch_id=<b>`` records the next offset
+    of every (topic, partition): one small row per partition and the
+    commit mark of the batch.  Batch ids rise; readers see committed
+    batches only.  A batch that crashed before its mark is written again
+    with the same offsets (they start from the previous batch's positions)
+    and replaces only its own folders (dynamic partition overwrite), so a
+    replay never duplicates a record.  No append scans the log itself.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _exists(self) -> bool:
+    def _fs(self):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(conf)
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path + "/_SUCCESS")) or (
-            fs.exists(p) and len(fs.listStatus(p)) > 0)
+        return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def committed(self) -> list[int]:
+        """Committed batch ids (from the positions folder names)."""
+        jvm, fs = self._fs()
+        pos = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_positions")
+        if not fs.exists(pos):
+            return []
+        out = []
+        for st in fs.listStatus(pos):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
 
     def read(self, topics: Sequence[str] | None = None,
              assignment: Mapping[tuple[str, int], int | None] | None = None) -> DataFrame:
         """Records of ``topics`` (subscribe, from earliest) or
         of an assignment ``{(topic, partition): start_offset or None}``
-        (a None start reads the whole partition)."""
-        if not self._exists():
+        (a None start reads the whole partition).  Only committed batches;
+        topic, partition and batch filters prune folders, the offset
+        filter is pushed into the parquet scan."""
+        done = self.committed()
+        if not done:
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        df = self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
+        df = self.spark.read.schema(LOG_SCHEMA).parquet(self.path).filter(F.col("batch_id") <= done[-1])
         if topics is not None:
             df = df.filter(F.col("topic").isin(list(topics)))
         if assignment is not None:
@@ -145,28 +166,44 @@ class TopicLog:
             df = df.filter(cond)
         return df
 
-    def positions(self) -> DataFrame:
-        """Next offset per (topic, partition)."""
-        return self.read().groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+    def positions(self, before: int | None = None) -> DataFrame:
+        """Next offset per (topic, partition) after the last committed batch
+        (or the last one before ``before``)."""
+        done = [b for b in self.committed() if before is None or b < before]
+        if not done:
+            return self.spark.createDataFrame([], "topic string, partition int, next_offset long")
+        return self.spark.read.parquet(f"{self.path}/_positions/batch_id={done[-1]}")
 
     def has_batch(self, batch_id: int) -> bool:
-        return self.read().filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+        return batch_id in self.committed()
 
     def append(self, recs: DataFrame, order_by: Sequence[str], batch_id: int | None = None) -> DataFrame:
-        """K9: append records with offsets; returns the appended rows (the
-        K10 result).  A ``batch_id`` already in the log is skipped, so a
-        replayed micro-batch does not write twice."""
+        """K9: append records with offsets as batch ``batch_id`` (the next id
+        when None); returns the appended rows (the K10 result).  A batch id
+        already committed is skipped, so a replayed micro-batch does not
+        write twice."""
+        done = self.committed()
         if batch_id is None:
-            batch_id = uuid.uuid4().int >> 65
-        elif self.has_batch(batch_id):
+            batch_id = done[-1] + 1 if done else 0
+        if batch_id in done:
             return self.read().filter(F.col("batch_id") == batch_id)
-        out = assign_offsets(recs, order_by, self.positions())
-        out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if done and batch_id < done[-1]:
+            raise ValueError(f"batch {batch_id} comes after committed batch {done[-1]}")
+        base = self.positions(before=batch_id)
+        out = assign_offsets(recs, order_by, base).withColumn("batch_id", F.lit(batch_id).cast("long"))
         rows = out.select(*[f.name for f in LOG_SCHEMA.fields])
-        rows.write.mode("append").partitionBy("topic", "partition").parquet(self.path)
-        # Read back what was written: re-running the plan would see the new
-        # positions.
-        return self.read().filter(F.col("batch_id") == batch_id)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("topic", "partition", "batch_id").parquet(self.path))
+        written = (self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
+                       .filter(F.col("batch_id") == batch_id))
+        now = written.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+        merged = now.unionByName(base).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+        self._commit(batch_id, merged)
+        return written
+
+    def _commit(self, batch_id: int, positions: DataFrame) -> None:
+        """Write the batch's positions: the batch becomes visible."""
+        positions.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_positions/batch_id={batch_id}")
 
     def read_stream(self, max_files_per_trigger: int | None = None, topics: Sequence[str] | None = None) -> DataFrame:
         """The log as a stream (new files are new records)."""

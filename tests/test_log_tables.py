@@ -79,3 +79,25 @@ def test_update_many_refuses_chains(spark):
     chained = spark.createDataFrame([(5, 6, 0), (6, 7, 1)], "value int, nv int, seq int")
     with pytest.raises(ValueError):
         tables.apply_update_many(cur, chained, "value", "nv", "seq")
+
+
+def test_replay_after_crash_before_commit(spark, scratch, monkeypatch):
+    log = topiclog.TopicLog(spark, f"{scratch}/log")
+    log.append(_recs(spark, 6), ["i"], batch_id=0)
+    real = topiclog.TopicLog._commit
+    calls = {"n": 0}
+
+    def crash_once(self, b, pos):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("crash before the commit mark")
+        real(self, b, pos)
+
+    monkeypatch.setattr(topiclog.TopicLog, "_commit", crash_once)
+    with pytest.raises(RuntimeError):
+        log.append(_recs(spark, 4, start=6), ["i"], batch_id=1)
+    assert log.read().count() == 6  # the uncommitted batch is not visible
+    log.append(_recs(spark, 4, start=6), ["i"], batch_id=1)
+    assert log.read().count() == 10
+    assert sorted((r["partition"], r["offset"]) for r in log.read().collect()) == \
+        [(0, i) for i in range(5)] + [(1, i) for i in range(5)]
