@@ -38,8 +38,8 @@ def word_counts(df: DataFrame, text: str, rules: Sequence[tuple[str, str]] = (),
     ls = lines(df, text)
     if rules:
         ls = ls.withColumn("line", strings.rewrite(F.col("line"), rules)).filter(F.length("line") > 0)
-    w = ls.select(F.explode(strings.words(F.col("line"))).alias(name))
-    return w.groupBy(name).agg(F.count(F.lit(1)).alias(count))
+    w = ls.select(F.explode(F.split(F.col("line"), strings.WHITESPACE)).alias(name))
+    return w.filter(F.length(name) > 0).groupBy(name).agg(F.count(F.lit(1)).alias(count))
 
 
 def frequent_words(counts: DataFrame, min_count: int, name: str = "word",

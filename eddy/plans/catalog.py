@@ -952,3 +952,19 @@ def log_consume_publish(spark, sf):
                                .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     out = topiclog.TopicLog(spark, f"{base}/b").read()
     return out.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+ORACLE["stream_in_flight"] = ORACLE["in_flight"]
+
+
+@query("stream_in_flight")
+def stream_in_flight(spark, sf):
+    """F3 on a stream: per user the end of the running request is kept in
+    the state store between micro-batches; same result as the batch form."""
+    from eddy.streaming import stateful
+    base, stream = _staged_events(spark, sf, cols=["event_id", "user_id", "ts"])
+    out = stateful.in_flight(stream, "user_id", "event_id", "ts", 6 * HOUR_US)
+    q = (out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{base}/ckpt")
+            .trigger(availableNow=True).start(f"{base}/out"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "accepted")

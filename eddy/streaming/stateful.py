@@ -70,3 +70,57 @@ def run_machine(stream: DataFrame, machine, key: str, order_by: str, ts: str | N
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, out_schema, "state int, last long", "append", GroupStateTimeout.NoTimeout)
+
+
+def _greedy(stream: DataFrame, key: str, order_by: str, ts: str, name: str, out_type: str,
+            state_schema: str, start, walk) -> DataFrame:
+    """A greedy per-key scan over a stream: ``walk(times_us, state) ->
+    (values, state)`` runs on each key's rows of a micro-batch (in order),
+    the state carries over to the next batch."""
+    out_schema = T.StructType([stream.schema[key], stream.schema[order_by],
+                               T.StructField(name, T._parse_datatype_string(out_type))])
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        cur = state.get if state.exists else start
+        pdf = pd.concat(list(pdfs)).sort_values(order_by)
+        t = (pd.to_datetime(pdf[ts]).astype("int64") // 1000).to_numpy()
+        values, cur = walk(t, cur)
+        state.update(tuple(cur))
+        yield pd.DataFrame({key: pdf[key].values, order_by: pdf[order_by].values, name: values})
+
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def in_flight(stream: DataFrame, key: str, order_by: str, ts: str, duration_us: int,
+              name: str = "accepted") -> DataFrame:
+    """F3 on a stream: per key, the time the running request ends is the
+    state; a request before it is put off."""
+    def walk(t, cur):
+        free_at = cur[0]
+        acc = np.zeros(len(t), dtype=bool)
+        for i, v in enumerate(t):
+            if free_at is None or v >= free_at:
+                acc[i] = True
+                free_at = int(v) + duration_us
+        return acc, (free_at,)
+
+    return _greedy(stream, key, order_by, ts, name, "boolean", "free_at long", (None,), walk)
+
+
+def grouped_within(stream: DataFrame, key: str, order_by: str, ts: str, n: int, duration_us: int,
+                   name: str = "batch") -> DataFrame:
+    """A12 on a stream: per key, the open batch (number, opening time,
+    size) is the state; a batch closes at ``n`` rows or ``duration``."""
+    def walk(t, cur):
+        batch, opened, count = cur
+        out = np.zeros(len(t), dtype=np.int64)
+        for i, v in enumerate(t):
+            if batch is None or count >= n or v >= opened + duration_us:
+                batch, opened, count = (0 if batch is None else batch + 1), int(v), 0
+            count += 1
+            out[i] = batch
+        return out, (batch, opened, count)
+
+    return _greedy(stream, key, order_by, ts, name, "bigint", "batch long, opened long, count long",
+                   (None, None, None), walk)

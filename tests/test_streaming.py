@@ -79,3 +79,17 @@ def test_throttle_plan(spark):
     df = spark.range(5).withColumnRenamed("id", "i")
     out = control.throttle_plan(df, ["i"], per_period=2, period_ms=1000, burst=2)
     assert [r["emit_after_ms"] for r in out.orderBy("i").collect()] == [0.0, 0.0, 500.0, 1000.0, 1500.0]
+
+
+def test_stream_grouped_within_equals_batch(spark, scratch):
+    from eddy.operators import state
+    from eddy.streaming import stateful
+    ev, stream = _stage(spark, scratch)
+    out = stateful.grouped_within(stream.select("event_id", "user_id", "ts"), "user_id", "event_id", "ts",
+                                  4, 48 * 3600 * 10**6)
+    q = (out.writeStream.outputMode("append").format("memory").queryName("gw")
+            .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["event_id"], r["batch"]) for r in spark.table("gw").collect())
+    want = state.grouped_within(ev, "user_id", "event_id", "ts", 4, 48 * 3600 * 10**6)
+    assert got == sorted((r["event_id"], r["batch"]) for r in want.collect())
