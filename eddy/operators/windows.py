@@ -22,6 +22,8 @@ def assign_windows(df: DataFrame, ts: str, length: str, step: str | None = None,
     ``[start, end)`` and aligned to the epoch.  ``step`` must divide
     ``length`` (one row falls in ``length/step`` windows)."""
     ttype = _ts_type(df, ts)
+    if step and _interval_us(length) % _interval_us(step):
+        raise ValueError(f"window step {step!r} must divide the length {length!r}")
     w = F.window(F.col(ts), length, step) if step else F.window(F.col(ts), length)
     out = df.withColumn("__w", w)
     return (out.withColumn(start, F.col("__w.start").cast(ttype))

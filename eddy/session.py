@@ -15,7 +15,7 @@ TABLES = (
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "eddy") -> SparkSession:
+                  app: str = "eddy", memory: str = "8g") -> SparkSession:
     """A local session for tests and the bench; cluster jobs get theirs
     from spark-submit and only call :func:`ensure_checkpoint_dir`."""
     spark = (
@@ -33,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", memory)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

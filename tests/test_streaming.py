@@ -93,3 +93,29 @@ def test_stream_grouped_within_equals_batch(spark, scratch):
     got = sorted((r["event_id"], r["batch"]) for r in spark.table("gw").collect())
     want = state.grouped_within(ev, "user_id", "event_id", "ts", 4, 48 * 3600 * 10**6)
     assert got == sorted((r["event_id"], r["batch"]) for r in want.collect())
+
+
+def test_completion_listener(spark, scratch):
+    import time
+
+    done = []
+    listener = control.on_completion(spark, lambda qid, err: done.append((qid, err)))
+    try:
+        q = (spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+                  .writeStream.format("noop").option("checkpointLocation", f"{scratch}/ckpt").start())
+        time.sleep(2)
+        control.stop(q)
+        for _ in range(50):
+            if done:
+                break
+            time.sleep(0.1)
+        assert done and done[0][0] == str(q.id) and done[0][1] is None
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_window_step_must_divide(spark):
+    import pytest
+    df = spark.createDataFrame([(1,)], "x long").withColumn("ts", F.current_timestamp())
+    with pytest.raises(ValueError):
+        windows.assign_windows(df, "ts", "3 hours", "2 hours")
