@@ -16,8 +16,10 @@ deterministic function of the leading order column:
    computes the local running value, and the carry is joined back on
    (keys, chunk).  The join reuses the window's hash partitioning.
 
-With ``partition_by`` a hot key (say a third of all rows) is spread over
-many chunks, so no task sees more than one chunk of it.  Ties in the
+With ``partition_by`` keys of at most ``chunk_rows`` rows run as a plain
+keyed window (one bounded group each); a hot key (say a third of all
+rows) is spread over many chunks, so no task sees more than one chunk of
+it.  Ties in the
 leading order column stay in one chunk; give a unique tie-break column
 last in ``order_by``.
 
@@ -140,6 +142,22 @@ def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows
     return out.drop("__k", "__k2", "__hv", "__lo2", "__hi2", "__w2"), ["__c1", "__c2", "__c3"]
 
 
+def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], exclusive: bool,
+                  reverse: bool) -> DataFrame:
+    """The running folds as one keyed window (every key is small)."""
+    ordering = [F.col(c).desc() if reverse else F.col(c).asc() for c in order_by]
+    w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(
+        Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
+    out = df
+    for name, (fold, col) in folds.items():
+        v = F.lit(1).cast("long") if fold == "count" else col
+        agg = (F.sum if fold in ("count", "sum") else (F.max if fold == "max" else F.min))(v).over(w)
+        if fold == "count":
+            agg = F.coalesce(agg, F.lit(0)).cast("long")
+        out = out.withColumn(name, agg)
+    return out
+
+
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
             chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None,
@@ -158,8 +176,23 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     for name, (fold, _) in folds.items():
         if fold not in _FOLDS:
             raise ValueError(f"fold {fold!r} for {name!r} is not associative/supported")
-    chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, bounds)
-    src = df.withColumn("__c1", chunk)
+    if keys:
+        # Keys up to chunk_rows rows are one chunk each: a plain keyed
+        # window.  Only hot keys (at most rows / chunk_rows of them, so
+        # the list is broadcast after a size check) are cut into chunks.
+        hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                 .filter(F.col("__n") > chunk_rows).select(*keys))
+        if hot.limit(1).count() == 0:
+            return _keyed_window(df, order_by, folds, keys, exclusive, reverse)
+        tagged = join_small(df, hot.withColumn("__hot", F.lit(True)), on=keys, how="left",
+                            max_rows=MAX_HEAVY_BROADCAST_ROWS)
+        hot_rows = tagged.filter(F.col("__hot"))
+        chunk, n_chunks = _chunk_plan(hot_rows, order_by[0], chunk_rows, reverse, chunk_width, bounds)
+        src = tagged.withColumn("__c1", F.when(F.col("__hot"), chunk).otherwise(F.lit(-1).cast("long"))) \
+                    .drop("__hot")
+    else:
+        chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, bounds)
+        src = df.withColumn("__c1", chunk)
     cks = ["__c1"]
     if split_ties and len(order_by) > 1:
         src, cks = _split_ties(src, order_by, keys, chunk_rows, reverse)

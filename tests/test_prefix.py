@@ -35,14 +35,14 @@ def test_running_matches_window(spark, seed, width):
 def test_keyed_exclusive_and_reverse(spark, seed):
     df = _data(spark, 200, 3, seed)
     got = prefix.running(df, ["id"], {"s": ("sum", F.col("v")), "c": ("count", None)},
-                         partition_by=["k"], exclusive=True, chunk_width=7.0)
+                         partition_by=["k"], exclusive=True, chunk_rows=20, chunk_width=7.0)
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("id", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
     assert sorted(tuple(r) for r in got.select("id", "s", "c").collect()) == \
         sorted(tuple(r) for r in want.collect())
 
     rev = prefix.running(df, ["id"], {"m": ("min", F.col("v"))}, partition_by=["k"], reverse=True,
-                         chunk_width=11.0)
+                         chunk_rows=20, chunk_width=11.0)
     wr = Window.partitionBy("k").orderBy(F.col("id").desc()).rowsBetween(Window.unboundedPreceding, 0)
     want_r = df.select("id", F.min("v").over(wr).alias("m"))
     assert sorted(tuple(r) for r in rev.select("id", "m").collect()) == \
@@ -101,3 +101,17 @@ def test_split_ties_bounds_chunks(spark):
     assert cks == ["__c1", "__c2", "__c3"]
     biggest = src.groupBy(*cks).count().agg(F.max("count")).first()[0]
     assert biggest <= 2 * 50 + 1
+
+
+@pytest.mark.parametrize("chunk_rows", [10, 1 << 20])
+def test_hot_and_small_keys_mixed(spark, chunk_rows):
+    """One hot key among small ones: the hot key is chunked, the small keys
+    run as one window; both equal the plain window."""
+    rows = [(i, 0 if i % 2 == 0 else (i % 7) + 1, i % 5) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k long, v long")
+    got = prefix.running(df, ["id"], {"s": ("sum", F.col("v")), "c": ("count", None)},
+                         partition_by=["k"], chunk_rows=chunk_rows)
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert sorted(tuple(r) for r in got.select("id", "s", "c").collect()) == \
+        sorted(tuple(r) for r in want.collect())

@@ -15,12 +15,14 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(-20, 20)), min_size=1, max_size=60),
-       width=st.floats(1.0, 40.0), exclusive=st.booleans(), reverse=st.booleans())
-def test_scan_equals_window(spark, rows, width, exclusive, reverse):
+       width=st.floats(1.0, 40.0), exclusive=st.booleans(), reverse=st.booleans(),
+       chunk_rows=st.sampled_from([2, 8, 1 << 20]))
+def test_scan_equals_window(spark, rows, width, exclusive, reverse, chunk_rows):
     data = [(i * 3 + (i % 2), k, v) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, k long, v long")
     got = prefix.running(df, ["id"], {"s": ("sum", F.col("v")), "m": ("max", F.col("v"))},
-                         partition_by=["k"], exclusive=exclusive, reverse=reverse, chunk_width=width)
+                         partition_by=["k"], exclusive=exclusive, reverse=reverse, chunk_width=width,
+                         chunk_rows=chunk_rows)
     order = F.col("id").desc() if reverse else F.col("id")
     w = Window.partitionBy("k").orderBy(order).rowsBetween(Window.unboundedPreceding,
                                                            -1 if exclusive else 0)
