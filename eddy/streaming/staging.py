@@ -14,22 +14,35 @@ from eddy.plans import prefix
 
 
 def stage_files(df: DataFrame, path: str, n_files: int, order_col: str) -> str:
-    """Write ``df`` to ``path`` as ``n_files`` parquet files split by
-    ranges of ``order_col`` (earliest range first)."""
+    """Write ``df`` to ``path`` as ``n_files`` parts split by ranges of
+    ``order_col``, in one job (one ``part=<i>`` folder each), then give the
+    files of part i a later modification time than those of part i-1, so
+    the file source replays them in order."""
     k = prefix.order_number(df, order_col)
     st = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi")).first()
     lo, hi = st["lo"], st["hi"]
     span = float(hi - lo + 1) if lo is not None else 1.0
     part = F.least(F.floor((k - F.lit(lo or 0)) * F.lit(n_files / span)), F.lit(n_files - 1)).cast("int")
-    tagged = df.withColumn("__part", part)
+    df.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = int(time.time() * 1000) - 10 * 60 * 1000
     for i in range(n_files):
-        tagged.filter(F.col("__part") == i).drop("__part").coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.02)  # distinct modification times, so files replay in order
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/part={i}")
+        if not fs.exists(folder):
+            continue
+        for st_ in fs.listStatus(folder):
+            if st_.getPath().getName().endswith(".parquet"):
+                fs.setTimes(st_.getPath(), base + i * 1000, -1)
     return path
 
 
 def read_staged(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     """The staged folder as a stream, ``files_per_trigger`` files per
-    micro-batch (``maxFilesPerTrigger``)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-                 .parquet(path))
+    micro-batch (``maxFilesPerTrigger``), oldest first."""
+    from pyspark.sql import types as T
+    full = T.StructType([*schema.fields, T.StructField("part", T.IntegerType())])
+    return (spark.readStream.schema(full).option("maxFilesPerTrigger", files_per_trigger)
+                 .parquet(path).drop("part"))
