@@ -38,12 +38,21 @@ def apply_insert(current: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def apply_update_one(current: DataFrame, updates: DataFrame, match: str, sets: Mapping[str, str],
-                     order_by: str) -> DataFrame:
+                     order_by: str, update_order: str | None = None) -> DataFrame:
     """For each update (match value, new values) the first row in
     ``order_by`` whose ``match`` column equals it is updated.  The first
-    row per match value is a map-side min, joined back."""
-    upd = updates.groupBy(match).agg(*[F.first(F.col(s), ignorenulls=False).alias(f"__new_{c}")
-                                       for c, s in sets.items()])
+    row per match value is a map-side min, joined back.  Several updates
+    of one match value hit the same row, so the last one (in
+    ``update_order``) wins; without ``update_order`` they are refused, as
+    they are when an update rewrites the match column itself."""
+    dup = updates.groupBy(match).count().filter(F.col("count") > 1).limit(1).count() > 0
+    if dup and (update_order is None or match in sets):
+        raise ValueError("several updates of one match value need an order and must keep the match column")
+    if update_order is not None:
+        last = [F.max_by(F.col(s), F.col(update_order)).alias(f"__new_{c}") for c, s in sets.items()]
+    else:
+        last = [F.max(F.col(s)).alias(f"__new_{c}") for c, s in sets.items()]  # one update per value
+    upd = updates.groupBy(match).agg(*last)
     first = current.join(upd.select(match), on=match, how="left_semi") \
                    .groupBy(match).agg(F.min(order_by).alias("__first"))
     target = first.join(upd, on=match).withColumnRenamed(match, "__m")

@@ -101,3 +101,12 @@ def test_replay_after_crash_before_commit(spark, scratch, monkeypatch):
     assert log.read().count() == 10
     assert sorted((r["partition"], r["offset"]) for r in log.read().collect()) == \
         [(0, i) for i in range(5)] + [(1, i) for i in range(5)]
+
+
+def test_update_one_duplicates(spark):
+    cur = spark.createDataFrame([(1, "a", 0), (2, "a", 0), (3, "b", 0)], "id int, g string, v int")
+    upd = spark.createDataFrame([("a", 5, 0), ("a", 7, 1)], "g string, nv int, seq int")
+    out = tables.apply_update_one(cur, upd, "g", {"v": "nv"}, "id", update_order="seq")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 7), (2, "a", 0), (3, "b", 0)]
+    with pytest.raises(ValueError):
+        tables.apply_update_one(cur, upd, "g", {"v": "nv"}, "id")
