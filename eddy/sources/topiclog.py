@@ -237,3 +237,27 @@ def kafka_options(servers: str, topics: Sequence[str] | None = None,
     if group:
         opts["kafka.group.id"] = group
     return opts
+
+
+def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str] | None = None,
+               assignment: Mapping[tuple[str, int], int | None] | None = None,
+               stream: bool = False, **extra) -> DataFrame:
+    """S11-S13 against a Kafka cluster (needs the Kafka connector on the
+    class path; not available in this build's tests).  Same columns as the
+    file-backed log, without ``batch_id``."""
+    opts = kafka_options(servers, topics, assignment, **extra)
+    reader = spark.readStream if stream else spark.read
+    return reader.format("kafka").options(**opts).load()
+
+
+def write_kafka(recs: DataFrame, servers: str, checkpoint: str | None = None):
+    """K9/K11 against a Kafka cluster: rows with ``topic``, ``key``,
+    ``value`` (and optionally ``partition``) are produced; the broker
+    assigns offsets.  A stream needs a ``checkpoint`` folder."""
+    cols = [c for c in ("topic", "partition", "key", "value") if c in recs.columns]
+    out = recs.select(*cols)
+    if recs.isStreaming:
+        return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+                   .option("checkpointLocation", checkpoint).start())
+    out.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    return None
