@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.functions import strings
 from eddy.operators import grouping, ordered, routing, text, windows
 from eddy.session import table
 
