@@ -32,7 +32,7 @@ def hash_route(df: DataFrame, key: Column, n: int, name: str = "worker",
     branch is a filter on it and runs in parallel tasks).  ``physical``
     also hash-partitions the rows into exactly ``n`` partitions, one per
     worker; only worth it when ``n`` is large enough for the data."""
-    out = df.withColumn(name, F.pmod(key, F.lit(n)).cast("int"))
+    out = df.withColumn(name, F.pmod(key, F.lit(n)))
     return out.repartition(n, F.col(name)) if physical else out
 
 

@@ -74,5 +74,6 @@ def indent(df: DataFrame, value: Column, index: Column, name: str = "indented")
 
 def to_chars(df: DataFrame, text: Column, keep: Sequence[str] = (), pos: str = "pos",
              name: str = "ch") -> DataFrame:
-    """F-f: one row per character, with its position."""
-    return df.select(*keep, F.posexplode(strings.chars(text)).alias(pos, name))
+    """F-f: one row per character, with its (0-based, bigint) position."""
+    out = df.select(*keep, F.posexplode(strings.chars(text)).alias(pos, name))
+    return out.withColumn(pos, F.col(pos).cast("long"))
