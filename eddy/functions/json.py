@@ -65,14 +65,20 @@ def is_valid(parsed: Column, known: Sequence[str], type_field: str = TYPE_FIELD,
     return ok & parsed[CORRUPT].isNull() if has_corrupt else ok
 
 
+# Fixed values of the nested message format (F-m): discriminator field
+# "$type", message type "add_table", table name prefix "table - Foo Fighters ".
+NESTED_TYPE_FIELD = "$type"
+NESTED_TYPE = "add_table"
+NESTED_NAME_PREFIX = "table - Foo Fighters "
+
+
 def nested_message(i: Column) -> Column:
-    """F-m: the nested ``add_table`` message for row ``i``:
-    ``{"$type": "add_table", "after_id": i+1, "table": {"id": i+2,
-    "name": "table - Foo Fighters " || i*i, "participants": 4*i}}``."""
+    """F-m: the nested ``add_table`` message for row ``i``: after_id i+1,
+    table id i+2, name prefix followed by i*i, participants 4*i."""
     table = F.struct((i + 2).cast("int").alias("id"),
-                     F.concat(F.lit("table - Foo Fighters "), (i * i).cast("string")).alias("name"),
+                     F.concat(F.lit(NESTED_NAME_PREFIX), (i * i).cast("string")).alias("name"),
                      (i * 4).cast("int").alias("participants"))
-    return F.to_json(F.struct(F.lit("add_table").alias("$type"), (i + 1).cast("int").alias("after_id"),
+    return F.to_json(F.struct(F.lit(NESTED_TYPE).alias(NESTED_TYPE_FIELD), (i + 1).cast("int").alias("after_id"),
                               table.alias("table")))
 
 

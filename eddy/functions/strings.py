@@ -57,7 +57,12 @@ def chars(s: Column) -> Column:
     return F.split(s, "")
 
 
-def wrap_separator(n: Column, line: int = 1000, first: int = 11) -> Column:
+# Fixed values of the number-series wrapping (F-g): a new line where
+# n % 1000 < 11 and n > 11.
+WRAP_LINE, WRAP_FIRST = 1000, 11
+
+
+def wrap_separator(n: Column, line: int = WRAP_LINE, first: int = WRAP_FIRST) -> Column:
     """F-g: the text emitted before number ``n`` of a series: a newline if
     ``n % line < first and n > first``, a space if ``n > first``, else
     nothing."""

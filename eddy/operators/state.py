@@ -339,16 +339,23 @@ class CatMachine(Machine):
     ``grow`` (by ``by``), anything else ignored; ``timed_out`` marks an
     event that came after the sleep timeout, which has woken the cat first.
 
-    Fixed values of the spec: start hunger 60; stroke replies ``mewww`` at
-    hunger 30 or more, else ``purrr``; hunger below 85 stays, below 100
-    turns VeryHungry, 100 or more fails (VeryHungry: below 100 stays).
+    The numbers and replies below are fixed values of the spec.
     """
 
+    # Fixed values (must equal the spec): start hunger 60; a stroke replies
+    # "mewww" at hunger 30 or more, else "purrr"; growing hunger stays below
+    # 85, turns VeryHungry below 100 and fails at 100 or more.
+    START_HUNGER = 60
+    MEWWW_AT = 30
+    VERY_HUNGRY_AT = 85
+    FAIL_AT = 100
+    REPLY_HUNGRY, REPLY_CONTENT, REPLY_FAILED = "mewww", "purrr", "failed"
+
     SLEEPING, AWAKE, VERY_HUNGRY, FAILED = 0, 1, 2, 3
     PHASES = ("Sleeping", "Awake", "VeryHungry", "Failed")
     STRIDE = 128
     n_states = 4 * STRIDE
-    initial = SLEEPING * STRIDE + 60
+    initial = SLEEPING * STRIDE + START_HUNGER
     event_cols = ("cmd", "by", "timed_out")
     out_schema = "state string, hunger int, reply string"
 
@@ -369,8 +376,9 @@ class CatMachine(Machine):
         elif cmd == "grow":
             new = hunger + int(ev.by)
             grown = np.where(phase == self.VERY_HUNGRY,
-                             np.where(new < 100, self.VERY_HUNGRY, self.FAILED),
-                             np.where(new < 85, phase, np.where(new < 100, self.VERY_HUNGRY, self.FAILED)))
+                             np.where(new < self.FAIL_AT, self.VERY_HUNGRY, self.FAILED),
+                             np.where(new < self.VERY_HUNGRY_AT, phase,
+                                      np.where(new < self.FAIL_AT, self.VERY_HUNGRY, self.FAILED)))
             phase = np.where(live, grown, phase)
             hunger = np.where(live & (phase != self.FAILED), new, hunger)
         hunger = np.where(phase == self.FAILED, 0, hunger)
@@ -392,8 +400,8 @@ class CatMachine(Machine):
                 phase = self.SLEEPING
             elif cmd == "grow":
                 hunger += int(ev.by)
-                limit = 100 if phase == self.VERY_HUNGRY else 85
-                if hunger >= 100:
+                limit = self.FAIL_AT if phase == self.VERY_HUNGRY else self.VERY_HUNGRY_AT
+                if hunger >= self.FAIL_AT:
                     phase = self.FAILED
                 elif hunger >= limit:
                     phase = self.VERY_HUNGRY
@@ -406,10 +414,10 @@ class CatMachine(Machine):
         if phase == self.FAILED:
             return None
         if ev.cmd == "stroke" and phase == self.AWAKE:
-            return "mewww" if hunger >= 30 else "purrr"
+            return self.REPLY_HUNGRY if hunger >= self.MEWWW_AT else self.REPLY_CONTENT
         if ev.cmd == "grow":
             new = hunger + int(ev.by)
-            return "failed" if new >= 100 else str(new)
+            return self.REPLY_FAILED if new >= self.FAIL_AT else str(new)
         if ev.cmd == "sleep":
             return str(hunger)
         return None
