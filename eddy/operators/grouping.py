@@ -81,13 +81,17 @@ def seen_set(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
+# Fixed value: the failure of a lookup whose key is missing.
+KEY_NOT_FOUND = "KeyNotFound: "
+
+
 def lookup(requests: DataFrame, table: DataFrame, key: str, value: str,
            error: str = "error") -> DataFrame:
     """Keyed lookup; a key not in the table gets ``KeyNotFound``."""
     t = table.select(F.col(key), F.col(value), F.lit(True).alias("__hit"))
     out = join_small(requests, t, on=key, how="left")
     return out.withColumn(error, F.when(F.col("__hit").isNull(),
-                                        F.concat(F.lit("KeyNotFound: "), F.col(key).cast("string")))) \
+                                        F.concat(F.lit(KEY_NOT_FOUND), F.col(key).cast("string")))) \
               .drop("__hit")
 
 

@@ -28,6 +28,10 @@ from eddy.plans.joins import join_small
 
 # --- F1 / F2: event-sourced cart -----------------------------------------
 
+# Fixed values (replies of the cart): "ItemNotFound" for a command before the
+# cart is opened; later adds are "unhandled"; accepted commands are "ok".
+ITEM_NOT_FOUND, UNHANDLED, OK = "ItemNotFound", "unhandled", "ok"
+
 
 def cart_accepted(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: str = "cmd") -> DataFrame:
     """commands a cart accepts.  The first Add opens the cart (and is
@@ -36,9 +40,9 @@ def cart_accepted(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: st
     ``reply`` column: ``ok``, ``ItemNotFound`` or ``unhandled``."""
     opened = cmds.filter(F.col(cmd) == "add").groupBy(cart).agg(F.min(seq).alias("__init"))
     j = join_small(cmds, opened, on=cart, how="left")
-    reply = (F.when(F.col("__init").isNull() | (F.col(seq) < F.col("__init")), F.lit("ItemNotFound"))
-              .when((F.col(cmd) == "add") & (F.col(seq) > F.col("__init")), F.lit("unhandled"))
-              .otherwise(F.lit("ok")))
+    reply = (F.when(F.col("__init").isNull() | (F.col(seq) < F.col("__init")), F.lit(ITEM_NOT_FOUND))
+              .when((F.col(cmd) == "add") & (F.col(seq) > F.col("__init")), F.lit(UNHANDLED))
+              .otherwise(F.lit(OK)))
     return j.withColumn("reply", reply).drop("__init")
 
 
@@ -46,7 +50,7 @@ def cart_journal(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: str
     """the persisted events (accepted add/update/remove; gets are not
     persisted)."""
     acc = cart_accepted(cmds, cart, seq, cmd)
-    return acc.filter((F.col("reply") == "ok") & F.col(cmd).isin("add", "update", "remove")).drop("reply")
+    return acc.filter((F.col("reply") == OK) & F.col(cmd).isin("add", "update", "remove")).drop("reply")
 
 
 def cart_state(journal: DataFrame, cart: str = "cart", item: str = "item", seq: str = "seq",

@@ -26,6 +26,11 @@ from pyspark.sql import types as T
 from eddy.plans import prefix
 from eddy.plans.joins import join_small
 
+# Fixed values (result formats of the producer): the per-record result
+# "topic/partition offset: value" and the pass-through result "passed through".
+REPORT_FORMAT = "%s/%d %d: %s"
+PASSED_THROUGH = "passed through"
+
 LOG_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
@@ -68,11 +73,11 @@ def assign_offsets(recs: DataFrame, order_by: Sequence[str], positions: DataFram
 
 def report(df: DataFrame, name: str = "report") -> DataFrame:
     """``topic/partition offset: value`` for each appended record."""
-    return df.withColumn(name, F.format_string("%s/%d %d: %s", F.col("topic"), F.col("partition"),
+    return df.withColumn(name, F.format_string(REPORT_FORMAT, F.col("topic"), F.col("partition"),
                                                F.col("offset"), F.col("value").cast("string")))
 
 
-def fan_out(df: DataFrame, targets: Column, passed: str = "passed through") -> DataFrame:
+def fan_out(df: DataFrame, targets: Column, passed: str = PASSED_THROUGH) -> DataFrame:
     """One row published to each topic of ``targets`` (an array of
     topic names); an empty array publishes nothing but still yields a
     result row with a null topic."""
