@@ -104,11 +104,19 @@ def last_put(df: DataFrame, key: str, value: str, order_by: Sequence[str],
 
 
 def join_fragments(df: DataFrame, key: str, order_by: str, text: str,
-                   sep: str = "", name: str = "message") -> DataFrame:
+                   sep: str = "", name: str = "message", piece_rows: int = 1024) -> DataFrame:
     """A message arriving in fragments becomes one string, fragments
-    in order.  The result is one value per message, so each message's
-    fragments meet in one task by nature of the output."""
-    parts = F.sort_array(F.collect_list(F.struct(F.col(order_by), F.col(text))))
-    return (df.groupBy(key)
-              .agg(F.array_join(F.transform(parts, lambda s: s[text]), sep).alias(name),
-                   F.count(F.lit(1)).alias("fragments")))
+    in order.  Fragments are joined in two levels: pieces of at most
+    ``piece_rows`` fragments (positions from the per-key prefix scan, so a
+    huge message is spread over many tasks), then the pieces of each
+    message.  Only the final string, the result itself, is one row."""
+    idx = prefix.with_index(df, [order_by], "__i", partition_by=[key])
+    pieces = (idx.withColumn("__piece", F.floor(F.col("__i") / piece_rows).cast("long"))
+                 .groupBy(key, "__piece")
+                 .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__i", text))),
+                                               lambda s: s[text]), sep).alias("__s"),
+                      F.count(F.lit(1)).alias("__n")))
+    parts = F.sort_array(F.collect_list(F.struct("__piece", "__s")))
+    return (pieces.groupBy(key)
+                  .agg(F.array_join(F.transform(parts, lambda s: s["__s"]), sep).alias(name),
+                       F.sum("__n").cast("long").alias("fragments")))
