@@ -142,3 +142,11 @@ def test_grouping_helpers(spark):
     r = routing.recover(spark.createDataFrame([("7",), ("x",)], "s string"),
                         F.expr("try_cast(s as int)"), -1)
     assert sorted((x["result"], x["error"]) for x in r.collect()) == [(-1, True), (7, False)]
+
+
+def test_fragments_in_pieces(spark):
+    rows = [(1, i, f"f{i}") for i in range(7)] + [(2, 0, "only")]
+    df = spark.createDataFrame(rows, "msg long, frag long, text string")
+    got = {r["msg"]: (r["message"], r["fragments"])
+           for r in grouping.join_fragments(df, "msg", "frag", "text", sep="|", piece_rows=2).collect()}
+    assert got == {1: ("f0|f1|f2|f3|f4|f5|f6", 7), 2: ("only", 1)}
