@@ -98,6 +98,9 @@ def supervise(df: DataFrame, parsed: Column, fatal: Column | None = None, name:
     out = df.withColumn(name, parsed)
     if fatal is not None:
         out = out.withColumn(name, F.when(fatal, F.raise_error(F.lit("fatal row"))).otherwise(F.col(name)))
-    ok = out.filter(F.col(name).isNotNull())
+    # A one-element array exploded without its nulls, not a Filter: a
+    # filter would be pushed below the parse and parse every row twice.
+    others = [c for c in out.columns if c != name]
+    ok = out.select(*others, F.explode(F.filter(F.array(F.col(name)), lambda x: x.isNotNull())).alias(name))
     rejected = out.filter(F.col(name).isNull()).drop(name)
     return ok, rejected
