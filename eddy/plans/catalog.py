@@ -967,3 +967,82 @@ def stream_in_flight(spark, sf):
             .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "accepted")
+
+
+# --- more operators on the driver's tables ------------------------------------
+
+ORACLE["word_counts_two_phase"] = ORACLE["word_counts"]
+
+
+@query("word_counts_two_phase")
+def word_counts_two_phase(spark, sf):
+    """A5 + A9: the documents split 8 ways (by a hash of the id), words
+    counted per (part, word), and the part counts merged: the same result
+    as the one-pass count of ``word_counts``."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    counts = text.word_counts_two_phase(d, "text", F.xxhash64("doc_id"), 8)
+    return text.frequent_words(counts, 9)
+
+
+@query("first_last_events", """
+SELECT 'first' AS which, event_id, user_id, event_type FROM events WHERE event_id = (SELECT min(event_id) FROM events)
+UNION ALL
+SELECT 'last' AS which, event_id, user_id, event_type FROM events WHERE event_id = (SELECT max(event_id) FROM events)
+""")
+def first_last_events(spark, sf):
+    """K6: ``Sink.head`` and ``Sink.last`` over events in id order."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    first = ordered.first_row(ev, ["event_id"]).withColumn("which", F.lit("first"))
+    last = ordered.last_indexed(ev, ["event_id"]).drop("idx").withColumn("which", F.lit("last"))
+    return routing.merge([first, last]).select("which", "event_id", "user_id", "event_type")
+
+
+@query("rate_plan", """
+SELECT event_id, CAST(greatest(0, row_number() OVER (ORDER BY event_id) - 1 - 10 + 1) * 1000 / 42 AS DOUBLE)
+       AS emit_after_ms
+FROM events
+""")
+def rate_plan(spark, sf):
+    """The earliest emit time of each event under a rate of 42 per
+    second with a burst of 10 (``throttle(42, 1 second, 10)``)."""
+    from eddy.streaming import control
+    ev = table(spark, sf, "events").select("event_id")
+    return control.throttle_plan(ev, ["event_id"], per_period=42, period_ms=1000, burst=10)
+
+
+@query("bound_check", """
+SELECT event_id, value > 450 AS over_limit FROM events
+""")
+def bound_check(spark, sf):
+    """Events with value above 450 are flagged (and counted on an
+    observation) but still passed on."""
+    from pyspark.sql import Observation
+    ev = table(spark, sf, "events").select("event_id", "value")
+    return routing.flag_over(ev, F.col("value"), 450, observation=Observation("bound_check")) \
+        .select("event_id", "over_limit")
+
+
+@query("recover_parse", """
+SELECT event_id,
+       coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS result,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL AS error
+FROM events
+""")
+def recover_parse(spark, sf):
+    """Each event's ``k`` parsed as an integer; a row that fails gets
+    the default -1 and an error flag, and is still passed on."""
+    ev = table(spark, sf, "events").select("event_id", "props")
+    parsed = F.expr("try_cast(get_json_object(props, '$.k') as int)")
+    return routing.recover(ev, parsed, -1).select("event_id", "result", "error")
+
+
+@query("parallel_lengths", """
+SELECT doc_id, length(text) AS n_chars_text FROM documents
+""")
+def parallel_lengths(spark, sf):
+    """A pandas function over Arrow batches of documents on 8 parallel
+    tasks, order kept as a column (``mapAsync``)."""
+    from eddy.operators import mapping
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return mapping.parallel_map(d, lambda p: p[["doc_id"]].assign(n_chars_text=p["text"].str.len()),
+                                "doc_id long, n_chars_text long", width=8)
