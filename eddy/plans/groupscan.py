@@ -21,8 +21,11 @@ def sorted_group_map(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
                      fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
                      partitions: int | None = None) -> DataFrame:
     group_cols, order_cols = list(group_cols), list(order_cols)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartition(n, *group_cols).sortWithinPartitions(*group_cols, *order_cols)
+    # Without a fixed count the shuffle takes spark.sql.shuffle.partitions
+    # and AQE may coalesce small partitions; rows stream through Arrow
+    # batches, so a partition may hold any number of (bounded) groups.
+    parts = df.repartition(partitions, *group_cols) if partitions else df.repartition(*group_cols)
+    parts = parts.sortWithinPartitions(*group_cols, *order_cols)
 
     def apply(pdf: pd.DataFrame) -> pd.DataFrame:
         outs = [fn(g) for _, g in pdf.groupby(group_cols, sort=False)]
