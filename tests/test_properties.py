@@ -54,3 +54,42 @@ def test_replay_equals_live(spark, cmds):
                                "cart long, seq long, cmd string, item string, quantity int")
     got = {r["item"]: r["quantity"] for r in state.cart_state(state.cart_journal(df)).collect()}
     assert got == _fold(cmds)
+
+
+def test_two_phase_equals_one_pass(spark):
+    from eddy.operators import text
+
+    from .conftest import SF_SMALL
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    one = {tuple(r) for r in text.word_counts(d, "text").collect()}
+    two = {tuple(r) for r in text.word_counts_two_phase(d, "text", F.xxhash64("doc_id"), 5).collect()}
+    assert one == two
+
+
+@SETTINGS
+@given(n_files=st.sampled_from([1, 2, 5]))
+def test_stream_fsm_equals_batch_for_any_split(spark, n_files):
+    from eddy.session import scratch_path
+    from eddy.streaming import staging, stateful
+
+    from .conftest import SF_SMALL
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "ts", "event_type")
+    ev = ev.withColumn("cmd", F.when(F.col("event_type") == "signup", "wake")
+                              .when(F.col("event_type") == "view", "stroke")
+                              .when(F.col("event_type") == "purchase", "grow")
+                              .when(F.col("event_type") == "error", "sleep").otherwise("other")) \
+           .withColumn("by", (F.pmod("event_id", F.lit(7)) + 1).cast("int")).drop("event_type")
+    base = scratch_path(spark, "split")
+    staging.stage_files(ev, f"{base}/in", n_files, "event_id")
+    stream = staging.read_staged(spark, f"{base}/in", ev.schema)
+    out = stateful.run_machine(stream, state.CatMachine(), "user_id", "event_id", ts="ts",
+                               timeout_us=6 * 3600 * 10**6)
+    q = (out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{base}/ckpt")
+            .trigger(availableNow=True).start(f"{base}/out"))
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(f"{base}/out")
+           .select("event_id", "state", "hunger", "reply").collect()}
+    want = {tuple(r) for r in state.run_machine(ev, state.CatMachine(), "user_id", "event_id", ts="ts",
+                                                 timeout_us=6 * 3600 * 10**6)
+            .select("event_id", "state", "hunger", "reply").collect()}
+    assert got == want
