@@ -16,6 +16,11 @@ deterministic function of the leading order column:
    computes the local running value, and the carry is joined back on
    (keys, chunk).  The join reuses the window's hash partitioning.
 
+The input is read twice (rows for the window, a map-side partial
+aggregate for the totals).  An input that is itself derived (a window,
+join, aggregate or Python stage; for example the output of another scan)
+is checkpointed first, so chained scans never recompute their inputs.
+
 With ``partition_by`` keys of at most ``chunk_rows`` rows run as a plain
 keyed window (one bounded group each); a hot key (say a third of all
 rows) is spread over many chunks, so no task sees more than one chunk of
@@ -29,6 +34,7 @@ Supported folds are associative: ``count``, ``sum``, ``max``, ``min``.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -142,6 +148,22 @@ def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows
     return out.drop("__k", "__k2", "__hv", "__lo2", "__hi2", "__w2"), ["__c1", "__c2", "__c3"]
 
 
+_DERIVED = re.compile(r"^[\s:+\-]*(Window|Join|Aggregate|Generate|MapInPandas|FlatMapGroupsInPandas"
+                      r"|FlatMapGroupsInPandasWithState|Expand|Sort)\b", re.M)
+
+
+def materialize_if_derived(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` (to the shared checkpoint folder) when its plan is
+    more than a scan with projections and filters, so a consumer that reads
+    it twice does not compute it twice; a plain scan is returned as is."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not _DERIVED.search(plan):
+        return df
+    from eddy.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], exclusive: bool,
                   reverse: bool) -> DataFrame:
     """The running folds as one keyed window (every key is small)."""
@@ -176,6 +198,7 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     for name, (fold, _) in folds.items():
         if fold not in _FOLDS:
             raise ValueError(f"fold {fold!r} for {name!r} is not associative/supported")
+    df = materialize_if_derived(df)
     if keys:
         # Keys up to chunk_rows rows are one chunk each: a plain keyed
         # window.  Only hot keys (at most rows / chunk_rows of them, so
