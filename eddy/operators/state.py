@@ -290,11 +290,15 @@ def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
     n_states = machine.n_states
 
     # Keys with more than one chunk; at most rows / chunk_rows of them.
-    multi = (tagged.filter(F.col("__chunk") > 0).groupBy(key)
-                   .agg(F.max("__chunk").alias("__last")))
-    if multi.limit(1).count() == 0:
+    # Whether there are any is read from per-key counts of the input (a
+    # map-side aggregate), so the scan above runs only once when there are
+    # none.
+    long_keys = df.groupBy(key).count().filter(F.col("count") > chunk_rows)
+    if long_keys.limit(1).count() == 0:
         with_entry = tagged.withColumn("entry", F.lit(machine.initial))
     else:
+        multi = (tagged.filter(F.col("__chunk") > 0).groupBy(key)
+                       .agg(F.max("__chunk").alias("__last")))
         need = join_small(tagged.select(key, order_by, "__chunk", *machine.event_cols), multi,
                           on=key, how="inner").filter(F.col("__chunk") < F.col("__last"))
         tschema = T.StructType([df.schema[key], T.StructField("__chunk", T.LongType()),
