@@ -47,20 +47,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster that folder must be set by the deployment (a shared file
     system or object store).  Only a local-mode session without it gets a
-    fresh temporary folder, so tests can run.
+    fresh temporary folder, so tests can run.  (``spark.checkpoint.dir`` is
+    a static setting, so the local folder is set on the context only.)
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder for it")
-    path = tempfile.mkdtemp(prefix="eddy-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="eddy-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
