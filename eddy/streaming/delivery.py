@@ -79,14 +79,17 @@ def consume_publish(spark: SparkSession, out_log: str, transform: Callable[[Data
     return run
 
 
-def per_partition(process: Callable[[DataFrame, str, int], None]) -> Callable[[DataFrame, int], None]:
-    """An independent flow per topic-partition inside each batch (the
-    commit stays per batch)."""
+def per_partition(transform: Callable[[DataFrame], DataFrame], path: str,
+                  fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """An independent flow per topic-partition.  ``transform`` keys its
+    work by ``topic`` and ``partition`` (for example a groupBy on them),
+    and each (topic, partition, batch) result goes to its own folder, all
+    in one job; a replayed batch overwrites only its own folders.  The
+    commit stays per micro-batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        parts = batch.select("topic", "partition").distinct().collect()  # one row per partition
-        for r in parts:
-            process(batch.filter((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])),
-                    f"{r['topic']}/{r['partition']}", batch_id)
+        out = transform(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("topic", "partition", "batch_id").format(fmt).save(path))
     return run
 
 

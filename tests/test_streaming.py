@@ -143,3 +143,18 @@ def test_backoff_restart_real_stream(spark, scratch):
     got = spark.read.parquet(out)
     assert len(waits) == 2
     assert got.count() == ev.count() == got.select("event_id").distinct().count()
+
+
+def test_per_partition_flows(spark, scratch):
+    from eddy.sources import topiclog
+    log = topiclog.TopicLog(spark, f"{scratch}/log")
+    recs = topiclog.records(spark.range(12).withColumnRenamed("id", "i"), "t", F.pmod("i", F.lit(3)),
+                            None, F.col("i").cast("string"))
+    log.append(recs, ["i"], batch_id=0)
+    out = f"{scratch}/out"
+    flow = delivery.per_partition(lambda b: b.groupBy("topic", "partition").agg(F.max("offset").alias("top")), out)
+    q = (log.read_stream().writeStream.foreachBatch(flow).option("checkpointLocation", f"{scratch}/ckpt")
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["partition"], r["top"]) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 3), (1, 3), (2, 3)]
