@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from eddy.plans import chains, prefix
 from eddy.plans.joins import join_small
+from eddy.session import cut_lineage
 
 # --- F1 / F2: event-sourced cart -----------------------------------------
 
@@ -252,7 +253,7 @@ def _exit_states(tables: DataFrame, keys: list[str], pos: str, initial: int) ->
         row["table"] = [tbl.tolist()]
         return pd.DataFrame(row)
 
-    parents = parent.groupBy(*keys, "__parent").applyInPandas(compose, pschema).checkpoint()
+    parents = cut_lineage(parent.groupBy(*keys, "__parent").applyInPandas(compose, pschema))
     # The entry of parent p is the exit of parent p - 1 (initial for p = 0).
     p_exit = _exit_states(parents, keys, pos, initial).select(
         *keys, (F.col(pos) + 1).alias("__parent"), F.col("exit").alias("__pentry"))
@@ -311,8 +312,8 @@ def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
             return pd.DataFrame({key: [pdf[key].iloc[0]], "__chunk": [int(pdf["__chunk"].iloc[0])],
                                  "table": [tbl.astype(np.int32).tolist()]})
 
-        tables = sorted_group_map(need.drop("__last"), [key, "__chunk"], [order_by], transfer,
-                                  tschema).checkpoint()
+        tables = cut_lineage(sorted_group_map(need.drop("__last"), [key, "__chunk"], [order_by], transfer,
+                                              tschema))
         exits = _exit_states(tables, [key], "__chunk", machine.initial)
         entries = exits.select(key, (F.col("__chunk") + 1).alias("__chunk"), F.col("exit").alias("entry"))
         with_entry = join_small(tagged, entries, on=[key, "__chunk"], how="left")

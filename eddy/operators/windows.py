@@ -90,7 +90,8 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     if n == 0:
         t_lo = t_hi = 0
     arrival_bounds = (a_lo, a_hi, n)
-    marked = exact_watermark(df, ts, order_by, max_delay_us, bounds=arrival_bounds)
+    # Read three times below (windows, rising rows, window ends): computed once.
+    marked = prefix.materialize_if_derived(exact_watermark(df, ts, order_by, max_delay_us, bounds=arrival_bounds))
     accepted = marked.filter(~F.col("late"))
     wins = (assign_windows(accepted, ts, length, step)
             .groupBy("window_start", "window_end", *by)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddy.plans import prefix
+from eddy.session import cut_lineage
 
 
 def as_of_next(df: DataFrame, keys: Sequence[str], idx: str, t: Column, probe: Column,
@@ -61,7 +62,7 @@ def chain_members(nodes: DataFrame, keys: Sequence[str], idx: str = "idx", nxt:
     end); ``next > idx`` always."""
     keys = list(keys)
     levels = _levels(nodes, keys)
-    jump = nodes.select(*keys, F.col(idx).alias("__i"), F.col(nxt).alias("__j")).checkpoint()
+    jump = cut_lineage(nodes.select(*keys, F.col(idx).alias("__i"), F.col(nxt).alias("__j")))
     tables = [jump]
     for _ in range(levels - 1):
         a = tables[-1].filter(F.col("__j").isNotNull())
@@ -71,10 +72,10 @@ def chain_members(nodes: DataFrame, keys: Sequence[str], idx: str = "idx", nxt:
         two = (a.join(b, on=cond, how="inner")
                 .select(*keys, "__i", F.col("__j2").alias("__j"))
                 .filter(F.col("__j").isNotNull()))
-        tables.append(two.checkpoint())
+        tables.append(cut_lineage(two))
     members = nodes.filter(F.col(idx) == start).select(*keys, F.col(idx).alias("__i"))
     for table in reversed(tables):
         hops = (members.join(table, on=[*keys, "__i"], how="inner")
                        .select(*keys, F.col("__j").alias("__i")))
-        members = members.unionByName(hops).checkpoint()
+        members = cut_lineage(members.unionByName(hops))
     return members.select(*keys, F.col("__i").alias(idx))

@@ -159,9 +159,8 @@ def materialize_if_derived(df: DataFrame) -> DataFrame:
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if not _DERIVED.search(plan):
         return df
-    from eddy.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from eddy.session import cut_lineage
+    return cut_lineage(df)
 
 
 def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], exclusive: bool,

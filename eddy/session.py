@@ -82,3 +82,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and return the
+    checkpointed frame (lineage cut).  An eager reliable checkpoint writes
+    the rows in one job, computing them once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
