@@ -33,3 +33,10 @@ def test_columns_match_oracle(spark, duck, name):
     sql = entry.oracle_sql()[name]
     cols = [d[0] for d in duck.execute(f"SELECT * FROM ({sql}) LIMIT 0").description]
     assert sorted(cols) == sorted(entry.queries()[name](spark, SF_SMALL).columns)
+
+
+def test_entry_schema_is_stable(spark):
+    a = entry.entry(spark).schema.simpleString()
+    b = entry.entry(spark).schema.simpleString()
+    assert a == b == ("struct<window_start:timestamp_ntz,window_end:timestamp_ntz,"
+                      "event_type:string,n:bigint>")
