@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
+# Small sides kept for broadcasts; ``release()`` drops them once the
+# queries that use them have run.
+_KEPT: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist the small sides kept by :func:`join_small`."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most
@@ -33,6 +43,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     from pyspark import StorageLevel
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     if kept.limit(max_rows + 1).count() <= max_rows:
+        _KEPT.append(kept)
         return big.join(F.broadcast(kept), on=on, how=how)
     kept.unpersist()
     return big.join(small, on=on, how=how)
