@@ -39,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -90,3 +91,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the rows in one job, computing them once."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eddy`` importable in the Python workers (pandas stages
+    unpickle functions from it): zip the package once and add it with
+    ``addPyFile``, as ``--py-files`` would on a cluster."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="eddy-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
