@@ -4,9 +4,10 @@ SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses
-from .common import table
+from . import decontaminate, fingerprints, langid, licenses, quality, toxicity
+from .common import bucket, labelled, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,11 +19,34 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 5)
+    model = quality.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", fold != 0, quality.SAMPLE))
+    return quality.score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_licenses, op6_fingerprints)}
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 5)
+    model = langid.fit(docs, fold != 0)
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 4)
+    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", fold != 2, toxicity.SAMPLE))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_licenses, op4_quality, op6_fingerprints, op8_language,
+                                   op9_toxicity)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")

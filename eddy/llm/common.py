@@ -72,3 +72,27 @@ def join_counted(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if small.limit(rows + 1).count() <= rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def bucket(key: Column, modulus: int) -> Column:
+    """crc32 of an id written as text, modulo ``modulus``."""
+    return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % modulus
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int, seed: int = 7) -> DataFrame:
+    """About ``most`` rows of ``rows`` at most, chosen by a hash of ``key``
+    (all of them if there are fewer), alike on every run and layout."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int((1 << 30) * most / n))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, name: str, keep: Column, most: int) -> DataFrame:
+    """``(doc_id, text, y)`` of at most about ``most`` documents that have the
+    label ``name`` and whose id fulfils ``keep``; the largest of several
+    labels of one id counts.  The sampled labels are bounded, so they are
+    broadcast and no text is shuffled."""
+    y = labels.select("doc_id", F.col(name).alias("y")).where("doc_id IS NOT NULL AND y IS NOT NULL").where(keep)
+    few = bounded_sample(y, "doc_id", most).groupBy("doc_id").agg(F.max("y").alias("y"))
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")

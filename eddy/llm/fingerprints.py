@@ -41,7 +41,7 @@ MAX_SHARE = 0.2
 MIN_SHARE = 0.0005
 
 #: One in so many lexicon terms is kept, by the lexicon's number modulo four.
-ONE_IN = (8, 24, 64, 128)
+ONE_IN = (32, 64, 128, 256)
 
 ROWS_A_RUN = 4096
 MAX_RUNS = 10_000

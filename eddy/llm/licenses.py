@@ -57,7 +57,7 @@ DRIFT = 3
 COVER = 0.6
 PIECE = 60  # template positions whose votes one bit mask holds
 
-TEMPLATES = [(t, label, True) for t, label in PHRASES] + [(t, label, False) for t, label in NOTICES]
+TEMPLATES = [(t, label, True) for t, label in PHRASES] + [(t, label, False) for label, t in NOTICES]
 
 
 def _rolled(grams: Column, step: int) -> Column:
