@@ -96,3 +96,24 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str, keep: Column, most:
     y = labels.select("doc_id", F.col(name).alias("y")).where("doc_id IS NOT NULL AND y IS NOT NULL").where(keep)
     few = bounded_sample(y, "doc_id", most).groupBy("doc_id").agg(F.max("y").alias("y"))
     return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+
+
+def runs_of(batches, name: str):
+    """From Arrow batches sorted by the column ``name``, one table for each
+    run of equal values (a run may spread over batches)."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t])
+        if not t.num_rows:
+            continue
+        k = t[name].to_numpy()
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist()]
+        for i, j in zip(cuts, cuts[1:]):
+            yield t.slice(i, j - i)
+        held = t.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held
