@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, langid, licenses, quality, toxicity
+from . import decontaminate, fingerprints, langid, licenses, near_dups, quality, toxicity
 from .common import bucket, labelled, table
 
 
@@ -30,6 +30,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.find(table(spark, sf_dir, "documents")).drop("tk")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 5)
     model = langid.fit(docs, fold != 0)
@@ -45,8 +49,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_licenses, op4_quality, op6_fingerprints, op8_language,
-                                   op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_licenses, op4_quality, op6_fingerprints, op7_near_dups,
+                                   op8_language, op9_toxicity)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -71,4 +75,18 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n_hit, 0)::BIGINT AS
     coalesce(it.n_items, 0)::BIGINT AS n_items, sha256(coalesce(it.items, '')) AS items_sha256,
     coalesce(hit.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op7_near_dups": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY ALL),
+links AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+    WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = d.doc_id""",
 }
