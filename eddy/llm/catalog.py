@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, langid, licenses, near_dups, quality, toxicity
+from . import (decontaminate, fingerprints, langid, licenses, mixing, near_dups, packing, quality, toxicity,
+               warc)
 from .common import bucket, labelled, table
 
 
@@ -15,6 +16,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("tk")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.probabilities(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "_mix.source", "_mix.lang", "_mix.topic", F.col("_mix.tokens").alias("n_tokens"),
+                       "_mix.weight", "_mix.prob", (F.col("_draw") < F.col("_mix.prob")).alias("selected"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -26,6 +33,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.records_of(table(spark, sf_dir, "pages"))
+    out = warc.restore(records, warc.resolve(records), F.sha2("payload", 256))
+    headers = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return out.select("rid", "url_key", "time", "ref", "status", F.array_join(headers, "\n").alias("headers"),
+                      F.col("payload").alias("payload_sha256"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -49,8 +64,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_licenses, op4_quality, op6_fingerprints, op7_near_dups,
-                                   op8_language, op9_toxicity)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_mixing, op3_licenses, op4_quality, op5_revisits, op6_fingerprints, op7_near_dups,
+    op8_language, op9_toxicity, op10_packing)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
