@@ -32,6 +32,13 @@ def words(text: Column, breaks: str = WORD_BREAKS) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), breaks), "")
 
 
+def once(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed a single time, however often ``f``
+    uses it; Spark would otherwise compute a nested array expression anew at
+    each use inside a higher-order function."""
+    return F.transform(F.array(value), f)[0]
+
+
 def text_key(text: Column) -> Column:
     """Tells rows of one id but different texts apart; equal for repeated rows."""
     return F.xxhash64(text)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import text_key, words
+from .common import once, text_key, words
 
 # Base phrases and their labels.
 PHRASES = [
@@ -67,8 +67,12 @@ def _rolled(grams: Column, step: int) -> Column:
                       lambda a, b: F.xxhash64(a, b))
 
 
-def _grams2(w: Column) -> Column:
-    return _rolled(F.transform(w, lambda x: F.xxhash64(x)), 1)
+def rolling_grams(text: Column) -> Column:
+    """Two arrays: the hashes of all word 2-grams of a text, and of its
+    4-grams, in the order of their first word."""
+    hashes = F.transform(words(text), lambda x: F.xxhash64(x))
+    pairs = lambda g2: F.array(g2, _rolled(g2, 2))
+    return once(hashes, lambda h: once(_rolled(h, 1), pairs))
 
 
 def template_positions(spark: SparkSession, templates=None) -> DataFrame:
@@ -76,9 +80,10 @@ def template_positions(spark: SparkSession, templates=None) -> DataFrame:
     ``(text, label, base)`` with its position; ``need`` counts the k-grams."""
     rows = [(i, *t) for i, t in enumerate(TEMPLATES if templates is None else templates)]
     t = spark.createDataFrame(rows, "tid int, text string, label string, base boolean")
-    w, g2 = words(F.col("text")), F.col("g2")
-    return (t.select("tid", "label", "base", F.size(w).alias("len"), _grams2(w).alias("g2"))
-            .withColumn("g", F.when(F.col("len") < 4, g2).otherwise(_rolled(g2, 2)))
+    w = F.size(words(F.col("text")))
+    grams = F.when(w < 4, F.col("g")[0]).otherwise(F.col("g")[1])
+    return (t.select("tid", "label", "base", "text", rolling_grams(F.col("text")).alias("g"))
+            .select("tid", "label", "base", grams.alias("g"))
             .select("tid", "label", "base", F.size("g").alias("need"), F.posexplode("g").alias("tpos", "gram")))
 
 
@@ -88,12 +93,12 @@ def diagonals(docs: DataFrame, positions: DataFrame) -> DataFrame:
     often a row is repeated), ``lo`` and ``hi`` are places of their first and
     last k-gram in the document."""
     key = ["doc_id", "tk"]
-    g = (docs.select("doc_id", text_key(F.col("text")).alias("tk"), _grams2(words(F.col("text"))).alias("g2"))
-         .select(*key, F.size("g2").alias("m"), F.concat("g2", _rolled(F.col("g2"), 2)).alias("g")))
-    hits = (g.select(*key, "m", F.posexplode("g").alias("at", "gram"))
+    # Outer, as Spark would compute the grams once more to filter empty arrays.
+    g = docs.select("doc_id", text_key(F.col("text")).alias("tk"),
+                    F.explode_outer(rolling_grams(F.col("text"))).alias("g"))
+    hits = (g.select(*key, F.posexplode_outer("g").alias("pos", "gram"))
             # as many rows as the templates, a parameter, have words
-            .join(F.broadcast(positions), "gram")
-            .withColumn("pos", F.when(F.col("at") < F.col("m"), F.col("at")).otherwise(F.col("at") - F.col("m"))))
+            .join(F.broadcast(positions), "gram"))
     one = F.lit(1).cast("long")
     named = ["tid", "label", "base", "need"]
     return (hits.groupBy(*key, *named, (F.col("pos") - F.col("tpos")).alias("diag"),
