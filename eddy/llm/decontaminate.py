@@ -45,8 +45,10 @@ def build_postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame
     """Postings ``(term, doc_id, tk, pos)`` of all documents; ``terms`` (a
     stored table of term hashes) limits the index to the terms that will be
     asked for."""
-    p = (docs.select("doc_id", text_key(F.col("text")).alias("tk"),
-                     F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    # The key and the words are computed once a text, before the words are
+    # dealt out (outer, as Spark would split texts again to filter empty ones).
+    p = (docs.select("doc_id", text_key(F.col("text")).alias("tk"), words(F.col("text")).alias("w"))
+         .select("doc_id", "tk", F.posexplode_outer("w").alias("pos", "word")).where("word IS NOT NULL")
          .select(F.xxhash64("word").alias("term"), "doc_id", "tk", "pos"))
     return p if terms is None else join_counted(p, terms, "term", "left_semi")
 
