@@ -56,15 +56,21 @@ def merge_counts(tables: Sequence[DataFrame], key: str, count: str = "n") -> Dat
     return u.groupBy(key).agg(F.sum(count).cast("long").alias(count))
 
 
-def adjust(table: DataFrame, updates: DataFrame, key: str, value: str, default,
-           f) -> DataFrame:
-    """A10: ``m.updated(k, f(m.getOrElse(k, default)))`` for each key in
-    ``updates``: old value or the default, then ``f``; keys not updated
-    are kept."""
-    upd = updates.select(key).distinct().withColumn("__upd", F.lit(True))
-    j = table.join(upd, on=key, how="full_outer")
-    cur = F.coalesce(F.col(value), F.lit(default))
-    return j.select(key, F.when(F.col("__upd"), f(cur)).otherwise(F.col(value)).alias(value))
+def adjust(table: DataFrame, updates: DataFrame, key: str, value: str, default, f=None,
+           add: str | None = None) -> DataFrame:
+    """A10: ``m.updated(k, f(m.getOrElse(k, default)))`` once for each row of
+    ``updates``; keys not updated are kept.  The updates of a key are counted
+    map-side and ``f`` is applied that often.  Updates that add the column
+    ``add`` are summed map-side instead, which suits keys with very many."""
+    by = F.sum(F.col(add)) if add else F.count(F.lit(1))
+    upd = updates.groupBy(key).agg(by.alias("__by")).withColumnRenamed(key, "__k")
+    j = table.join(upd, F.col(key).eqNullSafe(F.col("__k")), "full_outer")
+    kind = table.schema[value].dataType
+    cur, hit = F.coalesce(F.col(value), F.lit(default).cast(kind)), F.col("__by").isNotNull()
+    new = cur + F.col("__by") if add else F.aggregate(
+        F.sequence(F.lit(1).cast("long"), F.col("__by")), cur, lambda acc, _: f(acc).cast(kind))
+    return j.select(F.when(hit, F.col("__k")).otherwise(F.col(key)).alias(key),
+                    F.when(hit, new.cast(kind)).otherwise(F.col(value)).alias(value))
 
 
 def first_seen(df: DataFrame, key: str, order_by: str, name: str = "first_seen") -> DataFrame:
@@ -91,7 +97,8 @@ def lookup(requests: DataFrame, table: DataFrame, key: str, value: str,
     t = table.select(F.col(key), F.col(value), F.lit(True).alias("__hit"))
     out = join_small(requests, t, on=key, how="left")
     return out.withColumn(error, F.when(F.col("__hit").isNull(),
-                                        F.concat(F.lit(KEY_NOT_FOUND), F.col(key).cast("string")))) \
+                                        F.concat(F.lit(KEY_NOT_FOUND),
+                                                 F.coalesce(F.col(key).cast("string"), F.lit("null"))))) \
               .drop("__hit")
 
 

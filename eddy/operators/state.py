@@ -3,8 +3,12 @@
 * F1/F2 (cart) is set-based: which commands a cart accepts depends only
   on its first Add, so joins and map-side aggregates give the state.
 * F3 (in-flight suppression) and A12 (count-or-time batches) are greedy
-  chains.  Keys up to a row bound are walked in one task; hotter keys are
-  solved with as-of lookups and pointer doubling (:mod:`eddy.plans.chains`).
+  chains over the key's clock, the running maximum of its times (a clock
+  never goes back; a late time counts as the clock's).  Keys up to a row
+  bound are walked in one task; hotter keys are solved with as-of lookups
+  and pointer doubling (:mod:`eddy.plans.chains`).  Both give the same.
+
+Null keys are a key like any other; a null time leaves the clock as it is.
 * F4 (a finite-state machine) is a fold whose step is a function on a
   finite state set.  Functions compose associatively, so each chunk of a
   key's events is turned into its transfer table (state -> state) in
@@ -15,10 +19,11 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,105 +78,112 @@ def cart_state(journal: DataFrame, cart: str = "cart", item: str = "item", seq:
 DIRECT_KEY_ROWS = 1 << 15
 
 
-def _split_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame, bool]:
+# The clock before the first time that is not null.
+NO_TIME = -(1 << 62)
+
+
+def _key_text(key: str):
+    """The key as a text that is never null, for grouping and joining."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
+
+
+def _with_clock(df: DataFrame, key: str, order_by: str, ts: str) -> DataFrame:
+    """``df`` with ``__key`` and the key's clock ``__t`` (micros)."""
+    src = df.withColumn("__key", _key_text(key)).withColumn("__now", prefix.order_number(df, ts))
+    out = prefix.running(src, [order_by], {"__t": ("max", F.col("__now"))}, partition_by=["__key"])
+    return out.withColumn("__t", F.coalesce("__t", F.lit(NO_TIME))).drop("__now")
+
+
+def _split_keys(df: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, bool]:
     """Rows of keys with at most ``limit`` rows, rows of the other keys,
     and whether there are other keys.  The big keys are at most
     ``rows / limit``, so their list is small (size-checked broadcast)."""
-    big = df.groupBy(key).count().filter(F.col("count") > limit).select(key)
-    has_big = big.limit(1).count() > 0
-    if not has_big:
+    big = df.groupBy("__key").count().filter(F.col("count") > limit).select("__key")
+    if big.isEmpty():
         return df, df.limit(0), False
-    return (join_small(df, big, on=key, how="left_anti"),
-            join_small(df, big, on=key, how="left_semi"), True)
+    return (join_small(df, big, on="__key", how="left_anti"),
+            join_small(df, big, on="__key", how="left_semi"), True)
 
 
-def _greedy_direct(df: DataFrame, key: str, order_by: str, ts: str, name: str, out_type: str,
-                   walk) -> DataFrame:
-    """Run ``walk(times_us) -> values`` over each (bounded) key in order."""
+def _greedy(df: DataFrame, key: str, order_by: str, ts: str, name: str, out_type: str, walk, chain,
+            direct_rows: int) -> DataFrame:
+    """Run ``walk(clock) -> values`` over each key of at most ``direct_rows``
+    rows, and ``chain`` over the rows of the others."""
     from eddy.plans.groupscan import sorted_group_map
-    t = prefix.order_number(df, ts)
-    src = df.withColumn("__t", t)
-    schema = T.StructType([*src.schema.fields, T.StructField(name, T._parse_datatype_string(out_type))])
-    schema = T.StructType([f for f in schema.fields if f.name != "__t"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.drop(columns=["__t"]).reset_index(drop=True)
-        out[name] = walk(pdf["__t"].to_numpy(dtype=np.int64))
-        return out
+    clocked = _with_clock(df, key, order_by, ts)
+    small, big, has_big = _split_keys(clocked, direct_rows)
+    kept = [f for f in clocked.schema.fields if not f.name.startswith("__")]
+    schema = T.StructType([*kept, T.StructField(name, T._parse_datatype_string(out_type))])
+
+    def run(t: pa.Table) -> pa.Table:
+        return t.select([f.name for f in kept]).append_column(name, pa.array(walk(t["__t"].to_numpy())))
 
-    return sorted_group_map(src, [key], [order_by], run, schema)
+    direct = sorted_group_map(small, ["__key"], [order_by], run, schema)
+    return direct.unionByName(chain(big).select(*schema.names)) if has_big else direct
 
 
 def suppress_in_flight(df: DataFrame, key: str, order_by: str, ts: str, duration_us: int,
                        name: str = "accepted", direct_rows: int = DIRECT_KEY_ROWS) -> DataFrame:
     """a request is accepted unless an accepted request of its key is
-    still running (``duration`` after its start); put-off requests are
-    flagged ``accepted = false``.  ``ts`` must not fall in ``order_by``
-    order within a key.  Keys up to ``direct_rows`` rows are walked in one
-    task; hotter keys take the distributed chain."""
+    still running (``duration`` after its start, by the key's clock);
+    put-off requests are flagged ``accepted = false``."""
     def walk(t):
+        # Jump from accepted row to accepted row; the clock never falls.
         acc = np.zeros(len(t), dtype=bool)
-        free_at = None
-        for i, v in enumerate(t):
-            if free_at is None or v >= free_at:
-                acc[i] = True
-                free_at = v + duration_us
+        i = 0
+        while i < len(t):
+            acc[i] = True
+            i = max(i + 1, int(np.searchsorted(t, t[i] + duration_us)))
         return acc
 
-    small, big, has_big = _split_keys(df, key, direct_rows)
-    direct = _greedy_direct(small, key, order_by, ts, name, "boolean", walk)
-    if not has_big:
-        return direct
-    return direct.unionByName(_in_flight_chain(big, key, order_by, ts, duration_us, name))
+    def chain(big):
+        idx = prefix.with_index(big, [order_by], "__idx", partition_by=["__key"])
+        nodes = _next_at(idx, duration_us, "__next")
+        members = chains.chain_members(nodes.select("__key", "__idx", "__next"), ["__key"], "__idx", "__next")
+        out = nodes.join(members.withColumn(name, F.lit(True)), on=["__key", "__idx"], how="left")
+        return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
+    return _greedy(df, key, order_by, ts, name, "boolean", walk, chain, direct_rows)
 
-def _in_flight_chain(df, key, order_by, ts, duration_us, name):
-    idx = prefix.with_index(df, [order_by], "__idx", partition_by=[key])
-    t = prefix.order_number(idx, ts)
-    nodes = chains.as_of_next(idx, [key], "__idx", t, t + F.lit(duration_us), "__next")
-    members = chains.chain_members(nodes.select(key, "__idx", "__next"), [key], "__idx", "__next")
-    out = nodes.join(members.withColumn(name, F.lit(True)), on=[key, "__idx"], how="left")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(False))).drop("__idx", "__next")
+
+def _next_at(idx: DataFrame, duration_us: int, name: str) -> DataFrame:
+    """The index of the first later row whose clock is ``duration`` ahead."""
+    if duration_us > 0:
+        return chains.as_of_next(idx, ["__key"], "__idx", F.col("__t"), F.col("__t") + F.lit(duration_us), name)
+    last = idx.groupBy("__key").agg(F.max("__idx").alias("__last"))
+    out = join_small(idx, last, on="__key", how="left")
+    return out.withColumn(name, F.when(F.col("__idx") < F.col("__last"), F.col("__idx") + 1)).drop("__last")
 
 
 def grouped_within(df: DataFrame, key: str, order_by: str, ts: str, n: int, duration_us: int,
                    name: str = "batch", direct_rows: int = DIRECT_KEY_ROWS) -> DataFrame:
     """Per key, a batch opens at its first row and takes rows until it
-    holds ``n`` or a row comes at or after ``open + duration``, which opens
-    the next batch.  Adds the 0-based batch number per key.  Keys up to
-    ``direct_rows`` rows are walked in one task; hotter keys take the
-    distributed chain."""
+    holds ``n`` or a row comes at or after ``open + duration`` by the key's
+    clock, which opens the next batch.  Adds the 0-based batch number."""
     def walk(t):
         out = np.zeros(len(t), dtype=np.int64)
-        batch, opened, count = -1, None, n
-        for i, v in enumerate(t):
-            if count >= n or v >= opened + duration_us:
-                batch, opened, count = batch + 1, v, 0
-            count += 1
-            out[i] = batch
+        i = batch = 0
+        while i < len(t):
+            end = min(i + n, max(i + 1, int(np.searchsorted(t, t[i] + duration_us))))
+            out[i:end] = batch
+            i, batch = end, batch + 1
         return out
 
-    small, big, has_big = _split_keys(df, key, direct_rows)
-    direct = _greedy_direct(small, key, order_by, ts, name, "bigint", walk)
-    if not has_big:
-        return direct
-    return direct.unionByName(_grouped_chain(big, key, order_by, ts, n, duration_us, name))
-
-
-def _grouped_chain(df, key, order_by, ts, n, duration_us, name):
-    idx = prefix.with_index(df, [order_by], "__idx", partition_by=[key])
-    t = prefix.order_number(idx, ts)
-    nodes = chains.as_of_next(idx, [key], "__idx", t, t + F.lit(duration_us), "__nt")
-    counts = idx.groupBy(key).agg(F.count(F.lit(1)).alias("__cnt"))
-    nodes = join_small(nodes, counts, on=key, how="left")
-    by_count = F.col("__idx") + F.lit(n)
-    nxt = F.least(by_count, F.coalesce(F.col("__nt"), by_count))
-    nodes = nodes.withColumn("__next", F.when(nxt < F.col("__cnt"), nxt))
-    members = chains.chain_members(nodes.select(key, "__idx", "__next"), [key], "__idx", "__next")
-    flagged = nodes.join(members.withColumn("__open", F.lit(1)), on=[key, "__idx"], how="left")
-    flagged = flagged.withColumn("__open", F.coalesce(F.col("__open"), F.lit(0)))
-    out = prefix.running(flagged, [order_by], {name: ("sum", F.col("__open"))}, partition_by=[key])
-    return out.withColumn(name, (F.col(name) - 1).cast("long")).drop("__idx", "__nt", "__cnt", "__next", "__open")
+    def chain(big):
+        idx = prefix.with_index(big, [order_by], "__idx", partition_by=["__key"])
+        nodes = _next_at(idx, duration_us, "__nt")
+        counts = idx.groupBy("__key").agg(F.count(F.lit(1)).alias("__cnt"))
+        nodes = join_small(nodes, counts, on="__key", how="left")
+        by_count = F.col("__idx") + F.lit(n)
+        nxt = F.least(by_count, F.coalesce(F.col("__nt"), by_count))
+        nodes = nodes.withColumn("__next", F.when(nxt < F.col("__cnt"), nxt))
+        members = chains.chain_members(nodes.select("__key", "__idx", "__next"), ["__key"], "__idx", "__next")
+        flagged = nodes.join(members.withColumn("__open", F.lit(1)), on=["__key", "__idx"], how="left")
+        flagged = flagged.withColumn("__open", F.coalesce(F.col("__open"), F.lit(0)))
+        out = prefix.running(flagged, [order_by], {name: ("sum", F.col("__open"))}, partition_by=["__key"])
+        return out.withColumn(name, (F.col(name) - 1).cast("long"))
+
+    return _greedy(df, key, order_by, ts, name, "bigint", walk, chain, direct_rows)
 
 
 # --- F4: finite-state machines ---------------------------------------------------
@@ -222,45 +234,40 @@ def _exit_states(tables: DataFrame, keys: list[str], pos: str, initial: int) ->
     Groups are at most ``FANIN`` tables; longer keys go through a tree of
     compositions (one level per factor of ``FANIN``)."""
     longest = tables.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    schema = T.StructType([*[tables.schema[k] for k in keys], T.StructField(pos, T.LongType()),
-                           T.StructField("exit", T.IntegerType())])
+    from eddy.plans.groupscan import sorted_group_map
+
+    key_fields = [tables.schema[k] for k in keys]
+    schema = T.StructType([*key_fields, T.StructField(pos, T.LongType()), T.StructField("exit", T.IntegerType())])
 
     def walk(start_of):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(pos)
-            state = start_of(pdf)
-            exits = []
-            for t in pdf["table"]:
-                state = int(np.asarray(t)[state])
+        def run(t: pa.Table) -> pa.Table:
+            state, exits = start_of(t), []
+            for table in t["table"]:
+                state = table[state].as_py()
                 exits.append(state)
-            out = pdf[keys + [pos]].copy()
-            out["exit"] = np.asarray(exits, dtype=np.int32)
-            return out
+            return t.select([*keys, pos]).append_column("exit", pa.array(exits, pa.int32()))
         return run
 
     if longest <= FANIN:
-        return tables.groupBy(*keys).applyInPandas(walk(lambda pdf: initial), schema)
+        return sorted_group_map(tables, keys, [pos], walk(lambda t: initial), schema)
 
     parent = tables.withColumn("__parent", F.floor(F.col(pos) / FANIN).cast("long"))
-    pschema = T.StructType([*[tables.schema[k] for k in keys], T.StructField(pos, T.LongType()),
+    pschema = T.StructType([*key_fields, T.StructField(pos, T.LongType()),
                             T.StructField("table", T.ArrayType(T.IntegerType()))])
 
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos)
-        tbl = _compose_tables([np.asarray(t, dtype=np.int32) for t in pdf["table"]])
-        row = {k: [pdf[k].iloc[0]] for k in keys}
-        row[pos] = [int(pdf["__parent"].iloc[0])]
-        row["table"] = [tbl.tolist()]
-        return pd.DataFrame(row)
+    def compose(t: pa.Table) -> pa.Table:
+        tbl = _compose_tables([x.values.to_numpy() for x in t["table"]])
+        head = t.slice(0, 1)
+        return head.select(keys).append_column(pos, head["__parent"]).append_column(
+            "table", pa.array([tbl.tolist()], pa.list_(pa.int32())))
 
-    parents = cut_lineage(parent.groupBy(*keys, "__parent").applyInPandas(compose, pschema))
+    parents = cut_lineage(sorted_group_map(parent, [*keys, "__parent"], [pos], compose, pschema))
     # The entry of parent p is the exit of parent p - 1 (initial for p = 0).
     p_exit = _exit_states(parents, keys, pos, initial).select(
         *keys, (F.col(pos) + 1).alias("__parent"), F.col("exit").alias("__pentry"))
     tagged = parent.join(p_exit, on=[*keys, "__parent"], how="left")
     tagged = tagged.withColumn("__pentry", F.coalesce(F.col("__pentry"), F.lit(initial)))
-    return tagged.groupBy(*keys, "__parent").applyInPandas(
-        walk(lambda pdf: int(pdf["__pentry"].iloc[0])), schema)
+    return sorted_group_map(tagged, [*keys, "__parent"], [pos], walk(lambda t: t["__pentry"][0].as_py()), schema)
 
 
 def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
@@ -280,66 +287,75 @@ def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
     state, and all chunks are replayed in parallel."""
     from eddy.plans.groupscan import sorted_group_map
 
-    folds = {"__pos": ("count", None)}
-    if ts is not None:
-        folds["__prev"] = ("max", prefix.order_number(df, ts))
-    run = prefix.running(df, [order_by], folds, partition_by=[key], exclusive=True)
+    src = df.withColumn("__key", _key_text(key))
+    run = prefix.with_index(src, [order_by], "__pos", partition_by=["__key"])
     if ts is not None:
-        gap = prefix.order_number(df, ts) - F.col("__prev")
-        run = run.withColumn("timed_out", F.coalesce(gap >= F.lit(timeout_us), F.lit(False))).drop("__prev")
+        run = _gap_flag(run, ts, timeout_us, "timed_out")
     tagged = run.withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows).cast("long")).drop("__pos")
     n_states = machine.n_states
+    event = namedtuple("event", machine.event_cols)
+
+    def events(t: pa.Table):
+        return map(event._make, zip(*[t[c].to_pylist() for c in machine.event_cols]))
 
     # Keys with more than one chunk; at most rows / chunk_rows of them.
     # Whether there are any is read from per-key counts of the input (a
     # map-side aggregate), so the scan above runs only once when there are
     # none.
-    long_keys = df.groupBy(key).count().filter(F.col("count") > chunk_rows)
-    if long_keys.limit(1).count() == 0:
+    long_keys = src.groupBy("__key").count().filter(F.col("count") > chunk_rows)
+    if long_keys.isEmpty():
         with_entry = tagged.withColumn("entry", F.lit(machine.initial))
     else:
-        multi = (tagged.filter(F.col("__chunk") > 0).groupBy(key)
+        multi = (tagged.filter(F.col("__chunk") > 0).groupBy("__key")
                        .agg(F.max("__chunk").alias("__last")))
-        need = join_small(tagged.select(key, order_by, "__chunk", *machine.event_cols), multi,
-                          on=key, how="inner").filter(F.col("__chunk") < F.col("__last"))
-        tschema = T.StructType([df.schema[key], T.StructField("__chunk", T.LongType()),
-                                T.StructField("table", T.ArrayType(T.IntegerType()))])
+        need = join_small(tagged.select("__key", order_by, "__chunk", *machine.event_cols), multi,
+                          on="__key", how="inner").filter(F.col("__chunk") < F.col("__last"))
+        tschema = "__key string, __chunk bigint, table array<int>"
 
-        def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
+        def transfer(t: pa.Table) -> pa.Table:
             tbl = np.arange(n_states, dtype=np.int32)
-            for ev_row in pdf.itertuples(index=False):
-                tbl = machine.step(tbl, ev_row)
-            return pd.DataFrame({key: [pdf[key].iloc[0]], "__chunk": [int(pdf["__chunk"].iloc[0])],
-                                 "table": [tbl.astype(np.int32).tolist()]})
+            for ev in events(t):
+                tbl = machine.step(tbl, ev)
+            return t.slice(0, 1).select(["__key", "__chunk"]).append_column(
+                "table", pa.array([tbl.tolist()], pa.list_(pa.int32())))
 
-        tables = cut_lineage(sorted_group_map(need.drop("__last"), [key, "__chunk"], [order_by], transfer,
+        tables = cut_lineage(sorted_group_map(need.drop("__last"), ["__key", "__chunk"], [order_by], transfer,
                                               tschema))
-        exits = _exit_states(tables, [key], "__chunk", machine.initial)
-        entries = exits.select(key, (F.col("__chunk") + 1).alias("__chunk"), F.col("exit").alias("entry"))
-        with_entry = join_small(tagged, entries, on=[key, "__chunk"], how="left")
+        exits = _exit_states(tables, ["__key"], "__chunk", machine.initial)
+        entries = exits.select("__key", (F.col("__chunk") + 1).alias("__chunk"), F.col("exit").alias("entry"))
+        with_entry = join_small(tagged, entries, on=["__key", "__chunk"], how="left")
         with_entry = with_entry.withColumn("entry", F.coalesce(F.col("entry"), F.lit(machine.initial)))
 
     extra = T._parse_datatype_string(machine.out_schema).fields
-    passed = [f for f in with_entry.schema.fields if f.name not in ("entry", "__chunk")]
+    passed = [f for f in with_entry.schema.fields if f.name not in ("entry", "__chunk", "__key")]
     out_schema = T.StructType(passed + list(extra))
     pass_names = [f.name for f in passed]
-    extra_names = [f.name for f in extra]
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        state = int(pdf["entry"].iloc[0])
-        outs = {n: [] for n in extra_names}
-        for ev_row in pdf.itertuples(index=False):
-            reply = machine.reply(state, ev_row)
-            state = machine.step_one(state, ev_row)
+
+    def replay(t: pa.Table) -> pa.Table:
+        state = t["entry"][0].as_py()
+        outs: dict[str, list] = {f.name: [] for f in extra}
+        for ev in events(t):
+            outs["reply"].append(machine.reply(state, ev))
+            state = machine.step_one(state, ev)
             for n, v in machine.describe(state).items():
                 outs[n].append(v)
-            outs["reply"].append(reply)
-        res = pdf[pass_names].reset_index(drop=True)
-        for n in extra_names:
-            res[n] = pd.Series(outs[n], dtype="object")
+        res = t.select(pass_names)
+        for f in extra:
+            kind = pa.int32() if isinstance(f.dataType, T.IntegerType) else pa.string()
+            res = res.append_column(f.name, pa.array(outs[f.name], kind))
         return res
 
-    return sorted_group_map(with_entry, [key, "__chunk"], [order_by], replay, out_schema)
+    return sorted_group_map(with_entry, ["__key", "__chunk"], [order_by], replay, out_schema)
+
+
+def _gap_flag(indexed: DataFrame, ts: str, timeout_us: int, name: str) -> DataFrame:
+    """Flag rows whose time is ``timeout`` or more after the previous row's
+    (``__pos`` - 1 of ``__key``), by an equi-join on the position."""
+    now = prefix.order_number(indexed, ts)
+    prev = indexed.select("__key", (F.col("__pos") + 1).alias("__pos"), now.alias("__prev"))
+    out = indexed.withColumn("__now", now).join(prev, on=["__key", "__pos"], how="left")
+    return out.withColumn(name, F.coalesce(F.col("__now") - F.col("__prev") >= F.lit(timeout_us), F.lit(False))) \
+              .drop("__now", "__prev")
 
 
 class CatMachine(Machine):
@@ -439,10 +455,8 @@ class CatMachine(Machine):
 def timed_out(df: DataFrame, key: str, order_by: str, ts: str, timeout_us: int,
               name: str = "timed_out") -> DataFrame:
     """Flag events that come at least ``timeout`` after the key's previous
-    event (the timer restarts with each event).  The previous time is an
-    exclusive running max per key (chunked, so skew-safe)."""
-    t = prefix.order_number(df, ts)
-    out = prefix.running(df.withColumn("__t", t), [order_by], {"__prev": ("max", F.col("__t"))},
-                         partition_by=[key], exclusive=True)
-    flag = F.coalesce(F.col("__t") - F.col("__prev") >= F.lit(timeout_us), F.lit(False))
-    return out.withColumn(name, flag).drop("__t", "__prev")
+    event (the timer restarts with each event).  The previous event is
+    found by its position in the key, so a hot key is spread over tasks."""
+    src = df.withColumn("__key", _key_text(key))
+    idx = prefix.with_index(src, [order_by], "__pos", partition_by=["__key"])
+    return _gap_flag(idx, ts, timeout_us, name).drop("__key", "__pos")

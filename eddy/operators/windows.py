@@ -78,30 +78,28 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     The watermark never falls, so only the rows where it rises can close a
     window.  Those rows and the window ends are put in one list ordered by
     value; the close row of a window is the smallest arrival among the
-    rising rows after it, a reverse running min: no range join.  The key
-    ranges of the three scans come from one stats pass over the input.
+    rising rows after it, a reverse running min: no range join.
     """
     event_id = event_id or order_by[-1]
     if len(order_by) != 1:
         raise ValueError("window_lifecycle needs one unique integer arrival column")
     arrival = order_by[0]
-    a_lo, a_hi, n = prefix.key_stats(df, arrival)
-    t_lo, t_hi, _ = prefix.key_stats(df, ts)
-    if n == 0:
-        t_lo = t_hi = 0
-    arrival_bounds = (a_lo, a_hi, n)
     # Read three times below (windows, rising rows, window ends): computed once.
-    marked = prefix.materialize_if_derived(exact_watermark(df, ts, order_by, max_delay_us, bounds=arrival_bounds))
-    accepted = marked.filter(~F.col("late"))
+    # One scan carries the watermark before and at each row: the row's own
+    # time raises it or not, so the exclusive running max is enough.
+    as_us = prefix.order_number(df, ts)
+    before = prefix.running(df, order_by, {"__before": ("max", as_us)}, exclusive=True)
+    at = F.greatest(F.col("__before"), as_us) - F.lit(max_delay_us)
+    marked = prefix.materialize_if_derived(
+        before.withColumn("__wm", at).withColumn("__prev", F.col("__before") - F.lit(max_delay_us))
+        .withColumn("late", as_us < at).drop("__before"))
+    accepted = marked.filter(~F.col("late")).drop("__wm", "__prev", "late")
     wins = (assign_windows(accepted, ts, length, step)
             .groupBy("window_start", "window_end", *by)
             .agg(F.min(event_id).alias("open_event"), F.count(F.lit(1)).alias("n")))
 
     # Rows that raise the watermark (wm strictly above every earlier wm).
-    wm_us = prefix.order_number(marked, "wm")
-    prev = prefix.running(marked.select(arrival, wm_us.alias("__wm")), [arrival],
-                          {"__prev": ("max", F.col("__wm"))}, exclusive=True, bounds=arrival_bounds)
-    rising = (prev.filter(F.col("__prev").isNull() | (F.col("__wm") > F.col("__prev")))
+    rising = (marked.filter(F.col("__prev").isNull() | (F.col("__wm") > F.col("__prev")))
               .select(F.col("__wm").alias("__val"), F.lit(0).alias("__kind"),
                       F.col(arrival).cast("long").alias("__row")))
     ends = (wins.select("window_end").distinct()
@@ -110,10 +108,8 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     # At equal value a rising row sorts before the window end, so only
     # rows strictly above the end follow it.
     merged = rising.unionByName(ends)
-    span_us = _interval_us(length)
-    merged_bounds = (t_lo - max_delay_us - span_us, t_hi + span_us, 2 * max(n, 1))
     nxt = prefix.running(merged, ["__val", "__kind"], {"__close": ("min", F.col("__row"))},
-                         reverse=True, exclusive=True, bounds=merged_bounds)
+                         reverse=True, exclusive=True, split_ties=False)
     closes = nxt.filter(F.col("__kind") == 1).select(
         F.timestamp_micros(F.col("__val")).cast(_ts_type(df, ts)).alias("window_end"),
         F.col("__close").alias("close_event"))
@@ -129,8 +125,8 @@ def count_windows(df: DataFrame, order_by: Sequence[str], size: int, step: int,
     # Window ids covering position i: ceil((i - size + 1) / step) .. floor(i / step).
     lo = F.greatest(F.lit(0), F.ceil((F.col("__i") - F.lit(size - 1)) / F.lit(step))).cast("long")
     hi = F.floor(F.col("__i") / F.lit(step)).cast("long")
-    exploded = idx.withColumn("win", F.explode(F.sequence(lo, hi)))
-    exploded = exploded.filter(F.col("win") * F.lit(step) <= F.col("__i"))
+    # With step > size some rows fall between windows (lo > hi).
+    exploded = idx.filter(lo <= hi).withColumn("win", F.explode(F.sequence(lo, hi)))
     grouped = exploded.groupBy(*partition_by, "win").agg(
         F.sort_array(F.collect_list(F.struct(F.col("__i"), F.col(value)))).alias("__items"),
         F.count(F.lit(1)).alias("n"), F.max("__i").alias("__last"))

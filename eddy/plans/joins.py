@@ -1,10 +1,11 @@
 """Joins with a checked broadcast side.
 
-A side is broadcast only when its row count is proven small.  The side is
-computed once (persisted), counted, and broadcast from the persisted rows
-when it is within the bound; a side over the bound is released again and
-joined by shuffle, where AQE splits skewed partitions.  A lost executor
-recomputes persisted blocks from lineage, so nothing is lost with it.
+The small side is computed once and written to the shared checkpoint folder;
+its rows and bytes are known then.  It is broadcast when both are within
+their bounds, and joined by shuffle otherwise, where AQE splits skewed
+partitions.  Either way it is read from the written table, so it is never
+computed twice, nothing stays persisted, and a lost executor costs no more
+than reading it again.
 """
 
 from __future__ import annotations
@@ -14,39 +15,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-# Small sides kept for broadcasts; ``release()`` drops them once the
-# queries that use them have run.
-_KEPT: list[DataFrame] = []
+from eddy.session import scratch_path
 
-
-def release() -> None:
-    """Unpersist the small sides kept by :func:`join_small`."""
-    while _KEPT:
-        _KEPT.pop().unpersist()
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+# Bytes of the written (compressed) table.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def stored(df: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder and read back, and its bytes."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+    return spark.read.schema(df.schema).parquet(path), size
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only after its
-    size is checked.  ``how`` must keep ``big`` as the streamed side
-    (inner, left, left_semi, left_anti)."""
+    rows and bytes are checked.  ``how`` must keep ``big`` as the streamed
+    side (inner, left, left_semi, left_anti)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"broadcast of the right side does not fit a {how!r} join")
-    from pyspark import StorageLevel
-    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        _KEPT.append(kept)
-        return big.join(F.broadcast(kept), on=on, how=how)
-    kept.unpersist()
-    return big.join(small, on=on, how=how)
+    kept, size = stored(small)
+    if size <= max_bytes and kept.count() <= max_rows:
+        kept = F.broadcast(kept)
+    return big.join(kept, on=on, how=how)
 
 
 def key_table(values: Sequence, name: str, spark, dtype: str = "long") -> DataFrame:

@@ -5,10 +5,11 @@ A window with ``orderBy`` but no ``partitionBy`` moves the whole table into
 one partition.  Here the order is cut into chunks by a monotone,
 deterministic function of the leading order column:
 
-1. ``chunk = floor((k - k_min) / width)`` where ``k`` is the leading order
-   column as a number and ``width`` is picked from (min, max, count) so a
-   chunk holds about ``chunk_rows`` rows.  With a unique integer order key
-   a chunk can never hold more than ``width`` rows, whatever the data.
+1. Chunks are cut at quantiles of the leading order column (taken in one
+   pass, collected as at most ``MAX_CELLS`` numbers and fixed), so outliers,
+   bursts and hashed keys give even chunks too.  A chunk that a repeated
+   leading value still fills is cut again by quantiles of the second order
+   column.
 2. Per (keys, chunk): the chunk totals (small: one row per chunk).
 3. The carry of each chunk is the exclusive prefix of the chunk totals, a
    window over the chunk table only.
@@ -16,17 +17,16 @@ deterministic function of the leading order column:
    computes the local running value, and the carry is joined back on
    (keys, chunk).  The join reuses the window's hash partitioning.
 
-The input is read twice (rows for the window, a map-side partial
-aggregate for the totals).  An input that is itself derived (a window,
+The input is read once more for the quantiles, and twice for the scan (rows
+for the window, a map-side partial aggregate for the totals).  An input that is itself derived (a window,
 join, aggregate or Python stage; for example the output of another scan)
 is checkpointed first, so chained scans never recompute their inputs.
 
 With ``partition_by`` keys of at most ``chunk_rows`` rows run as a plain
 keyed window (one bounded group each); a hot key (say a third of all
 rows) is spread over many chunks, so no task sees more than one chunk of
-it.  Ties in the
-leading order column stay in one chunk; give a unique tie-break column
-last in ``order_by``.
+it.  Give a unique tie-break column last in ``order_by``.  Order columns may
+be numbers, dates, timestamps, strings or binary; keys may be null.
 
 Supported folds are associative: ``count``, ``sum``, ``max``, ``min``.
 """
@@ -34,7 +34,6 @@ Supported folds are associative: ``count``, ``sum``, ``max``, ``min``.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,8 +43,8 @@ from pyspark.sql import types as T
 from eddy.plans.joins import join_small
 
 DEFAULT_CHUNK_ROWS = 1 << 20
-# Above this many chunks the carry table is joined by shuffle, not broadcast.
-MAX_BROADCAST_CHUNKS = 1 << 21
+# Chunks are at most this many; beyond MAX_CELLS * chunk_rows rows they grow.
+MAX_CELLS = 4096
 
 _FOLDS = ("count", "sum", "max", "min")
 
@@ -65,42 +64,50 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.unix_date(c).cast("long")
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return c.cast("double")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # The first 7 bytes as a number; longer common beginnings are ties.
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("long")
     raise TypeError(f"cannot chunk on order column {name!r} of type {dtype}")
 
 
-def key_stats(df: DataFrame, lead: str) -> tuple:
-    """(min, max, count) of the leading order column as a number: one
-    small aggregate, collected as three scalars."""
-    k = order_number(df, lead)
-    st = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
-    return st["lo"], st["hi"], st["n"]
+def _cell(k: Column, cuts: list, step: int = 64) -> Column:
+    """The number of ``cuts`` (sorted) up to ``k``; null counts none."""
+    at_most = lambda c: F.size(F.filter(c, lambda x: x <= k))
+    everything = F.array(*[F.lit(c) for c in cuts])
+    if len(cuts) <= step:
+        return F.when(k.isNull(), 0).otherwise(at_most(everything))
+    block = at_most(F.array(*[F.lit(c) for c in cuts[::step]]))
+    inner = at_most(F.slice(everything, F.greatest((block - 1) * step + 1, F.lit(1)), step))
+    return F.when(k.isNull() | (block == 0), 0).otherwise((block - 1) * step + inner)
+
+
+def quantile_cuts(df: DataFrame, k: Column, chunk_rows: int) -> list:
+    """Quantiles of ``k`` that cut the rows into chunks of about half of
+    ``chunk_rows``: at most ``MAX_CELLS`` numbers, none for few rows."""
+    n = df.count()
+    cells = min(MAX_CELLS, math.ceil(2 * n / chunk_rows))
+    if n <= chunk_rows or cells < 2:
+        return []
+    got = df.agg(F.percentile_approx(k, [i / cells for i in range(1, cells)], max(10_000, 20 * cells)).alias("c")).first()
+    return sorted(set(got["c"] or []))
 
 
-def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool,
-                chunk_width: float | None, bounds: tuple | None = None):
-    """Chunk column for ``df`` plus a proven upper bound on the chunk count.
-    ``bounds = (lo, hi, n)`` (bounds on the key, a row count) skips the
-    stats job when the caller knows them, e.g. from the source table of a
-    derived frame."""
+def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool, chunk_width: float | None = None):
+    """Chunk column for ``df`` and the number of chunks.  Chunks are cut at
+    quantiles, or every ``chunk_width`` if the caller asks for that."""
     k = order_number(df, lead)
-    lo, hi, n = bounds if bounds is not None else key_stats(df, lead)
-    if n == 0 or lo is None:
-        return F.lit(0).cast("long"), 1
-    span = float(hi) - float(lo) + 1.0
-    if chunk_width is None:
-        chunk_width = max(1.0, math.ceil(span * chunk_rows / n))
-    n_chunks = int(math.ceil(span / chunk_width)) + 1
-    base = (F.lit(hi) - k) if reverse else (k - F.lit(lo))
-    return F.floor(base / F.lit(float(chunk_width))).cast("long"), n_chunks
-
-
-def add_chunk(df: DataFrame, lead: str, name: str = "chunk", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-              chunk_width: float | None = None, bounds: tuple | None = None) -> tuple[DataFrame, int]:
-    """Tag rows with the chunk of their leading order column (step 1 of
-    the scan) for operators that fold each chunk themselves.  Returns the
-    tagged frame and the bound on the chunk count."""
-    chunk, n_chunks = _chunk_plan(df, lead, chunk_rows, False, chunk_width, bounds)
-    return df.withColumn(name, chunk), n_chunks
+    if chunk_width is not None:
+        lo, hi = df.agg(F.min(k), F.max(k)).first()
+        cuts = [0] if lo is None else [lo + i * chunk_width
+                                       for i in range(min(MAX_CELLS, math.ceil((hi - lo + 1) / chunk_width)))]
+    else:
+        # A cut at 0 where none is needed keeps the plan the same at any size.
+        cuts = quantile_cuts(df, k, chunk_rows) or [0]
+    cell = _cell(k, cuts).cast("long")
+    return (F.lit(len(cuts)).cast("long") - cell if reverse else cell), len(cuts) + 1
 
 
 # Bucket of more than this many chunk sizes counts as heavy (tied values).
@@ -110,57 +117,65 @@ MAX_HEAVY_BROADCAST_ROWS = 2_000_000
 
 def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows: int,
                 reverse: bool) -> tuple[DataFrame, list[str]]:
-    """Split buckets that hold many rows of one leading value.
-
-    A bucket of the leading column can only grow past its width when values
-    repeat.  For such buckets the chunk gets two more parts: ``__c2``
-    orders the rows around the heavy values of the bucket (2 x the number
-    of heavy values before the row's value, +1 on a heavy value) and
-    ``__c3`` cuts the rows of one heavy value by ranges of the second order
-    column.  The heavy-value tables hold at most rows / chunk_rows entries
-    (each heavy value has more than chunk_rows rows), so they are
-    broadcast after a size check.
+    """Split chunks that hold many rows of one leading value.
+
+    For such chunks the chunk gets two more parts: ``__c2`` orders the rows
+    around the heavy values of the chunk (2 x the number of heavy values
+    before the row's value, +1 on a heavy value) and ``__c3`` cuts the rows
+    of one heavy value at quantiles of the second order column.  The
+    heavy-value tables hold at most rows / chunk_rows entries (each heavy
+    value has more than chunk_rows rows); they are broadcast after a check
+    of rows and bytes.
     """
     limit = HEAVY_FACTOR * chunk_rows
     heavy_b = (src.groupBy(*keys, "__c1").count().filter(F.col("count") > limit)
                   .select(*keys, "__c1"))
-    if heavy_b.limit(1).count() == 0:
+    if heavy_b.isEmpty():
         return src, ["__c1"]
     lead, second = order_by[0], order_by[1]
-    k = order_number(src, lead)
-    k2 = order_number(src, second)
-    tagged = src.withColumn("__k", k).withColumn("__k2", k2)
+    tagged = src.withColumn("__k", order_number(src, lead)).withColumn("__k2", order_number(src, second))
     in_heavy = join_small(tagged, heavy_b, on=[*keys, "__c1"], how="left_semi", max_rows=MAX_HEAVY_BROADCAST_ROWS)
-    hv = (in_heavy.groupBy(*keys, "__c1", "__k")
-                  .agg(F.count(F.lit(1)).alias("__n"), F.min("__k2").alias("__lo2"), F.max("__k2").alias("__hi2"))
-                  .filter(F.col("__n") > chunk_rows))
-    per_bucket = hv.groupBy(*keys, "__c1").agg(F.sort_array(F.collect_list("__k")).alias("__hv"))
-    width2 = F.greatest(F.lit(1.0), F.ceil((F.col("__hi2") - F.col("__lo2") + 1) * F.lit(chunk_rows) / F.col("__n")))
-    stats = hv.select(*keys, "__k", "__lo2", "__hi2", width2.cast("double").alias("__w2"))
+    counts = (in_heavy.groupBy(*keys, "__c1", "__k").agg(F.count(F.lit(1)).alias("__n"))
+                      .filter(F.col("__n") > chunk_rows))
+    most = counts.agg(F.max("__n")).first()[0]
+    if not most:
+        return src, ["__c1"]
+    parts = max(2, min(MAX_CELLS, math.ceil(2 * most / chunk_rows)))
+    cuts = F.percentile_approx("__k2", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
+    stats = join_small(in_heavy, counts.select(*keys, "__c1", "__k"), on=[*keys, "__c1", "__k"], how="left_semi",
+                       max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    stats = stats.groupBy(*keys, "__c1", "__k").agg(F.array_sort(F.array_distinct(cuts)).alias("__cuts"))
+    from eddy.session import cut_lineage
+    stats = cut_lineage(stats)
+    per_bucket = stats.groupBy(*keys, "__c1").agg(F.sort_array(F.collect_list("__k")).alias("__hv"))
     out = join_small(tagged, per_bucket, on=[*keys, "__c1"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
-    out = join_small(out, stats, on=[*keys, "__k"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    out = join_small(out, stats, on=[*keys, "__c1", "__k"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
     before = (lambda v: v > F.col("__k")) if reverse else (lambda v: v < F.col("__k"))
     c2 = F.when(F.col("__hv").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("__hv", before)) * 2 + F.array_contains("__hv", F.col("__k")).cast("int"))
-    base2 = (F.col("__hi2") - F.col("__k2")) if reverse else (F.col("__k2") - F.col("__lo2"))
-    c3 = F.when(F.col("__w2").isNull(), F.lit(0)).otherwise(F.floor(base2 / F.col("__w2"))).cast("long")
-    out = out.withColumn("__c2", c2.cast("long")).withColumn("__c3", c3)
-    return out.drop("__k", "__k2", "__hv", "__lo2", "__hi2", "__w2"), ["__c1", "__c2", "__c3"]
+    piece = F.size(F.filter("__cuts", lambda c: c <= F.col("__k2")))
+    c3 = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.size("__cuts") - piece if reverse else piece)
+    out = out.withColumn("__c2", F.coalesce(c2, F.lit(0)).cast("long")).withColumn("__c3", c3.cast("long"))
+    return out.drop("__k", "__k2", "__hv", "__cuts"), ["__c1", "__c2", "__c3"]
 
 
-_DERIVED = re.compile(r"^[\s:+\-]*(Window|Join|Aggregate|Generate|MapInPandas|FlatMapGroupsInPandas"
-                      r"|FlatMapGroupsInPandasWithState|Expand|Sort)\b", re.M)
+# Plan nodes that cost nothing to run twice.
+_CHEAP = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "SubqueryAlias"}
 
 
 def materialize_if_derived(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` (to the shared checkpoint folder) when its plan is
     more than a scan with projections and filters, so a consumer that reads
     it twice does not compute it twice; a plain scan is returned as is."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if not _DERIVED.search(plan):
-        return df
-    from eddy.session import cut_lineage
-    return cut_lineage(df)
+    stack = [df._jdf.queryExecution().optimizedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() not in _CHEAP:
+            from eddy.session import cut_lineage
+            return cut_lineage(df)
+        kids = node.children()
+        stack.extend(kids.apply(i) for i in range(kids.size()))
+    return df
 
 
 def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], exclusive: bool,
@@ -182,7 +197,7 @@ def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], ex
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
             chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None,
-            bounds: tuple | None = None, split_ties: bool = False) -> DataFrame:
+            split_ties: bool = True) -> DataFrame:
     """Add running folds over ``order_by`` (optionally per ``partition_by``).
 
     ``folds`` maps an output name to ``(fold, column)``; fold is one of
@@ -190,35 +205,36 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     the current row out; ``reverse`` runs from the last row backwards.
     With ``split_ties`` a leading value shared by very many rows (a hot
     timestamp) is split further by the second order column, so no chunk
-    grows past a few ``chunk_rows``; leave it off for a unique leading
-    column.
+    grows past a few ``chunk_rows``.
     """
     order_by, keys = list(order_by), list(partition_by)
     for name, (fold, _) in folds.items():
         if fold not in _FOLDS:
             raise ValueError(f"fold {fold!r} for {name!r} is not associative/supported")
     df = materialize_if_derived(df)
+    names = keys
     if keys:
         # Keys up to chunk_rows rows are one chunk each: a plain keyed
         # window.  Only hot keys (at most rows / chunk_rows of them, so
         # the list is broadcast after a size check) are cut into chunks.
+        # Joins need keys that are never null.
+        df = df.withColumn("__pkey", F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])))
+        keys = ["__pkey"]
         hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                  .filter(F.col("__n") > chunk_rows).select(*keys))
-        if hot.limit(1).count() == 0:
-            return _keyed_window(df, order_by, folds, keys, exclusive, reverse)
+        if hot.isEmpty():
+            return _keyed_window(df.drop("__pkey"), order_by, folds, names, exclusive, reverse)
         tagged = join_small(df, hot.withColumn("__hot", F.lit(True)), on=keys, how="left",
                             max_rows=MAX_HEAVY_BROADCAST_ROWS)
-        hot_rows = tagged.filter(F.col("__hot"))
-        chunk, n_chunks = _chunk_plan(hot_rows, order_by[0], chunk_rows, reverse, chunk_width, bounds)
+        chunk, n_chunks = _chunk_plan(tagged.filter(F.col("__hot")), order_by[0], chunk_rows, reverse, chunk_width)
         src = tagged.withColumn("__c1", F.when(F.col("__hot"), chunk).otherwise(F.lit(-1).cast("long"))) \
                     .drop("__hot")
     else:
-        chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, bounds)
+        chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width)
         src = df.withColumn("__c1", chunk)
     cks = ["__c1"]
-    if split_ties and len(order_by) > 1:
+    if split_ties and len(order_by) > 1 and n_chunks > 2:
         src, cks = _split_ties(src, order_by, keys, chunk_rows, reverse)
-        n_chunks *= 3  # heavy values add at most two sub-chunks per chunk of rows
     for name, (fold, col) in folds.items():
         src = src.withColumn(f"__v_{name}", F.lit(1).cast("long") if fold == "count" else col)
 
@@ -240,8 +256,8 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     carry = totals.select(*keys, *cks, *[
         fold_fn(fold)(F.col(f"__t_{name}")).over(carry_w).alias(f"__c_{name}")
         for name, (fold, _) in folds.items()])
-    if not keys and n_chunks <= MAX_BROADCAST_CHUNKS:
-        # One row per chunk; the bound comes from the chunk plan.
+    if not keys and len(cks) == 1:
+        # One row per chunk: at most MAX_CELLS.
         carry = F.broadcast(carry)
     joined = local.join(carry, on=[*keys, *cks], how="left")
 
@@ -258,7 +274,7 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
         else:
             val = F.least(c, l)
         out = out.withColumn(name, val)
-    drop = cks + [f"__{p}_{n}" for n in folds for p in ("v", "l", "c")]
+    drop = ["__pkey", *cks, *[f"__{p}_{n}" for n in folds for p in ("v", "l", "c")]]
     return out.drop(*drop)
 
 

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.plans.joins import is_small, join_small
+from eddy.plans.joins import join_small
 
 
 def scan(df: DataFrame, cond: Column | None = None) -> DataFrame:
@@ -85,8 +85,7 @@ def apply_delete(current: DataFrame, keys: DataFrame, col: str) -> DataFrame:
     """Delete every row whose ``col`` is in ``keys`` (the disjuncts
     of ``or(eq, eq, ...)`` as a key table), by anti join."""
     k = keys.select(F.col(keys.columns[0]).alias(col)).distinct()
-    side = F.broadcast(k) if is_small(k) else k
-    return current.join(side, on=col, how="left_anti")
+    return join_small(current, k, on=col, how="left_anti")
 
 
 def disjuncts(spark: SparkSession, values: Sequence, col: str, dtype: str = "long") -> DataFrame:
