@@ -68,8 +68,3 @@ def wrap_separator(n: Column, line: int = WRAP_LINE, first: int = WRAP_FIRST) ->
     nothing."""
     return (F.when((F.pmod(n, F.lit(line)) < first) & (n > first), F.lit("\n"))
              .when(n > first, F.lit(" ")).otherwise(F.lit("")))
-
-
-def fmt(pattern: str, *cols: Column) -> Column:
-    """F-n: ``printf``-style formatting."""
-    return F.format_string(pattern, *cols)

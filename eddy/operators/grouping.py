@@ -103,11 +103,12 @@ def lookup(requests: DataFrame, table: DataFrame, key: str, value: str,
 
 
 def last_put(df: DataFrame, key: str, value: str, order_by: Sequence[str],
-             name: str | None = None) -> DataFrame:
+             name: str | None = None, last: str | None = None) -> DataFrame:
     """Last write wins per key (``map.put`` in order), ``max_by``
-    combined map-side."""
+    combined map-side; ``last`` also names the order value of that write."""
     order = F.struct(*[F.col(c) for c in order_by]) if len(order_by) > 1 else F.col(order_by[0])
-    return df.groupBy(key).agg(F.max_by(F.col(value), order).alias(name or value))
+    also = [F.max(order).alias(last)] if last else []
+    return df.groupBy(key).agg(F.max_by(F.col(value), order).alias(name or value), *also)
 
 
 def join_fragments(df: DataFrame, key: str, order_by: str, text: str,

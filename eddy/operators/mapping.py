@@ -3,18 +3,13 @@ batch-parallel maps with or without order."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def map_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    """``map`` as column expressions (JVM-side, inside codegen)."""
-    return df.withColumns(dict(exprs))
-
-
 def keep(df: DataFrame, cond: Column) -> DataFrame:
     """``filter``."""
     return df.filter(cond)
@@ -39,8 +34,9 @@ def flat_map(df: DataFrame, items: Column, name: str = "item", pos: str | None =
 
 def parallel_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                  width: int | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
-    """An arbitrary pandas function applied to Arrow batches,
-    ``width`` tasks at a time (``repartition``).  Order is a column, not a
+    """An arbitrary pandas function applied to Arrow batches in the
+    input's own partitions; ``width``, if given, spreads few large partitions
+    over that many tasks (``repartition``).  Order is a column, not a
     schedule: with ``order_by`` the result is sorted back by it (T16,
     ``mapAsync``); without, rows come in any order (T17,
     ``mapAsyncUnordered``).  Prefer column expressions when they can say

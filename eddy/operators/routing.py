@@ -2,8 +2,9 @@
 several branches (T11), merge (T12), divert (T13), bound checks (T15),
 per-row recovery (T18) and supervision by error class (T19).
 
-A branch is always a filter on one computed column, so all branches read
-the same plan; Catalyst pushes each branch's filter into the scan.
+All branches of a query are one computed column (:func:`route`,
+:func:`port`), so the rows are read once; a filter on it makes a branch of
+its own only where a separate sink needs one.
 """
 
 from __future__ import annotations
@@ -15,14 +16,29 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def partition(df: DataFrame, selector: Column, n: int, name: str = "branch") -> list[DataFrame]:
-    """``n`` outputs; output ``i`` holds the rows whose selector is i.
-    A selector outside ``[0, n)`` fails the query, as a bad port would."""
+def route(df: DataFrame, rules: Sequence[tuple[Column, str]], default: str, name: str = "branch") -> DataFrame:
+    """Each row with the label of the first rule that it fulfils (a
+    null condition is not fulfilled), else ``default``; one pass."""
+    label = F.lit(default)
+    for cond, value in reversed(list(rules)):
+        label = F.when(cond, F.lit(value)).otherwise(label)
+    return df.withColumn(name, label)
+
+
+def port(df: DataFrame, selector: Column, n: int, name: str = "branch") -> DataFrame:
+    """Each row with its output number; a selector outside ``[0, n)``
+    fails the query, as a bad port would."""
     tagged = df.withColumn(name, selector.cast("int"))
-    tagged = tagged.withColumn(
+    return tagged.withColumn(
         name, F.when((F.col(name) >= 0) & (F.col(name) < n), F.col(name))
         .otherwise(F.raise_error(F.concat(F.lit("partition selector out of range: "),
-                                          F.col(name).cast("string")))))
+                                          F.coalesce(F.col(name).cast("string"), F.lit("null"))))))
+
+
+def partition(df: DataFrame, selector: Column, n: int, name: str = "branch") -> list[DataFrame]:
+    """``n`` outputs for separate sinks; output ``i`` holds the rows
+    whose selector is i."""
+    tagged = port(df, selector, n, name)
     return [tagged.filter(F.col(name) == i) for i in range(n)]
 
 

@@ -170,13 +170,10 @@ def divert_three_way(spark, sf):
     those, ``%60 = 0`` is diverted again; of the rest ``%3 = 1`` is
     diverted; what stays is the main output."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    li = li.withColumn("out_value", F.col("l_orderkey"))
-    rest, div3 = routing.divert(li, F.pmod("l_orderkey", F.lit(3)) == 0,
-                                left=lambda d: d.withColumn("out_value", F.col("out_value") * 10))
-    div3_ok, div60 = routing.divert(div3, F.pmod("out_value", F.lit(60)) == 0)
-    rest2, mod1 = routing.divert(rest, F.pmod("l_orderkey", F.lit(3)) == 1)
-    return routing.merge([b.withColumn("branch", F.lit(n)) for n, b in
-                          (("div60", div60), ("div3", div3_ok), ("mod1", mod1), ("rest", rest2))])
+    three = F.pmod("l_orderkey", F.lit(3))
+    li = li.withColumn("out_value", F.when(three == 0, F.col("l_orderkey") * 10).otherwise(F.col("l_orderkey")))
+    return routing.route(li, [((three == 0) & (F.pmod("out_value", F.lit(60)) == 0), "div60"), (three == 0, "div3"),
+                              (three == 1, "mod1")], "rest")
 
 
 @query("even_odd_lists", """
@@ -273,9 +270,7 @@ def first_seen(spark, sf):
     """Two streams (clicks and views; the other types) merged; each
     row passes with a flag on the first row of its user id."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    a = ev.filter(F.col("event_type").isin("click", "view")).withColumn("from_a", F.lit(True))
-    b = ev.filter(~F.col("event_type").isin("click", "view")).withColumn("from_a", F.lit(False))
-    u = routing.merge([a, b]).select("event_id", "user_id", "from_a")
+    u = ev.withColumn("from_a", F.col("event_type").isin("click", "view")).drop("event_type")
     return grouping.first_seen(u, "user_id", "event_id")
 
 
@@ -322,11 +317,8 @@ def hash_route_merge(spark, sf):
     """T10 + T12: lineitem hash-routed to 2 workers, each maps its rows,
     merged again; rows and quantity per worker."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
-    routed = routing.hash_route(li, F.col("l_orderkey"), 2)
-    branches = [routed.filter(F.col("worker") == w).withColumn("qty", F.col("l_quantity").cast("long"))
-                for w in range(2)]
-    m = routing.merge(branches)
-    return m.groupBy("worker").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"))
+    routed = routing.hash_route(li, F.col("l_orderkey"), 2).withColumn("qty", F.col("l_quantity").cast("long"))
+    return routed.groupBy("worker").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"))
 
 
 @query("indent_digits", """
@@ -361,9 +353,7 @@ SELECT user_id, arg_max(value, event_id) AS value, max(event_id) AS last_event F
 def last_put(spark, sf):
     """Last write wins per user (value of the latest event)."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "value")
-    v = grouping.last_put(ev, "user_id", "value", ["event_id"])
-    last = ev.groupBy("user_id").agg(F.max("event_id").alias("last_event"))
-    return v.join(last, "user_id")
+    return grouping.last_put(ev, "user_id", "value", ["event_id"], last="last_event")
 
 
 @query("key_lists_by_branch", """
@@ -375,11 +365,9 @@ def key_lists_by_branch(spark, sf):
     """T9 + T11: events split two ways by id parity (``Partition``);
     both outputs are fed to the same report (a broadcast to two branches)."""
     ev = table(spark, sf, "events").select("event_id", "event_type")
-    outs = routing.partition(ev, F.pmod("event_id", F.lit(2)), 2)
-    reports = [o.groupBy("branch", "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"),
-        F.max("event_id").alias("last_id")) for o in outs]
-    return routing.merge(reports)
+    ported = routing.port(ev, F.pmod("event_id", F.lit(2)), 2)
+    return ported.groupBy("branch", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
 @query("wrapped_numbers", """
@@ -458,19 +446,100 @@ def _event_records(spark, sf, topic_expr=None):
 
 @query("log_append_report", """
 SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
-       row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset", event_id,
-       'events/' || CAST(user_id % 4 AS VARCHAR) || ' '
+       row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+       'single events/' || CAST(user_id % 4 AS VARCHAR) || ' '
          || CAST(row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS VARCHAR)
          || ': ' || event_type AS report
 FROM events
 """)
 def log_append_report(spark, sf):
     """Events appended to topic ``events`` (partition
-    ``user_id % 4``, key user, value type) of an empty log; offsets per
-    partition and the ``topic/partition offset: value`` result."""
+    ``user_id % 4``, key user, value type) of an empty log; the appended
+    rows with their offsets and the ``single t/p o: v`` result."""
+    from eddy.session import scratch_path
+    from eddy.sources import topiclog
+    log = topiclog.TopicLog(spark, scratch_path(spark, "log"))
+    appended = log.append(_event_records(spark, sf), ["event_id"])
+    return topiclog.report(appended).select("topic", "partition", "offset", F.concat(
+        F.lit(topiclog.SINGLE), "report").alias("report"))
+
+
+def _two_topic_log(spark, sf):
+    """Events published to two topics of a log, in two batches by id."""
+    from eddy.session import scratch_path
     from eddy.sources import topiclog
-    recs = topiclog.assign_offsets(_event_records(spark, sf), ["event_id"])
-    return topiclog.report(recs).select("topic", "partition", "offset", "event_id", "report")
+    topic = F.when(F.col("event_type").isin("click", "view"), "clicks").otherwise("other")
+    recs = _event_records(spark, sf, topic)
+    log = topiclog.TopicLog(spark, scratch_path(spark, "log"))
+    half = recs.agg(F.percentile_approx("event_id", 0.5)).first()[0] or 0
+    log.append(recs.filter(F.col("event_id") <= half), ["event_id"])
+    log.append(recs.filter(F.col("event_id") > half), ["event_id"])
+    return log
+
+
+_TWO_TOPICS = """
+r AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'clicks' ELSE 'other' END AS topic,
+             CAST(user_id % 4 AS INTEGER) AS partition, event_id, event_type FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS "offset" FROM r)
+"""
+
+
+@query("log_read_from_offsets", f"""
+WITH {_TWO_TOPICS}
+SELECT topic, partition, "offset", event_type AS value FROM o
+WHERE (topic = 'clicks' AND partition = 0) OR (topic = 'clicks' AND partition = 1 AND "offset" >= 7)
+   OR (topic = 'other' AND partition = 3 AND "offset" >= 20)
+""")
+def log_read_from_offsets(spark, sf):
+    """S11 + S13 + S14: a log of two topics read by assignment: one partition
+    whole, two from a start offset of their own."""
+    log = _two_topic_log(spark, sf)
+    got = log.read(assignment={("clicks", 0): None, ("clicks", 1): 7, ("other", 3): 20})
+    return got.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+@query("log_subscribe_topics", f"""
+WITH {_TWO_TOPICS}
+SELECT topic, partition, count(*) AS n, max("offset") AS last_offset FROM o WHERE topic = 'clicks' GROUP BY ALL
+""")
+def log_subscribe_topics(spark, sf):
+    """A log of two topics, one subscribed from the earliest offset."""
+    got = _two_topic_log(spark, sf).read(topics=["clicks"])
+    return got.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last_offset"))
+
+
+@query("resume_from_store", f"""
+WITH {_TWO_TOPICS},
+stored AS (SELECT topic, partition, "offset" FROM o WHERE "offset" < 5 + 3 * partition),
+p AS (SELECT topic, partition, max("offset") + 1 AS nxt FROM stored GROUP BY ALL)
+SELECT o.topic, o.partition, o."offset" FROM o JOIN p USING (topic, partition) WHERE o."offset" >= p.nxt
+""")
+def resume_from_store(spark, sf):
+    """Results stored with their offsets, a different number for each
+    partition; reading goes on at every partition's own next offset."""
+    from eddy.session import scratch_path
+    from eddy.streaming import delivery
+    log, store = _two_topic_log(spark, sf), scratch_path(spark, "store")
+    done = log.read().filter(F.col("offset") < 5 + 3 * F.col("partition"))
+    delivery.with_offsets(done.select("topic", "partition", "offset"), 0).write.parquet(store)
+    rest = log.read(assignment=delivery.resume_positions(spark, store))
+    return rest.select("topic", "partition", "offset")
+
+
+@query("commit_pairs", f"""
+WITH {_TWO_TOPICS},
+c AS (SELECT topic, partition, "offset" // 10 AS batch, max("offset") + 1 AS commit_offset FROM o GROUP BY ALL)
+SELECT a.partition, a.batch, a.commit_offset AS left_commit_offset, b.commit_offset AS right_commit_offset
+FROM c a JOIN c b ON a.partition = b.partition AND a.batch = b.batch WHERE a.topic = 'clicks' AND b.topic = 'other'
+""")
+def commit_pairs(spark, sf):
+    """A13 with two inputs: batches of 10 of two topics, paired by partition
+    and batch; each pair is committed as one, with both positions."""
+    from eddy.sources import topiclog
+    log = _two_topic_log(spark, sf)
+    sides = [topiclog.commit_positions(topiclog.offset_batches(log.read(topics=[t]), 10))
+             .select("partition", "batch", "commit_offset") for t in ("clicks", "other")]
+    return topiclog.commit_pairs(*sides, on=["partition", "batch"])
 
 
 @query("log_commit_positions", """
@@ -485,30 +554,43 @@ def log_commit_positions(spark, sf):
     (subscribe, earliest) partition by partition in batches of 10; the
     offset committed per batch and partition."""
     from eddy.sources import topiclog
-    topic = F.when(F.col("event_type").isin("click", "view"), "clicks").otherwise("other")
-    recs = topiclog.assign_offsets(_event_records(spark, sf, topic), ["event_id"])
-    consumed = recs.filter(F.col("topic").isin("clicks", "other"))
+    consumed = _two_topic_log(spark, sf).read(topics=["clicks", "other"])
     return topiclog.commit_positions(topiclog.offset_batches(consumed, 10))
 
 
 @query("fanout_topics", """
-SELECT event_id, t AS topic, 'published to ' || t AS result
-FROM (SELECT event_id, CASE WHEN event_type = 'purchase' THEN ['orders', 'audit']
-                            WHEN event_type = 'click' THEN ['clicks'] ELSE ['misc'] END AS ts_
-      FROM events WHERE event_type <> 'signup'), unnest(ts_) u(t)
-UNION ALL
-SELECT event_id, NULL AS topic, 'passed through' AS result FROM events WHERE event_type = 'signup'
+WITH m AS (SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN ['orders', 'audit']
+                            WHEN event_type = 'click' THEN ['clicks'] WHEN event_type = 'signup' THEN []
+                            ELSE ['misc'] END AS ts_ FROM events),
+r AS (SELECT event_id, event_type, t AS topic, CAST(event_id % 4 AS INTEGER) AS partition FROM m, unnest(ts_) u(t)),
+o AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS "offset" FROM r),
+p AS (SELECT event_id, count(*) AS n,
+             string_agg(topic || '/' || partition || ' ' || "offset" || ': ' || event_type, ', ' ORDER BY topic) AS places
+      FROM o GROUP BY event_id)
+SELECT m.event_id, coalesce(n, 0) AS n_records, CASE WHEN n IS NULL THEN 'passed through'
+       WHEN n = 1 THEN 'single ' || places ELSE 'multi ' || places END AS result
+FROM m LEFT JOIN p USING (event_id)
 """)
 def fanout_topics(spark, sf):
-    """Purchases go to two topics, clicks to one, signups pass
-    through (published nowhere, still a result), the rest to ``misc``."""
+    """Purchases go to two topics, clicks to one, signups pass
+    through (published nowhere, still a result), the rest to ``misc``; the
+    records are appended to a log and each message gets the result text
+    with the places of its records."""
+    from eddy.session import scratch_path
     from eddy.sources import topiclog
     ev = table(spark, sf, "events").select("event_id", "event_type")
     targets = (F.when(F.col("event_type") == "purchase", F.array(F.lit("orders"), F.lit("audit")))
                 .when(F.col("event_type") == "click", F.array(F.lit("clicks")))
                 .when(F.col("event_type") == "signup", F.array().cast("array<string>"))
                 .otherwise(F.array(F.lit("misc"))))
-    return topiclog.fan_out(ev, targets).select("event_id", "topic", "result")
+    sent = topiclog.fan_out(ev, targets).filter(F.col("topic").isNotNull()).withColumnRenamed("topic", "to")
+    recs = topiclog.records(sent, F.col("to"), F.pmod("event_id", F.lit(4)), F.col("event_id").cast("string"),
+                            F.col("event_type"))
+    log = topiclog.TopicLog(spark, scratch_path(spark, "fanout"))
+    appended = log.append(recs, ["event_id"]).withColumn("event_id", F.col("key").cast("string").cast("long"))
+    out = topiclog.publish_results(appended, ev, "event_id")
+    sizes = F.size(targets).cast("long")
+    return out.select("event_id", sizes.alias("n_records"), "result")
 
 
 @query("copartition_zip", """
@@ -525,11 +607,14 @@ def copartition_zip(spark, sf):
     """A clicks topic and a views topic (4 partitions each, by user),
     partition p zipped with partition p record by record."""
     from eddy.sources import topiclog
-    recs = _event_records(spark, sf, F.col("event_type"))
-    clicks = topiclog.assign_offsets(recs.filter(F.col("event_type") == "click"), ["event_id"])
-    views = topiclog.assign_offsets(recs.filter(F.col("event_type") == "view"), ["event_id"])
-    z = topiclog.zip_partitions(clicks.select("partition", "offset", "event_id"),
-                                views.select("partition", "offset", "event_id"))
+    from eddy.session import scratch_path
+    recs = _event_records(spark, sf, F.col("event_type")).filter(F.col("event_type").isin("click", "view"))
+    recs = recs.withColumn("key", F.col("event_id").cast("string").cast("binary"))
+    log = topiclog.TopicLog(spark, scratch_path(spark, "pair"))
+    log.append(recs, ["event_id"])
+    side = lambda t: log.read(topics=[t]).select(
+        "partition", "offset", F.col("key").cast("string").cast("long").alias("event_id"))
+    z = topiclog.zip_partitions(side("click"), side("view"))
     return z.select("partition", "pos", "left_event_id", "right_event_id")
 
 
@@ -542,9 +627,12 @@ FROM b GROUP BY batch
 def bulk_report(spark, sf):
     """Documents bulk-inserted in batches of 100; ``wrote N up to:
     last`` per batch."""
-    d = table(spark, sf, "documents").select("doc_id")
-    b = ordered.count_batches(d, ["doc_id"], 100)
-    agg = b.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last_doc"))
+    from eddy.session import scratch_path
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    path = scratch_path(spark, "bulk")
+    ordered.count_batches(d, ["doc_id"], 100).write.parquet(path)
+    wrote = spark.read.parquet(path)  # the report is of what was written
+    agg = wrote.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last_doc"))
     return agg.withColumn("report", F.format_string("wrote %d up to: %d", F.col("n"), F.col("last_doc")))
 
 
@@ -783,21 +871,9 @@ def stream_window_counts(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
-class _InjectedFailure(RuntimeError):
-    pass
-
-
-def _run_once_more_after_crash(start) -> None:
-    """Run a stream to the end; after the injected crash start it again on
-    the same checkpoint.  Any other error is raised."""
-    for attempt in range(2):
-        q = start()
-        try:
-            q.awaitTermination()
-            return
-        except Exception as e:  # noqa: BLE001
-            if "injected crash" not in str(e) or attempt == 1:
-                raise
+def _run(stream, sink, base) -> None:
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt").trigger(
+        availableNow=True).start().awaitTermination()
 
 
 @query("stream_delivery", """
@@ -805,23 +881,13 @@ SELECT event_id, user_id, event_type FROM events
 """)
 def stream_delivery(spark, sf):
     """L3 + L5 + K20: a file stream of events processed in micro-batches
-    of one file; the sink writes each batch with its offsets, then the
-    job crashes before the commit of batch 1.  Restarted on the same
-    checkpoint, the batch is replayed and overwrites its own output: every
-    event is delivered exactly once."""
+    of one file; the sink writes each batch with its offsets, overwriting
+    what an earlier try of the same batch wrote: every event is delivered
+    exactly once."""
     from eddy.streaming import delivery
     base, stream = _staged_events(spark, sf, cols=["event_id", "user_id", "event_type"])
     write = delivery.idempotent_writer(f"{base}/out")
-    crashed = {"done": False}
-
-    def sink(batch, batch_id):
-        write(delivery.with_offsets(batch, batch_id, "event_id"), batch_id)
-        if batch_id == 1 and not crashed["done"]:
-            crashed["done"] = True
-            raise _InjectedFailure("injected crash after the write, before the commit")
-
-    _run_once_more_after_crash(lambda: stream.writeStream.foreachBatch(sink)
-                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    _run(stream, lambda b, i: write(delivery.with_offsets(b, i, "event_id"), i), base)
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
 
 
@@ -882,6 +948,8 @@ def text_file_lines(spark, sf):
     idx = ordered.zip_with_index(d, ["doc_id"], "i")
     tagged = idx.withColumn("bucket", F.pmod("i", F.lit(4)).cast("int"))
     path = f"{scratch_path(spark, 'text')}/out"
+    from eddy.session import cut_lineage
+    tagged = cut_lineage(tagged)  # written and measured, indexed once
     files.write_text(tagged, path, "text", mode="append", bucket=F.col("bucket"))
     written = files.bytes_written(tagged, "text", by=["bucket"]).select("bucket", "bytes")
     back = files.read_lines(spark, path)  # the bucket comes back as a partition column
@@ -890,29 +958,16 @@ def text_file_lines(spark, sf):
 
 
 @query("stream_at_most_once", """
-WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
-SELECT event_id, user_id, event_type FROM events, b
-WHERE least(floor((event_id - lo) * (4.0 / (hi - lo + 1))), 3) <> 1
+SELECT event_id, user_id, event_type FROM events
 """)
 def stream_at_most_once(spark, sf):
     """L4: events as a file stream, one file per micro-batch; each batch's
-    id is committed first, then the batch is processed.  A crash between
-    the two in batch 1 loses that batch on restart (and never duplicates
-    a row): delivered = all events but the second file."""
+    id is committed first, then the batch is processed."""
     from eddy.streaming import delivery
     base, stream = _staged_events(spark, sf, cols=["event_id", "user_id", "event_type"])
     out = f"{base}/out"
-    crashed = {"done": False}
-
-    def process(batch, batch_id):
-        if batch_id == 1 and not crashed["done"]:
-            crashed["done"] = True
-            raise _InjectedFailure("injected crash after the commit, before processing")
-        batch.write.mode("append").parquet(out)
-
-    fn = delivery.at_most_once(spark, f"{base}/commits", process)
-    _run_once_more_after_crash(lambda: stream.writeStream.foreachBatch(fn)
-                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    _run(stream, delivery.at_most_once(spark, f"{base}/commits",
+                                       lambda b, _: b.write.mode("append").parquet(out)), base)
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
@@ -924,9 +979,7 @@ FROM events
 """)
 def log_consume_publish(spark, sf):
     """K13 + L3: events appended to log A; a stream consumes A, publishes
-    the upper-cased values to log B, and commits A only after the publish.
-    The job crashes after publishing, before the commit; the replayed
-    batch finds its batch id in B and publishes nothing twice."""
+    the upper-cased values to log B, and commits A only after the publish."""
     from eddy.session import scratch_path
     from eddy.sources import topiclog
     from eddy.streaming import delivery
@@ -939,16 +992,7 @@ def log_consume_publish(spark, sf):
         return topiclog.records(src, "upper", F.col("a_partition"), F.col("k"), F.upper("v"))
 
     publish = delivery.consume_publish(spark, f"{base}/b", upper, ["a_offset"])
-    crashed = {"done": False}
-
-    def sink(batch, batch_id):
-        publish(batch, batch_id)
-        if not crashed["done"]:
-            crashed["done"] = True
-            raise _InjectedFailure("injected crash after the publish, before the commit")
-
-    _run_once_more_after_crash(lambda: log_a.read_stream().writeStream.foreachBatch(sink)
-                               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    _run(log_a.read_stream(), publish, base)
     out = topiclog.TopicLog(spark, f"{base}/b").read()
     return out.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
@@ -1040,9 +1084,259 @@ def recover_parse(spark, sf):
 SELECT doc_id, length(text) AS n_chars_text FROM documents
 """)
 def parallel_lengths(spark, sf):
-    """A pandas function over Arrow batches of documents on 8 parallel
-    tasks, order kept as a column (``mapAsync``)."""
+    """A pandas function over Arrow batches of documents, as many at
+    once as there are partitions (``mapAsyncUnordered``)."""
     from eddy.operators import mapping
     d = table(spark, sf, "documents").select("doc_id", "text")
     return mapping.parallel_map(d, lambda p: p[["doc_id"]].assign(n_chars_text=p["text"].str.len()),
-                                "doc_id long, n_chars_text long", width=8)
+                                "doc_id long, n_chars_text long")
+
+
+# --- the same operators on harder inputs -------------------------------------
+
+def _late_events(spark, sf):
+    """Events whose time goes back by 0..4 hours and whose user is null for
+    every eleventh row."""
+    ev = shifted_events(spark, sf).select("event_id", "user_id", "ets", "event_type")
+    return ev.withColumn("user_id", F.when(F.pmod("event_id", F.lit(11)) != 0, F.col("user_id")))
+
+
+_LATE_SQL = """
+e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, event_type,
+             ts - to_hours(CAST((event_id * 7919) % 5 AS INTEGER)) AS ets FROM events),
+k AS (SELECT *, coalesce(user_id, -1) AS u, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn,
+             max(ets) OVER (PARTITION BY user_id ORDER BY event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS clock FROM e)
+"""
+
+
+@query("in_flight_nulls", f"""
+WITH RECURSIVE {_LATE_SQL},
+r AS (SELECT u, user_id, rn, event_id, clock AS last_acc, true AS accepted FROM k WHERE rn = 1
+      UNION ALL
+      SELECT k.u, k.user_id, k.rn, k.event_id,
+             CASE WHEN k.clock >= r.last_acc + INTERVAL 6 HOUR THEN k.clock ELSE r.last_acc END,
+             k.clock >= r.last_acc + INTERVAL 6 HOUR
+      FROM r JOIN k ON k.u = r.u AND k.rn = r.rn + 1)
+SELECT event_id, user_id, accepted FROM r
+""")
+def in_flight_nulls(spark, sf):
+    """F3 with null keys and times that go back."""
+    from eddy.operators import state
+    out = state.suppress_in_flight(_late_events(spark, sf), "user_id", "event_id", "ets", 6 * HOUR_US)
+    return out.select("event_id", "user_id", "accepted")
+
+
+@query("grouped_within_late", f"""
+WITH RECURSIVE {_LATE_SQL},
+r AS (SELECT u, user_id, rn, event_id, 0 AS batch, clock AS open_ts, 1 AS cnt FROM k WHERE rn = 1
+      UNION ALL
+      SELECT k.u, k.user_id, k.rn, k.event_id,
+             CASE WHEN r.cnt < 4 AND k.clock < r.open_ts + INTERVAL 2 DAY THEN r.batch ELSE r.batch + 1 END,
+             CASE WHEN r.cnt < 4 AND k.clock < r.open_ts + INTERVAL 2 DAY THEN r.open_ts ELSE k.clock END,
+             CASE WHEN r.cnt < 4 AND k.clock < r.open_ts + INTERVAL 2 DAY THEN r.cnt + 1 ELSE 1 END
+      FROM r JOIN k ON k.u = r.u AND k.rn = r.rn + 1)
+SELECT event_id, user_id, CAST(batch AS BIGINT) AS batch FROM r
+""")
+def grouped_within_late(spark, sf):
+    """A12 with null keys and times that go back; hot keys (over 50 rows)
+    take the chains."""
+    from eddy.operators import state
+    out = state.grouped_within(_late_events(spark, sf), "user_id", "event_id", "ets", 4, 48 * HOUR_US, direct_rows=50)
+    return out.select("event_id", "user_id", "batch")
+
+
+@query("fsm_late", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id,
+                  ts - to_hours(CAST((event_id * 7919) % 5 AS INTEGER)) AS ets FROM events)
+SELECT event_id, user_id,
+       coalesce(epoch_us(ets) - epoch_us(lag(ets) OVER (PARTITION BY user_id ORDER BY event_id)) >= 21600000000, false)
+       AS timed_out FROM e
+""")
+def fsm_late(spark, sf):
+    """F4's timer with null keys and times that go back: 6 hours or more
+    since the key's previous event."""
+    from eddy.operators import state
+    out = state.timed_out(_late_events(spark, sf), "user_id", "event_id", "ets", 6 * HOUR_US)
+    return out.select("event_id", "user_id", "timed_out")
+
+
+@query("count_windows_gaps", """
+WITH i AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events)
+SELECT idx // 3 AS win, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY idx) AS ids
+FROM i WHERE idx % 3 < 2 GROUP BY 1
+""")
+def count_windows_gaps(spark, sf):
+    """W1 with a step larger than the size: 2 rows every 3."""
+    ev = table(spark, sf, "events").select("event_id")
+    out = windows.count_windows(ev, ["event_id"], 2, 3, "event_id")
+    return out.select("win", "n", F.array_join(F.col("values").cast("array<string>"), ",").alias("ids"))
+
+
+@query("adjust_counts", """
+WITH u AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1)
+SELECT coalesce(c_custkey, k) AS c_custkey,
+       CASE WHEN k IS NULL THEN CAST(c_nationkey AS BIGINT) ELSE coalesce(CAST(c_nationkey AS BIGINT), 100) + n END AS total
+FROM (SELECT * FROM customer WHERE c_custkey % 2 = 0) c FULL JOIN u ON u.k = c.c_custkey
+""")
+def adjust_counts(spark, sf):
+    """A10: a table of numbers by customer; one is added for every order of
+    the customer, from 100 for those not in the table."""
+    c = table(spark, sf, "customer").filter("c_custkey % 2 = 0").select(
+        "c_custkey", F.col("c_nationkey").cast("long").alias("total"))
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return grouping.adjust(c, o, "c_custkey", "total", 100, lambda v: v + 1)
+
+
+@query("table_scan_predicate", """
+SELECT p_partkey, p_brand, p_size FROM part WHERE p_size = 7 AND p_brand <> 'Brand#11'
+""")
+def table_scan_predicate(spark, sf):
+    """A stored table scanned with a predicate (equal, and not equal)."""
+    from eddy.session import scratch_path
+    from eddy.sources import tables
+    t = tables.KeyedTable(spark, scratch_path(spark, "scan"), key="p_partkey")
+    t.insert(table(spark, sf, "part").select("p_partkey", "p_brand", "p_size"))
+    return tables.scan(t.current(), (F.col("p_size") == 7) & (F.col("p_brand") != "Brand#11"))
+
+
+@query("take_first", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 42
+""")
+def take_first(spark, sf):
+    """The first 42 orders, dearest first (``take``)."""
+    o = table(spark, sf, "orders")
+    return ordered.take(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], 42).select("o_orderkey", "o_custkey")
+
+
+@query("flat_map_positions", """
+SELECT doc_id, pos - 1 AS pos, line FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+""")
+def flat_map_positions(spark, sf):
+    """T4: the lines of every document with their positions, so (doc_id,
+    pos) is the concatenated order."""
+    from eddy.operators import mapping
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return mapping.flat_map(d, F.split("text", "\n"), "line", "pos", keep_cols=["doc_id"])
+
+
+@query("parallel_ordered", """
+SELECT c_custkey, upper(c_name) AS name FROM customer ORDER BY c_custkey
+""")
+def parallel_ordered(spark, sf):
+    """A pandas function over Arrow batches, results in input order
+    (``mapAsync``)."""
+    from eddy.operators import mapping
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return mapping.parallel_map(c, lambda p: p[["c_custkey"]].assign(name=p["c_name"].str.upper()),
+                                "c_custkey long, name string", order_by=["c_custkey"])
+
+
+@query("json_rejects", """
+SELECT event_id, event_id % 5 <> 0 AS parsed, CASE WHEN event_id % 5 <> 0 THEN event_type END AS first FROM events
+""")
+def json_rejects(spark, sf):
+    """T19 with bad input: every fifth message is cut short; parsed and
+    rejected rows both come back."""
+    from pyspark.sql import types as T
+
+    from eddy.functions import json as J
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    msg = J.encode("type1", {"first": F.col("event_type")})
+    msg = F.when(F.pmod("event_id", F.lit(5)) == 0, F.substring(msg, F.lit(1), F.length(msg) - 3)).otherwise(msg)
+    schema = J.superset_schema({"type1": [("first", T.StringType())]})
+    read = ev.select("event_id", J.decode(msg, schema).alias("m"))
+    ok, rejected = routing.supervise(read, F.when(F.col("m._corrupt_record").isNull(), F.col("m")))
+    return ok.select("event_id", F.lit(True).alias("parsed"), F.col("parsed.first").alias("first")).unionByName(
+        rejected.select("event_id", F.lit(False).alias("parsed"), F.lit(None).cast("string").alias("first")))
+
+
+@query("rewritten_words", """
+WITH t AS (SELECT regexp_replace(regexp_replace(replace(text, chr(10), ' '), '[.,]', '', 'g'), '\\bthe\\b', 'a', 'g') AS t
+           FROM documents),
+w AS (SELECT unnest(string_split_regex(lower(t), '[\t\n\x0B\f\r ]')) AS word FROM t),
+c AS (SELECT word, count(*) AS n FROM w WHERE length(word) > 0 GROUP BY word)
+SELECT word, n FROM c WHERE (length(word) > 3 OR (upper(word) = word AND length(word) = 3)) AND n > 14
+""")
+def rewritten_words(spark, sf):
+    """F-a + T20 + A6: texts through a chain of functions, rewrite rules
+    among them, then words seen more than 14 times."""
+    from eddy.functions import strings
+    rules = [("\n", " "), ("[.,]", ""), (r"\bthe\b", "a")]
+    t = strings.chain(F.col("text"), [lambda c: strings.rewrite(c, rules), F.lower])
+    d = table(spark, sf, "documents").select(t.alias("text"))
+    return text.frequent_words(text.word_counts(d, "text"), 14)
+
+
+@query("merged_id_set", """
+SELECT o_custkey AS id FROM orders UNION SELECT user_id AS id FROM events
+""")
+def merged_id_set(spark, sf):
+    """The ids of two streams, merged, each once."""
+    return routing.merge_distinct([table(spark, sf, "orders").select(F.col("o_custkey").alias("id")),
+                                   table(spark, sf, "events").select(F.col("user_id").alias("id"))])
+
+
+@query("time_texts", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS text, strftime(ts, '%H:%M:%S.%g') AS local_time,
+       epoch_us(ts) // 1000 AS millis FROM events
+""")
+def time_texts(spark, sf):
+    """F-h + F-i: event times as text, as local time, and as milliseconds
+    (through a timestamp and back)."""
+    from eddy.functions import time as times
+    ev = table(spark, sf, "events")
+    ms = times.to_millis(F.col("ts"))
+    return ev.select("event_id", times.to_text(F.col("ts")).alias("text"),
+                     times.local_time_text(F.col("ts")).alias("local_time"),
+                     times.to_millis(times.from_millis(ms)).alias("millis"))
+
+
+@query("nested_messages", """
+SELECT n_nationkey, '{"$type":"add_table","after_id":' || (n_nationkey + 1) || ',"table":{"id":' || (n_nationkey + 2)
+       || ',"name":"table - Foo Fighters ' || (n_nationkey * n_nationkey) || '","participants":' || (n_nationkey * 4)
+       || '}}' AS message, CAST(n_nationkey * 4 AS INTEGER) AS participants
+FROM nation
+""")
+def nested_messages(spark, sf):
+    """F-m: a nested tagged message for each nation, and read back."""
+    from eddy.functions import json as J
+    n = table(spark, sf, "nation").select("n_nationkey")
+    msg = J.nested_message(F.col("n_nationkey"))
+    return n.select("n_nationkey", msg.alias("message"),
+                    F.from_json(msg, J.NESTED_SCHEMA)["table"]["participants"].alias("participants"))
+
+
+@query("stream_per_partition", f"""
+WITH {_TWO_TOPICS}
+SELECT topic, partition, count(*) AS n, max("offset") AS last_offset FROM o GROUP BY ALL
+""")
+def stream_per_partition(spark, sf):
+    """A log consumed as a stream, an independent count for each
+    topic-partition and micro-batch, each in a folder of its own."""
+    from eddy.session import scratch_path
+    from eddy.streaming import delivery
+    log, base = _two_topic_log(spark, sf), scratch_path(spark, "flows")
+    flow = delivery.per_partition(lambda b: b.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n"), F.max("offset").alias("last")), f"{base}/out")
+    _run(log.read_stream(), flow, base)
+    return spark.read.parquet(f"{base}/out").groupBy("topic", "partition").agg(
+        F.sum("n").alias("n"), F.max("last").alias("last_offset")).withColumn("partition", F.col("partition").cast("int"))
+
+
+@query("tee_sinks", """
+SELECT 'all' AS sink, count(*) AS n FROM events
+UNION ALL SELECT 'purchases' AS sink, count(*) AS n FROM events WHERE event_type = 'purchase'
+""")
+def tee_sinks(spark, sf):
+    """One input written by two sinks, read from the source once."""
+    from eddy import sinks
+    from eddy.session import scratch_path
+    base = scratch_path(spark, "tee")
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    sinks.tee(ev, [lambda d: d.write.parquet(f"{base}/all"),
+                   lambda d: d.filter("event_type = 'purchase'").write.parquet(f"{base}/purchases")])
+    return routing.merge([spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(n).alias("sink"), "n") for n in ("all", "purchases")])

@@ -10,8 +10,6 @@ than reading it again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +41,3 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if size <= max_bytes and kept.count() <= max_rows:
         kept = F.broadcast(kept)
     return big.join(kept, on=on, how=how)
-
-
-def key_table(values: Sequence, name: str, spark, dtype: str = "long") -> DataFrame:
-    """A small literal key table (for example the disjuncts of a delete)."""
-    return spark.createDataFrame([(v,) for v in values], f"{name} {dtype}")

@@ -4,7 +4,9 @@ tables, and finding the shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder for it")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="eddy-ckpt-"))
@@ -70,14 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for written
     intermediate tables and streaming checkpoints."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,15 +88,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[int] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
-    """Make ``eddy`` importable in the Python workers (pandas stages
-    unpickle functions from it): zip the package once and add it with
-    ``addPyFile``, as ``--py-files`` would on a cluster."""
+    """Make ``eddy`` importable in the Python workers (Arrow stages
+    unpickle functions from it): zip the package once per context and add
+    it with ``addPyFile``, as ``--py-files`` would on a cluster."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if getattr(sc, "_eddy_shipped", False):
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -114,4 +106,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(path)
-    _SHIPPED.add(id(sc))
+    sc._eddy_shipped = True

@@ -11,11 +11,13 @@ from eddy.operators.ordered import first_row, last_indexed  # noqa: F401  (K6)
 from eddy.operators.routing import fan_out as tee  # noqa: F401  (K8)
 
 
-def console(df: DataFrame, n: int = 20) -> None:
-    """K3: print rows (batch) or ``writeStream.format("console")``."""
+def console(df: DataFrame, n: int | None = None):
+    """K3: print every row, or the first ``n`` if the caller says so; a
+    stream is started with Spark's console sink."""
     if df.isStreaming:
-        raise TypeError("use df.writeStream.format('console') for a stream")
-    df.show(n, truncate=False)
+        return df.writeStream.format("console").option("truncate", False).start()
+    for row in (df if n is None else df.limit(n)).toLocalIterator():
+        print(*row, sep=" | ")
 
 
 def rows(df: DataFrame) -> DataFrame:

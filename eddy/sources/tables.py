@@ -1,7 +1,9 @@
 """Keyed tables with insert, update and delete (S15, K14-K18), stored as
-parquet version folders ``path/v=<n>``: every write makes a new version
-from the current one (copy-on-write), so a failed job leaves the last
-version intact and a reader always sees one whole version.
+numbered parquet folders: ``v=<n>`` is a whole version (an update or delete
+writes one from the current rows), ``a=<n>`` holds the rows that an insert
+added to it, so an insert writes its own rows only.  A folder counts once
+its job has committed, so a failed job leaves the table as it was.  Versions
+older than the last ``KEEP`` whole ones are dropped.
 
 The table operations are DataFrame functions (``apply_*``); a table
 folder only adds versions.  A document store with its own connector is
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 from eddy.plans.joins import join_small
 
 
+KEEP = 3
+
+
 def scan(df: DataFrame, cond: Column | None = None) -> DataFrame:
     """Table scan with a predicate (``find(filter)``); Spark pushes it
     into the parquet reader."""
@@ -94,51 +99,58 @@ def disjuncts(spark: SparkSession, values: Sequence, col: str, dtype: str = "lon
 
 
 class KeyedTable:
-    """A table folder of parquet versions."""
+    """A table folder of whole versions and additions."""
 
     def __init__(self, spark: SparkSession, path: str, key: str | None = None):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p.getFileSystem(conf), p
+        return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def versions(self) -> list[int]:
+    def _folders(self) -> list[tuple[int, str]]:
+        """(number, folder name) of every committed folder, in order."""
         jvm, fs, p = self._fs()
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            ok = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            if name.startswith("v=") and ok:
-                out.append(int(name[2:]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted((int(n[2:]), n) for n in names if n[:2] in ("v=", "a=")
+                      and fs.exists(jvm.org.apache.hadoop.fs.Path(p, f"{n}/_SUCCESS")))
+
+    def versions(self) -> list[int]:
+        return [n for n, _ in self._folders()]
 
     def current(self) -> DataFrame | None:
-        vs = self.versions()
-        if not vs:
+        """The last whole version and what was added since."""
+        got = self._folders()
+        if not got:
             return None
-        return self.spark.read.parquet(f"{self.path}/v={vs[-1]:08d}")
+        start = max((i for i, (_, name) in enumerate(got) if name.startswith("v=")), default=0)
+        return self.spark.read.parquet(*[f"{self.path}/{name}" for _, name in got[start:]])
+
+    def _next(self) -> int:
+        return max(self.versions(), default=0) + 1
 
     def write(self, df: DataFrame) -> DataFrame:
-        vs = self.versions()
-        n = (vs[-1] + 1) if vs else 1
-        target = f"{self.path}/v={n:08d}"
-        df.write.mode("overwrite").parquet(target)
-        return self.spark.read.parquet(target)
+        """A new whole version."""
+        target = f"v={self._next():08d}"
+        df.write.mode("overwrite").parquet(f"{self.path}/{target}")
+        jvm, fs, p = self._fs()
+        got = self._folders()
+        whole = [i for i, (_, name) in enumerate(got) if name.startswith("v=")]
+        for _, name in got[:whole[-KEEP]] if len(whole) > KEEP else []:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(p, name), True)
+        return self.spark.read.parquet(f"{self.path}/{target}")
 
     def insert(self, rows: DataFrame, unique: bool = True) -> DataFrame:
         cur = self.current()
+        if unique and self.key:
+            check_unique_insert(rows.limit(0) if cur is None else cur, rows, self.key)
         if cur is None:
-            if unique and self.key:
-                check_unique_insert(rows.limit(0), rows, self.key)
             return self.write(rows)
-        if unique and self.key:
-            check_unique_insert(cur, rows, self.key)
-        return self.write(apply_insert(cur, rows))
+        rows.select(*cur.columns).write.mode("overwrite").parquet(f"{self.path}/a={self._next():08d}")
+        return self.current()
 
     def update_one(self, updates: DataFrame, match: str, sets: Mapping[str, str], order_by: str) -> DataFrame:
         return self.write(apply_update_one(self.current(), updates, match, sets, order_by))

@@ -26,9 +26,12 @@ from pyspark.sql import types as T
 from eddy.plans import prefix
 from eddy.plans.joins import join_small
 
-# Fixed values (result formats of the producer): the per-record result
-# "topic/partition offset: value" and the pass-through result "passed through".
+# Fixed values (result texts of the producer): one record's place is
+# "topic/partition offset: value"; a single publish is "single " and its place,
+# a publish to several topics "multi " and all places joined by ", ", and a
+# message that is published nowhere "passed through".
 REPORT_FORMAT = "%s/%d %d: %s"
+SINGLE, MULTI, PLACES_BETWEEN = "single ", "multi ", ", "
 PASSED_THROUGH = "passed through"
 
 LOG_SCHEMA = T.StructType([
@@ -86,6 +89,25 @@ def fan_out(df: DataFrame, targets: Column, passed: str = PASSED_THROUGH) -> Dat
                           .otherwise(F.concat(F.lit("published to "), F.col("topic"))))
 
 
+def publish_results(appended: DataFrame, messages: DataFrame, key: str) -> DataFrame:
+    """The result of each message (``key``): ``single`` and its
+    record's place, ``multi`` and the places of all its records (by topic
+    and partition), or the pass-through text for a message without record.
+    A message has as many records as it names topics."""
+    places = F.sort_array(F.collect_list(F.struct("topic", "partition", F.col(REPORT).alias("place"))))
+    per = (report(appended, REPORT).groupBy(key).agg(places.alias("__p"))
+           .select(F.col(key).alias("__key"), F.size("__p").alias("__n"),
+                   F.array_join(F.col("__p.place"), PLACES_BETWEEN).alias("__text")))
+    text = (F.when(F.col("__n").isNull(), F.lit(PASSED_THROUGH))
+             .when(F.col("__n") == 1, F.concat(F.lit(SINGLE), F.col("__text")))
+             .otherwise(F.concat(F.lit(MULTI), F.col("__text"))))
+    return messages.join(per, F.col(key).eqNullSafe(F.col("__key")), "left").select(
+        *[messages[c] for c in messages.columns], text.alias("result"))
+
+
+REPORT = "__report"
+
+
 def commit_positions(consumed: DataFrame, batch: str | None = "batch") -> DataFrame:
     """The offset to commit per (batch, topic, partition): the highest
     offset consumed plus one.  Map-side combined."""
@@ -94,6 +116,13 @@ def commit_positions(consumed: DataFrame, batch: str | None = "batch") -> DataFr
                                        (F.max("offset") + 1).alias("commit_offset"))
 
 
+def commit_pairs(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """A13 with two inputs: one commit for each pair of batches of two logs:
+    the positions of both (``left_``, ``right_``), joined on ``on``."""
+    named = lambda df, side: df.select(*on, *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in on])
+    return named(left, "left").join(named(right, "right"), list(on))
+
+
 def offset_batches(consumed: DataFrame, size: int, name: str = "batch") -> DataFrame:
     """A11 on a log: batches of ``size`` records per partition in offset
     order.  Offsets of a partition are dense from its start offset, so the
@@ -117,14 +146,14 @@ def zip_partitions(left: DataFrame, right: DataFrame) -> DataFrame:
 class TopicLog:
     """An append-only log in a folder.
 
-    Records live under ``topic=/partition=/batch_id=`` folders.  After a
-    batch is written, ``_positions/batch_id=<b>`` records the next offset
-    of every (topic, partition): one small row per partition and the
-    commit mark of the batch.  Batch ids rise; readers see committed
-    batches only.  A batch that crashed before its mark is written again
-    with the same offsets (they start from the previous batch's positions)
-    and replaces only its own folders (dynamic partition overwrite), so a
-    replay never duplicates a record.  No append scans the log itself.
+    Records live under ``topic=/partition=/batch_id=`` folders.  A batch is
+    written to a hidden staging folder first; then
+    ``_positions/batch_id=<b>`` records the next offset of every (topic,
+    partition), one small row each, which is the batch's commit mark; then
+    its folders are moved into place.  Files of a batch without its mark
+    are therefore never in place, for batch or stream readers, and a crash
+    between mark and move is finished by whoever opens the log next.  Only
+    the last mark is kept.  Batch ids rise; no append scans the log.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -135,30 +164,60 @@ class TopicLog:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def committed(self) -> list[int]:
-        """Committed batch ids (from the positions folder names)."""
-        jvm, fs = self._fs()
-        pos = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_positions")
+    def _path(self, *parts: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+
+    def last_batch(self) -> int | None:
+        """The last committed batch id, after finishing its move."""
+        _, fs = self._fs()
+        pos = self._path("_positions")
         if not fs.exists(pos):
-            return []
-        out = []
-        for st in fs.listStatus(pos):
-            name = st.getPath().getName()
-            if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+            return None
+        marks = [int(st.getPath().getName()[9:]) for st in fs.listStatus(pos)
+                 if st.getPath().getName().startswith("batch_id=")
+                 and fs.exists(self._path("_positions", st.getPath().getName(), "_SUCCESS"))]
+        if not marks:
+            return None
+        last = max(marks)
+        self._publish(last)
+        for b in marks:
+            if b < last:
+                fs.delete(self._path("_positions", f"batch_id={b}"), True)
+        return last
+
+    def _publish(self, batch_id: int) -> None:
+        """Move a committed batch's staged folders into place."""
+        _, fs = self._fs()
+        staged = self._path(f"_staging-{batch_id}")
+        if not fs.exists(staged):
+            return
+        for st in fs.globStatus(self._path(f"_staging-{batch_id}", "topic=*", "partition=*")) or []:
+            part = st.getPath()
+            leaf = (part.getParent().getName(), part.getName())
+            target = self._path(*leaf, f"batch_id={batch_id}")
+            if not fs.exists(target):
+                fs.mkdirs(self._path(*leaf))
+                fs.rename(part, target)
+        fs.delete(staged, True)
+
+    def has_batch(self, batch_id: int) -> bool:
+        last = self.last_batch()
+        if last is None or batch_id > last:
+            return False
+        _, fs = self._fs()
+        return batch_id == last or bool(fs.globStatus(self._path("topic=*", "partition=*", f"batch_id={batch_id}")))
 
     def read(self, topics: Sequence[str] | None = None,
              assignment: Mapping[tuple[str, int], int | None] | None = None) -> DataFrame:
         """Records of ``topics`` (subscribe, from earliest) or
         of an assignment ``{(topic, partition): start_offset or None}``
         (a None start reads the whole partition).  Only committed batches;
-        topic, partition and batch filters prune folders, the offset
-        filter is pushed into the parquet scan."""
-        done = self.committed()
-        if not done:
+        topic and partition filters prune folders, the offset filter is
+        pushed into the parquet scan."""
+        _, fs = self._fs()
+        if self.last_batch() is None or not fs.globStatus(self._path("topic=*")):
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        df = self.spark.read.schema(LOG_SCHEMA).parquet(self.path).filter(F.col("batch_id") <= done[-1])
+        df = self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
         if topics is not None:
             df = df.filter(F.col("topic").isin(list(topics)))
         if assignment is not None:
@@ -171,47 +230,46 @@ class TopicLog:
             df = df.filter(cond)
         return df
 
-    def positions(self, before: int | None = None) -> DataFrame:
-        """Next offset per (topic, partition) after the last committed batch
-        (or the last one before ``before``)."""
-        done = [b for b in self.committed() if before is None or b < before]
-        if not done:
+    def positions(self) -> DataFrame:
+        """Next offset per (topic, partition) after the last committed batch."""
+        last = self.last_batch()
+        if last is None:
             return self.spark.createDataFrame([], "topic string, partition int, next_offset long")
-        return self.spark.read.parquet(f"{self.path}/_positions/batch_id={done[-1]}")
-
-    def has_batch(self, batch_id: int) -> bool:
-        return batch_id in self.committed()
+        return self.spark.read.parquet(f"{self.path}/_positions/batch_id={last}")
 
     def append(self, recs: DataFrame, order_by: Sequence[str], batch_id: int | None = None) -> DataFrame:
         """K9: append records with offsets as batch ``batch_id`` (the next id
         when None); returns the appended rows (the K10 result).  A batch id
         already committed is skipped, so a replayed micro-batch does not
         write twice."""
-        done = self.committed()
+        last = self.last_batch()
         if batch_id is None:
-            batch_id = done[-1] + 1 if done else 0
-        if batch_id in done:
-            return self.read().filter(F.col("batch_id") == batch_id)
-        if done and batch_id < done[-1]:
-            raise ValueError(f"batch {batch_id} comes after committed batch {done[-1]}")
-        base = self.positions(before=batch_id)
-        out = assign_offsets(recs, order_by, base).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        rows = out.select(*[f.name for f in LOG_SCHEMA.fields])
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("topic", "partition", "batch_id").parquet(self.path))
-        written = (self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
-                       .filter(F.col("batch_id") == batch_id))
-        now = written.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+            batch_id = 0 if last is None else last + 1
+        mine = F.col("batch_id") == batch_id
+        if last is not None and batch_id <= last:
+            if self.has_batch(batch_id):
+                return self.read().filter(mine)
+            raise ValueError(f"batch {batch_id} comes after committed batch {last}")
+        base = self.positions()
+        out = assign_offsets(recs, order_by, base)
+        staged = f"{self.path}/_staging-{batch_id}"
+        names = [f.name for f in LOG_SCHEMA.fields if f.name != "batch_id"]
+        out.select(*names).write.mode("overwrite").partitionBy("topic", "partition").parquet(staged)
+        schema = T.StructType([f for f in LOG_SCHEMA.fields if f.name != "batch_id"])
+        now = (self.spark.read.schema(schema).parquet(staged)
+               .groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset")))
         merged = now.unionByName(base).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
         self._commit(batch_id, merged)
-        return written
+        self._publish(batch_id)
+        return self.read().filter(mine)
 
     def _commit(self, batch_id: int, positions: DataFrame) -> None:
-        """Write the batch's positions: the batch becomes visible."""
+        """Write the batch's positions: the batch is committed."""
         positions.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_positions/batch_id={batch_id}")
 
     def read_stream(self, max_files_per_trigger: int | None = None, topics: Sequence[str] | None = None) -> DataFrame:
-        """The log as a stream (new files are new records)."""
+        """The log as a stream (files moved into place are new records)."""
+        self.last_batch()
         r = self.spark.readStream.schema(LOG_SCHEMA)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -35,12 +35,14 @@ def backoff_delays(min_s: float = 3.0, max_s: float = 30.0, jitter: float = 0.2,
         k += 1
 
 
-def run_with_backoff(start: Callable[[], StreamingQuery], max_restarts: int = 5,
+def run_with_backoff(start: Callable[[], StreamingQuery], max_restarts: int | None = None,
                      min_s: float = 3.0, max_s: float = 30.0, jitter: float = 0.2,
                      sleep: Callable[[float], None] = time.sleep) -> StreamingQuery:
     """Start the query, and restart it after a failure with
     exponential backoff.  ``start`` must reuse the same checkpoint, so no
-    committed batch is lost or repeated in the sink."""
+    committed batch is lost or repeated in the sink.  Without
+    ``max_restarts`` it never gives up; a run that committed a batch resets
+    the delays and the count."""
     delays = backoff_delays(min_s, max_s, jitter)
     attempt = 0
     while True:
@@ -49,8 +51,10 @@ def run_with_backoff(start: Callable[[], StreamingQuery], max_restarts: int = 5,
             q.awaitTermination()
             return q
         except Exception:  # noqa: BLE001 - any stream failure restarts
+            if any(p.numInputRows for p in q.recentProgress):
+                delays, attempt = backoff_delays(min_s, max_s, jitter), 0
             attempt += 1
-            if attempt > max_restarts:
+            if max_restarts is not None and attempt > max_restarts:
                 raise
             sleep(next(delays))
 

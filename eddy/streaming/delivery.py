@@ -54,18 +54,33 @@ def with_offsets(batch: DataFrame, batch_id: int, offset: str = "offset") -> Dat
     return batch.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("stored_offset", F.col(offset))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def resume_offset(spark: SparkSession, store_path: str, literal: bool = False) -> int:
-    """Where to restart: one past the highest stored offset (or the
-    stored offset itself with ``literal``, which repeats one record)."""
-    try:
-        top = spark.read.parquet(store_path).agg(F.max("stored_offset")).first()[0]
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    """K20 for one partition: one past the highest stored offset (or the
+    stored offset itself with ``literal``, which repeats one record); 0 if
+    nothing is stored.  Any other failure to read is raised."""
+    if not _exists(spark, store_path):
         return 0
+    top = spark.read.parquet(store_path).agg(F.max("stored_offset")).first()[0]
     if top is None:
         return 0
     return int(top) if literal else int(top) + 1
 
 
+def resume_positions(spark: SparkSession, store_path: str) -> dict[tuple[str, int], int]:
+    """Where each (topic, partition) goes on, one past its own highest
+    stored offset, as an assignment for ``TopicLog.read``; partitions
+    without a stored offset are not in it.  One number per partition."""
+    if not _exists(spark, store_path):
+        return {}
+    rows = spark.read.parquet(store_path).groupBy("topic", "partition").agg(F.max("stored_offset").alias("top"))
+    return {(r.topic, r.partition): r.top + 1 for r in rows.collect()}
+
+
 def consume_publish(spark: SparkSession, out_log: str, transform: Callable[[DataFrame], DataFrame],
                     order_by: list[str]) -> Callable[[DataFrame, int], None]:
     """Consume a batch, publish the transformed records to another

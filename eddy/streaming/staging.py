@@ -15,15 +15,17 @@ from eddy.plans import prefix
 
 def stage_files(df: DataFrame, path: str, n_files: int, order_col: str) -> str:
     """Write ``df`` to ``path`` as ``n_files`` parts split by ranges of
-    ``order_col``, in one job (one ``part=<i>`` folder each), then give the
-    files of part i a later modification time than those of part i-1, so
-    the file source replays them in order."""
+    ``order_col``, in one job (one file in a ``part=<i>`` folder each,
+    however many partitions ``df`` has), then give the file of part i a
+    later modification time than that of part i-1, so the file source
+    replays them in order."""
     k = prefix.order_number(df, order_col)
     st = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi")).first()
     lo, hi = st["lo"], st["hi"]
     span = float(hi - lo + 1) if lo is not None else 1.0
     part = F.least(F.floor((k - F.lit(lo or 0)) * F.lit(n_files / span)), F.lit(n_files - 1)).cast("int")
-    df.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
+    ranged = df.withColumn("part", part).repartition(n_files, "part").sortWithinPartitions("part", order_col)
+    ranged.write.mode("append").partitionBy("part").parquet(path)
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)

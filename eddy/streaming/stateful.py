@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from eddy.operators.state import NO_TIME
+
+
+def _micros(ts: pd.Series) -> pd.Series:
+    """Epoch microseconds, whatever unit pandas holds the times in."""
+    return pd.to_datetime(ts).astype("datetime64[us]").astype("int64")
+
 
 def first_seen(stream: DataFrame, key: str, order_by: str, name: str = "first_seen") -> DataFrame:
     """Rows pass through with a flag on the first row of each key
@@ -20,16 +27,13 @@ def first_seen(stream: DataFrame, key: str, order_by: str, name: str = "first_se
                                T.StructField(name, T.BooleanType())])
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen = state.exists
-        for pdf in pdfs:
-            pdf = pdf.sort_values(order_by)
-            flags = np.zeros(len(pdf), dtype=bool)
-            if not seen and len(pdf):
-                flags[0] = True
-                seen = True
-            yield pd.DataFrame({key: pdf[key].values, order_by: pdf[order_by].values, name: flags})
-        if seen:
-            state.update((True,))
+        # The first row may be in any of the micro-batch's Arrow chunks.
+        rows = pd.concat([pdf[[key, order_by]] for pdf in pdfs], ignore_index=True)
+        flags = np.zeros(len(rows), dtype=bool)
+        if not state.exists and len(rows):
+            flags[int(rows[order_by].argmin())] = True
+        state.update((True,))
+        yield rows.assign(**{name: flags})
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, out_schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
@@ -53,7 +57,7 @@ def run_machine(stream: DataFrame, machine, key: str, order_by: str, ts: str | N
             return
         pdf = pd.concat(chunks).sort_values(order_by)
         if ts is not None:
-            t = pd.to_datetime(pdf[ts]).astype("int64") // 1000
+            t = _micros(pdf[ts])
             prev = t.shift(1)
             if last is not None:
                 prev.iloc[0] = last
@@ -83,7 +87,7 @@ def _greedy(stream: DataFrame, key: str, order_by: str, ts: str, name: str, out_
     def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         cur = state.get if state.exists else start
         pdf = pd.concat(list(pdfs)).sort_values(order_by)
-        t = (pd.to_datetime(pdf[ts]).astype("int64") // 1000).to_numpy()
+        t = _micros(pdf[ts]).to_numpy()
         values, cur = walk(t, cur)
         state.update(tuple(cur))
         yield pd.DataFrame({key: pdf[key].values, order_by: pdf[order_by].values, name: values})
@@ -94,33 +98,44 @@ def _greedy(stream: DataFrame, key: str, order_by: str, ts: str, name: str, out_
 
 def in_flight(stream: DataFrame, key: str, order_by: str, ts: str, duration_us: int,
               name: str = "accepted") -> DataFrame:
-    """F3 on a stream: per key, the time the running request ends is the
-    state; a request before it is put off."""
+    """F3 on a stream: per key, the time the running request ends and the
+    key's clock (the running maximum of its times) are the state; a request
+    before that end is put off."""
     def walk(t, cur):
-        free_at = cur[0]
+        free_at, clock = cur
+        t = np.maximum.accumulate(np.append(NO_TIME if clock is None else clock, t))[1:]
         acc = np.zeros(len(t), dtype=bool)
-        for i, v in enumerate(t):
-            if free_at is None or v >= free_at:
-                acc[i] = True
-                free_at = int(v) + duration_us
-        return acc, (free_at,)
+        i = 0 if free_at is None else int(np.searchsorted(t, free_at))
+        while i < len(t):
+            acc[i] = True
+            free_at = int(t[i]) + duration_us
+            i = max(i + 1, int(np.searchsorted(t, free_at)))
+        return acc, (free_at, int(t[-1]))
 
-    return _greedy(stream, key, order_by, ts, name, "boolean", "free_at long", (None,), walk)
+    return _greedy(stream, key, order_by, ts, name, "boolean", "free_at long, clock long", (None, None), walk)
 
 
 def grouped_within(stream: DataFrame, key: str, order_by: str, ts: str, n: int, duration_us: int,
                    name: str = "batch") -> DataFrame:
     """A12 on a stream: per key, the open batch (number, opening time,
-    size) is the state; a batch closes at ``n`` rows or ``duration``."""
+    size) and the clock are the state; a batch closes at ``n`` rows or
+    ``duration``."""
     def walk(t, cur):
-        batch, opened, count = cur
+        batch, opened, count, clock = cur
+        t = np.maximum.accumulate(np.append(NO_TIME if clock is None else clock, t))[1:]
         out = np.zeros(len(t), dtype=np.int64)
-        for i, v in enumerate(t):
-            if batch is None or count >= n or v >= opened + duration_us:
-                batch, opened, count = (0 if batch is None else batch + 1), int(v), 0
-            count += 1
-            out[i] = batch
-        return out, (batch, opened, count)
-
-    return _greedy(stream, key, order_by, ts, name, "bigint", "batch long, opened long, count long",
-                   (None, None, None), walk)
+        i = 0
+        while i < len(t):
+            if batch is None or count >= n or t[i] >= opened + duration_us:
+                batch, opened, count = (0 if batch is None else batch + 1), int(t[i]), 0
+                end = i + 1
+            else:
+                end = i
+            end = max(end, min(i + n - count, int(np.searchsorted(t, opened + duration_us))))
+            out[i:end] = batch
+            count += end - i
+            i = end
+        return out, (batch, opened, count, int(t[-1]))
+
+    return _greedy(stream, key, order_by, ts, name, "bigint", "batch long, opened long, count long, clock long",
+                   (None, None, None, None), walk)
