@@ -82,7 +82,7 @@ def apply_update_many(current: DataFrame, updates: DataFrame, match: str, new_va
     if chained:
         raise ValueError("chained updates (a new value is matched by a later update) are refused")
     first = u.groupBy("__m").agg(F.min_by("__v", "__o").alias("__v"))
-    j = join_small(current, first, on=current[match] == first["__m"], how="left")
+    j = join_small(current, first, on=F.col(match) == F.col("__m"), how="left")
     return j.withColumn(match, F.coalesce(F.col("__v"), F.col(match))).select(*current.columns)
 
 

@@ -51,7 +51,7 @@ def run_with_backoff(start: Callable[[], StreamingQuery], max_restarts: int | No
             q.awaitTermination()
             return q
         except Exception:  # noqa: BLE001 - any stream failure restarts
-            if any(p.numInputRows for p in q.recentProgress):
+            if any(p.numInputRows for p in getattr(q, "recentProgress", ())):
                 delays, attempt = backoff_delays(min_s, max_s, jitter), 0
             attempt += 1
             if max_restarts is not None and attempt > max_restarts:

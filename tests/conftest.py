@@ -18,6 +18,5 @@ def spark():
 
 
 @pytest.fixture
-def scratch(spark, request):
-    from eddy.session import scratch_path
-    return scratch_path(spark, request.node.name.replace("[", "_").replace("]", "_"))
+def scratch(tmp_path):
+    return str(tmp_path)
