@@ -273,3 +273,40 @@ def test_chunks_are_balanced(spark, kind):
     for reverse in (False, True):
         got = prefix.running(df, ["k", "id"], {"c": ("count", None)}, chunk_rows=chunk, reverse=reverse).collect()
         assert {(r.id, n + 1 - r.c if reverse else r.c) for r in got} == want
+
+
+def test_acknowledged_sink_on_a_stream(spark, scratch):
+    """K7: init once, every batch acknowledged by the checkpoint after its
+    hook returns, complete at the end."""
+    from eddy import sinks
+
+    ev, stream = _events(spark, scratch)
+    seen = []
+    sink = sinks.acknowledged(lambda: seen.append("init"), lambda b, i: seen.append((i, b.count())),
+                              lambda: seen.append("complete"))
+    _run_with_crash(stream, sink, scratch, "never")
+    sink.complete()
+    assert seen[0] == "init" and seen[-1] == "complete" and seen.count("init") == 1
+    assert sum(n for _, n in seen[1:-1]) == ev.count() and [i for i, _ in seen[1:-1]] == [0, 1, 2, 3]
+
+
+def test_fatal_row_stops_the_query(spark):
+    """A fatal row fails the query; a row that does not parse is
+    rejected."""
+    from eddy.operators import routing
+
+    df = spark.createDataFrame([("1",), ("x",), ("2",)], "t string")
+    ok, rejected = routing.supervise(df, F.expr("try_cast(t as int)"))
+    assert sorted(r.parsed for r in ok.collect()) == [1, 2] and [r.t for r in rejected.collect()] == ["x"]
+    ok, _ = routing.supervise(df, F.expr("try_cast(t as int)"), fatal=F.col("t") == "2")
+    with pytest.raises(Exception, match="fatal row"):
+        ok.collect()
+
+
+def test_console_prints_every_row(spark, capsys):
+    from eddy import sinks
+
+    sinks.console(spark.range(30))
+    assert len(capsys.readouterr().out.splitlines()) == 30
+    sinks.console(spark.range(30), n=4)
+    assert len(capsys.readouterr().out.splitlines()) == 4
