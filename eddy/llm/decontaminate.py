@@ -23,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, join_counted, text_key, words
+from .common import BROADCAST_ROWS, Scratch, join_counted, text_key, words
 
 WINDOW = 10
+WIDE_ROWS = 100_000
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -92,7 +93,7 @@ def phrase_matches(windows: DataFrame, postings: DataFrame, scratch: Scratch, sl
 
     rarest = ranked.select("wid", "len", "byrank", F.col("byrank")[0]["term"].alias("term"),
                            F.col("byrank")[0]["off"].alias("off"))
-    cand = (join_counted(postings, rarest, "term")
+    cand = (join_counted(postings, rarest, "term", rows=WIDE_ROWS)  # a window's row holds its terms
             .select("wid", "len", "byrank", *key, (F.col("pos") - F.col("off")).alias("start"))
             .where(F.col("start") >= -slack))
     second = scratch.save(ranked.where("len > 1").select(F.col("byrank")[1]["term"].alias("term")).distinct(), "second")
@@ -100,12 +101,11 @@ def phrase_matches(windows: DataFrame, postings: DataFrame, scratch: Scratch, sl
     both = at_postings(wanted(cand.where("len > 1"), F.slice("byrank", 2, 1)), short)
     cols = ["wid", "len", *key, "start"]
     left = scratch.save(both.select(*cols).union(cand.where("len = 1").select(*cols)).distinct(), "pairs")
-    left = left.join(F.broadcast(ranked.select("wid", "byrank")) if ranked.limit(100_001).count() <= 100_000
-                     else ranked.select("wid", "byrank"), "wid")
+    left = join_counted(left, ranked.select("wid", "byrank"), "wid", rows=WIDE_ROWS)
 
     # The other lists, of the documents that still have a candidate.
     docs = scratch.save(left.select(*key).distinct(), "docs")
-    small = docs.limit(1_000_001).count() <= 1_000_000
+    small = docs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     lists = postings.alias("c").join((F.broadcast(docs) if small else docs).alias("p"), same, "left_semi")
     rest = at_postings(wanted(left.where("len > 2"), F.expr("slice(byrank, 3, len - 2)")), lists)
     full = (rest.select(*cols, "off").distinct().groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
