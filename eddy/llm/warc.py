@@ -20,7 +20,8 @@ or none that the response has).
 Defined cases: a null URL or time is never resolved (``no_earlier``) and
 resolves nothing; responses of the same time are not earlier; of several
 responses at one time the one with the largest ``rid`` counts; header maps
-may be null; repeated revisit rows get equal answers; other columns are
+may be null; repeated rows get equal answers, and records of one ``rid`` count
+as one; a revisit without ``rid`` is listed without headers; other columns are
 ignored; empty tables give an empty result.
 """
 
@@ -107,10 +108,10 @@ def restore(records: DataFrame, resolution: DataFrame, payload: Column | None =
     (null unless resolved); ``payload`` may be an expression on the records,
     such as a digest, so that less is moved."""
     payload = F.col("payload") if payload is None else payload
-    full = records.where("kind = 'response'").select(F.col("rid").alias("ref"), F.col("headers").alias("stored"),
-                                                     payload.alias("payload"))
+    full = records.where("kind = 'response'").select(
+        F.col("rid").alias("ref"), F.col("headers").alias("stored"), payload.alias("payload")).dropDuplicates(["ref"])
     own = records.where("kind = 'revisit'").select("rid", F.col("headers").alias("update")).dropDuplicates(["rid"])
-    return (resolution.join(own, "rid").join(full, "ref", "left")
+    return (resolution.join(own, "rid", "left").join(full, "ref", "left")
             .select("rid", "url_key", "time", "ref", "status",
                     F.when(F.col("ref").isNotNull(), merged_headers(F.col("stored"), F.col("update"))).alias("headers"),
                     "payload"))

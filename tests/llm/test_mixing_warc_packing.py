@@ -132,6 +132,18 @@ def test_pages(spark):
     assert got.where("status = 'resolved' AND payload = want").count() > 0.99 * pages.count()
 
 
+def test_odd_pages(spark):
+    rows = [(1, "http://e.org/a", "<p>x</p>", 9), (1, "http://e.org/a", "<p>x</p>", 9), (2, None, "y", 9),
+            (3, "http://e.org/b", None, 9), (4, "", "", 9), (None, "http://e.org/c", "z", 9), (5, "http://e.org/a/", "w" * 10**6, 9)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, rid int")
+    rec = R.records_of(pages)
+    got = R.restore(rec, R.resolve(rec)).collect()
+    assert len(got) == 3 * len(rows)
+    assert {r.status for r in got if r.rid is None} == {"no_earlier"}
+    assert {r.payload for r in got if r.rid in (4 * 3 + 1, 4 * 4 + 1)} == {""}
+    assert {r.status for r in got if r.rid == 4 * 2 + 1} == {"no_earlier"}
+
+
 def test_best_fit_decreasing():
     rng = random.Random(9)
     for most in (1, 7, 8, 64, 100):
