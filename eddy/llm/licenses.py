@@ -78,8 +78,9 @@ def rolling_grams(text: Column) -> Column:
 def template_positions(spark: SparkSession, templates=None) -> DataFrame:
     """``(gram, tid, label, base, need, tpos)``: each k-gram of each template
     ``(text, label, base)`` with its position; ``need`` counts the k-grams."""
-    rows = [(i, *t) for i, t in enumerate(TEMPLATES if templates is None else templates)]
-    t = spark.createDataFrame(rows, "tid int, text string, label string, base boolean")
+    t = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("tid"), F.lit(text).alias("text"), F.lit(label).alias("label"), F.lit(base).alias("base"))
+        for i, (text, label, base) in enumerate(TEMPLATES if templates is None else templates)])))
     w = F.size(words(F.col("text")))
     grams = F.when(w < 4, F.col("g")[0]).otherwise(F.col("g")[1])
     return (t.select("tid", "label", "base", "text", rolling_grams(F.col("text")).alias("g"))
