@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.session import ensure_checkpoint_dir
+from eddy.session import ensure_checkpoint_dir, ship_package
 
 # The ASCII bytes that separate words once A-Z are lower-cased
 # (all but digits and letters), and white space.
@@ -48,6 +48,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch that operators on texts take at a time.
+BATCH_ROWS = "1000"
+
+
+def for_texts(spark: SparkSession) -> SparkSession:
+    """Prepares the session for Arrow stages on texts: ships the package, and
+    lets batches be shorter than Spark's default of 10,000 rows, which long
+    texts make large (a length that the user has set is kept)."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
+def each_text(column):
+    """The values of an Arrow column, one Python object at a time."""
+    return (x.as_py() for x in column)
+
+
 class Scratch:
     """Tables of one operator call, written below the shared checkpoint
     folder.  A written table cuts the lineage and survives the loss of any

@@ -19,23 +19,22 @@ repeated rows and null ids are rows like any other; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddy.session import ship_package
-
-from .common import bounded_sample
+from .common import bounded_sample, each_text, for_texts
 
 SAMPLE = 20_000
 MIN_COUNT = 3
 ORDERS = (4, 3, 2, 1)
-MEMO = 200_000
+MEMO = 50_000
 
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def fit(docs: DataFrame, keep: Column, sample: int = SAMPLE, min_count: int = MIN_COUNT) -> dict:
@@ -65,23 +64,22 @@ def fit(docs: DataFrame, keep: Column, sample: int = SAMPLE, min_count: int = MI
                                                        for n in ORDERS}}
 
 
-def _logs(rows, name: str, langs: list[str]) -> dict[str, tuple[float, ...]]:
-    """Log frequency of each entry in each language, with add-half smoothing."""
-    at = {x: i for i, x in enumerate(langs)}
-    counts: dict[str, list[float]] = {}
-    for lang, key, c in zip(rows["lang"], rows[name], rows["c"]):
-        counts.setdefault(key, [0.5] * len(langs))[at[lang]] += c
-    if not counts:
-        return {}
-    m = np.array(list(counts.values()))
-    m = np.log(m / m.sum(axis=0))
-    return dict(zip(counts, map(tuple, m.astype(np.float32).tolist())))
+def _logs(rows, name: str, langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """Entries and their log frequencies in each language, with add-half
+    smoothing."""
+    keys = rows[name].drop_duplicates().tolist()
+    at, col = {k: i for i, k in enumerate(keys)}, {x: i for i, x in enumerate(langs)}
+    m = np.full((len(keys), len(langs)), 0.5)
+    m[rows[name].map(at).to_numpy(int), rows["lang"].map(col).to_numpy(int)] += rows["c"].to_numpy(float)
+    return keys, np.log(m / m.sum(axis=0)).astype(np.float32) if len(keys) else m.astype(np.float32)
 
 
 class Scorer:
     def __init__(self, model: dict):
         self.m = model
-        self.words = model["words"]
+        self.number = {w: i for i, w in enumerate(model["words"][0])}
+        self.logs = model["words"][1]
+        self.grams = {n: ({g: i for i, g in enumerate(keys)}, logs) for n, (keys, logs) in model["grams"].items()}
         self.memo: dict[str, tuple[float, ...]] = {}
         self.none = (0.0,) * len(model["langs"])
 
@@ -90,10 +88,10 @@ class Scorer:
         if got is None:
             w, got = f"<{word}>", self.none
             for n in ORDERS:
-                g = self.m["grams"][n]
-                known = [g[x] for x in {w[i:i + n] for i in range(len(w) - n + 1)} if x in g]
+                number, logs = self.grams[n]
+                known = sorted({number[x] for x in {w[i:i + n] for i in range(len(w) - n + 1)} if x in number})
                 if known:
-                    got = tuple(np.mean(known, axis=0))
+                    got = tuple(logs[known].mean(axis=0, dtype=float).tolist())
                     break
             if len(self.memo) >= MEMO:
                 self.memo.clear()
@@ -102,11 +100,13 @@ class Scorer:
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else ()
-        if not words or not self.m["langs"]:
+        if not self.m["langs"] or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
-        known = self.words
-        rows = [known.get(w) or self.unseen(w) for w in words]
-        s = np.array(rows).sum(axis=0) + self.m["prior"]
+        ids = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        s = self.logs[ids[ids >= 0]].sum(axis=0, dtype=float) + self.m["prior"]
+        rest = np.flatnonzero(ids < 0).tolist()
+        if rest:
+            s = s + np.array([self.unseen(words[i]) for i in rest]).sum(axis=0)
         k = int(s.argmax())
         return self.m["langs"][k], float(1 / np.exp(s - s[k]).sum())
 
@@ -114,8 +114,7 @@ class Scorer:
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` (any columns) with ``lang_pred`` and ``score`` behind them;
     columns of these names must not be there yet."""
-    spark = docs.sparkSession
-    ship_package(spark)
+    spark = for_texts(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
     fields = [*docs.schema.fields]
     place = docs.columns.index("text")
@@ -123,7 +122,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         score = Scorer(shared.value)
         for b in batches:
-            got = [score(t) for t in b.column(place).to_pylist()]
+            got = [score(t) for t in each_text(b.column(place))]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())],
                 names=[*b.schema.names, "lang_pred", "score"])

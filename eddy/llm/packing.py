@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from eddy.session import ship_package
+from .common import each_text, for_texts
 
 #: The vocabulary used by the query.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -121,8 +121,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, row_len: int = ROW, bloc
          pad: int = 0) -> DataFrame:
     """``(task, row, n_tokens, n_segments, input_ids, position_ids,
     cu_seqlens, segments)``; (task, row) is unique."""
-    spark = docs.sparkSession
-    ship_package(spark)
+    spark = for_texts(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
@@ -150,9 +149,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, row_len: int = ROW, bloc
         held, tokens = [], 0
         for b in batches:
             ids_of = b.column(0).to_pylist()
-            texts = b.column(1)
-            for doc_id, text in zip(ids_of, texts):
-                ids = np.array(enc.encode_ordinary(text.as_py() or ""), kind)
+            for doc_id, text in zip(ids_of, each_text(b.column(1))):
+                ids = np.array(enc.encode_ordinary(text or ""), kind)
                 parts = -(-len(ids) // row_len)
                 for p in range(parts):
                     held.append((doc_id, p, parts, ids[p * row_len:(p + 1) * row_len]))

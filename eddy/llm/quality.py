@@ -29,9 +29,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddy.session import ship_package
-
-from .common import Scratch
+from .common import Scratch, each_text, for_texts
 
 SAMPLE = 20_000
 TREES = 24
@@ -84,13 +82,13 @@ def measure(text: str | None) -> list[float]:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``docs`` with ``stats``, an array of doubles, in place of ``text``."""
-    ship_package(docs.sparkSession)
+    for_texts(docs.sparkSession)
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(*rest, "text")
 
     def run(batches):
         for b in batches:
-            got = pa.array([measure(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.list_(pa.float64()))
+            got = pa.array([measure(t) for t in each_text(b.column(b.num_columns - 1))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], got], names=[*rest, "stats"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)

@@ -19,23 +19,24 @@ and null ids are rows like any other; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField, StructType)
 
-from eddy.session import ship_package
+from .common import each_text, for_texts
 
 SAMPLE = 30_000
 FEATURES = 4_000
 PREFIXES = (2, 3, 4, 5, 6, 7)
 SUFFIXES = (2, 3, 4)
-MEMO = 300_000
+MEMO = 100_000
 
-SENTENCE = regex.compile(r"[^.!?\n]+")
-WORD = regex.compile(r"\p{L}+")
+SENTENCE = re.compile(r"[^.!?\n]+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def features_of(word: str) -> list[str]:
@@ -102,8 +103,7 @@ class Sentences:
 def fit(rows: DataFrame, most: int = FEATURES, steps: int = 300, ridge: float = 2e-4) -> dict:
     """``rows``: (text, y) of a bounded sample.  The features of its sentences
     are found in tasks; the gradient descent runs over those of the sample."""
-    spark = rows.sparkSession
-    ship_package(spark)
+    for_texts(rows.sparkSession)
     chosen = choose_features(rows, most)
     number = {f: i for i, (f, _) in enumerate(chosen)}
     if not chosen:
@@ -113,7 +113,7 @@ def fit(rows: DataFrame, most: int = FEATURES, steps: int = 300, ridge: float =
     def run(batches):
         read = Sentences(number)
         for b in batches:
-            got = [read(t) for t in b.column(0).to_pylist()]
+            got = [read(t) for t in each_text(b.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(1).cast(pa.float64()), pa.array([n - len(s) for n, s in got], pa.int32()),
                  pa.array([[sorted(x) for *_, x in s] for _, s in got], pa.list_(pa.list_(pa.int32())))],
@@ -155,8 +155,7 @@ def score(docs: DataFrame, model: dict, locate: float = 0.3) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) to ``(doc_id, score, spans)``;
     ``spans`` are the sentences (start, stop in characters, p) with p of at
     least ``locate``."""
-    spark = docs.sparkSession
-    ship_package(spark)
+    spark = for_texts(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -165,7 +164,7 @@ def score(docs: DataFrame, model: dict, locate: float = 0.3) -> DataFrame:
         plain = np.logaddexp(0, bias)
         for b in batches:
             scores, spans = [], []
-            for t in b.column(1).to_pylist():
+            for t in each_text(b.column(1)):
                 if model["flat"]:
                     scores.append(float(1 / (1 + np.exp(-bias))))
                     spans.append([])

@@ -35,8 +35,10 @@ def test_language_held_out(spark):
 
 
 def test_backoff_order():
+    logs = lambda d: (list(d), np.array(list(d.values()), np.float32).reshape(len(d), 2))
     grams = {4: {"<abc": (1.0, 0.0)}, 3: {"abc": (5.0, 5.0), "<xy": (0.0, 2.0)}, 2: {}, 1: {"q": (0.0, 3.0)}}
-    s = langid.Scorer({"langs": ["a", "b"], "prior": np.zeros(2), "words": {"known": (9.0, 1.0)}, "grams": grams})
+    s = langid.Scorer({"langs": ["a", "b"], "prior": np.zeros(2), "words": logs({"known": (9.0, 1.0)}),
+                       "grams": {n: logs(g) for n, g in grams.items()}})
     assert s.unseen("abcd") == (1.0, 0.0)  # 4-grams first
     assert s.unseen("xyz") == (0.0, 2.0) and s.unseen("q") == (0.0, 3.0) and s.unseen("zz") == (0.0, 0.0)
     assert s("Known")[0] == "a" and s("123 --")[0] == "und" and s(None) == ("und", 0.0)
