@@ -10,22 +10,26 @@
    connected, are left.  Nodes of at most ``LEAF`` members are compared
    exhaustively, larger ones are branched again.  Independent trees
    raise the recall.
-3. Pairs of a leaf whose sizes allow the threshold and whose sketches agree
-   in ``AGREE`` of the coordinates are confirmed on the full sets.
-4. Phase one takes ``TREES[0]`` trees and confirms only a spanning forest of
-   each leaf.  The components it finds spare phase two, with ``TREES[1]``
-   further trees, the pairs that are connected anyway, so a group of copies
-   costs about as many confirmations as it has members, not pairs.
+3. Members of a leaf that have a partner whose size allows the threshold and
+   whose sketch agrees in ``AGREE`` of the coordinates are sent to the leaf
+   with their texts, and compared on the full sets; the leaf returns a
+   spanning forest of its links, never its pairs.
+4. Phase one takes ``TREES[0]`` trees.  The components it finds spare phase
+   two, with ``TREES[1]`` further trees, all nodes and members that are
+   connected anyway, so a group of copies costs about as much as its members,
+   not its pairs.
 5. What ``LEVELS`` levels can't split are many texts that share nearly all
-   tokens: phase one confirms them against the smallest, phase two compares
-   in blocks all those not connected to it with all members.
+   tokens: phase one compares them with the smallest in groups of about
+   ``LEAF``, phase two compares in blocks all those not connected to it with
+   all members.
 
 No step gathers a group: leaves are bounded, and larger nodes are only
 counted, joined and branched.
 
-Recall: two coordinates differ for a pair at similarity J with probability
-1 - J, so a pair at 0.85 is missed by the sketches with probability under
-1e-4 and by all trees with less than 1e-3 even five levels deep.
+Recall at a similarity of exactly 0.85 (higher above): the sketches of a
+pair fall short of ``AGREE`` with probability 0.0003; one tree keeps it
+together with probability 0.87 in nodes split once and about 0.5 in the
+deepest ones, so all twelve trees miss it with less than 0.001.
 
 Defined cases: null and empty texts, and texts of white space, have no
 shingles and are linked with nothing; fewer than five words are one shingle;
@@ -42,18 +46,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddy.session import ship_package
-
-from .common import Scratch, runs_of, text_key
+from .common import BROADCAST_ROWS, Scratch, each_text, for_texts, runs_of, text_key
 from .components import components
 
 SHINGLE = 5
 THRESHOLD = 0.85
 COORDS = 64
 AGREE = 0.68
-LEAF = 64
+LEAF = 256
 TREES = (3, 9)
-LEVELS = 8
+LEVELS = 4
 
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,13 +97,13 @@ def sketch(s: np.ndarray) -> bytes:
 
 def sketches(docs: DataFrame) -> DataFrame:
     """``(doc_id, tk, n, h1, h2, sketch)``; h1 and h2 hash the whole set."""
-    ship_package(docs.sparkSession)
+    for_texts(docs.sparkSession)
     rows = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
 
     def run(batches):
         for b in batches:
             n, h1, h2, sk = [], [], [], []
-            for t in b.column(2).to_pylist():
+            for t in each_text(b.column(2)):
                 s = shingles(t)
                 n.append(len(s))
                 both = xxhash.xxh3_128_digest(s.tobytes())
@@ -178,82 +180,96 @@ def blocks(large: DataFrame, size: int = LEAF // 2) -> DataFrame:
     return (as_out.unionByName(as_any).select(F.xxhash64("path", "i", "j").alias("path"), "rep", "comp").distinct())
 
 
-def _find(up: list[int], i: int) -> int:
-    while up[i] != i:
-        up[i] = up[up[i]]
-        i = up[i]
-    return i
-
-
-def candidates(leaves: DataFrame, classes: DataFrame, forest: bool) -> DataFrame:
-    """``(path, a, b)``: pairs of each leaf, of different components, whose
-    sizes and sketches allow the threshold; a spanning forest of them, the
-    most alike first, if ``forest``."""
+def candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(path, rep, comp)``: the members of each leaf that have a partner of
+    another component whose size and sketch allow the threshold."""
     rows = (leaves.join(classes.select("rep", "n", "sketch"), "rep").select("path", "rep", "comp", "n", "sketch")
             .repartition("path").sortWithinPartitions("path"))
 
     def run(batches):
-        out: tuple[list, list, list] = ([], [], [])
+        held: list[pa.Table] = []
         for t in runs_of(batches, "path"):
-            rep, comp, n = (t[c].to_numpy() for c in ("rep", "comp", "n"))
-            m = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u4").reshape(len(rep), COORDS)
-            same = np.zeros((len(rep), len(rep)), np.int32)
+            comp, n = t["comp"].to_numpy(), t["n"].to_numpy()
+            m = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u4").reshape(len(n), COORDS)
+            same = np.zeros((len(n), len(n)), np.int32)
             for c in range(COORDS):
                 same += m[:, c, None] == m[None, :, c]
-            ok = (same >= AGREE * COORDS) & (comp[:, None] != comp[None, :]) & (rep[:, None] < rep[None, :])
+            ok = (same >= AGREE * COORDS) & (comp[:, None] != comp[None, :])
             ok &= 100 * np.minimum(n[:, None], n[None, :]) >= 85 * np.maximum(n[:, None], n[None, :])
-            i, j = np.nonzero(ok)
-            if forest and len(i) > 1:
-                number = {c: k for k, c in enumerate(dict.fromkeys(comp.tolist()))}
-                of, up, kept = [number[c] for c in comp.tolist()], list(range(len(number))), []
-                for e in np.argsort(-same[i, j], kind="stable").tolist():
-                    x, y = _find(up, of[i[e]]), _find(up, of[j[e]])
-                    if x != y:
-                        up[x] = y
-                        kept.append(e)
-                i, j = i[kept], j[kept]
-            if len(i):
-                out[0].append(np.full(len(i), t["path"][0].as_py(), np.int64))
-                out[1].append(rep[i])
-                out[2].append(rep[j])
-            if sum(map(len, out[0])) > 20_000:
-                yield pa.RecordBatch.from_arrays([np.concatenate(x) for x in out], names=["path", "a", "b"])
-                out = ([], [], [])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([np.concatenate(x) for x in out], names=["path", "a", "b"])
-
-    pairs = rows.mapInArrow(run, "path bigint, a bigint, b bigint")
-    return pairs.groupBy("a", "b").agg(F.min("path").alias("path"))
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs whose full sets fulfil the threshold.  A text is sent once
-    to each leaf in which one of its pairs is confirmed."""
-    members = (pairs.select("path", F.explode(F.array(
-        F.struct(F.col("a").alias("rep"), F.col("b").alias("to")),
-        F.struct(F.col("b").alias("rep"), F.lit(None).cast("bigint").alias("to")))).alias("x"))
-        .groupBy("path", F.col("x.rep").alias("rep")).agg(F.collect_list("x.to").alias("to")))
-    members = scratch.save(members, "members")
+            keep = ok.any(axis=1)
+            if keep.any():
+                held.append(t.select(["path", "rep", "comp"]).filter(pa.array(keep)))
+            if len(held) >= 2_000:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    return rows.mapInArrow(run, "path bigint, rep bigint, comp bigint")
+
+
+def common_counts(sets: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of all intersections of a few sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], number[column[keep]]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, int(shared.sum()), width):
+        i, j = np.searchsorted(column, [low, low + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[owner[i:j], column[i:j] - low] = 1
+        out += (m @ m.T).astype(np.int64)
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
+
+
+def _find(up: list[int], i: int) -> int:
+    while up[i] != i:
+        up[i] = up[up[i]]
+        i = up[i]
+    return i
+
+
+def leaf_links(sets: list[np.ndarray], comp: list[int]) -> list[tuple[int, int]]:
+    """Links of a leaf on the full sets that connect its components: a
+    spanning forest, as pairs of member numbers."""
+    both, n = common_counts(sets), np.array([len(s) for s in sets])
+    i, j = np.nonzero(np.triu(100 * both >= 85 * (n[:, None] + n[None, :] - both), 1))
+    number = {c: k for k, c in enumerate(dict.fromkeys(comp))}
+    of, up, out = [number[c] for c in comp], list(range(len(number))), []
+    for a, b in zip(i.tolist(), j.tolist()):
+        x, y = _find(up, of[a]), _find(up, of[b])
+        if x != y:
+            up[x] = y
+            out.append((a, b))
+    return out
+
+
+def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(a, b)``: links on the full sets within the groups ``(path, rep,
+    comp)``, each of at most about ``LEAF`` members."""
+    members = scratch.save(members.distinct(), "members")
     wanted = scratch.save(members.select("rep").distinct().join(classes.select("rep", "tk"), "rep"), "wanted")
     text = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
     on = (F.col("d.doc_id") == F.col("w.rep")) & (F.col("d.tk") == F.col("w.tk"))
-    small = wanted.limit(1_000_001).count() <= 1_000_000
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     text = (text.alias("d").join((F.broadcast(wanted) if small else wanted).alias("w"), on)
             .select("w.rep", "d.text").dropDuplicates(["rep"]))
-    rows = members.join(text, "rep").select("path", "rep", "to", "text").repartition("path").sortWithinPartitions("path")
+    rows = (members.join(text, "rep").select("path", "rep", "comp", "text")
+            .repartition("path").sortWithinPartitions("path", "rep"))
 
     def run(batches):
         for t in runs_of(batches, "path"):
             rep = t["rep"].to_pylist()
-            sets = {r: shingles(x) for r, x in zip(rep, t["text"].to_pylist())}
-            got = []
-            for r, to in zip(rep, t["to"].to_pylist()):
-                for o in to:
-                    both = len(np.intersect1d(sets[r], sets[o], assume_unique=True))
-                    if 100 * both >= 85 * (len(sets[r]) + len(sets[o]) - both):
-                        got.append((r, o))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.int64()),
-                                              pa.array([y for _, y in got], pa.int64())], names=["a", "b"])
+            got = leaf_links([shingles(x) for x in each_text(t["text"])], t["comp"].to_pylist()) if len(rep) > 1 else []
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array([rep[x] for x, _ in got], pa.int64()),
+                                                  pa.array([rep[y] for _, y in got], pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint")
 
@@ -269,20 +285,23 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
                                           F.col("m.sketch").alias("sketch")), "classes")
 
     leaves, large = grow(classes, None, range(trees[0]), scratch, leaf, levels)
-    pairs = candidates(leaves, classes, forest=True)
+    members = candidates(leaves, classes)
     if large is not None:
-        head = large.groupBy("path").agg(F.min("rep").alias("a"))
-        salt = F.pmod(F.xxhash64("rep"), F.ceil(F.col("cnt") / leaf))
-        star = (large.join(head, "path").where("a < rep")
-                .select("a", F.col("rep").alias("b"), F.xxhash64("path", salt).alias("path")))
-        pairs = pairs.union(star.groupBy("a", "b").agg(F.min("path").alias("path")))
-    first = scratch.save(confirm(pairs, docs, classes, scratch), "links")
+        # Groups of the node's smallest member and some others.
+        head = large.groupBy("path").agg(F.min("rep").alias("head"), F.max("cnt").alias("cnt"))
+        groups = F.ceil(F.col("cnt") / leaf)
+        salted = lambda i: F.xxhash64("path", i).alias("path")
+        mine = large.select(salted(F.pmod(F.xxhash64("rep"), groups)), "rep", "comp")
+        heads = head.select("path", F.col("head").alias("rep"), F.explode(
+            F.sequence(F.lit(0).cast("long"), groups - 1)).alias("i")).select(salted(F.col("i")), "rep", F.col("rep").alias("comp"))
+        members = members.union(mine).union(heads)
+    first = scratch.save(confirm(members, docs, classes, scratch), "links")
     comp = components(first, scratch)
 
     leaves, large = grow(classes, comp, range(trees[0], sum(trees)), scratch, leaf, levels)
     if large is not None:
         leaves = leaves.union(blocks(large, max(1, leaf // 2)))
-    second = scratch.save(confirm(candidates(leaves, classes, forest=False), docs, classes, scratch), "links")
+    second = scratch.save(confirm(candidates(leaves, classes), docs, classes, scratch), "links")
     comp = components(first.union(second), scratch)
 
     of = classes.select("n", "h1", "h2", "rep")
