@@ -18,6 +18,9 @@ from eddy.llm.common import BROADCAST_ROWS, Scratch, bucket, table, text_key
 #: A document of a known language whose score is lower is rejected.
 LEAST_SCORE = 0.5
 
+#: Documents at least this similar (shingles of five words) are near duplicates.
+NEAR = 0.8
+
 
 def _with(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, text) is among the distinct stored
@@ -35,7 +38,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_dups.find(docs).where("kept").groupBy("doc_id", "tk").agg(F.count(F.lit(1)).alias("n"))
+    found = near_dups.find(docs, trees=near_dups.TREES_80, threshold=NEAR)
+    found = found.where("kept").groupBy("doc_id", "tk").agg(F.count(F.lit(1)).alias("n"))
     kept = _with(docs, Scratch(spark, "pipeline").save(found, "kept"))
     once = kept.where("k.n = 1").select("d.*")
     return once.union(kept.where("k.n > 1").select("d.*").dropDuplicates(["doc_id", "text"]))

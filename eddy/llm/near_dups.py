@@ -11,7 +11,7 @@
    exhaustively, larger ones are branched again.  Independent trees
    raise the recall.
 3. Members of a leaf that have a partner whose size allows the threshold and
-   whose sketch agrees in ``AGREE`` of the coordinates are sent to the leaf
+   whose sketch agrees in ``agree`` of the coordinates are sent to the leaf
    with their texts, and compared on the full sets; the leaf returns a
    spanning forest of its links, never its pairs.
 4. Phase one takes ``TREES[0]`` trees.  The components it finds spare phase
@@ -26,10 +26,15 @@
 No step gathers a group: leaves are bounded, and larger nodes are only
 counted, joined and branched.
 
-Recall at a similarity of exactly 0.85 (higher above): the sketches of a
-pair fall short of ``AGREE`` with probability 0.0003; one tree keeps it
-together with probability 0.87 in nodes split once and about 0.5 in the
-deepest ones, so all twelve trees miss it with less than 0.001.
+The threshold is an argument of :func:`find`: 0.85 for the query, 0.8 for the
+stage of the pipeline.  Recall of a pair at exactly the threshold (higher
+above): its sketches fall short of :func:`agree` with a probability of at
+most 0.0003.  The trees share one sketch, so :func:`miss` adds up over its
+agreement how often trees miss the pair.  At 0.8, by phase two's 20 trees
+alone (phase one compares the nodes that stay too large with their head only):
+0.0002 after 5 branchings, 0.0009 after 7, the deepest.  At 0.85, by all
+twelve trees: 0.0007 after 5, 0.0027 after 7, and 0.008 in nodes that stay too
+large.
 
 Defined cases: null and empty texts, and texts of white space, have no
 shingles and are linked with nothing; fewer than five words are one shingle;
@@ -40,6 +45,10 @@ answered each by its own text; other columns are ignored.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from itertools import accumulate
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -52,9 +61,11 @@ from .components import components
 SHINGLE = 5
 THRESHOLD = 0.85
 COORDS = 64
-AGREE = 0.68
+SHORT = 0.0003  # of the pairs at the threshold, by their sketches
 LEAF = 256
 TREES = (3, 9)
+#: Trees at a threshold of 0.8 (by :func:`miss`).
+TREES_80 = (3, 20)
 LEVELS = 4
 
 _rng = np.random.default_rng(20240607)
@@ -117,25 +128,55 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, tk bigint, n bigint, h1 bigint, h2 bigint, sketch binary")
 
 
+def ratio(threshold: float) -> tuple[int, int]:
+    """The threshold as a fraction, for exact comparisons of counts."""
+    f = Fraction(threshold).limit_denominator(1000)
+    return f.numerator, f.denominator
+
+
+def _agreeing(similarity: float) -> list[float]:
+    """Probabilities that 0, 1, .. coordinates of a pair agree."""
+    return [comb(COORDS, x) * similarity**x * (1 - similarity)**(COORDS - x) for x in range(COORDS + 1)]
+
+
+def agree(threshold: float) -> int:
+    """Coordinates in which two sketches must agree: as many as a pair at the
+    threshold falls short of with a probability of at most ``SHORT``."""
+    return sum(p <= SHORT for p in accumulate(_agreeing(threshold)[:int(threshold * COORDS)]))
+
+
+def miss(threshold: float, trees: int, depth: int) -> float:
+    """Probability that ``trees`` trees miss a pair at the threshold in nodes
+    that were branched ``depth`` times."""
+    two, out = 1 / threshold - 1, 0.0
+    for x, p in enumerate(_agreeing(threshold)):
+        together = 1.0
+        for _ in range(depth):
+            one = together * x / COORDS
+            together = (1 - two) * one + two * (1 - (1 - one)**2)
+        out += p * ((1 - together)**trees if x >= agree(threshold) else 1.0)
+    return out
+
+
 def _child(path: Column, coord: Column, sk: Column) -> Column:
     return F.xxhash64(path, coord, F.substring(sk, coord * 4 + 1, F.lit(4)))
 
 
-def _coords(path: Column) -> Column:
+def _coords(path: Column, threshold: float) -> Column:
     """The coordinates that a node chooses: one, or two as often as makes
     1 / threshold on average."""
     pick = lambda i: F.pmod(F.xxhash64(path, F.lit(i)), F.lit(COORDS)).cast("int")
-    more = F.pmod(F.xxhash64(path, F.lit(0)), F.lit(1000)) < int(1000 * (1 / THRESHOLD - 1))
+    more = F.pmod(F.xxhash64(path, F.lit(0)), F.lit(1000)) < int(1000 * (1 / threshold - 1))
     return F.array_distinct(F.when(more, F.array(pick(1), pick(2))).otherwise(F.array(pick(1))))
 
 
-def _branch(rows: DataFrame) -> DataFrame:
-    return (rows.select("path", "rep", "comp", "sketch", F.explode(_coords(F.col("path"))).alias("coord"))
+def _branch(rows: DataFrame, threshold: float) -> DataFrame:
+    return (rows.select("path", "rep", "comp", "sketch", F.explode(_coords(F.col("path"), threshold)).alias("coord"))
             .select(_child(F.col("path"), F.col("coord"), F.col("sketch")).alias("path"), "rep", "comp", "sketch"))
 
 
 def grow(classes: DataFrame, comp: DataFrame | None, trees: range, scratch: Scratch, leaf: int = LEAF,
-         levels: int = LEVELS) -> tuple[DataFrame, DataFrame | None]:
+         levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
     """The leaves ``(path, rep, comp)`` of the trees, and the members of the
     nodes that are still too large, with ``cnt``."""
     rows = classes.select("rep", "sketch")
@@ -146,7 +187,7 @@ def grow(classes: DataFrame, comp: DataFrame | None, trees: range, scratch: Scra
             "rep", "sketch", F.coalesce("label", "rep").alias("comp"))
     base = scratch.save(rows, "base")
     roots = F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in trees])
-    rows = _branch(base.withColumn("path", F.explode(roots))).drop("sketch")
+    rows = _branch(base.withColumn("path", F.explode(roots)), threshold).drop("sketch")
     done = None
     for level in range(levels):
         mixed = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"),
@@ -159,7 +200,7 @@ def grow(classes: DataFrame, comp: DataFrame | None, trees: range, scratch: Scra
         if large.isEmpty():
             return done, None
         rows = large.select("path", "rep", "comp").join(base.select("rep", "sketch"), "rep")
-        rows = _branch(_branch(rows)).drop("sketch").distinct()
+        rows = _branch(_branch(rows, threshold), threshold).drop("sketch").distinct()
     return done, large
 
 
@@ -180,11 +221,12 @@ def blocks(large: DataFrame, size: int = LEAF // 2) -> DataFrame:
     return (as_out.unionByName(as_any).select(F.xxhash64("path", "i", "j").alias("path"), "rep", "comp").distinct())
 
 
-def candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
+def candidates(leaves: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(path, rep, comp)``: the members of each leaf that have a partner of
     another component whose size and sketch allow the threshold."""
     rows = (leaves.join(classes.select("rep", "n", "sketch"), "rep").select("path", "rep", "comp", "n", "sketch")
             .repartition("path").sortWithinPartitions("path"))
+    least, (part, whole) = agree(threshold), ratio(threshold)
 
     def run(batches):
         held: list[pa.Table] = []
@@ -194,8 +236,8 @@ def candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
             same = np.zeros((len(n), len(n)), np.int32)
             for c in range(COORDS):
                 same += m[:, c, None] == m[None, :, c]
-            ok = (same >= AGREE * COORDS) & (comp[:, None] != comp[None, :])
-            ok &= 100 * np.minimum(n[:, None], n[None, :]) >= 85 * np.maximum(n[:, None], n[None, :])
+            ok = (same >= least) & (comp[:, None] != comp[None, :])
+            ok &= whole * np.minimum(n[:, None], n[None, :]) >= part * np.maximum(n[:, None], n[None, :])
             keep = ok.any(axis=1)
             if keep.any():
                 held.append(t.select(["path", "rep", "comp"]).filter(pa.array(keep)))
@@ -235,11 +277,12 @@ def _find(up: list[int], i: int) -> int:
     return i
 
 
-def leaf_links(sets: list[np.ndarray], comp: list[int]) -> list[tuple[int, int]]:
+def leaf_links(sets: list[np.ndarray], comp: list[int], threshold: float = THRESHOLD) -> list[tuple[int, int]]:
     """Links of a leaf on the full sets that connect its components: a
     spanning forest, as pairs of member numbers."""
     both, n = common_counts(sets), np.array([len(s) for s in sets])
-    i, j = np.nonzero(np.triu(100 * both >= 85 * (n[:, None] + n[None, :] - both), 1))
+    part, whole = ratio(threshold)
+    i, j = np.nonzero(np.triu(whole * both >= part * (n[:, None] + n[None, :] - both), 1))
     number = {c: k for k, c in enumerate(dict.fromkeys(comp))}
     of, up, out = [number[c] for c in comp], list(range(len(number))), []
     for a, b in zip(i.tolist(), j.tolist()):
@@ -250,7 +293,8 @@ def leaf_links(sets: list[np.ndarray], comp: list[int]) -> list[tuple[int, int]]
     return out
 
 
-def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch,
+            threshold: float = THRESHOLD) -> DataFrame:
     """``(a, b)``: links on the full sets within the groups ``(path, rep,
     comp)``, each of at most about ``LEAF`` members."""
     members = scratch.save(members.distinct(), "members")
@@ -266,7 +310,9 @@ def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Sc
     def run(batches):
         for t in runs_of(batches, "path"):
             rep = t["rep"].to_pylist()
-            got = leaf_links([shingles(x) for x in each_text(t["text"])], t["comp"].to_pylist()) if len(rep) > 1 else []
+            if len(rep) < 2:
+                continue
+            got = leaf_links([shingles(x) for x in each_text(t["text"])], t["comp"].to_pylist(), threshold)
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array([rep[x] for x, _ in got], pa.int64()),
                                                   pa.array([rep[y] for _, y in got], pa.int64())], names=["a", "b"])
@@ -274,9 +320,10 @@ def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Sc
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[int, int] = TREES) -> DataFrame:
+def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[int, int] = TREES,
+         threshold: float = THRESHOLD) -> DataFrame:
     """For each row of ``docs``: ``doc_id, tk, n_shingles, component_id,
-    kept``."""
+    kept``; texts are linked at a similarity of ``threshold`` or more."""
     scratch = Scratch(docs.sparkSession, "near-dups")
     rows = scratch.save(sketches(docs), "sketches")
     grouped = (rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2")
@@ -284,8 +331,8 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     classes = scratch.save(grouped.select("n", "h1", "h2", F.col("m.doc_id").alias("rep"), F.col("m.tk").alias("tk"),
                                           F.col("m.sketch").alias("sketch")), "classes")
 
-    leaves, large = grow(classes, None, range(trees[0]), scratch, leaf, levels)
-    members = candidates(leaves, classes)
+    leaves, large = grow(classes, None, range(trees[0]), scratch, leaf, levels, threshold)
+    members = candidates(leaves, classes, threshold)
     if large is not None:
         # Groups of the node's smallest member and some others.
         head = large.groupBy("path").agg(F.min("rep").alias("head"), F.max("cnt").alias("cnt"))
@@ -295,13 +342,13 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
         heads = head.select("path", F.col("head").alias("rep"), F.explode(
             F.sequence(F.lit(0).cast("long"), groups - 1)).alias("i")).select(salted(F.col("i")), "rep", F.col("rep").alias("comp"))
         members = members.union(mine).union(heads)
-    first = scratch.save(confirm(members, docs, classes, scratch), "links")
+    first = scratch.save(confirm(members, docs, classes, scratch, threshold), "links")
     comp = components(first, scratch)
 
-    leaves, large = grow(classes, comp, range(trees[0], sum(trees)), scratch, leaf, levels)
+    leaves, large = grow(classes, comp, range(trees[0], sum(trees)), scratch, leaf, levels, threshold)
     if large is not None:
         leaves = leaves.union(blocks(large, max(1, leaf // 2)))
-    second = scratch.save(confirm(candidates(leaves, classes), docs, classes, scratch), "links")
+    second = scratch.save(confirm(candidates(leaves, classes, threshold), docs, classes, scratch, threshold), "links")
     comp = components(first.union(second), scratch)
 
     of = classes.select("n", "h1", "h2", "rep")

@@ -90,3 +90,30 @@ def test_components(spark):
     want = {n: c for n, c in label.items() if any(a != b and n in (a, b) for a, b in links)}
     assert {x.node: x.label for x in got.collect()} == want
     assert components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark, "test")) is None
+
+
+def brute_at(rows, percent):
+    """As brute(), at a threshold of ``percent``; distinct texts of few links."""
+    s, label = {i: sets(t) for i, t in rows}, {i: i for i, _ in rows}
+    for a in sorted(s):
+        for b in sorted(s):
+            both = len(s[a] & s[b])
+            if a < b and both and 100 * both >= percent * len(s[a] | s[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {i: new if c == old else c for i, c in label.items()}
+    return sorted((i, len(s[i]), label[i], label[i] == i) for i in s)
+
+
+def test_recall_by_calculation():
+    assert N.agree(0.85) == 44 and N.agree(0.8) == 39
+    assert N.miss(0.8, N.TREES_80[1], 2 * N.LEVELS - 1) < 0.001
+    assert [N.ratio(x) for x in (0.85, 0.8)] == [(17, 20), (4, 5)]
+
+
+def test_threshold(spark):
+    """Groups at 0.8, by small leaves and few levels, against all pairs."""
+    rows = list(enumerate(family(4, 40, 3, 100) + family(5, 40, 3, 150) + family(6, 30, 2, 60)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_at(rows, 80)
+    assert want != brute_at(rows, 85) == brute(rows)
+    assert result(N.find(docs, leaf=4, levels=2, trees=N.TREES_80, threshold=0.8)) == want

@@ -7,7 +7,7 @@ from eddy.llm.common import Scratch, table
 
 from . import helpers as H
 from .test_decontaminate import brute as brute_hits
-from .test_near_dups import brute as brute_groups
+from .test_near_dups import brute as brute_groups, brute_at
 
 
 def stage(spark, name, docs):
@@ -48,3 +48,15 @@ def test_odd_rows_pass_every_stage(spark):
 def test_run(spark):
     out = C.run(spark, H.SF)
     assert out.count() > 0 and "input_ids" in out.columns
+
+
+def test_near_duplicates_at_four_fifths(spark):
+    """Pairs at 0.80 to 0.85 are near duplicates for the stage."""
+    rows = []
+    for i in range(60):
+        w = [f"w{i}x{j}" for j in range(54)]  # 50 shingles, of which 5 to 7 change
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-5 - i % 3] + [f"t{i}x{j}" for j in range(5 + i % 3)]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(r[0] for r in brute_at(rows, 80) if r[3])
+    assert len(want) < sum(r[3] for r in brute_groups(rows))
+    assert sorted(r.doc_id for r in stage(spark, "near duplicates", docs).collect()) == want
