@@ -8,6 +8,8 @@
    however large the corpus is.
 3. Each of ``SUBSETS`` randomised lexicons keeps a term by a hash of the term
    and the lexicon's number; the lexicons differ in how many terms they keep.
+   A term that none of them keeps is put in one lexicon, chosen by its hash,
+   so every term of the band counts.
 4. The component of a lexicon is a hash of the document's distinct terms in
    it.  It is the XOR of the terms' hashes, which gives the same as hashing
    the sorted list (one value for each set, whatever the order) and can be
@@ -18,7 +20,7 @@ two fingerprints is the share of equal components among the lexicons in which
 at least one of the two has a term.
 
 Defined cases: a text without a lexicon term (empty, null, or all terms
-outside the band) gets the hash of its text as fingerprint, marked ``-``;
+outside the band), or whose terms' hashes cancel out in all lexicons, gets the hash of its text as fingerprint, marked ``-``;
 its likeness to another fingerprint is 1 if equal, else 0.  Rows of one
 ``doc_id`` with different texts are kept apart; repeated rows get equal
 answers.  One row alone is its own next document.  Other columns are ignored;
@@ -27,6 +29,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,7 +76,22 @@ def lexicon(docs: DataFrame, scratch: Scratch, min_share: float = MIN_SHARE, max
             c = c.bitwiseOR(component(j))
         return c.alias(f"c{i}")
 
-    return scratch.save(band.select("term", *[packed(i) for i in range(PACKED)]), "lexicon")
+    # A term that no lexicon keeps has a home in one.
+    home = F.pmod(F.xxhash64("term", F.lit("home")), F.lit(SUBSETS)).cast("int")
+    bits = F.greatest(F.shiftrightunsigned(F.xxhash64("term", home), 48), F.lit(1).cast("long"))
+    kept = band.select("term", *[packed(i) for i in range(PACKED)])
+    kept = kept.withColumns({"home": F.when(_filled() == 0, home), "bits": bits})
+
+    def housed(i: int) -> Column:
+        shifted = F.call_function("shiftleft", F.col("bits"), 16 * (F.col("home") % 4))
+        return F.when(F.floor(F.col("home") / 4) == i, shifted).otherwise(F.col(f"c{i}")).alias(f"c{i}")
+
+    return scratch.save(kept.select("term", *[housed(i) for i in range(PACKED)]), "lexicon")
+
+
+def _filled() -> Column:
+    """Zero if all components are."""
+    return reduce(Column.bitwiseOR, [F.col(f"c{i}") for i in range(PACKED)])
 
 
 def components(texts: DataFrame, key: list[str], lex: DataFrame) -> DataFrame:
@@ -148,8 +167,8 @@ def fingerprint(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float
                         F.sha2("text", 256).alias("sha"), F.sha2(edited, 256).alias("edited_sha256"))
     sides = pairs.select(*key, F.posexplode(F.array(F.col("text"), edited)).alias("side", "text"))
     parts = components(sides, [*key, "side"], lex)
-    packed = lambda sha: F.coalesce(
-        F.concat(*[F.lpad(F.lower(F.hex(f"c{i}")), 16, "0") for i in range(PACKED)]), F.concat(F.lit("-"), F.col(sha)))
+    packed = lambda sha: F.when(_filled() != 0, F.concat(
+        *[F.lpad(F.lower(F.hex(f"c{i}")), 16, "0") for i in range(PACKED)])).otherwise(F.concat(F.lit("-"), F.col(sha)))
     own = (rows.join(parts.where("side = 0").drop("side"), key, "left")
            .select(*rows.columns, packed("sha").alias("fingerprint"))
            .join(parts.where("side = 1").drop("side"), key, "left")

@@ -64,3 +64,20 @@ def test_equal_texts_and_likeness(spark):
     assert 0 <= low and high <= 1
     one = P.fingerprint(docs).agg(F.avg("near_edited"), F.avg("near_next")).first()
     assert one[0] > one[1] + 0.05
+
+
+def test_every_band_term_counts(spark, monkeypatch):
+    """Short texts of one term each, which the lexicons would keep or not."""
+    texts = [f"rare{i}" for i in range(200) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = P.lexicon(docs, Scratch(spark, "test")).collect()
+    assert len(rows) == 200 and all(any(r[f"c{i}"] for i in range(P.PACKED)) for r in rows)
+    out = {r.doc_id: r for r in P.fingerprint(docs).collect()}
+    assert len({r.fingerprint for r in out.values()}) == 200
+    assert all(out[i].near_next == (texts[i] == texts[i - 1]) for i in out)
+
+    # Terms whose hashes cancel out: the hash of the text, not a common zero.
+    zero = spark.createDataFrame(rows).select("term", *[F.lit(0).cast("long").alias(f"c{i}") for i in range(P.PACKED)])
+    monkeypatch.setattr(P, "lexicon", lambda *a: zero)
+    got = {texts[r.doc_id]: r.fingerprint for r in P.fingerprint(docs).collect()}
+    assert got == {t: "-" + hashlib.sha256(t.encode()).hexdigest() for t in texts}
