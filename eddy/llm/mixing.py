@@ -6,15 +6,22 @@ fitting.
 2. Tokens are added up by cell, a combination of categories.  Targets are
    parameters, so the number of cells is bounded by them.
 3. Raking: in turn, each dimension's factors are multiplied by target share /
-   present share, until all marginals agree with the targets.
-4. The factors become probabilities ``min(1, c * factor)`` with ``c`` such
-   that the expected tokens are ``keep`` of all tokens; a document is kept if
-   a hash of its id and text falls below its cell's probability.
+   present share, until all marginals agree with the targets; ``weight`` is
+   their product.
+4. No document can be kept more than once, so probabilities are raked with
+   that bound: ``prob`` is ``min(1, product of factors)``, and in turn each
+   category's factor is set such that its expected tokens, clipped cells at 1
+   among them, are its target share of ``keep`` of all tokens.  A document is
+   kept if a hash of its id and text falls below its cell's probability.
 
 Targets of categories that have no tokens are dropped; ``*`` keeps its
 natural share of tokens unless it has a target; what remains is shared out in
-proportion.  If targets contradict each other (through empty cells) the
-factors of the last round are taken.
+proportion.  ``keep`` holds: a category with fewer tokens than its target
+share of them is kept whole, and what it lacks is shared out over the other
+categories of its dimension in proportion to their targets.  If targets
+contradict each other (through empty cells, or cells that have too few tokens
+together) the factors of the last round are taken, which meet the targets of
+the last dimension and ``keep``.
 
 Defined cases: null categories are ``*``; null and empty texts have no tokens
 and are sampled like their cell; repeated rows share one draw; other columns
@@ -24,6 +31,9 @@ without any tokens every probability is 0.
 
 from __future__ import annotations
 
+from math import prod
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +87,17 @@ def cells(rows: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
         F.sum("_mix.tokens").cast("double").alias("tokens")).where("tokens > 0")
 
 
+def goal_shares(target: dict[str, float], have: dict[str, float]) -> dict[str, float]:
+    """Shares of the categories that have tokens."""
+    total = sum(have.values())
+    goal = {c: target[c] for c in have if c in target}
+    if not goal:
+        return {c: v / total for c, v in have.items()} if total else {}
+    other = have.get(OTHER, 0.0) / total if total and OTHER not in target else 0.0
+    scale = (1 - other) / (sum(goal.values()) or 1)
+    return {c: g * scale for c, g in goal.items()} | ({OTHER: other} if other else {})
+
+
 def rake(table: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS,
          close: float = CLOSE) -> dict[str, dict[str, float]]:
     """The factors of each dimension's categories.  Every step is one small
@@ -92,13 +113,7 @@ def rake(table: DataFrame, targets: dict[str, dict[str, float]], rounds: int = R
 
     for d, t in targets.items():
         have = marginal(d)
-        total = sum(have.values())
-        goal = {c: t[c] for c in have if c in t}
-        other = have.get(OTHER, 0.0) / total if total and OTHER not in t else 0.0
-        scale = (1 - other) / (sum(goal.values()) or 1)
-        goals[d] = {c: g * scale for c, g in goal.items()} | ({OTHER: other} if other else {})
-        if not goal:
-            goals[d] = {c: v / total for c, v in have.items()} if total else {}
+        goals[d] = goal_shares(t, have)
     if not all(goals.values()):
         return {d: {OTHER: 0.0} for d in targets}
     for d in targets:
@@ -118,40 +133,82 @@ def rake(table: DataFrame, targets: dict[str, dict[str, float]], rounds: int = R
     return factors
 
 
-def scale_to(table: DataFrame, factor: Column, keep: float) -> float:
-    """``c`` for which the cells' expected tokens, ``tokens * min(1, c *
-    factor)``, are ``keep`` of all tokens: a grid search, one aggregation for
-    each refinement."""
-    total, weighted, top = table.agg(F.sum("tokens"), F.sum(F.col("tokens") * factor), F.min(F.when(factor > 0, factor))).first()
-    if not weighted:
-        return 0.0
-    low, high = 0.0, max(1 / top, keep * total / weighted)
-    for _ in range(5):
-        grid = [low + (high - low) * i / 32 for i in range(33)]
-        got = table.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), factor * c)).alias(f"g{i}")
-                          for i, c in enumerate(grid)]).first()
-        at = max((i for i in range(33) if got[i] <= keep * total), default=0)
-        low, high = grid[at], grid[min(at + 1, 32)]
-    return low
+def within(goal: dict[str, float], have: dict[str, float], amount: float) -> dict[str, float]:
+    """Tokens of each category: ``amount`` in all by the shares ``goal``, but
+    from none more than it has."""
+    full: dict[str, float] = {}
+    while True:
+        rest = {c: g for c, g in goal.items() if c not in full}
+        scale = max(0.0, amount - sum(full.values())) / (sum(rest.values()) or 1)
+        short = {c: have[c] for c, g in rest.items() if g * scale >= have[c]}
+        if not short:
+            return full | {c: g * scale for c, g in rest.items()}
+        full |= short
+
+
+def _factor(tokens: np.ndarray, others: np.ndarray, goal: float) -> float:
+    """``f`` for which the sum of ``tokens * min(1, f * others)`` is ``goal``."""
+    order = np.argsort(-others)
+    t, r = tokens[order], others[order]
+    clipped = np.concatenate([[0.0], np.cumsum(t)[:-1]])
+    free = np.cumsum((t * r)[::-1])[::-1]
+    f = (goal - clipped) / free  # if the first 0, 1, .. cells are clipped
+    fits = np.flatnonzero(f * r <= 1)
+    return float(f[fits[0]]) if len(fits) else float(1 / r[-1])
+
+
+def bounded(table: DataFrame, targets: dict[str, dict[str, float]], factors: dict[str, dict[str, float]], keep: float,
+            rounds: int = 1000, close: float = CLOSE) -> dict[str, dict[str, float]]:
+    """Factors whose product, clipped at 1, is the probability of a cell.
+    ``factors`` are the raked ones; the cells, as many as the targets'
+    combinations at most, are raked here on the driver."""
+    rows = table.collect()
+    total = sum(x.tokens for x in rows)
+    weight = np.array([prod(factors[d].get(x[d], 0.0) for d in targets) for x in rows])
+    rows, weight = [x for x, w in zip(rows, weight) if w > 0], weight[weight > 0]
+    out = {d: dict.fromkeys(factors[d], 0.0) for d in targets}
+    if not rows or keep <= 0:
+        return out
+    tokens = np.array([x.tokens for x in rows])
+    amount = min(keep * total, tokens.sum())
+    at = {d: {c: np.flatnonzero([x[d] == c for x in rows]) for c in {x[d] for x in rows}} for d in targets}
+    goals = {}
+    for d, places in at.items():
+        have = {c: float(tokens[i].sum()) for c, i in places.items()}
+        out[d] |= {c: factors[d][c] for c in places}
+        goals[d] = within(goal_shares(targets[d], have), have, amount)
+    prob = weight.copy()
+    for _ in range(rounds):
+        off = 0.0
+        for d, goal in goals.items():
+            for c, i in at[d].items():
+                off = max(off, abs(tokens[i] @ np.minimum(1, prob[i]) - goal[c]) / amount)
+                others = prob[i] / out[d][c]
+                out[d][c] = min(max(_factor(tokens[i], others, goal[c]), 1e-90), 1e90)
+                prob[i] = others * out[d][c]
+        if off < close:
+            break
+    return out
 
 
 def probabilities(docs: DataFrame, targets=None, keep: float = KEEP) -> DataFrame:
     """``docs`` with struct ``_mix`` extended by ``weight`` (the raked factor)
-    and ``prob``, and ``_draw`` in [0, 1)."""
+    and ``prob`` (raked within [0, 1]), and ``_draw`` in [0, 1)."""
     targets = TARGETS if targets is None else targets
     rows = described(docs)
     table = Scratch(docs.sparkSession, "mixing").save(cells(rows, targets).coalesce(1), "cells")
     factors = rake(table, targets)
-    factor = F.lit(1.0)
-    for d, f in factors.items():
-        factor = factor * F.coalesce(_lookup(f, F.col(d)), F.lit(0.0))
-    c = scale_to(table, factor, keep)
-    weight = F.lit(1.0)
-    for d, t in targets.items():
-        weight = weight * F.coalesce(_lookup(factors[d], _category(F.col(f"_mix.{d}"), t)), F.lit(0.0))
+    limited = bounded(table, targets, factors, keep)
+
+    def product(factors: dict[str, dict[str, float]]) -> Column:
+        out = F.lit(1.0)
+        for d, t in targets.items():
+            out = out * F.coalesce(_lookup(factors[d], _category(F.col(f"_mix.{d}"), t)), F.lit(0.0))
+        return out
+
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "_mix.tk"), 11) / F.lit(float(1 << 53))
-    return (rows.withColumn("_mix", F.col("_mix").withField("weight", weight))
-            .withColumn("_mix", F.col("_mix").withField("prob", F.least(F.lit(1.0), F.col("_mix.weight") * c)))
+    return (rows.withColumn("_mix", F.col("_mix").withField("weight", product(factors)))
+            .withColumn("_mix", F.col("_mix").withField("prob", F.least(F.lit(1.0), product(limited))))
             .withColumn("_draw", draw))
 
 

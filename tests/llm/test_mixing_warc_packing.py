@@ -188,3 +188,39 @@ def test_packing_round_trip(spark, row_len, block):
             assert sum(len(p[2]) for p in got) == sum(len(enc.encode_ordinary(t)) for t in texts)
     assert set(parts) == {d for d, _ in want}
     assert K.pack(H.empty_documents(spark)).count() == 0
+
+
+def expected(spark, docs, keep):
+    """Expected shares of tokens by dimension and category, and their sum as a
+    share of all tokens; tokens there are."""
+    cells = M.probabilities(docs, keep=keep).groupBy("_mix.source", "_mix.lang", "_mix.topic").agg(
+        F.sum("_mix.tokens").alias("t"), F.sum(F.col("_mix.tokens") * F.col("_mix.prob")).alias("e")).collect()
+    all_, got = sum(r.t for r in cells), sum(r.e for r in cells)
+    have, share = {}, {}
+    for d in M.TARGETS:
+        have[d], share[d] = collections.Counter(), collections.Counter()
+        for r in cells:
+            have[d][r[d]] += r.t / (keep * all_)
+            share[d][r[d]] += r.e / got
+    return got / all_, have, share
+
+
+def test_mixing_meets_targets_with_one_hot_source(spark):
+    """The targets hold for tokens * prob, not for the factors alone."""
+    docs = table(spark, SF, "documents")
+    hot = docs.where("source = 'src0'")
+    for i in range(9):
+        docs = docs.unionByName(hot.withColumn("doc_id", F.col("doc_id") + (i + 1) * 10**7))
+    got, have, share = expected(spark, docs, 0.4)
+    assert got == pytest.approx(0.4, rel=1e-3)
+    for d, t in M.TARGETS.items():
+        goal = M.within(M.goal_shares(t, have[d]), have[d], 1.0)
+        for c, g in goal.items():
+            assert share[d][c] == pytest.approx(g, abs=1e-3), (d, c)
+    assert all(share["lang"][c] == pytest.approx(x, abs=1e-3) for c, x in M.TARGETS["lang"].items())
+
+
+def test_categories_of_too_few_tokens_are_kept_whole():
+    got = M.within({"a": .5, "b": .3, "c": .2}, {"a": 100., "b": 100., "c": 1.}, 81.)
+    assert got == {"a": pytest.approx(50.), "b": pytest.approx(30.), "c": 1.}
+    assert M.within({"a": .5, "b": .5}, {"a": 3., "b": 4.}, 7.) == {"a": 3., "b": 4.}
