@@ -2,7 +2,8 @@
 
 1. Each text becomes its set of distinct 5-word shingles (64-bit hashes) and
    a sketch of ``COORDS`` minwise tokens.  Texts with equal sets form a
-   class, for which the smallest ``doc_id`` stands from then on.
+   class, known by a key ``rep``, a hash of its set, from then on; the
+   smallest ``doc_id`` of a component is taken at the end.
 2. Tree: a node's members are branched by the minwise token at a coordinate
    that the node chooses by its path; a node chooses 1 / threshold
    coordinates on average, so a pair at the threshold shares one child on
@@ -298,9 +299,9 @@ def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Sc
     """``(a, b)``: links on the full sets within the groups ``(path, rep,
     comp)``, each of at most about ``LEAF`` members."""
     members = scratch.save(members.distinct(), "members")
-    wanted = scratch.save(members.select("rep").distinct().join(classes.select("rep", "tk"), "rep"), "wanted")
+    wanted = scratch.save(members.select("rep").distinct().join(classes.select("rep", "doc_id", "tk"), "rep"), "wanted")
     text = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
-    on = (F.col("d.doc_id") == F.col("w.rep")) & (F.col("d.tk") == F.col("w.tk"))
+    on = (F.col("d.doc_id") == F.col("w.doc_id")) & (F.col("d.tk") == F.col("w.tk"))
     small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     text = (text.alias("d").join((F.broadcast(wanted) if small else wanted).alias("w"), on)
             .select("w.rep", "d.text").dropDuplicates(["rep"]))
@@ -328,8 +329,8 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     rows = scratch.save(sketches(docs), "sketches")
     grouped = (rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2")
                .agg(F.min(F.struct("doc_id", "tk", "sketch")).alias("m")))
-    classes = scratch.save(grouped.select("n", "h1", "h2", F.col("m.doc_id").alias("rep"), F.col("m.tk").alias("tk"),
-                                          F.col("m.sketch").alias("sketch")), "classes")
+    classes = scratch.save(grouped.select("n", "h1", "h2", F.xxhash64("n", "h1", "h2").alias("rep"), "m.doc_id", "m.tk",
+                                          "m.sketch"), "classes")
 
     leaves, large = grow(classes, None, range(trees[0]), scratch, leaf, levels, threshold)
     members = candidates(leaves, classes, threshold)
@@ -351,11 +352,13 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     second = scratch.save(confirm(candidates(leaves, classes, threshold), docs, classes, scratch, threshold), "links")
     comp = components(first.union(second), scratch)
 
-    of = classes.select("n", "h1", "h2", "rep")
+    of = classes.select("n", "h1", "h2", "rep", "doc_id")
     if comp is not None:
-        of = of.join(comp.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
-            "n", "h1", "h2", F.coalesce("label", "rep").alias("rep"))
+        of = of.join(comp.select(F.col("node").alias("rep"), "label"), "rep", "left")
+        first_ids = of.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first_id"))
+        of = of.join(first_ids, "label", "left").withColumn("doc_id", F.coalesce("first_id", "doc_id"))
+    of = of.select("n", "h1", "h2", F.col("doc_id").alias("first_id"))
     out = rows.drop("sketch").join(of, ["n", "h1", "h2"], "left")
-    component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("rep"))).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("first_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", "tk", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -117,3 +117,15 @@ def test_threshold(spark):
     want = brute_at(rows, 80)
     assert want != brute_at(rows, 85) == brute(rows)
     assert result(N.find(docs, leaf=4, levels=2, trees=N.TREES_80, threshold=0.8)) == want
+
+
+def test_one_id_of_two_texts(spark):
+    """Either text of an id has its own links, whichever the order."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(3, a + " end"), (7, a), (7, b), (8, b + " end"), (9, c), (9, d), (11, d + " end"), (11, a + " too")]
+    got = {}
+    for r in N.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.n_shingles, r.component_id, r.kept))
+    assert {i: sorted(x) for i, x in got.items()} == {
+        3: [(57, 3, True)], 7: [(56, 3, False), (56, 7, True)], 8: [(57, 7, False)],
+        9: [(56, 9, True), (56, 9, True)], 11: [(57, 3, False), (57, 9, False)]}
