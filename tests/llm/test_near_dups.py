@@ -129,3 +129,8 @@ def test_one_id_of_two_texts(spark):
     assert {i: sorted(x) for i, x in got.items()} == {
         3: [(57, 3, True)], 7: [(56, 3, False), (56, 7, True)], 8: [(57, 7, False)],
         9: [(56, 9, True), (56, 9, True)], 11: [(57, 3, False), (57, 9, False)]}
+
+
+def test_recall_in_the_deepest_nodes():
+    """Phase two alone meets the stated miss of at most 0.1 %."""
+    assert N.miss(N.THRESHOLD, N.TREES[1], 2 * N.LEVELS - 1) < 0.001
