@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, fingerprints, langid, licenses, mixing, near_dups, packing, quality, toxicity,
-               warc)
+from . import (alignment, decontaminate, fingerprints, hard_negatives, langid, licenses, mixing, near_dups, packing,
+               pii, quality, toxicity, warc)
 from .common import bucket, labelled, table
 
 
@@ -68,9 +68,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def _floor(x):
+    """Floor of a double as a double; numbers beyond 2**52 have no fraction."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
+def op12_rows(embeddings: DataFrame) -> DataFrame:
+    """The rows that take part: labels of every seventh moved on by one,
+    components as whole 256ths."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: _floor(256 * x.cast("double")))
+    return hard_negatives.usable(embeddings, F.col("vec_id"), label, whole)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(op12_rows(table(spark, sf_dir, "embeddings")), F.col("id") % 50 == 0)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_mixing, op3_licenses, op4_quality, op5_revisits, op6_fingerprints, op7_near_dups,
-    op8_language, op9_toxicity, op10_packing)}
+    op8_language, op9_toxicity, op10_packing, op11_pii, op12_hard_negatives, op13_alignment)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -109,4 +134,17 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
     SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = d.doc_id""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS s
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, c) <= 5)
+SELECT p.a AS anchor_id, p.c AS positive_id,
+    (row_number() OVER (PARTITION BY p.a, p.c ORDER BY n.s DESC, n.c))::INTEGER AS rank,
+    n.c AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+QUALIFY rank <= 3""",
 }
