@@ -20,9 +20,13 @@
    connected anyway, so a group of copies costs about as much as its members,
    not its pairs.
 5. What ``LEVELS`` levels can't split are many texts that share nearly all
-   tokens: phase one compares them with the smallest in groups of about
-   ``LEAF``, phase two compares in blocks all those not connected to it with
-   all members.
+   tokens.  Phase one compares them, in groups of about ``LEAF``, with the
+   one nearest to their centre, which connects the near copies of one text.
+   All of them then meet by rare shingles: an exact prefix join by bands of
+   set sizes, in which only groups of several components count.  Groups that
+   are too large meet their own centre, and what then is outside the most
+   frequent component is compared in blocks with the rest.  Phase two leaves
+   nodes of texts that have met.
 
 No step gathers a group: leaves are bounded, and larger nodes are only
 counted, joined and branched.
@@ -67,6 +71,9 @@ LEAF = 256
 TREES = (3, 16)
 TREES_80 = (3, 20)
 LEVELS = 4
+#: Bands of set sizes, and bits of the cells in which shingles are counted.
+BAND = 1.02
+FREQ_BITS = 20
 
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -171,47 +178,195 @@ def _coords(path: Column, threshold: float) -> Column:
 
 
 def _branch(rows: DataFrame, threshold: float) -> DataFrame:
-    return (rows.select("path", "rep", "comp", "sketch", F.explode(_coords(F.col("path"), threshold)).alias("coord"))
-            .select(_child(F.col("path"), F.col("coord"), F.col("sketch")).alias("path"), "rep", "comp", "sketch"))
+    coord = F.explode(_coords(F.col("path"), threshold)).alias("coord")
+    return (rows.select("path", "rep", "comp", "met", "sketch", coord)
+            .select(_child(F.col("path"), F.col("coord"), F.col("sketch")).alias("path"), "rep", "comp", "met", "sketch"))
 
 
-def grow(classes: DataFrame, comp: DataFrame | None, trees: range, scratch: Scratch, leaf: int = LEAF,
-         levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
-    """The leaves ``(path, rep, comp)`` of the trees, and the members of the
-    nodes that are still too large, with ``cnt``."""
-    rows = classes.select("rep", "sketch")
+def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``rows`` of ``rep`` with the component ``comp`` of each."""
     if comp is None:
-        rows = rows.withColumn("comp", F.col("rep"))
-    else:
-        rows = rows.join(comp.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
-            "rep", "sketch", F.coalesce("label", "rep").alias("comp"))
-    base = scratch.save(rows, "base")
+        return rows.withColumn("comp", F.col("rep"))
+    return (rows.join(comp.select(F.col("node").alias("rep"), "label"), "rep", "left")
+            .withColumn("comp", F.coalesce("label", "rep")).drop("label"))
+
+
+def grow(classes: DataFrame, comp: DataFrame | None, met: DataFrame | None, trees: range, scratch: Scratch,
+         leaf: int = LEAF, levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
+    """The leaves ``(path, rep, comp)`` of the trees, and the members of the
+    nodes that are still too large, with ``cnt``.  Classes ``met`` have been
+    compared with each other: nodes of only such ones are left."""
+    base = _labelled(classes.select("rep", "sketch"), comp)
+    if met is not None:
+        base = base.join(met.select("rep", F.lit(True).alias("met")), "rep", "left")
+    base = scratch.save(base.withColumn("met", F.coalesce("met", F.lit(False)) if met is not None else F.lit(False)), "base")
     roots = F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in trees])
     rows = _branch(base.withColumn("path", F.explode(roots)), threshold).drop("sketch")
     done = None
     for level in range(levels):
-        mixed = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"),
-                                          F.max("comp").alias("hi"))
-                 .where("lo < hi").select("path", "cnt"))
-        live = scratch.save(rows.join(mixed, "path"), f"level{level}")
+        live = scratch.save(_mixed(rows, ~F.min("met")), f"level{level}")
         small, large = live.where(F.col("cnt") <= leaf), live.where(F.col("cnt") > leaf)
         small = small.select("path", "rep", "comp")
         done = small if done is None else done.union(small)
         if large.isEmpty():
             return done, None
-        rows = large.select("path", "rep", "comp").join(base.select("rep", "sketch"), "rep")
+        rows = large.select("path", "rep", "comp", "met").join(base.select("rep", "sketch"), "rep")
         rows = _branch(_branch(rows, threshold), threshold).drop("sketch").distinct()
     return done, large
 
 
+def distinct_groups(rows: DataFrame) -> DataFrame:
+    """One of all groups ``path`` that have the same members: trees and tokens
+    often find a group again."""
+    sig = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+                                    F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
+           .groupBy("c", "x", "y").agg(F.min("path").alias("path")))
+    return rows.join(sig.select("path"), "path", "left_semi")
+
+
+def _mixed(rows: DataFrame, also: Column | None = None) -> DataFrame:
+    """The rows of groups with members of several components that fulfil
+    ``also`` (an aggregate), and ``cnt``."""
+    groups = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"),
+                                       F.max("comp").alias("hi"), (F.lit(True) if also is None else also).alias("also"))
+              .where("lo < hi AND also"))
+    return rows.join(groups.select("path", "cnt"), "path")
+
+
+def centre_groups(large: DataFrame, classes: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """Groups of about ``leaf`` members of each large node together with the
+    node's centre: of the members whose sketches agree most with those of a
+    group, the best.  Near copies of one text meet the copy nearest to it."""
+    salt = F.xxhash64("path", F.pmod(F.xxhash64("rep"), F.ceil(F.col("cnt") / leaf))).alias("group")
+    rows = large.select("path", "rep", "comp", "cnt", salt)
+    held = (rows.join(classes.select("rep", "sketch"), "rep").select("group", "path", "rep", "sketch")
+            .repartition("group").sortWithinPartitions("group", "rep"))
+
+    def run(batches):
+        for t in runs_of(batches, "group"):
+            m = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u4").reshape(t.num_rows, COORDS)
+            score = np.zeros(len(m), np.int64)
+            for c in range(COORDS):
+                _, at, times = np.unique(m[:, c], return_inverse=True, return_counts=True)
+                score += times[at]
+            best = int(score.argmax())
+            yield pa.RecordBatch.from_arrays(
+                [t["path"].combine_chunks().slice(best, 1), t["rep"].combine_chunks().slice(best, 1),
+                 pa.array([float(score[best]) / len(m)])], names=["path", "rep", "score"])
+
+    centre = (held.mapInArrow(run, "path bigint, rep bigint, score double")
+              .groupBy("path").agg(F.max(F.struct("score", "rep")).alias("m"))
+              .join(rows.select("path", F.col("rep").alias("of"), "comp"), "path").where("of = m.rep")
+              .select("path", "of", "comp"))
+    of = rows.select("path", "group").distinct().join(centre, "path").select(
+        F.col("group").alias("path"), F.col("of").alias("rep"), "comp")
+    return rows.select(F.col("group").alias("path"), "rep", "comp").union(of).distinct()
+
+
+def texts_of(reps: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(rep, text)`` of classes; the keys are narrow, so no text is shuffled
+    while their table is small."""
+    wanted = scratch.save(reps.select("rep").distinct().join(classes.select("rep", "doc_id", "tk"), "rep"), "wanted")
+    text = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
+    on = (F.col("d.doc_id") == F.col("w.doc_id")) & (F.col("d.tk") == F.col("w.tk"))
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return (text.alias("d").join((F.broadcast(wanted) if small else wanted).alias("w"), on)
+            .select("w.rep", "d.text").dropDuplicates(["rep"]))
+
+
+def _band(n: int) -> int:
+    """Number of the band of set sizes, 2 % wide, that holds ``n``."""
+    b = max(0, int(np.log(n) / np.log(BAND)))
+    while BAND ** (b + 1) <= n:
+        b += 1
+    while BAND ** b > n:
+        b -= 1
+    return b
+
+
+def rare_keys(tokens: np.ndarray, freq: np.ndarray, part: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set for a prefix join, any two sets at the threshold share
+    one, and the key's side: 1 or 2 for the smaller or larger band, else 0.
+
+    A pair of sizes n and m at the threshold has at least
+    ``part * (n + m) / (part + whole)`` common tokens, so if each side takes
+    its tokens, rarest first, up to that many from the end, both have taken
+    the rarest common one.  A set does so for each band of sizes its partner
+    may have; a key is a token and the two bands.  Tokens counted once are in
+    no other set and need no key."""
+    n = len(tokens)
+    counts = freq[(tokens >> np.uint64(64 - FREQ_BITS)).astype(np.int64)]
+    order = np.lexsort((tokens, counts))
+    tokens, shared = tokens[order], counts[order] > 1
+    own, out, sides = _band(n), [], []
+    for q in range(_band(max(1, -(-part * n // whole))), _band(whole * n // part) + 1):
+        low = max(int(np.ceil(BAND ** q)), -(-part * n // whole))
+        if low > min(int(BAND ** (q + 1)), whole * n // part):
+            continue
+        need = -(-part * (n + low) // (part + whole))
+        head = tokens[:max(0, n - need + 1)][shared[:max(0, n - need + 1)]]
+        bands = np.uint64((min(own, q) * 100_003 + max(own, q) + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        out.append((head ^ bands) * np.uint64(0xD6E8FEB86659FD93))
+        sides.append(np.full(len(head), (own < q) + 2 * (own > q), np.int32))
+    return np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64), np.concatenate([np.zeros(0, np.int32), *sides])
+
+
+def rare_groups(crowd: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch,
+                threshold: float = THRESHOLD) -> DataFrame:
+    """``(path, rep, comp, cnt)``: the members ``(rep, comp)`` of nodes that
+    trees can't split, grouped by rare shingles that every pair at the
+    threshold shares (an exact prefix join); groups of one component are
+    left out.  ``freq`` counts shingles in 2**20 cells, so it is bounded."""
+    part, whole = ratio(threshold)
+    rows = crowd.join(texts_of(crowd, docs, classes, scratch), "rep").select("rep", "comp", "text")
+
+    def to_sets(batches):
+        for b in batches:
+            sets = [shingles(t).tobytes() for t in each_text(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())],
+                                             names=["rep", "comp", "set"])
+
+    sets = scratch.save(rows.mapInArrow(to_sets, "rep bigint, comp bigint, set binary"), "sets")
+
+    def count(batches):
+        cells = np.zeros(1 << FREQ_BITS, np.int64)
+        for b in batches:
+            for s in each_text(b.column(0)):
+                at, times = np.unique(np.frombuffer(s, np.uint64) >> np.uint64(64 - FREQ_BITS), return_counts=True)
+                cells[at.astype(np.int64)] += times
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64())], names=["cell", "n"])
+
+    counted = sets.select("set").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    freq = np.zeros(1 << FREQ_BITS, np.int32)
+    got = counted.where("n > 1").toArrow()
+    freq[got["cell"].to_numpy()] = np.minimum(got["n"].to_numpy(), 2**31 - 1)
+
+    def keys(batches):
+        for b in batches:
+            each = [rare_keys(np.frombuffer(s, np.uint64), freq, part, whole) for s in each_text(b.column(2))]
+            of = np.repeat(np.arange(len(each)), [len(k) for k, _ in each])
+            if len(of):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([k for k, _ in each])), b.column(0).take(pa.array(of)),
+                     b.column(1).take(pa.array(of)), pa.array(np.concatenate([x for _, x in each]))],
+                    names=["path", "rep", "comp", "side"])
+
+    found = scratch.save(sets.mapInArrow(keys, "path bigint, rep bigint, comp bigint, side int"), "keys")
+    # A key of two bands needs members of both, any key those of two components.
+    live = found.groupBy("path").agg(F.bit_or("side").alias("sides"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    live = live.where("lo < hi AND sides IN (0, 3)").select("path")
+    found = scratch.save(found.drop("side").join(live, "path", "left_semi"), "shared")
+    return scratch.save(_mixed(distinct_groups(found)), "rare")
+
+
 def blocks(large: DataFrame, size: int = LEAF // 2) -> DataFrame:
     """Groups of at most about ``2 * size`` members in which every member of
-    a large node that is not connected to its smallest one meets every other
-    member."""
-    heads = large.groupBy("path").agg(F.min(F.struct("rep", "comp")).alias("head"))
-    rows = large.join(heads, "path").withColumn("out", F.col("comp") != F.col("head.comp"))
-    counts = rows.groupBy("path").agg(F.count(F.when(F.col("out"), 1)).alias("m")).where("m > 0")
-    rows = rows.join(counts, "path")
+    a large group outside its most frequent component meets every other."""
+    by_comp = large.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
+    most = by_comp.groupBy("path").agg(F.max(F.struct("k", "comp")).alias("head"))
+    rows = large.join(most, "path").withColumn("out", F.col("comp") != F.col("head.comp"))
+    rows = rows.withColumn("m", F.col("cnt") - F.col("head.k"))
     n_out, n_all = F.ceil(F.col("m") / size), F.ceil(F.col("cnt") / size)
     block = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), n)
     as_out = rows.where("out").select("path", "rep", "comp", block(n_out, 1).alias("i"),
@@ -298,12 +453,7 @@ def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Sc
     """``(a, b)``: links on the full sets within the groups ``(path, rep,
     comp)``, each of at most about ``LEAF`` members."""
     members = scratch.save(members.distinct(), "members")
-    wanted = scratch.save(members.select("rep").distinct().join(classes.select("rep", "doc_id", "tk"), "rep"), "wanted")
-    text = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
-    on = (F.col("d.doc_id") == F.col("w.doc_id")) & (F.col("d.tk") == F.col("w.tk"))
-    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    text = (text.alias("d").join((F.broadcast(wanted) if small else wanted).alias("w"), on)
-            .select("w.rep", "d.text").dropDuplicates(["rep"]))
+    text = texts_of(members, docs, classes, scratch)
     rows = (members.join(text, "rep").select("path", "rep", "comp", "text")
             .repartition("path").sortWithinPartitions("path", "rep"))
 
@@ -331,25 +481,36 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     classes = scratch.save(grouped.select("n", "h1", "h2", F.xxhash64("n", "h1", "h2").alias("rep"), "m.doc_id", "m.tk",
                                           "m.sketch"), "classes")
 
-    leaves, large = grow(classes, None, range(trees[0]), scratch, leaf, levels, threshold)
-    members = candidates(leaves, classes, threshold)
+    confirmed = lambda members: scratch.save(confirm(members, docs, classes, scratch, threshold), "links")
+
+    def crowd_links(crowd: DataFrame, links: DataFrame) -> DataFrame:
+        """``links`` and those among the classes ``crowd``, all of which meet."""
+        rows = _labelled(crowd.select("rep"), components(links, scratch))
+        rare = rare_groups(rows, docs, classes, scratch, threshold)
+        few, many = rare.where(F.col("cnt") <= leaf), rare.where(F.col("cnt") > leaf)
+        members = candidates(few.select("path", "rep", "comp"), classes, threshold)
+        links = links.union(confirmed(members.union(centre_groups(many, classes, leaf))))
+        if many.isEmpty():
+            return links
+        still = scratch.save(_mixed(_labelled(many.select("path", "rep"), components(links, scratch))), "still")
+        return links.union(confirmed(candidates(blocks(still, max(1, leaf // 2)), classes, threshold)))
+
+    leaves, large = grow(classes, None, None, range(trees[0]), scratch, leaf, levels, threshold)
+    members = candidates(distinct_groups(leaves), classes, threshold)
+    met = None
     if large is not None:
-        # Groups of the node's smallest member and some others.
-        head = large.groupBy("path").agg(F.min("rep").alias("head"), F.max("cnt").alias("cnt"))
-        groups = F.ceil(F.col("cnt") / leaf)
-        salted = lambda i: F.xxhash64("path", i).alias("path")
-        mine = large.select(salted(F.pmod(F.xxhash64("rep"), groups)), "rep", "comp")
-        heads = head.select("path", F.col("head").alias("rep"), F.explode(
-            F.sequence(F.lit(0).cast("long"), groups - 1)).alias("i")).select(salted(F.col("i")), "rep", F.col("rep").alias("comp"))
-        members = members.union(mine).union(heads)
-    first = scratch.save(confirm(members, docs, classes, scratch, threshold), "links")
-    comp = components(first, scratch)
-
-    leaves, large = grow(classes, comp, range(trees[0], sum(trees)), scratch, leaf, levels, threshold)
+        members = members.union(centre_groups(large, classes, leaf))
+    links = confirmed(members)
+    if large is not None:
+        met = scratch.save(large.select("rep").distinct(), "crowd")
+        links = crowd_links(met, links)
+
+    leaves, large = grow(classes, components(links, scratch), met, range(trees[0], sum(trees)), scratch, leaf, levels,
+                         threshold)
+    links = links.union(confirmed(candidates(distinct_groups(leaves), classes, threshold)))
     if large is not None:
-        leaves = leaves.union(blocks(large, max(1, leaf // 2)))
-    second = scratch.save(confirm(candidates(leaves, classes, threshold), docs, classes, scratch, threshold), "links")
-    comp = components(first.union(second), scratch)
+        links = crowd_links(scratch.save(large.select("rep").distinct(), "crowd"), links)
+    comp = components(links, scratch)
 
     of = classes.select("n", "h1", "h2", "rep", "doc_id")
     if comp is not None:

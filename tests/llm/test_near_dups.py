@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from eddy.llm import near_dups as N
@@ -134,3 +135,47 @@ def test_one_id_of_two_texts(spark):
 def test_recall_in_the_deepest_nodes():
     """Phase two alone meets the stated miss of at most 0.1 %."""
     assert N.miss(N.THRESHOLD, N.TREES[1], 2 * N.LEVELS - 1) < 0.001
+
+
+def passage(seed, members, words=60, own=11):
+    """Texts that share a long passage, each with an end of its own: below
+    the threshold, but near it."""
+    r = random.Random(seed)
+    base = " ".join(f"w{r.randrange(10**6)}" for _ in range(words))
+    return [base + " " + " ".join(f"p{r.randrange(10**9)}" for _ in range(own)) for _ in range(members)]
+
+
+def test_rare_keys_meet():
+    """Any two sets at the threshold share a key."""
+    r = random.Random(3)
+    freq = np.ones(1 << N.FREQ_BITS, np.int32) * 2
+    for _ in range(300):
+        n = r.randrange(1, 200)
+        a = np.unique(np.array([r.getrandbits(64) for _ in range(n)], np.uint64))
+        b = np.unique(np.concatenate([r.sample(list(a), r.randrange(int(0.8 * n), n + 1)),
+                                      [r.getrandbits(64) for _ in range(r.randrange(n // 6 + 1))]]).astype(np.uint64))
+        both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        for part, whole in ((17, 20), (4, 5)):
+            if both and whole * both >= part * union:
+                of = [dict(zip(*map(np.ndarray.tolist, N.rare_keys(x, freq, part, whole)))) for x in (a, b)]
+                assert any(of[0][k] | of[1][k] in (0, 3) for k in of[0].keys() & of[1].keys())
+
+
+@pytest.mark.parametrize("make", [lambda n: family(5, n, 6), lambda n: passage(6, n)])
+def test_work_follows_the_group(spark, monkeypatch, make):
+    """Twice the group gives about twice the members compared on full sets."""
+    seen, confirm = [], N.confirm
+
+    def counted(members, *rest):
+        seen[-1] += members.count()
+        return confirm(members, *rest)
+
+    monkeypatch.setattr(N, "confirm", counted)
+    for n in (150, 300):
+        texts = make(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        seen.append(0)
+        got = result(N.find(docs, leaf=32, levels=2, trees=(3, 16)))
+        if n == 150:
+            assert got == brute(list(enumerate(texts)))
+    assert seen[1] <= 3 * seen[0] + 200, seen
