@@ -116,7 +116,9 @@ def _greedy(df: DataFrame, key: str, order_by: str, ts: str, name: str, out_type
     schema = T.StructType([*kept, T.StructField(name, T._parse_datatype_string(out_type))])
 
     def run(t: pa.Table) -> pa.Table:
-        return t.select([f.name for f in kept]).append_column(name, pa.array(walk(t["__t"].to_numpy())))
+        values = walk(t["__t"].to_numpy())
+        values = values if isinstance(values, pa.Array) else pa.array(values)
+        return t.select([f.name for f in kept]).append_column(name, values)
 
     direct = sorted_group_map(small, ["__key"], [order_by], run, schema)
     return direct.unionByName(chain(big).select(*schema.names)) if has_big else direct

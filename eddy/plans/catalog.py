@@ -1127,6 +1127,68 @@ def in_flight_nulls(spark, sf):
     return out.select("event_id", "user_id", "accepted")
 
 
+@query("affine_scan", f"""
+WITH RECURSIVE {_LATE_SQL},
+r AS (SELECT u, user_id, rn, event_id, ((1 + event_id % 5) * 7 + event_id % 11) % 1000003 AS x FROM k WHERE rn = 1
+      UNION ALL
+      SELECT k.u, k.user_id, k.rn, k.event_id, ((1 + k.event_id % 5) * r.x + k.event_id % 11) % 1000003
+      FROM r JOIN k ON k.u = r.u AND k.rn = r.rn + 1)
+SELECT event_id, user_id, x::BIGINT AS x FROM r
+""")
+def affine_scan(spark, sf):
+    """A7/S7 with a fold of the user's own: per user (null is one), each event
+    makes m * x + c of the state x, modulo a prime."""
+    from eddy.plans import foldscan
+    e = _late_events(spark, sf).select("event_id", "user_id")
+    i = F.col("event_id")
+    return foldscan.affine_scan(e, ["event_id"], 1 + i % 5, i % 11, F.lit(7), "x", ["user_id"], modulus=1_000_003)
+
+
+@query("last_non_null_scan", """
+SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
+    OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events
+""")
+def last_non_null_scan(spark, sf):
+    """A7 over the whole table: the value of the latest purchase so far."""
+    from eddy.plans import foldscan
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    bought = F.when(F.col("event_type") == "purchase", F.col("value"))
+    out = foldscan.fold(e, ["event_id"], bought, foldscan.last_non_null, "last_purchase")
+    return out.select("event_id", "last_purchase")
+
+
+@query("retried_requests", f"""
+WITH RECURSIVE {_LATE_SQL},
+c AS (SELECT u, user_id, rn, event_id, epoch_us(clock) AS t FROM k),
+p AS (SELECT 6 * 3600000000 AS d, 12 * 3600000000 AS tick),
+r AS (SELECT u, rn, t, t + d AS b, 0::BIGINT AS q, 0::BIGINT AS puts, 0::BIGINT AS pops, 0::BIGINT AS k,
+             0::BIGINT AS tau, true AS accepted FROM c, p WHERE rn = 1
+      UNION ALL
+      SELECT u, rn, t, CASE WHEN t >= b1 THEN t + d ELSE b1 END, q - k + (t < b1)::BIGINT, puts + (t < b1)::BIGINT,
+             pops + k, k, tau, t >= b1
+      FROM (SELECT *, CASE WHEN k > 0 THEN tau + (k - 1) * tick + d ELSE b END AS b1
+            FROM (SELECT c.u, c.rn, c.t, r.b, r.q, r.puts, r.pops, d, tick, (r.b + tick - 1) // tick * tick AS tau,
+                         CASE WHEN r.q > 0 AND (r.b + tick - 1) // tick * tick <= c.t
+                              THEN least(r.q, (c.t - (r.b + tick - 1) // tick * tick) // tick + 1) ELSE 0 END AS k
+                  FROM r JOIN c ON c.u = r.u AND c.rn = r.rn + 1, p))),
+served AS (SELECT u, n, tau + (n - (pops - k + 1)) * tick AS start
+           FROM (SELECT *, unnest(generate_series(pops - k + 1, pops)) AS n FROM r WHERE k > 0), p
+           UNION ALL
+           SELECT u, n, (b + tick - 1) // tick * tick + (n - pops - 1) * tick
+           FROM (SELECT *, unnest(generate_series(pops + 1, puts)) AS n
+                 FROM (SELECT * FROM r QUALIFY rn = max(rn) OVER (PARTITION BY u)) WHERE q > 0), p)
+SELECT c.event_id, c.user_id, make_timestamp(CASE WHEN accepted THEN r.t ELSE s.start END) AS start,
+       (CASE WHEN accepted THEN 0 ELSE (s.start - (r.t // tick + 1) * tick) // tick + 1 END)::BIGINT AS put_off
+FROM r JOIN c ON c.u = r.u AND c.rn = r.rn LEFT JOIN served s ON s.u = r.u AND s.n = r.puts AND NOT r.accepted, p
+""")
+def retried_requests(spark, sf):
+    """Requests put off while one of their user runs (6 hours) are
+    tried again every 12 hours until they run; null users, times that go back."""
+    from eddy.operators import retries
+    out = retries.retry_put_off(_late_events(spark, sf), "user_id", "event_id", "ets", 6 * HOUR_US, 12 * HOUR_US)
+    return out.select("event_id", "user_id", "start", "put_off")
+
+
 @query("grouped_within_late", f"""
 WITH RECURSIVE {_LATE_SQL},
 r AS (SELECT u, user_id, rn, event_id, 0 AS batch, clock AS open_ts, 1 AS cnt FROM k WHERE rn = 1
