@@ -136,9 +136,9 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = d.doc_id""",
     "op12_hard_negatives": """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS s
     FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
 p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, c) <= 5)
