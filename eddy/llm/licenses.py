@@ -90,9 +90,9 @@ def template_positions(spark: SparkSession, templates=None) -> DataFrame:
 
 def diagonals(docs: DataFrame, positions: DataFrame) -> DataFrame:
     """Votes by diagonal: ``(doc_id, tk, tid, label, base, need, diag, n, lo,
-    hi)``; ``n`` counts the template positions that voted (each once, however
-    often a row is repeated), ``lo`` and ``hi`` are places of their first and
-    last k-gram in the document."""
+    hi, masks)``; ``n`` counts the template positions that voted (each once,
+    however often a row is repeated), ``masks`` has them as bits, ``lo`` and
+    ``hi`` are places of their first and last k-gram in the document."""
     key = ["doc_id", "tk"]
     # Outer, as Spark would compute the grams once more to filter empty arrays.
     g = docs.select("doc_id", text_key(F.col("text")).alias("tk"),
@@ -107,24 +107,35 @@ def diagonals(docs: DataFrame, positions: DataFrame) -> DataFrame:
             .agg(F.bit_or(F.call_function("shiftleft", one, F.col("tpos") % PIECE)).alias("mask"),
                  F.min("pos").alias("lo"), F.max("pos").alias("hi"))
             .groupBy(*key, *named, "diag")
-            .agg(F.sum(F.bit_count("mask")).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+            .agg(F.sum(F.bit_count("mask")).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                 F.collect_list(F.struct("piece", "mask")).alias("masks")))
 
 
 def license_spans(diags: DataFrame, drift: int = DRIFT, cover: float = COVER) -> DataFrame:
     """Verified spans: ``(doc_id, tk, tid, label, base, start, stop, cover)``.
-    Phrases (``base``) need all their k-grams on one diagonal; the others may
-    be spread over neighbouring diagonals."""
-    key = ["doc_id", "tk", "tid"]
+    Phrases (``base``) need all their k-grams on one diagonal.  Others are
+    spans if one diagonal has enough of them; what is left may be spread over
+    neighbouring diagonals, merged where they are at most ``drift`` apart, and
+    each template position counts once, however many of them have it.  Merged
+    diagonals are cut into stretches of half the template's length, twice, the
+    second time shifted by half a stretch, so endless chains hide no span."""
+    key, named = ["doc_id", "tk", "tid"], ["label", "base", "need"]
+    share = (F.col("n") / F.col("need")).alias("cover")
+    columns = [*key, "label", "base", F.col("lo").alias("start"), F.col("hi").alias("stop"), share]
+    whole = F.when(F.col("base"), F.col("n") == F.col("need")).otherwise(F.col("n") >= cover * F.col("need"))
     w = Window.partitionBy(*key).orderBy("diag")
-    fresh = F.col("base") | F.coalesce(F.col("diag") - F.lag("diag").over(w) > drift, F.lit(True))
-    return (diags.withColumn("fresh", fresh.cast("int"))
-            .withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy(*key, "label", "base", "need", "island")
-            .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            .withColumn("cover", F.least(F.col("n") / F.col("need"), F.lit(1.0)))
-            .where(F.when(F.col("base"), F.col("n") == F.col("need")).otherwise(
-                (F.col("cover") >= cover) & (F.col("hi") - F.col("lo") < 1.5 * F.col("need") + drift)))
-            .select(*key, "label", "base", F.col("lo").alias("start"), F.col("hi").alias("stop"), "cover"))
+    fresh = F.coalesce(F.col("diag") - F.lag("diag").over(w) > drift, F.lit(True))
+    width = F.greatest(F.lit(drift + 1), F.ceil(F.col("need") / 2))
+    islands = (diags.where(~F.col("base") & ~whole).withColumn("fresh", fresh.cast("int"))
+               .withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1))))
+               .withColumn("stretch", F.floor((F.col("diag") + F.col("shift") * F.floor(width / 2)) / width)))
+    group = [*key, *named, "island", "shift", "stretch"]
+    merged = (islands.select(*group, "lo", "hi", F.inline("masks"))
+              .groupBy(*group, "piece").agg(F.bit_or("mask").alias("mask"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+              .groupBy(*group).agg(F.sum(F.bit_count("mask")).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+              .where(whole & (F.col("hi") - F.col("lo") < 1.5 * F.col("need") + drift)))
+    return diags.where(whole).select(*columns).union(merged.select(*columns).distinct())
 
 
 def scan(docs: DataFrame, templates=None) -> DataFrame:
