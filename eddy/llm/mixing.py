@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_BREAKS, Scratch, text_key
+from .common import SPACE_BREAKS, Scratch, once, text_key
 
 OTHER = "*"
 ROUNDS = 60
@@ -66,11 +66,11 @@ def topic(text: Column, tokens: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """``docs`` with struct ``_mix``: its tokens and categories."""
-    t = n_tokens(F.col("text"))
-    return docs.withColumn("_n", t).withColumn("_mix", F.struct(
-        F.col("_n").alias("tokens"), F.col("source"), F.col("lang"), topic(F.col("text"), F.col("_n")).alias("topic"),
-        text_key(F.col("text")).alias("tk"))).drop("_n")
+    """``docs`` with struct ``_mix``: its tokens and categories (in place of
+    a column of that name)."""
+    return docs.withColumn("_mix", once(n_tokens(F.col("text")), lambda t: F.struct(
+        t.alias("tokens"), F.col("source").alias("source"), F.col("lang").alias("lang"),
+        topic(F.col("text"), t).alias("topic"), text_key(F.col("text")).alias("tk"))))
 
 
 def _category(c: Column, target: dict[str, float]) -> Column:
@@ -191,27 +191,45 @@ def bounded(table: DataFrame, targets: dict[str, dict[str, float]], factors: dic
     return out
 
 
-def probabilities(docs: DataFrame, targets=None, keep: float = KEEP) -> DataFrame:
-    """``docs`` with struct ``_mix`` extended by ``weight`` (the raked factor)
-    and ``prob`` (raked within [0, 1]), and ``_draw`` in [0, 1)."""
+def _plan(rows: DataFrame, targets, keep: float) -> tuple[dict, dict, dict]:
+    """Targets, raked factors, and factors raked within [0, 1]."""
     targets = TARGETS if targets is None else targets
-    rows = described(docs)
-    table = Scratch(docs.sparkSession, "mixing").save(cells(rows, targets).coalesce(1), "cells")
+    table = Scratch(rows.sparkSession, "mixing").save(cells(rows, targets).coalesce(1), "cells")
     factors = rake(table, targets)
-    limited = bounded(table, targets, factors, keep)
+    return targets, factors, bounded(table, targets, factors, keep)
 
-    def product(factors: dict[str, dict[str, float]]) -> Column:
-        out = F.lit(1.0)
-        for d, t in targets.items():
-            out = out * F.coalesce(_lookup(factors[d], _category(F.col(f"_mix.{d}"), t)), F.lit(0.0))
-        return out
 
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "_mix.tk"), 11) / F.lit(float(1 << 53))
-    return (rows.withColumn("_mix", F.col("_mix").withField("weight", product(factors)))
-            .withColumn("_mix", F.col("_mix").withField("prob", F.least(F.lit(1.0), product(limited))))
-            .withColumn("_draw", draw))
+def _product(factors: dict[str, dict[str, float]], targets, of) -> Column:
+    """The product of the factors of the categories ``of(dimension)``."""
+    out = F.lit(1.0)
+    for d, t in targets.items():
+        out = out * F.coalesce(_lookup(factors[d], _category(of(d), t)), F.lit(0.0))
+    return out
+
+
+def _drawn(doc_id: Column, tk: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), doc_id, tk), 11) / F.lit(float(1 << 53))
+
+
+def probabilities(docs: DataFrame, targets=None, keep: float = KEEP) -> DataFrame:
+    """``docs`` with struct ``_mix`` extended by ``weight`` (the raked factor)
+    and ``prob`` (raked within [0, 1]), and ``_draw`` in [0, 1); columns of
+    these two names are replaced."""
+    rows = described(docs)
+    targets, factors, limited = _plan(rows, targets, keep)
+    of = lambda d: F.col(f"_mix.{d}")
+    return (rows.withColumn("_mix", F.col("_mix").withField("weight", _product(factors, targets, of)))
+            .withColumn("_mix", F.col("_mix").withField("prob", F.least(F.lit(1.0), _product(limited, targets, of))))
+            .withColumn("_draw", _drawn(F.col("doc_id"), F.col("_mix.tk"))))
 
 
 def sample(docs: DataFrame, targets=None, keep: float = KEEP) -> DataFrame:
-    """The kept rows of ``docs``, with its columns."""
-    return probabilities(docs, targets, keep).where("_draw < _mix.prob").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The kept rows of ``docs``, with its columns, whatever their names."""
+    targets, _, limited = _plan(described(docs.select("doc_id", "source", "lang", "text")), targets, keep)
+    # The row travels as one struct; its words and topic are worked out once.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row.text")
+    parts = once(n_tokens(text), lambda t: F.struct(topic(text, t).alias("topic"), F.col("row.source").alias("source"),
+                                                    F.col("row.lang").alias("lang")))
+    prob = once(parts, lambda p: F.least(F.lit(1.0), _product(limited, targets, lambda d: p[d])))
+    return rows.where(_drawn(F.col("row.doc_id"), text_key(text)) < prob).select("row.*")

@@ -111,10 +111,15 @@ def restore(records: DataFrame, resolution: DataFrame, payload: Column | None =
     full = records.where("kind = 'response'").select(
         F.col("rid").alias("ref"), F.col("headers").alias("stored"), payload.alias("payload")).dropDuplicates(["ref"])
     own = records.where("kind = 'revisit'").select("rid", F.col("headers").alias("update")).dropDuplicates(["rid"])
-    return (resolution.join(own, "rid", "left").join(full, "ref", "left")
+    # Rows without a reference are spread by a key of their own; what it may
+    # meet by chance is not taken.
+    at = F.coalesce("ref", -F.abs(F.xxhash64("rid", "time"))).alias("at")
+    found = F.col("ref").isNotNull()
+    return (resolution.join(own, "rid", "left").select("*", at)
+            .join(full.withColumnRenamed("ref", "at"), "at", "left")
             .select("rid", "url_key", "time", "ref", "status",
-                    F.when(F.col("ref").isNotNull(), merged_headers(F.col("stored"), F.col("update"))).alias("headers"),
-                    "payload"))
+                    F.when(found, merged_headers(F.col("stored"), F.col("update"))).alias("headers"),
+                    F.when(found, F.col("payload")).alias("payload")))
 
 
 def records_of(pages: DataFrame) -> DataFrame:

@@ -224,3 +224,29 @@ def test_categories_of_too_few_tokens_are_kept_whole():
     got = M.within({"a": .5, "b": .3, "c": .2}, {"a": 100., "b": 100., "c": 1.}, 81.)
     assert got == {"a": pytest.approx(50.), "b": pytest.approx(30.), "c": 1.}
     assert M.within({"a": .5, "b": .5}, {"a": 3., "b": 4.}, 7.) == {"a": 3., "b": 4.}
+
+
+def test_sample_keeps_columns_of_any_name(spark):
+    """Names like the operator's own come back with the user's values."""
+    docs = H.documents(spark).withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in
+                                           ("_n", "_mix", "_draw", "row", "tokens", "topic", "a.b")})
+    out = M.sample(docs, keep=0.5)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert 0 < len(rows) < docs.count()
+    assert all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in ("_n", "_mix", "_draw", "row", "a.b"))
+    kept = {r.doc_id for r in M.probabilities(H.documents(spark), keep=0.5).where("_draw < _mix.prob").collect()}
+    assert {r.doc_id for r in rows} == kept
+
+
+def test_restore_with_many_unresolved(spark):
+    """Revisits without a reference stay, with nulls, whatever their number."""
+    pages = spark.createDataFrame([(i, f"http://h{i}.com/", f"<p>{i}</p>") for i in range(40)],
+                                  "page_id bigint, url string, html string")
+    records = R.records_of(pages)
+    resolution = R.resolve(records)
+    rows = R.restore(records, resolution).collect()
+    assert len(rows) == resolution.count() == 120
+    lost = [r for r in rows if r.ref is None]
+    assert len(lost) == 80 and all(r.headers is None and r.payload is None for r in lost)
+    assert all(r.payload == f"<p>{r.ref // 4}</p>" for r in rows if r.ref is not None)
