@@ -27,6 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,9 @@ from .common import Scratch, each_text, for_texts, join_counted
 FOLDER = "/opt/tokenizers"
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
-#: Chunks that a worker keeps, and the longest one kept.
-MEMO = 100_000
+#: Chunks after which a worker lets go of those not met since as many others,
+#: and the longest one kept.
+MEMO = 200_000
 MEMO_CHARS = 64
 
 
@@ -54,7 +56,7 @@ def byte_chars() -> dict[str, int]:
 class Pair:
     """Both tokenizers, loaded once in a worker."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, ends: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -70,6 +72,8 @@ class Pair:
                         for i, p in enumerate(pieces)]
         self.cut = all("▁" not in p.lstrip("▁") for p in pieces) and not self._normalises()
         self.memo: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
+        self.ends = ends
 
     def _normalises(self) -> bool:
         from sentencepiece import sentencepiece_model_pb2 as model
@@ -83,6 +87,8 @@ class Pair:
         """The text in chunks, each after a space that no token goes over."""
         if not self.cut:
             return [text]
+        if not _blank(text[0]) and not _blank(text[-1]) and not _BLANKS.search(text):
+            return text.split(" ")
         out, held, open_ = [], [], False
         for p in text.split(" "):
             if held and not open_ and p and not _blank(p[0]):
@@ -93,83 +99,123 @@ class Pair:
         out.append(" ".join(held))
         return out
 
-    def a_cuts(self, raw: bytes, text: str) -> tuple[list[int], list[int] | None]:
+    def a_cuts(self, raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray | None]:
         e = self.a.encode(text, add_special_tokens=False)
-        spans = e.offsets
+        spans = np.array(e.offsets, np.int64).reshape(-1, 2)
         if len(raw) != len(text):
-            at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]).tolist()
-            spans = [(at[x], at[y]) for x, y in spans]
-        return e.ids, cuts(raw, spans, [self.a_bytes[i] for i in e.ids])
+            spans = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])])[spans]
+        return np.array(e.ids, np.int64), cuts(raw, spans, [self.a_bytes[i] for i in e.ids])
 
-    def b_cuts(self, raw: bytes, text: str) -> tuple[list[int], list[int] | None]:
+    def b_cuts(self, raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray | None]:
         pieces = self.b.encode(text, return_type="proto").pieces
         ids = [p.id for p in pieces]
         # Spans are in the bytes of ``text``, before which ``raw`` has a space.
-        spans = [(p.begin + (k > 0), p.end + 1) for k, p in enumerate(pieces)]
-        return ids, cuts(raw, spans, [self.b_bytes[i] for i in ids])
-
-    def align(self, chunk: str) -> tuple | None:
-        """``(n_a, n_b, n_groups, n_links, groups, keys, a_ends, b_ends)`` of
-        a chunk and the space before it; None if bytes are lost."""
-        raw = (" " + chunk).encode()
-        a, a_ends = self.a_cuts(raw, " " + chunk)
-        b, b_ends = self.b_cuts(raw, chunk)
+        spans = np.array([(p.begin, p.end) for p in pieces], np.int64).reshape(-1, 2) + 1
+        spans[:1, 0] = 0
+        return np.array(ids, np.int64), cuts(raw, spans, [self.b_bytes[i] for i in ids])
+
+    def align(self, chunks: list[str]) -> list[tuple | None]:
+        """For each chunk, with the space before it: ``(n_a, n_b, n_groups,
+        groups, keys, a_ends, b_ends)``, the ends in bytes of the chunk; None
+        if bytes are lost.  The chunks are encoded as one text, as no token
+        goes over their borders."""
+        text = " ".join(chunks)
+        raw = (" " + text).encode()
+        a, a_ends = self.a_cuts(raw, " " + text)
+        b, b_ends = self.b_cuts(raw, text)
         if a_ends is None or b_ends is None:
-            return None
-        groups, keys, i, j, x, y = [], [], 0, 0, 0, 0
-        while i < len(a):
-            keys.append(a[i] << 32 | b[j])
-            if a_ends[i] == b_ends[j]:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[x:i])) + "|" + ",".join(map(str, b[y:j])))
-                x, y = i, j
-            elif a_ends[i] < b_ends[j]:
-                i += 1
-            else:
-                j += 1
-        return len(a), len(b), len(groups), len(keys), ";".join(groups), np.array(keys, np.int64), a_ends, b_ends
-
-    def document(self, text: str) -> list[tuple] | None:
-        out, memo = [], self.memo
-        for c in self.chunks(text):
-            got = memo.get(c, 0)
-            if got == 0:
-                got = self.align(c)
-                if len(c) <= MEMO_CHARS:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[c] = got
-            if got is None:
-                return None
-            out.append(got)
+            half = len(chunks) // 2
+            return self.align(chunks[:half]) + self.align(chunks[half:]) if half else [None]
+        # Between two neighbouring ends of either side lies one link.
+        ends = np.union1d(a_ends, b_ends)
+        keys = (a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]).tolist()
+        both = np.intersect1d(a_ends, b_ends)
+        at_a, at_b = (np.searchsorted(e, both, "right").tolist() for e in (a_ends, b_ends))
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        groups, x, y = [], 0, 0
+        for i, j in zip(at_a, at_b):
+            groups.append(",".join(a_text[x:i]) + "|" + ",".join(b_text[y:j]))
+            x, y = i, j
+        border = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        cut = [np.searchsorted(e, border, "right").tolist() for e in (a_ends, b_ends, both, ends)]
+        out, last, start = [], (0, 0, 0, 0), 0
+        for k, now in enumerate(zip(*cut)):
+            spans = [tuple((e[i:j] - start).tolist()) for e, i, j in zip((a_ends, b_ends), last, now)] if self.ends else ()
+            out.append((now[0] - last[0], now[1] - last[1], now[2] - last[2], ";".join(groups[last[2]:now[2]]),
+                        tuple(keys[last[3]:now[3]]), *spans))
+            last, start = now, int(border[k])
         return out
 
+    def documents(self, texts: list[str | None]) -> list[list[tuple] | None]:
+        """The aligned chunks of each text; None for texts without tokens."""
+        split = [self.chunks(t) if t else [] for t in texts]
+        memo, old, got, joined, alone = self.memo, self.old, {}, [], []
+        for c in {c for cs in split for c in cs}:
+            hit = memo.get(c, 0)
+            if hit == 0:
+                hit = old.get(c, 0)
+                if hit == 0:
+                    (alone if not self.cut or not c or _blank(c[0]) or _blank(c[-1]) else joined).append(c)
+                    continue
+                memo[c] = hit
+            got[c] = hit
+        for i in range(0, len(joined), 500):
+            got.update(zip(joined[i:i + 500], self.align(joined[i:i + 500])))
+        for c in alone:
+            got[c], = self.align([c])
+        for c in [*joined, *alone]:
+            if len(c) <= MEMO_CHARS:
+                memo[c] = got[c]
+        if len(memo) > MEMO:  # what was not asked for since the last time goes
+            self.memo, self.old = {}, memo
+        out = []
+        for cs in split:
+            found = [got[c] for c in cs]
+            out.append(None if not found or None in found else found)
+        return out
+
+
+#: Characters that a tokenizer might take for white space.
+_BLANK = r"\s\u180e\u200b\ufeff"
+_BLANKS = re.compile(f"[{_BLANK}]{{2}}")
+
 
 def _blank(c: str) -> bool:
-    return c.isspace() or c in "᠎​﻿"
+    return re.match(f"[{_BLANK}]", c) is not None
+
+
+def cuts(raw: bytes, spans: np.ndarray, tokens: list[bytes]) -> np.ndarray | None:
+    """The byte at which each token ends: the span's end where the span is as
+    long as the token's bytes, else as many bytes on as the tokens stand for.
+    None if the tokens' bytes are not ``raw``."""
+    if b"".join(tokens) != raw:
+        return None
+    size = np.array([len(t) for t in tokens], np.int64)
+    fine = np.cumsum(size)
+    whole = (spans[:, 0] == fine - size) & (spans[:, 1] - spans[:, 0] == size)
+    return np.where(whole, spans[:, 1], fine)
 
 
-def cuts(raw: bytes, spans, tokens: list[bytes]) -> list[int] | None:
-    """The byte at which each token ends: the span's end where the span has
-    the token's bytes, else as many bytes on as the token stands for.  None
-    if the tokens' bytes are not ``raw``."""
-    at, out = 0, []
-    for (lo, hi), t in zip(spans, tokens):
-        end = hi if lo == at and hi - lo == len(t) else at + len(t)
-        if raw[at:end] != t:
-            return None
-        out.append(end)
-        at = end
-    return out if at == len(raw) else None
+def _portions(texts, most: int = 1_000_000):
+    """Lists of texts of about ``most`` characters together."""
+    held, n = [], 0
+    for t in texts:
+        held.append(t)
+        n += len(t or "")
+        if n >= most:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
-_pairs: dict[tuple[str, str], Pair] = {}
+_pairs: dict[tuple, Pair] = {}
 
 
-def _pair(a_path: str, b_path: str) -> Pair:
-    if (a_path, b_path) not in _pairs:
-        _pairs[a_path, b_path] = Pair(a_path, b_path)
-    return _pairs[a_path, b_path]
+def _pair(*key) -> Pair:
+    if key not in _pairs:
+        _pairs[key] = Pair(*key)
+    return _pairs[key]
 
 
 SCHEMA = ("rid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
@@ -188,23 +234,26 @@ def groups(docs: DataFrame, folder: str = FOLDER, a_file: str = A_FILE, b_file:
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches):
-        pair = _pair(a_path, b_path)
+        pair = _pair(a_path, b_path, ends)
         for b in batches:
             n, text, keys, times, at = [], [], [], [], [[], []]
-            for t in each_text(b.column(2)):
-                got = pair.document(t) if t else None
-                if got is None:
-                    got, k, m = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-                else:
-                    k, m = np.unique(np.concatenate([g[5] for g in got]), return_counts=True)
-                n.append([sum(g[i] for g in got) for i in range(4)])
-                text.append(";".join([g[4] for g in got]))
-                keys.append(k)
-                times.append(m.astype(np.int32))
-                if ends:
-                    for side, out in enumerate(at):
-                        first = np.cumsum([0, *[g[6 + side][-1] for g in got]])
-                        out.append([x + int(f) for g, f in zip(got, first) for x in g[6 + side]])
+            for portion in _portions(each_text(b.column(2))):
+                for got in pair.documents(portion):
+                    got, links, sums = got or [], [], [0, 0, 0]
+                    for g in got:
+                        sums[0] += g[0]
+                        sums[1] += g[1]
+                        sums[2] += g[2]
+                        links += g[4]
+                    k, m = np.unique(np.array(links, np.int64), return_counts=True)
+                    n.append([*sums, len(links)])
+                    text.append(";".join([g[3] for g in got]))
+                    keys.append(k)
+                    times.append(m.astype(np.int32))
+                    if ends:
+                        for side, out in enumerate(at):
+                            first = np.cumsum([0, *[g[5 + side][-1] for g in got]])
+                            out.append([x + int(f) for g, f in zip(got, first) for x in g[5 + side]])
             n = np.array(n, np.int64).reshape(len(n), 4)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *[pa.array(n[:, i]) for i in range(4)], pa.array(text, pa.string()),

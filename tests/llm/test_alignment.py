@@ -4,6 +4,7 @@ import hashlib
 import os
 from collections import Counter, defaultdict
 
+import numpy as np
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -88,5 +89,7 @@ def test_vocabulary_bytes():
     p = A.Pair(os.path.join(A.FOLDER, A.A_FILE), os.path.join(A.FOLDER, A.B_FILE))
     assert p.cut and len(A.byte_chars()) == 256 and sorted(A.byte_chars().values()) == list(range(256))
     assert p.chunks("a b  c\n d ") == ["a", "b  c\n d "]
-    assert A.cuts("é".encode(), [(0, 2), (0, 2)], [b"\xc3", b"\xa9"]) == [1, 2]
-    assert A.cuts(b"ab", [(0, 1), (1, 2)], [b"a", b"c"]) is None
+    assert A.cuts("é".encode(), np.array([(0, 2), (0, 2)]), [b"\xc3", b"\xa9"]).tolist() == [1, 2]
+    assert A.cuts(b"ab", np.array([(0, 1), (1, 2)]), [b"a", b"c"]) is None
+    whole = p.align(["one", "two", "a▁b", "three é"])
+    assert whole[2] is None and whole[:2] + whole[3:] == [p.align([c])[0] for c in ("one", "two", "three é")]
