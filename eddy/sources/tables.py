@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddy.operators.updates import apply_in_sequence
 from eddy.plans.joins import join_small
 
 
@@ -72,18 +73,20 @@ def apply_update_many(current: DataFrame, updates: DataFrame, match: str, new_va
                       order_by: str) -> DataFrame:
     """Updates ``(match value -> new value)`` on one column, applied in
     ``order_by`` order to every matching row.  One pass equals the sequence
-    only if no update's new value is matched by a later update (a chain),
-    so a chain is refused.  Of two updates of the same value the first wins
-    (the second no longer finds it)."""
+    unless an update's new value is matched by a later update (a chain);
+    chains are followed by ``updates.apply_in_sequence``.  Of two updates of
+    the same value the first wins (the second no longer finds it)."""
     u = updates.select(F.col(match).alias("__m"), F.col(new_value).alias("__v"), F.col(order_by).alias("__o"))
-    later = u.select(F.col("__m").alias("__m2"), F.col("__o").alias("__o2"))
-    chained = u.join(later, (F.col("__v") == F.col("__m2")) & (F.col("__o2") > F.col("__o"))
-                     & (F.col("__v") != F.col("__m"))).limit(1).count()
-    if chained:
-        raise ValueError("chained updates (a new value is matched by a later update) are refused")
-    first = u.groupBy("__m").agg(F.min_by("__v", "__o").alias("__v"))
+    # The last update that matches a value is enough to tell a chain.
+    last = u.groupBy(F.col("__m").alias("__m2")).agg(F.max("__o").alias("__o2"))
+    chained = u.join(last, (F.col("__v") == F.col("__m2")) & (F.col("__o2") >= F.col("__o"))
+                     & ((F.col("__v") != F.col("__m")) | (F.col("__o2") > F.col("__o"))))
+    if not chained.isEmpty():
+        return apply_in_sequence(current, updates, match, new_value, order_by)
+    first = u.groupBy("__m").agg(F.min_by(F.struct("__v"), "__o").alias("__new"))
     j = join_small(current, first, on=F.col(match) == F.col("__m"), how="left")
-    return j.withColumn(match, F.coalesce(F.col("__v"), F.col(match))).select(*current.columns)
+    value = F.when(F.col("__new").isNotNull(), F.col("__new.__v")).otherwise(F.col(match))
+    return j.withColumn(match, value).select(*current.columns)
 
 
 def apply_delete(current: DataFrame, keys: DataFrame, col: str) -> DataFrame:

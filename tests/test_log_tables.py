@@ -71,14 +71,14 @@ def test_keyed_table_lifecycle(spark, scratch):
     assert other.current().count() == 6
 
 
-def test_update_many_refuses_chains(spark):
+def test_update_many_follows_chains(spark):
     cur = spark.createDataFrame([(i,) for i in range(1, 11)], "value int")
     ok = spark.createDataFrame([(5, -5, 0), (6, -6, 1)], "value int, nv int, seq int")
     vals = sorted(r["value"] for r in tables.apply_update_many(cur, ok, "value", "nv", "seq").collect())
     assert vals == [-6, -5, 1, 2, 3, 4, 7, 8, 9, 10]
     chained = spark.createDataFrame([(5, 6, 0), (6, 7, 1)], "value int, nv int, seq int")
-    with pytest.raises(ValueError):
-        tables.apply_update_many(cur, chained, "value", "nv", "seq")
+    vals = sorted(r["value"] for r in tables.apply_update_many(cur, chained, "value", "nv", "seq").collect())
+    assert vals == [1, 2, 3, 4, 7, 7, 7, 8, 9, 10]
 
 
 def test_replay_after_crash_before_commit(spark, scratch, monkeypatch):
