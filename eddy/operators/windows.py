@@ -33,21 +33,30 @@ def assign_windows(df: DataFrame, ts: str, length: str, step: str | None = None,
 
 def window_counts(df: DataFrame, ts: str, length: str, step: str | None = None,
                   by: Sequence[str] = (), name: str = "n") -> DataFrame:
-    """Rows per (window, keys); partial counts are combined map-side."""
-    return (assign_windows(df, ts, length, step)
+    """Rows per (window, keys); partial counts are combined map-side.
+    Sliding windows add up counts of panes (tumbling windows of ``step``):
+    a pane's count is copied to its windows, never a row."""
+    if not step or step == length:
+        return (assign_windows(df, ts, length)
+                .groupBy("window_start", "window_end", *by)
+                .agg(F.count(F.lit(1)).alias(name)))
+    panes = assign_windows(df, ts, step, start="__pane", end="__pane_end") \
+        .groupBy("__pane", *by).agg(F.count(F.lit(1)).alias("__n"))
+    return (assign_windows(panes, "__pane", length, step)
             .groupBy("window_start", "window_end", *by)
-            .agg(F.count(F.lit(1)).alias(name)))
+            .agg(F.sum("__n").alias(name)))
 
 
 def exact_watermark(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_us: int,
-                    name: str = "wm", **kw) -> DataFrame:
+                    name: str = "wm", carry_us: int | None = None, **kw) -> DataFrame:
     """``wm = max(wm, ts - max_delay)`` over all rows in arrival order,
     updated before the row is checked.  Adds ``wm`` and ``late`` (the row
-    is dropped by the watermark: ``ts < wm``)."""
+    is dropped by the watermark: ``ts < wm``).  ``carry_us`` is the largest
+    time before the first row, if rows came earlier (a stream's batches)."""
     ttype = _ts_type(df, ts)
     as_us = prefix.order_number(df, ts)
     out = prefix.running(df, order_by, {"__maxts": ("max", as_us)}, **kw)
-    wm_us = F.col("__maxts") - F.lit(max_delay_us)
+    wm_us = F.greatest(F.col("__maxts"), F.lit(carry_us).cast("long")) - F.lit(max_delay_us)
     out = out.withColumn(name, F.timestamp_micros(wm_us).cast(ttype))
     return out.withColumn("late", as_us < wm_us).drop("__maxts")
 
@@ -69,7 +78,8 @@ def _interval_us(text: str) -> int:
 
 def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_us: int,
                      length: str, step: str | None = None, by: Sequence[str] = (),
-                     event_id: str | None = None) -> DataFrame:
+                     event_id: str | None = None, carry_us: int | None = None,
+                     still_open: DataFrame | None = None) -> DataFrame:
     """One row per (window, keys) with its Open event (first accepted
     row in it), its Close event (first accepted row whose watermark is past
     the window end, strictly) and the count of rows added.  A window never
@@ -79,6 +89,10 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     window.  Those rows and the window ends are put in one list ordered by
     value; the close row of a window is the smallest arrival among the
     rising rows after it, a reverse running min: no range join.
+
+    On a stream's batch ``carry_us`` is the largest time before it and
+    ``still_open`` the windows it finds open, with the same columns but
+    ``close_event``; they get their rows and their Close event like others.
     """
     event_id = event_id or order_by[-1]
     if len(order_by) != 1:
@@ -89,6 +103,7 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     # time raises it or not, so the exclusive running max is enough.
     as_us = prefix.order_number(df, ts)
     before = prefix.running(df, order_by, {"__before": ("max", as_us)}, exclusive=True)
+    before = before.withColumn("__before", F.greatest(F.col("__before"), F.lit(carry_us).cast("long")))
     at = F.greatest(F.col("__before"), as_us) - F.lit(max_delay_us)
     marked = prefix.materialize_if_derived(
         before.withColumn("__wm", at).withColumn("__prev", F.col("__before") - F.lit(max_delay_us))
@@ -97,6 +112,9 @@ def window_lifecycle(df: DataFrame, ts: str, order_by: Sequence[str], max_delay_
     wins = (assign_windows(accepted, ts, length, step)
             .groupBy("window_start", "window_end", *by)
             .agg(F.min(event_id).alias("open_event"), F.count(F.lit(1)).alias("n")))
+    if still_open is not None:
+        wins = (wins.unionByName(still_open).groupBy("window_start", "window_end", *by)
+                    .agg(F.min("open_event").alias("open_event"), F.sum("n").alias("n")))
 
     # Rows that raise the watermark (wm strictly above every earlier wm).
     rising = (marked.filter(F.col("__prev").isNull() | (F.col("__wm") > F.col("__prev")))

@@ -655,6 +655,28 @@ def table_update(spark, sf):
     return tables.apply_update_many(u1, upd2, "p_size", "new_size", "seq")
 
 
+@query("table_update_chained", """
+WITH RECURSIVE u AS (
+  SELECT o_custkey AS m, (o_orderkey * 7919) % 1009 AS v, o_orderkey AS o FROM orders),
+f AS (SELECT m, min(o) AS o FROM u GROUP BY m),
+nx AS (SELECT a.o, a.v, b.o AS nxt FROM u a ASOF LEFT JOIN u b ON a.v = b.m AND a.o < b.o),
+walk AS (SELECT f.m, nx.v, nx.nxt FROM f JOIN nx USING (o)
+         UNION ALL SELECT w.m, nx.v, nx.nxt FROM walk w JOIN nx ON w.nxt = nx.o),
+done AS (SELECT m, v FROM walk WHERE nxt IS NULL)
+SELECT e.event_id, CAST(coalesce(d.v, e.user_id) AS BIGINT) AS owner
+FROM events e LEFT JOIN done d ON e.user_id = d.m
+""")
+def table_update_chained(spark, sf):
+    """Every order, in key order, hands all that its customer owns at
+    that moment to another customer; later orders move it on.  The table
+    is events, owned by their user at first."""
+    from eddy.operators import updates
+    moves = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("owner"), F.pmod(F.col("o_orderkey") * 7919, F.lit(1009)).alias("to"), "o_orderkey")
+    ev = table(spark, sf, "events").select("event_id", F.col("user_id").alias("owner"))
+    return updates.apply_in_sequence(ev, moves, "owner", "to", "o_orderkey")
+
+
 @query("table_delete", """
 SELECT p_partkey, p_size FROM part
 WHERE p_size NOT IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, -1, -2, -3, -4, -5, -6, -7, -8, -9, -10)
@@ -906,6 +928,78 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "first_seen")
 
 
+@query("stream_totals", """
+SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (ORDER BY event_id) AS BIGINT) AS acc
+FROM events
+""")
+def stream_totals(spark, sf):
+    """T6 + A7 on a stream: each event's position and the running sum in
+    cents, carried from micro-batch to micro-batch."""
+    from eddy.streaming import scans
+    base, stream = _staged_events(spark, sf, cols=["event_id", "value"])
+    cents = stream.select("event_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    _run(cents, scans.carried_totals(base, ["event_id"], "cents"), base)
+    return spark.read.parquet(f"{base}/out").select("event_id", "idx", "acc")
+
+
+def _staged_shifted(spark, sf):
+    """Shifted events as a stream of files in event order."""
+    base, stream = _staged_events(spark, sf, cols=["event_id", "ts", "event_type"])
+    shift = F.expr("make_dt_interval(0, cast(pmod(event_id * 7919, 5) as int), 0, 0)")
+    return base, stream.select("event_id", (F.col("ts") - shift).alias("ets"), "event_type")
+
+
+@query("stream_exact_watermark", f"""
+WITH {_SHIFTED_SQL}
+SELECT event_id, ets, wm, ets < wm AS late FROM m
+""")
+def stream_exact_watermark(spark, sf):
+    """W4 on a stream: the row-exact watermark (1 h) of each event in
+    arrival order, carried from micro-batch to micro-batch."""
+    from eddy.streaming import scans
+    base, stream = _staged_shifted(spark, sf)
+    _run(stream, scans.exact_watermark(base, "ets", ["event_id"], HOUR_US), base)
+    return spark.read.parquet(f"{base}/out").select("event_id", "ets", "wm", "late")
+
+
+ORACLE["stream_window_commands"] = ORACLE["window_close_events"]
+
+
+@query("stream_window_commands")
+def stream_window_commands(spark, sf):
+    """W5 on a stream: open windows are kept between micro-batches; each
+    gets its Open event, its count of rows and, in the batch that closes
+    it, its Close event.  Same result as the batch form."""
+    from eddy.streaming import scans
+    base, stream = _staged_shifted(spark, sf)
+    _run(stream, scans.window_commands(base, "ets", ["event_id"], HOUR_US, "3 hours", by=["event_type"]), base)
+    return scans.read_windows(spark, base, scans.window_schema(stream, "ets", "event_id", ["event_type"]))
+
+
+@query("stream_shared_ids", """
+SELECT DISTINCT user_id, epoch_us(ts) // 21600000000 AS bucket FROM events
+""")
+def stream_shared_ids(spark, sf):
+    """A8 on two live streams with one set of ids: users of a 6 h bucket,
+    each once, whichever stream has it first; the set forgets an id 12 h
+    behind the slower stream."""
+    from eddy.session import scratch_path
+    from eddy.streaming import shared, staging
+    base = scratch_path(spark, "stream")
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id")
+    sides = []
+    for side in range(2):
+        staging.stage_files(ev.filter(F.pmod("event_id", F.lit(2)) == side), f"{base}/in{side}", 4, "event_id")
+        s = staging.read_staged(spark, f"{base}/in{side}", ev.schema)
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        sides.append(s.withColumn("bucket", F.floor(us / F.lit(6 * HOUR_US)).cast("long")))
+    out = shared.shared_ids(sides, ["user_id", "bucket"], "ts", "12 hours")
+    (out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True).start(f"{base}/out").awaitTermination())
+    return spark.read.parquet(f"{base}/out")
+
+
 ORACLE["stream_fsm"] = ORACLE["fsm"]
 
 
