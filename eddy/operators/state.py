@@ -338,6 +338,8 @@ def run_machine(df: DataFrame, machine: Machine, key: str, order_by: str,
         outs: dict[str, list] = {f.name: [] for f in extra}
         for ev in events(t):
             outs["reply"].append(machine.reply(state, ev))
+            if "before" in outs:  # a machine may ask for the state it was in
+                outs["before"].append(state)
             state = machine.step_one(state, ev)
             for n, v in machine.describe(state).items():
                 outs[n].append(v)
