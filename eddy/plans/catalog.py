@@ -1023,6 +1023,90 @@ def stream_fsm(spark, sf):
     return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "state", "hunger", "reply")
 
 
+# Events at the time that they count at: their own, or the watermark where that is later.
+_COUNTED_SQL = f"""
+{_SHIFTED_SQL},
+a AS (SELECT user_id, event_id, event_type, greatest(epoch_us(ets), epoch_us(wm)) AS at_us FROM m),
+f AS (SELECT max(epoch_us(wm)) AS wm FROM m)
+"""
+
+
+@query("stream_batch_timers", f"""
+WITH RECURSIVE {_COUNTED_SQL},
+q AS (SELECT user_id, event_id, max(at_us) OVER (PARTITION BY user_id ORDER BY event_id) AS t,
+             row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM a),
+r AS (SELECT user_id, rn, event_id, t, 0 AS batch, t AS open_t, 1 AS cnt FROM q WHERE rn = 1
+      UNION ALL
+      SELECT user_id, rn, event_id, t, CASE WHEN fits THEN batch ELSE batch + 1 END,
+             CASE WHEN fits THEN open_t ELSE t END, CASE WHEN fits THEN cnt + 1 ELSE 1 END
+      FROM (SELECT q.user_id, q.rn, q.event_id, q.t, r.batch, r.open_t, r.cnt,
+                   r.cnt < 4 AND q.t < r.open_t + 172800000000 AS fits
+            FROM r JOIN q ON q.user_id = r.user_id AND q.rn = r.rn + 1) s),
+g AS (SELECT user_id, batch, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n,
+             max(t) AS last_t, min(open_t) + 172800000000 AS due,
+             batch < max(batch) OVER (PARTITION BY user_id) AS passed
+      FROM r GROUP BY user_id, batch)
+SELECT user_id, first_id, last_id, n, CASE WHEN n = 4 THEN 'full' ELSE 'timer' END AS closed_by,
+       CASE WHEN n = 4 THEN last_t ELSE due END AS at_us
+FROM g, f WHERE n = 4 OR passed OR due <= f.wm
+""")
+def stream_batch_timers(spark, sf):
+    """A12 on a stream with its timer: per user, batches of at most 4
+    events or 2 days; a batch comes out when it is full or the watermark
+    (1 h, row-exact) reaches its end, whether or not the user has further
+    events.  Batches still open at the end are not in the result."""
+    from eddy.streaming import timers
+    base, stream = _staged_events(spark, sf, cols=["event_id", "ts", "user_id"])
+    shift = F.expr("make_dt_interval(0, cast(pmod(event_id * 7919, 5) as int), 0, 0)")
+    s = stream.select("event_id", "user_id", (F.col("ts") - shift).alias("ets"))
+    _run(s, timers.grouped_within(base, "user_id", "event_id", "ets", 4, 48 * HOUR_US, HOUR_US), base)
+    return spark.read.parquet(f"{base}/batches").drop("batch_id")
+
+
+def _cat_commands(ev):
+    cmd = (F.when(F.col("event_type") == "signup", "wake").when(F.col("event_type") == "view", "stroke")
+            .when(F.col("event_type") == "purchase", "grow").when(F.col("event_type") == "error", "sleep")
+            .otherwise("other"))
+    return ev.withColumn("cmd", cmd).withColumn("by", (F.pmod("event_id", F.lit(7)) + 1).cast("int"))
+
+
+# The machine's SQL of ``fsm`` over the counted times, and a transition after
+# each event that leaves the cat asleep for 6 hours.
+_FSM_STEPS = ORACLE["fsm"][ORACLE["fsm"].index("r AS (SELECT user_id, CAST(0"):ORACLE["fsm"].rindex("SELECT user_id, event_id,")]
+
+
+@query("stream_fsm_timers", f"""
+WITH RECURSIVE {_COUNTED_SQL},
+x AS (SELECT user_id, event_id, at_us, row_number() OVER w AS rn,
+             CASE event_type WHEN 'signup' THEN 'wake' WHEN 'view' THEN 'stroke' WHEN 'purchase' THEN 'grow'
+                             WHEN 'error' THEN 'sleep' ELSE 'other' END AS cmd,
+             CAST(event_id % 7 + 1 AS INTEGER) AS by_,
+             coalesce(at_us - lag(at_us) OVER w >= 21600000000, false) AS tmo,
+             at_us + 21600000000 <= coalesce(lead(at_us) OVER w, (SELECT wm FROM f)) AS slept
+      FROM a WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+{_FSM_STEPS}
+SELECT r.user_id, r.event_id, 'event' AS kind, x.at_us,
+       CASE phase WHEN 0 THEN 'Sleeping' WHEN 1 THEN 'Awake' WHEN 2 THEN 'VeryHungry' ELSE 'Failed' END AS state,
+       CASE WHEN phase = 3 THEN NULL ELSE hunger END AS hunger, reply
+FROM r JOIN x ON x.user_id = r.user_id AND x.rn = r.rn
+UNION ALL
+SELECT r.user_id, r.event_id, 'timer' AS kind, x.at_us + 21600000000 AS at_us, 'Awake' AS state, hunger,
+       NULL AS reply
+FROM r JOIN x ON x.user_id = r.user_id AND x.rn = r.rn WHERE r.phase = 0 AND x.slept
+""")
+def stream_fsm_timers(spark, sf):
+    """F4 on a stream with its timer: the cat per user; a sleeping cat
+    wakes 6 hours after its last event, as soon as the watermark (1 h,
+    row-exact) is that far, with a row of its own."""
+    from eddy.operators import state
+    from eddy.streaming import timers
+    base, stream = _staged_events(spark, sf, cols=["event_id", "ts", "user_id", "event_type"])
+    shift = F.expr("make_dt_interval(0, cast(pmod(event_id * 7919, 5) as int), 0, 0)")
+    s = _cat_commands(stream.withColumn("ets", F.col("ts") - shift))
+    _run(s, timers.run_machine(base, state.CatMachine(), "user_id", "event_id", "ets", 6 * HOUR_US, HOUR_US), base)
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
 # --- files -------------------------------------------------------------------
 
 @query("text_file_lines", """
