@@ -39,12 +39,17 @@ from eddy.session import cut_lineage
 ITEM_NOT_FOUND, UNHANDLED, OK = "ItemNotFound", "unhandled", "ok"
 
 
-def cart_accepted(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: str = "cmd") -> DataFrame:
+def cart_accepted(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: str = "cmd",
+                  opened_before: DataFrame | None = None) -> DataFrame:
     """commands a cart accepts.  The first Add opens the cart (and is
     accepted); Update/Remove/Get after it are accepted; anything before
     it fails with ItemNotFound; later Adds are unhandled.  Adds a
-    ``reply`` column: ``ok``, ``ItemNotFound`` or ``unhandled``."""
-    opened = cmds.filter(F.col(cmd) == "add").groupBy(cart).agg(F.min(seq).alias("__init"))
+    ``reply`` column: ``ok``, ``ItemNotFound`` or ``unhandled``.
+    ``opened_before`` (cart, init) are carts that earlier commands opened."""
+    adds = cmds.filter(F.col(cmd) == "add").select(F.col(cart), F.col(seq).alias("__seq"))
+    if opened_before is not None:
+        adds = adds.unionByName(opened_before.select(F.col("cart").alias(cart), F.col("init").alias("__seq")))
+    opened = adds.groupBy(cart).agg(F.min("__seq").alias("__init"))
     j = join_small(cmds, opened, on=cart, how="left")
     reply = (F.when(F.col("__init").isNull() | (F.col(seq) < F.col("__init")), F.lit(ITEM_NOT_FOUND))
               .when((F.col(cmd) == "add") & (F.col(seq) > F.col("__init")), F.lit(UNHANDLED))
@@ -55,8 +60,12 @@ def cart_accepted(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: st
 def cart_journal(cmds: DataFrame, cart: str = "cart", seq: str = "seq", cmd: str = "cmd") -> DataFrame:
     """the persisted events (accepted add/update/remove; gets are not
     persisted)."""
-    acc = cart_accepted(cmds, cart, seq, cmd)
-    return acc.filter((F.col("reply") == OK) & F.col(cmd).isin("add", "update", "remove")).drop("reply")
+    return journal_of(cart_accepted(cmds, cart, seq, cmd), cmd)
+
+
+def journal_of(answered: DataFrame, cmd: str = "cmd") -> DataFrame:
+    """The events to persist, of commands with their replies."""
+    return answered.filter((F.col("reply") == OK) & F.col(cmd).isin("add", "update", "remove")).drop("reply")
 
 
 def cart_state(journal: DataFrame, cart: str = "cart", item: str = "item", seq: str = "seq",

@@ -1107,6 +1107,82 @@ def stream_fsm_timers(spark, sf):
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+ORACLE["stream_zip"] = ORACLE["copartition_zip"]
+
+
+@query("stream_zip")
+def stream_zip(spark, sf):
+    """J2 on two live streams: clicks in 5 files and views in 3, zipped per
+    partition (user modulo 4) record by record, whichever side runs ahead;
+    same result as the batch form."""
+    from eddy.session import scratch_path
+    from eddy.streaming import staging, zips
+    base = scratch_path(spark, "stream")
+    ev = table(spark, sf, "events").select("event_id", "event_type", F.pmod("user_id", F.lit(4)).cast("int").alias("p"))
+    sides = []
+    for kind, n_files in (("click", 5), ("view", 3)):
+        rows = ev.filter(F.col("event_type") == kind).select("event_id", "p")
+        staging.stage_files(rows, f"{base}/in_{kind}", n_files, "event_id")
+        sides.append(staging.read_staged(spark, f"{base}/in_{kind}", rows.schema))
+    _run(zips.both_sides(*sides, "event_id", "p"), zips.zip_streams(base), base)
+    return spark.read.parquet(f"{base}/out").select("partition", "pos", "left_event_id", "right_event_id")
+
+
+ORACLE["stream_cart_state"] = ORACLE["cart_state"]
+
+
+@query("stream_cart_state")
+def stream_cart_state(spark, sf):
+    """F1 + F2 on a stream: cart commands in 5 micro-batches, a snapshot
+    after every second; the contents come from the last snapshot and the
+    journal since.  Same result as replaying the whole journal."""
+    from eddy.session import scratch_path
+    from eddy.streaming import carts, staging
+    base = scratch_path(spark, "stream")
+    cmds = _cart_commands(spark, sf)
+    staging.stage_files(cmds, f"{base}/in", 5, "seq")
+    _run(staging.read_staged(spark, f"{base}/in", cmds.schema), carts.live_carts(base, every=2), base)
+    return carts.contents(spark, base, cmds.schema, every=2)
+
+
+@query("stream_fragments", """
+WITH RECURSIVE c AS (SELECT conv_id, turn, text, ((conv_id * 31 + turn * 17) % 97) AS minute,
+                  turn = max(turn) OVER (PARTITION BY conv_id) AND conv_id % 5 <> 0 AS marked FROM conversations),
+q AS (SELECT *, minute * 1000000000000 + conv_id * 10000 + turn AS seq,
+             row_number() OVER (PARTITION BY conv_id ORDER BY minute, turn) AS rn FROM c),
+r AS (SELECT conv_id, rn, minute AS opened, 0 AS part FROM q WHERE rn = 1
+      UNION ALL
+      SELECT q.conv_id, q.rn, CASE WHEN q.minute < r.opened + 60 THEN r.opened ELSE q.minute END,
+             CASE WHEN q.minute < r.opened + 60 THEN r.part ELSE r.part + 1 END
+      FROM r JOIN q ON q.conv_id = r.conv_id AND q.rn = r.rn + 1),
+g AS (SELECT conv_id, part, min(seq) AS opened_by, string_agg(text, '' ORDER BY turn) AS message,
+             count(*) AS fragments, count(*) = max(CASE WHEN marked THEN turn + 1 END) AS whole,
+             min(opened) + 60 AS due, part < max(part) OVER (PARTITION BY conv_id) AS passed
+      FROM r JOIN q USING (conv_id, rn) GROUP BY conv_id, part)
+SELECT conv_id, opened_by, message, fragments FROM g
+WHERE coalesce(whole, false) OR passed OR due <= (SELECT max(minute) - 5 FROM c)
+""")
+def stream_fragments(spark, sf):
+    """S16 on a stream: conversation turns arrive out of order over four
+    micro-batches; a message comes out when its marked last turn and all
+    before it are there, or 60 minutes after its first fragment (each fifth
+    conversation has no mark)."""
+    from eddy.session import scratch_path
+    from eddy.streaming import staging, timers
+    base = scratch_path(spark, "stream")
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    ends = c.groupBy("conv_id").agg(F.max("turn").alias("end"))
+    minute = F.pmod(F.col("conv_id") * 31 + F.col("turn") * 17, F.lit(97))
+    rows = c.join(ends, "conv_id").select(
+        "conv_id", "turn", "text", (minute * 10**12 + F.col("conv_id") * 10**4 + F.col("turn")).alias("seq"),
+        F.timestamp_micros(minute * 60 * 10**6).alias("ts"),
+        ((F.col("turn") == F.col("end")) & (F.pmod("conv_id", F.lit(5)) != 0)).alias("mark"))
+    staging.stage_files(rows, f"{base}/in", 4, "seq")
+    _run(staging.read_staged(spark, f"{base}/in", rows.schema),
+         timers.join_fragments(base, "conv_id", "seq", "ts", "turn", "mark", "text", HOUR_US, HOUR_US // 12), base)
+    return spark.read.parquet(f"{base}/messages").select("conv_id", "opened_by", "message", "fragments")
+
+
 # --- files -------------------------------------------------------------------
 
 @query("text_file_lines", """

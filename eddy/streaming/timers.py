@@ -17,14 +17,15 @@ arrive in ``order_by`` order across batches; inside one any order will do.
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eddy.operators import state, windows
+from eddy.operators import grouping, state, windows
 from eddy.plans import prefix
 from eddy.plans.joins import join_small
 from eddy.session import cut_lineage
@@ -56,14 +57,16 @@ def _advance(batch: DataFrame, ts: str, top: int | None, max_delay_us: int) -> t
 
 
 def grouped_within(path: str, key: str, order_by: str, ts: str, n: int, duration_us: int, max_delay_us: int,
-                   name: str = "opened_by", direct_rows: int = state.DIRECT_KEY_ROWS) -> Callable[[DataFrame, int], None]:
+                   name: str = "opened_by", direct_rows: int = state.DIRECT_KEY_ROWS,
+                   complete: Column | None = None) -> Callable[[DataFrame, int], None]:
     """A12 with its timer: a ``foreachBatch`` function.  A batch of a key
     closes with its ``n``-th row, or ``duration`` after it opened, as soon
     as the watermark (or a row of the key) is that far.
 
     ``path/batches`` gets one row per closed batch: the key, ``first_id``,
     ``last_id``, ``n``, ``closed_by`` (``full`` or ``timer``) and ``at_us``;
-    ``path/rows`` the rows with the ``first_id`` of their batch as ``name``.  The state
+    (with ``complete``, a condition on aggregates of ``row.*``, also
+    ``complete``: the batch has all it waits for); ``path/rows`` the rows with the ``first_id`` of their batch as ``name``.  The state
     is the rows of open batches (fewer than ``n`` of a key), and the clock
     of keys whose largest time is ahead of the watermark; both go when the
     watermark has passed them."""
@@ -88,16 +91,17 @@ def grouped_within(path: str, key: str, order_by: str, ts: str, n: int, duration
                                                 direct_rows))
         groups = cut_lineage(rows.groupBy("key_text", "batch_no").agg(
             F.first("key").alias("key"), F.min("seq").alias("first_id"), F.max("seq").alias("last_id"),
-            F.count(F.lit(1)).alias("n"), F.min("at_us").alias("opened"), F.max("at_us").alias("clock")))
+            F.count(F.lit(1)).alias("n"), F.min("at_us").alias("opened"), F.max("at_us").alias("clock"),
+            F.coalesce(F.lit(False) if complete is None else complete, F.lit(False)).alias("whole")))
         newest = groups.groupBy("key_text").agg(F.max("batch_no").alias("newest"), F.max("clock").alias("ahead_us"))
         full = F.col("n") == F.lit(n)
         due = F.col("opened") + F.lit(duration_us)
         groups = join_small(groups, newest, on="key_text", how="left").withColumn(
-            "closed", full | (F.col("batch_no") < F.col("newest")) | (due <= F.lit(wm)))
+            "closed", full | F.col("whole") | (F.col("batch_no") < F.col("newest")) | (due <= F.lit(wm)))
         closed = groups.filter("closed").select(
             F.col("key").alias(key), "first_id", "last_id", "n",
-            F.when(full, "full").otherwise("timer").alias("closed_by"),
-            F.when(full, F.col("clock")).otherwise(due).alias("at_us"))
+            F.when(full, "full").when(F.col("whole"), "complete").otherwise("timer").alias("closed_by"),
+            F.when(full | F.col("whole"), F.col("clock")).otherwise(due).alias("at_us"))
         closed.write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
         tagged = rows.join(groups.select("key_text", "batch_no", "first_id", "closed"), on=["key_text", "batch_no"])
         (tagged.filter("closed").select("row.*", F.col("first_id").alias(name))
@@ -111,6 +115,33 @@ def grouped_within(path: str, key: str, order_by: str, ts: str, n: int, duration
     return run
 
 
+def join_fragments(path: str, key: str, order_by: str, ts: str, index: str, last: str, text: str,
+                   timeout_us: int, max_delay_us: int, sep: str = "") -> Callable[[DataFrame, int], None]:
+    """S16 on a stream: a ``foreachBatch`` function that joins the
+    fragments of each message, which may come in any order and in several
+    micro-batches.  A message is complete when the fragment marked ``last``
+    and all with a smaller ``index`` (from 0) have come; otherwise it comes
+    out ``timeout`` after its first fragment with what there is, and a
+    fragment that comes after that begins the message anew.
+
+    ``path/messages`` gets the key, ``opened_by`` (its first fragment by
+    ``order_by``), ``message`` (fragments by ``index``; null texts count as
+    none) and ``fragments``; ``path/batches`` how each message closed."""
+    # Fragments come once each, so all are there when their number says so.
+    whole = F.count(F.lit(1)) == F.max(F.when(F.col(f"row.`{last}`"), F.col(f"row.`{index}`") + 1))
+    close = grouped_within(path, key, order_by, ts, 1 << 40, timeout_us, max_delay_us, complete=whole)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        close(batch, batch_id)
+        spark = batch.sparkSession
+        rows = spark.read.parquet(f"{path}/rows/batch_id={batch_id}").select(
+            F.col(key).alias("key"), "opened_by", F.col(index).alias("index"), F.col(text).alias("text"))
+        joined = grouping.join_fragments(rows, "opened_by", "index", "text", sep)
+        keys = rows.groupBy("opened_by").agg(F.first("key").alias(key))
+        joined.join(keys, on="opened_by").write.mode("overwrite").parquet(f"{path}/messages/batch_id={batch_id}")
+    return run
+
+
 class _Resumed(state.Machine):
     """A machine that can start from a kept state: an event with
     ``resume_to`` puts it there, one that is ``expired`` starts afresh."""
@@ -140,7 +171,6 @@ class _Resumed(state.Machine):
 def _timer_table(spark: SparkSession, machine: state.Machine, cols: list[T.StructField]) -> DataFrame:
     """What the timer makes of each state that it changes (at most
     ``n_states`` rows): an event that only says ``timed_out``."""
-    from collections import namedtuple
     ev = namedtuple("event", machine.event_cols)(*[c == "timed_out" or None for c in machine.event_cols])
     rows = []
     for one in range(machine.n_states):
