@@ -7,12 +7,15 @@ deterministic function of the leading order column:
 
 1. Chunks are cut at quantiles of the leading order column (taken in one
    pass, collected as at most ``MAX_CELLS`` numbers and fixed), so outliers,
-   bursts and hashed keys give even chunks too.  A chunk that a repeated
-   leading value still fills is cut again by quantiles of the second order
-   column.
+   bursts and hashed keys give even chunks too.  Where that many cells are
+   too few, each is cut again at quantiles of its own, level by level (a
+   table of cuts, never collected), so chunks do not grow with the table.
+   A chunk that a repeated leading value still fills is cut again by
+   quantiles of the second order column.
 2. Per (keys, chunk): the chunk totals (small: one row per chunk).
 3. The carry of each chunk is the exclusive prefix of the chunk totals, a
-   window over the chunk table only.
+   window over the chunk table only: inside each first cell, plus the carry
+   of the cells before it.
 4. Inside each chunk a window ``partitionBy(keys, chunk).orderBy(order)``
    computes the local running value, and the carry is joined back on
    (keys, chunk).  The join reuses the window's hash partitioning.
@@ -43,8 +46,10 @@ from pyspark.sql import types as T
 from eddy.plans.joins import join_small
 
 DEFAULT_CHUNK_ROWS = 1 << 20
-# Chunks are at most this many; beyond MAX_CELLS * chunk_rows rows they grow.
+# Cells of the first level (numbers that the driver holds) and of one cell
+# on the levels below it (an array in the table of cuts).
 MAX_CELLS = 4096
+FAN_OUT = 256
 
 _FOLDS = ("count", "sum", "max", "min")
 
@@ -95,9 +100,47 @@ def quantile_cuts(df: DataFrame, k: Column, chunk_rows: int) -> list:
     return sorted(set(got["c"] or []))
 
 
+def _refine(src: DataFrame, groups: list[str], k: Column, chunk_rows: int, reverse: bool,
+            prefix_: str) -> tuple[DataFrame, list[str]]:
+    """Cut the cells (``groups``) that hold more than two chunks again, at
+    quantiles of ``k`` of their own, as many levels deep as the largest
+    needs.  Cells that one value fills stay as they are.  The table of cuts
+    has a row for each such cell; it is broadcast only if it is small."""
+    from eddy.session import cut_lineage
+    added: list[str] = []
+    src = src.withColumn("__rk", k)
+    fan = max(2, min(MAX_CELLS, FAN_OUT))
+    levels = None
+    while levels is None or len(added) < levels:
+        large = src.groupBy(*groups, *added).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 2 * chunk_rows)
+        most = large.agg(F.max("__n")).first()[0]
+        if not most:
+            break
+        levels = levels or math.ceil(math.log(2 * most / chunk_rows) / math.log(fan) - 1e-9)
+        parts = min(fan, math.ceil(2 * most / chunk_rows))
+        at = [*groups, *added]
+        cuts = F.percentile_approx("__rk", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
+        table = (join_small(src, large.select(*at), on=at, how="left_semi", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+                 .groupBy(*at).agg(F.array_sort(F.array_distinct(cuts)).alias("__cuts")))
+        # Every 16th cut leads to the 16 that are looked through.
+        table = cut_lineage(table.withColumn("__heads", F.filter("__cuts", lambda _, i: i % 16 == 0)))
+        src = join_small(src, table, on=at, how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+        block = F.size(F.filter("__heads", lambda c: c <= F.col("__rk")))
+        inner = F.size(F.filter(F.slice("__cuts", F.greatest((block - 1) * 16 + 1, F.lit(1)), 16),
+                                lambda c: c <= F.col("__rk")))
+        cell = F.when(F.col("__rk").isNull() | (block == 0), 0).otherwise((block - 1) * 16 + inner)
+        cell = F.size("__cuts") - cell if reverse else cell
+        name = f"{prefix_}{len(added) + 1}"
+        src = src.withColumn(name, F.when(F.col("__cuts").isNull(), 0).otherwise(cell).cast("long")) \
+                 .drop("__cuts", "__heads")
+        added.append(name)
+    return src.drop("__rk"), added
+
+
 def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool, chunk_width: float | None = None):
-    """Chunk column for ``df`` and the number of chunks.  Chunks are cut at
-    quantiles, or every ``chunk_width`` if the caller asks for that."""
+    """Chunk column for ``df`` and the number of chunks (of the first
+    level).  Chunks are cut at quantiles, or every ``chunk_width`` if the
+    caller asks for that."""
     k = order_number(df, lead)
     if chunk_width is not None:
         lo, hi = df.agg(F.min(k), F.max(k)).first()
@@ -116,10 +159,10 @@ MAX_HEAVY_BROADCAST_ROWS = 2_000_000
 
 
 def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows: int,
-                reverse: bool) -> tuple[DataFrame, list[str]]:
+                reverse: bool, cells: Sequence[str] = ("__c1",)) -> tuple[DataFrame, list[str]]:
     """Split chunks that hold many rows of one leading value.
 
-    For such chunks the chunk gets two more parts: ``__c2`` orders the rows
+    For such chunks (of ``cells``) the chunk gets two more parts: ``__c2`` orders the rows
     around the heavy values of the chunk (2 x the number of heavy values
     before the row's value, +1 on a heavy value) and ``__c3`` cuts the rows
     of one heavy value at quantiles of the second order column.  The
@@ -128,35 +171,45 @@ def _split_ties(src: DataFrame, order_by: list[str], keys: list[str], chunk_rows
     of rows and bytes.
     """
     limit = HEAVY_FACTOR * chunk_rows
-    heavy_b = (src.groupBy(*keys, "__c1").count().filter(F.col("count") > limit)
-                  .select(*keys, "__c1"))
+    cells = list(cells)
+    at = [*keys, *cells]
+    heavy_b = src.groupBy(*at).count().filter(F.col("count") > limit).select(*at)
     if heavy_b.isEmpty():
-        return src, ["__c1"]
+        return src, cells
     lead, second = order_by[0], order_by[1]
     tagged = src.withColumn("__k", order_number(src, lead)).withColumn("__k2", order_number(src, second))
-    in_heavy = join_small(tagged, heavy_b, on=[*keys, "__c1"], how="left_semi", max_rows=MAX_HEAVY_BROADCAST_ROWS)
-    counts = (in_heavy.groupBy(*keys, "__c1", "__k").agg(F.count(F.lit(1)).alias("__n"))
+    in_heavy = join_small(tagged, heavy_b, on=at, how="left_semi", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    counts = (in_heavy.groupBy(*at, "__k").agg(F.count(F.lit(1)).alias("__n"))
                       .filter(F.col("__n") > chunk_rows))
     most = counts.agg(F.max("__n")).first()[0]
     if not most:
-        return src, ["__c1"]
+        return src, cells
     parts = max(2, min(MAX_CELLS, math.ceil(2 * most / chunk_rows)))
     cuts = F.percentile_approx("__k2", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
-    stats = join_small(in_heavy, counts.select(*keys, "__c1", "__k"), on=[*keys, "__c1", "__k"], how="left_semi",
+    stats = join_small(in_heavy, counts.select(*at, "__k"), on=[*at, "__k"], how="left_semi",
                        max_rows=MAX_HEAVY_BROADCAST_ROWS)
-    stats = stats.groupBy(*keys, "__c1", "__k").agg(F.array_sort(F.array_distinct(cuts)).alias("__cuts"))
+    stats = stats.groupBy(*at, "__k").agg(F.array_sort(F.array_distinct(cuts)).alias("__cuts"))
     from eddy.session import cut_lineage
     stats = cut_lineage(stats)
-    per_bucket = stats.groupBy(*keys, "__c1").agg(F.sort_array(F.collect_list("__k")).alias("__hv"))
-    out = join_small(tagged, per_bucket, on=[*keys, "__c1"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
-    out = join_small(out, stats, on=[*keys, "__c1", "__k"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    per_bucket = stats.groupBy(*at).agg(F.sort_array(F.collect_list("__k")).alias("__hv"))
+    out = join_small(tagged, per_bucket, on=at, how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
+    out = join_small(out, stats, on=[*at, "__k"], how="left", max_rows=MAX_HEAVY_BROADCAST_ROWS)
     before = (lambda v: v > F.col("__k")) if reverse else (lambda v: v < F.col("__k"))
     c2 = F.when(F.col("__hv").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("__hv", before)) * 2 + F.array_contains("__hv", F.col("__k")).cast("int"))
     piece = F.size(F.filter("__cuts", lambda c: c <= F.col("__k2")))
     c3 = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.size("__cuts") - piece if reverse else piece)
     out = out.withColumn("__c2", F.coalesce(c2, F.lit(0)).cast("long")).withColumn("__c3", c3.cast("long"))
-    return out.drop("__k", "__k2", "__hv", "__cuts"), ["__c1", "__c2", "__c3"]
+    refined = len(cells) > 1
+    cells = [*cells, "__c2", "__c3"]
+    out = out.drop("__hv", "__cuts")
+    if refined or 2 * most / chunk_rows > parts:
+        # Rows of one heavy value are ordered by the second column, the rows
+        # between heavy values by the leading one.
+        rank = F.when(F.col("__c2") % 2 == 1, F.col("__k2")).otherwise(F.col("__k"))
+        out, more = _refine(out, [*keys, *cells], rank, chunk_rows, reverse, "__t")
+        cells += more
+    return out.drop("__k", "__k2"), cells
 
 
 # Plan nodes that cost nothing to run twice.
@@ -194,6 +247,13 @@ def _keyed_window(df: DataFrame, order_by: list[str], folds, keys: list[str], ex
     return out
 
 
+def _merged(fold: str, a: Column, b: Column) -> Column:
+    """The fold of two parts; a part that is null has no values."""
+    if fold in ("count", "sum"):
+        return F.when(a.isNotNull() & b.isNotNull(), a + b).otherwise(F.coalesce(a, b))
+    return F.greatest(a, b) if fold == "max" else F.least(a, b)
+
+
 def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str, Column | None]],
             partition_by: Sequence[str] = (), exclusive: bool = False, reverse: bool = False,
             chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_width: float | None = None,
@@ -233,8 +293,12 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
         chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width)
         src = df.withColumn("__c1", chunk)
     cks = ["__c1"]
+    if chunk_width is None and n_chunks > MAX_CELLS // 2:
+        # Perhaps as many cells as there can be: the large ones are cut again.
+        src, more = _refine(src, [*keys, "__c1"], order_number(src, order_by[0]), chunk_rows, reverse, "__r")
+        cks += more
     if split_ties and len(order_by) > 1 and n_chunks > 2:
-        src, cks = _split_ties(src, order_by, keys, chunk_rows, reverse)
+        src, cks = _split_ties(src, order_by, keys, chunk_rows, reverse, cks)
     for name, (fold, col) in folds.items():
         src = src.withColumn(f"__v_{name}", F.lit(1).cast("long") if fold == "count" else col)
 
@@ -251,11 +315,26 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
 
     totals = src.groupBy(*keys, *cks).agg(
         *[fold_fn(fold)(F.col(f"__v_{name}")).alias(f"__t_{name}") for name, (fold, _) in folds.items()])
-    carry_w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in cks]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, *cks, *[
-        fold_fn(fold)(F.col(f"__t_{name}")).over(carry_w).alias(f"__c_{name}")
-        for name, (fold, _) in folds.items()])
+
+    def before(table: DataFrame, groups: list[str], order: list[str], out: str) -> DataFrame:
+        """The fold of the totals before each row of ``table``."""
+        w = Window.partitionBy(*groups).orderBy(*[F.col(c) for c in order]) \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        return table.select(*keys, *cks[:1 if table is coarse else None], *[
+            fold_fn(fold)(F.col(f"__t_{name}")).over(w).alias(f"__{out}_{name}") for name, (fold, _) in folds.items()])
+
+    coarse = None
+    if len(cks) == 1 or cks[1] == "__c2":
+        carry = before(totals, keys, cks, "c")
+    else:
+        # Many chunks: the carry inside each first cell, and that of the cells.
+        coarse = totals.groupBy(*keys, "__c1").agg(
+            *[fold_fn(fold)(F.col(f"__t_{name}")).alias(f"__t_{name}") for name, (fold, _) in folds.items()])
+        inner = before(totals, [*keys, "__c1"], cks[1:], "i")
+        outer = before(coarse, keys, ["__c1"], "o")
+        carry = join_small(inner, outer, on=[*keys, "__c1"], how="left").select(*keys, *cks, *[
+            _merged(fold, F.col(f"__o_{name}"), F.col(f"__i_{name}")).alias(f"__c_{name}")
+            for name, (fold, _) in folds.items()])
     if not keys and len(cks) == 1:
         # One row per chunk: at most MAX_CELLS.
         carry = F.broadcast(carry)
@@ -263,17 +342,9 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
 
     out = joined
     for name, (fold, _) in folds.items():
-        c, l = F.col(f"__c_{name}"), F.col(f"__l_{name}")
-        if fold in ("count", "sum"):
-            val = F.coalesce(c, F.lit(0)) + F.coalesce(l, F.lit(0))
-            if exclusive or fold == "sum":
-                # Exclusive first row / all-null prefix stays null only for sums.
-                val = F.when(c.isNull() & l.isNull(), F.lit(0) if fold == "count" else F.lit(None)).otherwise(val)
-        elif fold == "max":
-            val = F.greatest(c, l)
-        else:
-            val = F.least(c, l)
-        out = out.withColumn(name, val)
+        val = _merged(fold, F.col(f"__c_{name}"), F.col(f"__l_{name}"))
+        # Only a sum without any value stays null.
+        out = out.withColumn(name, F.coalesce(val, F.lit(0)) if fold == "count" else val)
     drop = ["__pkey", *cks, *[f"__{p}_{n}" for n in folds for p in ("v", "l", "c")]]
     return out.drop(*drop)
 

@@ -115,3 +115,37 @@ def test_hot_and_small_keys_mixed(spark, chunk_rows):
     want = df.select("id", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
     assert sorted(tuple(r) for r in got.select("id", "s", "c").collect()) == \
         sorted(tuple(r) for r in want.collect())
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_more_chunks_than_cells(spark, monkeypatch, reverse, keyed):
+    """With 8 cells a level, 3,000 rows are cut over several levels (hot
+    ties and nulls too); the result equals the window."""
+    monkeypatch.setattr(prefix, "MAX_CELLS", 8)
+    rows = [(None if i % 50 == 0 else 700 if i % 4 == 0 else (i * 7919) % 2000, i,
+             (0 if i % 3 else 1 + i % 5) if keyed else 0, i % 13) for i in range(3000)]
+    df = spark.createDataFrame(rows, "t long, id long, k long, v long")
+    keys = ["k"] if keyed else []
+    got = prefix.running(df, ["t", "id"], {"s": ("sum", F.col("v")), "c": ("count", None), "m": ("max", F.col("v"))},
+                         partition_by=keys, reverse=reverse, chunk_rows=10)
+    order = [F.col("t").desc(), F.col("id").desc()] if reverse else [F.col("t"), F.col("id")]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"),
+                     F.max("v").over(w).alias("m"))
+    assert sorted(map(tuple, got.select("id", "s", "c", "m").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_chunks_do_not_grow_past_the_cells(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "MAX_CELLS", 8)
+    rows = [(7 if i % 3 == 0 else (i * 7919) % 100_000, i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "t long, id long")
+    chunk, n = prefix._chunk_plan(df, "t", 50, False, None)
+    assert n <= 8
+    src, more = prefix._refine(df.withColumn("__c1", chunk), ["__c1"], F.col("t"), 50, False, "__r")
+    src, cks = prefix._split_ties(src, ["t", "id"], [], 50, False, ["__c1", *more])
+    assert src.groupBy(*cks).count().agg(F.max("count")).first()[0] <= 2 * 50
+    # A chunk's rows are neighbours in the order.
+    w = Window.orderBy(*cks)
+    spans = src.groupBy(*cks).agg(F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b"))
+    assert spans.withColumn("p", F.lag("b").over(w)).filter("a <= p").isEmpty()
