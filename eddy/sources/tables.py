@@ -30,10 +30,12 @@ def scan(df: DataFrame, cond: Column | None = None) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
-def check_unique_insert(current: DataFrame, new: DataFrame, key: str) -> None:
-    """Inserting a key that is already present (or twice) fails."""
-    dup_new = new.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    clash = new.select(key).join(current.select(key), on=key, how="left_semi").limit(1).count()
+def check_unique_insert(current: DataFrame, new: DataFrame, key: str | Sequence[str]) -> None:
+    """Inserting a key (one column or several) that is already present
+    (or twice) fails."""
+    keys = [key] if isinstance(key, str) else list(key)
+    dup_new = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).limit(1).count()
+    clash = new.select(*keys).join(current.select(*keys), on=keys, how="left_semi").limit(1).count()
     if dup_new or clash:
         raise ValueError(f"duplicate key on insert into column {key!r}")
 
@@ -104,7 +106,7 @@ def disjuncts(spark: SparkSession, values: Sequence, col: str, dtype: str = "lon
 class KeyedTable:
     """A table folder of whole versions and additions."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str] | None = None):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
 
     def _fs(self):

@@ -110,3 +110,16 @@ def test_update_one_duplicates(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 7), (2, "a", 0), (3, "b", 0)]
     with pytest.raises(ValueError):
         tables.apply_update_one(cur, upd, "g", {"v": "nv"}, "id")
+
+
+def test_insert_copy_of_parts_beyond_a_million(spark, scratch):
+    """A shifted part key may equal another part's key; a repeated part is
+    still refused."""
+    from eddy.plans import catalog
+    for name, keys in (("once", [5, 1000005]), ("twice", [5, 5])):
+        spark.createDataFrame([(k, f"p{k}") for k in keys], "p_partkey long, p_name string").write.parquet(
+            f"{scratch}/{name}/part.parquet")
+    got = sorted(tuple(r) for r in catalog.table_insert_copy(spark, f"{scratch}/once").collect())
+    assert got == [(5, "p5"), (1000005, "P5"), (1000005, "p1000005"), (2000005, "P1000005")]
+    with pytest.raises(ValueError):
+        catalog.table_insert_copy(spark, f"{scratch}/twice")
