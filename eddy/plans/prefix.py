@@ -7,7 +7,8 @@ deterministic function of the leading order column:
 
 1. Chunks are cut at quantiles of the leading order column (taken in one
    pass, collected as at most ``MAX_CELLS`` numbers and fixed), so outliers,
-   bursts and hashed keys give even chunks too.  Where that many cells are
+   bursts and hashed keys give even chunks too.  A chunk has at most about
+   ``chunk_rows`` rows and ``CHUNK_BYTES`` of text.  Where that many cells are
    too few, each is cut again at quantiles of its own, level by level (a
    table of cuts, never collected), so chunks do not grow with the table.
    A chunk that a repeated leading value still fills is cut again by
@@ -46,6 +47,8 @@ from pyspark.sql import types as T
 from eddy.plans.joins import join_small
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+# Bytes of text in a chunk: chunks of long texts have fewer rows.
+CHUNK_BYTES = 1 << 27
 # Cells of the first level (numbers that the driver holds) and of one cell
 # on the levels below it (an array in the table of cuts).
 MAX_CELLS = 4096
@@ -89,10 +92,24 @@ def _cell(k: Column, cuts: list, step: int = 64) -> Column:
     return F.when(k.isNull() | (block == 0), 0).otherwise((block - 1) * step + inner)
 
 
-def quantile_cuts(df: DataFrame, k: Column, chunk_rows: int) -> list:
-    """Quantiles of ``k`` that cut the rows into chunks of about half of
-    ``chunk_rows``: at most ``MAX_CELLS`` numbers, none for few rows."""
-    n = df.count()
+def _text_bytes(df: DataFrame) -> Column:
+    """The bytes of all texts of ``df`` (an aggregate)."""
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")).cast("long"), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return F.coalesce(F.sum(sum(wide, F.lit(0).cast("long"))), F.lit(0)) if wide else F.lit(0).cast("long")
+
+
+def _fitting_rows(df: DataFrame, chunk_rows: int) -> tuple[int, int]:
+    """The rows of ``df``, and how many make a chunk: at most ``chunk_rows``,
+    fewer if their texts are long."""
+    n, size = df.agg(F.count(F.lit(1)), _text_bytes(df)).first()
+    return n, min(chunk_rows, max(1, n * CHUNK_BYTES // size)) if size else chunk_rows
+
+
+def quantile_cuts(df: DataFrame, k: Column, chunk_rows: int, n: int | None = None) -> list:
+    """Quantiles of ``k`` that cut the (``n``) rows into chunks of about half
+    of ``chunk_rows``: at most ``MAX_CELLS`` numbers, none for few rows."""
+    n = df.count() if n is None else n
     cells = min(MAX_CELLS, math.ceil(2 * n / chunk_rows))
     if n <= chunk_rows or cells < 2:
         return []
@@ -137,7 +154,8 @@ def _refine(src: DataFrame, groups: list[str], k: Column, chunk_rows: int, rever
     return src.drop("__rk"), added
 
 
-def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool, chunk_width: float | None = None):
+def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool, chunk_width: float | None = None,
+                n: int | None = None):
     """Chunk column for ``df`` and the number of chunks (of the first
     level).  Chunks are cut at quantiles, or every ``chunk_width`` if the
     caller asks for that."""
@@ -148,7 +166,7 @@ def _chunk_plan(df: DataFrame, lead: str, chunk_rows: int, reverse: bool, chunk_
                                        for i in range(min(MAX_CELLS, math.ceil((hi - lo + 1) / chunk_width)))]
     else:
         # A cut at 0 where none is needed keeps the plan the same at any size.
-        cuts = quantile_cuts(df, k, chunk_rows) or [0]
+        cuts = quantile_cuts(df, k, chunk_rows, n) or [0]
     cell = _cell(k, cuts).cast("long")
     return (F.lit(len(cuts)).cast("long") - cell if reverse else cell), len(cuts) + 1
 
@@ -274,23 +292,26 @@ def running(df: DataFrame, order_by: Sequence[str], folds: dict[str, tuple[str,
     df = materialize_if_derived(df)
     names = keys
     if keys:
-        # Keys up to chunk_rows rows are one chunk each: a plain keyed
+        # Keys up to chunk_rows rows and CHUNK_BYTES are one chunk each: a plain keyed
         # window.  Only hot keys (at most rows / chunk_rows of them, so
         # the list is broadcast after a size check) are cut into chunks.
         # Joins need keys that are never null.
         df = df.withColumn("__pkey", F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])))
         keys = ["__pkey"]
-        hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                 .filter(F.col("__n") > chunk_rows).select(*keys))
+        hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), _text_bytes(df.drop(*keys)).alias("__size"))
+                 .filter((F.col("__n") > chunk_rows) | (F.col("__size") > CHUNK_BYTES)).select(*keys))
         if hot.isEmpty():
             return _keyed_window(df.drop("__pkey"), order_by, folds, names, exclusive, reverse)
         tagged = join_small(df, hot.withColumn("__hot", F.lit(True)), on=keys, how="left",
                             max_rows=MAX_HEAVY_BROADCAST_ROWS)
-        chunk, n_chunks = _chunk_plan(tagged.filter(F.col("__hot")), order_by[0], chunk_rows, reverse, chunk_width)
+        rows = tagged.filter(F.col("__hot"))
+        n, chunk_rows = _fitting_rows(rows.drop(*keys), chunk_rows) if chunk_width is None else (None, chunk_rows)
+        chunk, n_chunks = _chunk_plan(rows, order_by[0], chunk_rows, reverse, chunk_width, n)
         src = tagged.withColumn("__c1", F.when(F.col("__hot"), chunk).otherwise(F.lit(-1).cast("long"))) \
                     .drop("__hot")
     else:
-        chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width)
+        n, chunk_rows = _fitting_rows(df, chunk_rows) if chunk_width is None else (None, chunk_rows)
+        chunk, n_chunks = _chunk_plan(df, order_by[0], chunk_rows, reverse, chunk_width, n)
         src = df.withColumn("__c1", chunk)
     cks = ["__c1"]
     if chunk_width is None and n_chunks > MAX_CELLS // 2:

@@ -149,3 +149,17 @@ def test_chunks_do_not_grow_past_the_cells(spark, monkeypatch):
     w = Window.orderBy(*cks)
     spans = src.groupBy(*cks).agg(F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b"))
     assert spans.withColumn("p", F.lag("b").over(w)).filter("a <= p").isEmpty()
+
+
+def test_long_texts_make_smaller_chunks(spark, monkeypatch):
+    """Chunks are bounded by the bytes of their texts, not only by rows."""
+    monkeypatch.setattr(prefix, "CHUNK_BYTES", 10_000)
+    seen = []
+    plan = prefix._chunk_plan
+    monkeypatch.setattr(prefix, "_chunk_plan", lambda *a: seen.append(plan(*a)) or seen[-1])
+    df = spark.range(400).select((F.col("id") * 3).alias("x"), F.lit("t" * 200).alias("text"), (F.col("id") % 2).alias("k"))
+    got = sorted((r.x, r.i) for r in prefix.with_index(df, ["x"], "i").collect())
+    assert got == [(3 * i, i) for i in range(400)]
+    got = sorted((r.x, r.i) for r in prefix.with_index(df, ["x"], "i", partition_by=["k"]).collect())
+    assert got == [(3 * i, i // 2) for i in range(400)]
+    assert [n for _, n in seen] == [16, 16]
