@@ -101,7 +101,8 @@ def publish_results(appended: DataFrame, messages: DataFrame, key: str) -> DataF
     text = (F.when(F.col("__n").isNull(), F.lit(PASSED_THROUGH))
              .when(F.col("__n") == 1, F.concat(F.lit(SINGLE), F.col("__text")))
              .otherwise(F.concat(F.lit(MULTI), F.col("__text"))))
-    return messages.join(per, F.col(key).eqNullSafe(F.col("__key")), "left").select(
+    # As many rows as messages: never broadcast.
+    return messages.join(per.hint("merge"), F.col(key).eqNullSafe(F.col("__key")), "left").select(
         *[messages[c] for c in messages.columns], text.alias("result"))
 
 

@@ -123,3 +123,17 @@ def test_insert_copy_of_parts_beyond_a_million(spark, scratch):
     assert got == [(5, "p5"), (1000005, "P5"), (1000005, "p1000005"), (2000005, "P1000005")]
     with pytest.raises(ValueError):
         catalog.table_insert_copy(spark, f"{scratch}/twice")
+
+
+def test_publish_results_is_not_broadcast(spark, scratch):
+    """The places are as many rows as the messages."""
+    log = topiclog.TopicLog(spark, f"{scratch}/log")
+    sent = log.append(_recs(spark, 6), ["i"]).withColumn("i", F.col("key").cast("string").cast("long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100MB")
+    try:
+        out = topiclog.publish_results(sent, spark.range(8).withColumnRenamed("id", "i"), "i")
+        assert len(out.collect()) == 8
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "BroadcastHashJoin" not in plan
