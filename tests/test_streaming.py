@@ -158,3 +158,27 @@ def test_per_partition_flows(spark, scratch):
     q.awaitTermination()
     got = sorted((r["partition"], r["top"]) for r in spark.read.parquet(out).collect())
     assert got == [(0, 3), (1, 3), (2, 3)]
+
+
+def test_keyed_states_share_groups_of_the_store(spark, scratch):
+    """Many keys (one null) take few groups of the state store, and each
+    still has a state of its own over the micro-batches."""
+    import pandas as pd
+
+    from eddy.streaming import stateful
+    n = 4000
+    ev = spark.createDataFrame(pd.DataFrame({"event_id": range(n)})).select(
+        "event_id", F.when(F.col("event_id") % 2000 != 7, F.col("event_id") % 2000).alias("user_id"),
+        F.timestamp_micros(F.col("event_id") * 10).alias("ts"))
+    staging.stage_files(ev, f"{scratch}/in", 4, "event_id")
+    for name, op, want in (
+            ("seen", stateful.first_seen, lambda i: i < 2000),
+            ("flight", lambda s, k, o: stateful.in_flight(s, k, o, "ts", 20_001), lambda i: i < 2000)):
+        stream = staging.read_staged(spark, f"{scratch}/in", ev.schema)
+        q = op(stream, "user_id", "event_id").writeStream.format("parquet").option(
+            "checkpointLocation", f"{scratch}/{name}-ckpt").trigger(availableNow=True).start(f"{scratch}/{name}")
+        q.awaitTermination()
+        got = [tuple(r) for r in spark.read.parquet(f"{scratch}/{name}").collect()]
+        assert sorted(i for _, i, _ in got) == list(range(n))
+        assert all(flag == want(i) and user == (None if i % 2000 == 7 else i % 2000) for user, i, flag in got)
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= stateful.BUCKETS
