@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,9 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        ids = range(max(self.a_bytes, default=-1) + 1)
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in ids], np.int64)
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
         self.cut = all("▁" not in p.lstrip("▁") for p in pieces) and not self._normalises()
         self.memo: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
@@ -101,18 +105,21 @@ class Pair:
 
     def a_cuts(self, raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray | None]:
         e = self.a.encode(text, add_special_tokens=False)
-        spans = np.array(e.offsets, np.int64).reshape(-1, 2)
+        ids = e.ids
+        spans = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         if len(raw) != len(text):
-            spans = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])])[spans]
-        return np.array(e.ids, np.int64), cuts(raw, spans, [self.a_bytes[i] for i in e.ids])
+            spans = byte_offsets(text)[spans]
+        of, at = self.a_bytes, np.array(ids, np.int64)
+        return at, cuts(raw, spans, [of[i] for i in ids], self.a_size[at])
 
     def b_cuts(self, raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray | None]:
         pieces = self.b.encode(text, return_type="proto").pieces
         ids = [p.id for p in pieces]
         # Spans are in the bytes of ``text``, before which ``raw`` has a space.
-        spans = np.array([(p.begin, p.end) for p in pieces], np.int64).reshape(-1, 2) + 1
+        spans = np.array([[p.begin for p in pieces], [p.end for p in pieces]], np.int64).T + 1
         spans[:1, 0] = 0
-        return np.array(ids, np.int64), cuts(raw, spans, [self.b_bytes[i] for i in ids])
+        of, at = self.b_bytes, np.array(ids, np.int64)
+        return at, cuts(raw, spans, [of[i] for i in ids], self.b_size[at])
 
     def align(self, chunks: list[str]) -> list[tuple | None]:
         """For each chunk, with the space before it: ``(n_a, n_b, n_groups,
@@ -127,23 +134,26 @@ class Pair:
             half = len(chunks) // 2
             return self.align(chunks[:half]) + self.align(chunks[half:]) if half else [None]
         # Between two neighbouring ends of either side lies one link.
-        ends = np.union1d(a_ends, b_ends)
-        keys = (a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]).tolist()
-        both = np.intersect1d(a_ends, b_ends)
+        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        ends = ends[np.append(ends[1:] != ends[:-1], True)]
+        in_a, in_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        keys = (a[in_a] << 32 | b[in_b]).tolist()
+        both = ends[(a_ends[in_a] == ends) & (b_ends[in_b] == ends)]
         at_a, at_b = (np.searchsorted(e, both, "right").tolist() for e in (a_ends, b_ends))
         a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
         groups, x, y = [], 0, 0
         for i, j in zip(at_a, at_b):
-            groups.append(",".join(a_text[x:i]) + "|" + ",".join(b_text[y:j]))
+            groups.append(f"{a_text[x] if i == x + 1 else ','.join(a_text[x:i])}|"
+                          f"{b_text[y] if j == y + 1 else ','.join(b_text[y:j])}")
             x, y = i, j
         border = np.cumsum([len(c.encode()) + 1 for c in chunks])
         cut = [np.searchsorted(e, border, "right").tolist() for e in (a_ends, b_ends, both, ends)]
-        out, last, start = [], (0, 0, 0, 0), 0
-        for k, now in enumerate(zip(*cut)):
-            spans = [tuple((e[i:j] - start).tolist()) for e, i, j in zip((a_ends, b_ends), last, now)] if self.ends else ()
-            out.append((now[0] - last[0], now[1] - last[1], now[2] - last[2], ";".join(groups[last[2]:now[2]]),
-                        tuple(keys[last[3]:now[3]]), *spans))
-            last, start = now, int(border[k])
+        out, a0, b0, g0, k0, start = [], 0, 0, 0, 0, 0
+        for k, (a1, b1, g1, k1) in enumerate(zip(*cut)):
+            spans = [tuple((e[i:j] - start).tolist()) for e, i, j in ((a_ends, a0, a1), (b_ends, b0, b1))] if self.ends else ()
+            out.append((a1 - a0, b1 - b0, g1 - g0, groups[g0] if g1 == g0 + 1 else ";".join(groups[g0:g1]),
+                        tuple(keys[k0:k1]), *spans))
+            a0, b0, g0, k0, start = a1, b1, g1, k1, int(border[k])
         return out
 
     def documents(self, texts: list[str | None]) -> list[list[tuple] | None]:
@@ -176,21 +186,28 @@ class Pair:
 
 
 #: Characters that a tokenizer might take for white space.
-_BLANK = r"\s\u180e\u200b\ufeff"
-_BLANKS = re.compile(f"[{_BLANK}]{{2}}")
+_BLANK = "\u180e\u200b\ufeff"
+_BLANKS = re.compile(rf"[\s{_BLANK}]{{2}}")
 
 
 def _blank(c: str) -> bool:
-    return re.match(f"[{_BLANK}]", c) is not None
+    return c.isspace() or c in _BLANK
 
 
-def cuts(raw: bytes, spans: np.ndarray, tokens: list[bytes]) -> np.ndarray | None:
+def byte_offsets(text: str) -> np.ndarray:
+    """The UTF-8 byte at which each character starts, and the end."""
+    at = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.concatenate([[0], np.cumsum(1 + (at >= 0x80) + (at >= 0x800) + (at >= 0x10000))])
+
+
+def cuts(raw: bytes, spans: np.ndarray, tokens: list[bytes], size: np.ndarray | None = None) -> np.ndarray | None:
     """The byte at which each token ends: the span's end where the span is as
     long as the token's bytes, else as many bytes on as the tokens stand for.
     None if the tokens' bytes are not ``raw``."""
     if b"".join(tokens) != raw:
         return None
-    size = np.array([len(t) for t in tokens], np.int64)
+    if size is None:
+        size = np.array([len(t) for t in tokens], np.int64)
     fine = np.cumsum(size)
     whole = (spans[:, 0] == fine - size) & (spans[:, 1] - spans[:, 0] == size)
     return np.where(whole, spans[:, 1], fine)

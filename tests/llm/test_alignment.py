@@ -93,3 +93,11 @@ def test_vocabulary_bytes():
     assert A.cuts(b"ab", np.array([(0, 1), (1, 2)]), [b"a", b"c"]) is None
     whole = p.align(["one", "two", "a▁b", "three é"])
     assert whole[2] is None and whole[:2] + whole[3:] == [p.align([c])[0] for c in ("one", "two", "three é")]
+
+
+def test_byte_offsets_of_characters_of_any_width():
+    text = "aé€\U0001f600​ b"
+    want = [len(text[:i].encode()) for i in range(len(text) + 1)]
+    assert A.byte_offsets(text).tolist() == want
+    assert A.byte_offsets("").tolist() == [0]
+    assert [A._blank(c) for c in (" ", " ", "᠎", "​", "﻿", "\x1c", "x")] == [True] * 6 + [False]
