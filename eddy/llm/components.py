@@ -38,3 +38,18 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame | None:
                              .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
                              .where("a < b").distinct(), "edges")
     return labels
+
+
+def merged(comp: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """The components ``comp`` (None if there are none yet) after further
+    stored ``links``, which are contracted to them first."""
+    if comp is None:
+        return components(links, scratch)
+    label = lambda n: comp.select(F.col("node").alias(n), F.col("label").alias(f"to_{n}"))
+    ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    more = components(ends.select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b")), scratch)
+    if more is None:
+        return comp
+    old = comp.join(more.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select(
+        "node", F.coalesce("to", "label").alias("label"))
+    return scratch.save(old.union(more.join(comp.select("node"), "node", "left_anti").select("node", "label")), "merged")

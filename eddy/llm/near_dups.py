@@ -7,14 +7,15 @@
 2. Tree: a node's members are branched by the minwise token at a coordinate
    that the node chooses by its path; a node chooses 1 / threshold
    coordinates on average, so a pair at the threshold shares one child on
-   average at any depth.  Nodes of one member, or whose members are already
-   connected, are left.  Nodes of at most ``LEAF`` members are compared
-   exhaustively, larger ones are branched again.  Independent trees
-   raise the recall.
+   average at any depth.  Every level branches twice.  Nodes of one member, or
+   whose members are already connected, are left.  Nodes of at most ``LEAF``
+   members are compared exhaustively, larger ones are branched again.
+   Independent trees raise the recall.
 3. Members of a leaf that have a partner whose size allows the threshold and
-   whose sketch agrees in ``agree`` of the coordinates are sent to the leaf
-   with their texts, and compared on the full sets; the leaf returns a
-   spanning forest of its links, never its pairs.
+   whose sketch agrees in ``agree`` of the coordinates form groups, connected
+   by such pairs.  A group is known by its members, so what many trees or both
+   phases find is compared once: its texts are sent to the group and compared
+   on the full sets; it returns a spanning forest of its links, never its pairs.
 4. Phase one takes ``TREES[0]`` trees.  The components it finds spare phase
    two, with ``TREES[1]`` further trees, all nodes and members that are
    connected anyway, so a group of copies costs about as much as its members,
@@ -26,7 +27,9 @@
    set sizes, in which only groups of several components count.  Groups that
    are too large meet their own centre, and what then is outside the most
    frequent component is compared in blocks with the rest.  Phase two leaves
-   nodes of texts that have met.
+   nodes of texts that have met; a node of its second level or below that is
+   too large and holds some of them is not branched again: its members meet
+   by rare shingles.
 
 No step gathers a group: leaves are bounded, and larger nodes are only
 counted, joined and branched.
@@ -37,8 +40,8 @@ above): its sketches fall short of :func:`agree` with a probability of at
 most 0.0003.  The trees share one sketch, so :func:`miss` adds up over its
 agreement how often trees miss the pair.  By phase two's trees alone (phase
 one compares the nodes that stay too large with their head only), a pair at
-0.85 is missed by 16 trees with 0.0004 after 5 branchings and 0.0009 after 7,
-the deepest; at 0.8 by 20 trees with 0.0002 and 0.0009.
+0.85 is missed by 16 trees with 0.0003 after 4 branchings and 0.0005 after 6,
+the deepest; at 0.8 by 20 trees with 0.0001 and 0.0004.
 
 Defined cases: null and empty texts, and texts of white space, have no
 shingles and are linked with nothing; fewer than five words are one shingle;
@@ -50,17 +53,18 @@ answered each by its own text; other columns are ignored.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 from itertools import accumulate
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch, each_text, for_texts, runs_of, text_key
-from .components import components
+from .components import components, merged
 
 SHINGLE = 5
 THRESHOLD = 0.85
@@ -70,7 +74,7 @@ LEAF = 256
 #: Trees of the phases at thresholds of 0.85 and 0.8 (by :func:`miss`).
 TREES = (3, 16)
 TREES_80 = (3, 20)
-LEVELS = 4
+LEVELS = 3
 #: Bands of set sizes, and bits of the cells in which shingles are counted.
 BAND = 1.02
 FREQ_BITS = 20
@@ -179,8 +183,8 @@ def _coords(path: Column, threshold: float) -> Column:
 
 def _branch(rows: DataFrame, threshold: float) -> DataFrame:
     coord = F.explode(_coords(F.col("path"), threshold)).alias("coord")
-    return (rows.select("path", "rep", "comp", "met", "sketch", coord)
-            .select(_child(F.col("path"), F.col("coord"), F.col("sketch")).alias("path"), "rep", "comp", "met", "sketch"))
+    own = ["rep", "comp", "met", "n", "sketch"]
+    return rows.select("path", *own, coord).select(_child(F.col("path"), F.col("coord"), F.col("sketch")).alias("path"), *own)
 
 
 def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -191,28 +195,54 @@ def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
             .withColumn("comp", F.coalesce("label", "rep")).drop("label"))
 
 
+def _met(rows: DataFrame, met: DataFrame | None) -> DataFrame:
+    """``rows`` with the flag ``met``, whether ``rep`` is among the classes ``met``."""
+    if met is None:
+        return rows.withColumn("met", F.lit(False))
+    return rows.join(met.select("rep", F.lit(True).alias("met")), "rep", "left").withColumn(
+        "met", F.coalesce("met", F.lit(False)))
+
+
 def grow(classes: DataFrame, comp: DataFrame | None, met: DataFrame | None, trees: range, scratch: Scratch,
          leaf: int = LEAF, levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
-    """The leaves ``(path, rep, comp)`` of the trees, and the members of the
-    nodes that are still too large, with ``cnt``.  Classes ``met`` have been
-    compared with each other: nodes of only such ones are left."""
-    base = _labelled(classes.select("rep", "sketch"), comp)
-    if met is not None:
-        base = base.join(met.select("rep", F.lit(True).alias("met")), "rep", "left")
-    base = scratch.save(base.withColumn("met", F.coalesce("met", F.lit(False)) if met is not None else F.lit(False)), "base")
+    """The leaves ``(path, rep, comp, n)`` of the trees, and the members of the
+    large nodes that are not branched again, with ``cnt``.  Classes ``met``
+    have been compared with each other: nodes of only such ones are left, and
+    from the second level on large nodes that hold some are not branched."""
+    base = scratch.save(_met(_labelled(classes.select("rep", "n", "sketch"), comp), met), "base")
     roots = F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in trees])
-    rows = _branch(base.withColumn("path", F.explode(roots)), threshold).drop("sketch")
-    done = None
+    rows = base.withColumn("path", F.explode(roots))
+    done = ended = None
     for level in range(levels):
-        live = scratch.save(_mixed(rows, ~F.min("met")), f"level{level}")
+        rows = _branch(_branch(rows, threshold), threshold).drop("sketch")
+        if level:  # read twice
+            rows = scratch.save(rows, f"rows{level}")
+        live = scratch.save(_mixed(rows, ~F.min("met"), F.max("met")), f"level{level}")
         small, large = live.where(F.col("cnt") <= leaf), live.where(F.col("cnt") > leaf)
-        small = small.select("path", "rep", "comp")
+        small = small.select("path", "rep", "comp", "n")
         done = small if done is None else done.union(small)
         if large.isEmpty():
-            return done, None
-        rows = large.select("path", "rep", "comp", "met").join(base.select("rep", "sketch"), "rep")
-        rows = _branch(_branch(rows, threshold), threshold).drop("sketch").distinct()
-    return done, large
+            break
+        if level:
+            over = large if level == levels - 1 else large.where("some")
+            ended = over if ended is None else ended.union(over)
+            large = large.where("NOT some")
+        elif levels == 1:
+            ended = large
+        rows = large.select("path", "rep", "comp", "met", "n").join(base.select("rep", "sketch"), "rep")
+    return done, None if ended is None or ended.isEmpty() else ended
+
+
+def sized(leaves: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The members of leaves ``(path, rep, comp, n)`` that have a partner of a
+    size that the threshold allows, in leaves of several components.  The
+    nearest sizes are a member's neighbours by ``n``; leaves are bounded."""
+    part, whole = ratio(threshold)
+    group, by_size = Window.partitionBy("path"), Window.partitionBy("path").orderBy("n")
+    rows = leaves.withColumn("less", F.lag("n").over(by_size)).withColumn("more", F.lead("n").over(by_size))
+    rows = rows.where((whole * F.col("less") >= part * F.col("n")) | (whole * F.col("n") >= part * F.col("more")))
+    rows = rows.withColumn("lo", F.min("comp").over(group)).withColumn("hi", F.max("comp").over(group))
+    return rows.where("lo < hi").select("path", "rep", "comp")
 
 
 def distinct_groups(rows: DataFrame) -> DataFrame:
@@ -224,13 +254,14 @@ def distinct_groups(rows: DataFrame) -> DataFrame:
     return rows.join(sig.select("path"), "path", "left_semi")
 
 
-def _mixed(rows: DataFrame, also: Column | None = None) -> DataFrame:
+def _mixed(rows: DataFrame, also: Column | None = None, some: Column | None = None) -> DataFrame:
     """The rows of groups with members of several components that fulfil
-    ``also`` (an aggregate), and ``cnt``."""
+    ``also`` (an aggregate), with ``cnt`` and the aggregate ``some``."""
     groups = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt"), F.min("comp").alias("lo"),
-                                       F.max("comp").alias("hi"), (F.lit(True) if also is None else also).alias("also"))
+                                       F.max("comp").alias("hi"), (F.lit(True) if also is None else also).alias("also"),
+                                       *([] if some is None else [some.alias("some")]))
               .where("lo < hi AND also"))
-    return rows.join(groups.select("path", "cnt"), "path")
+    return rows.join(groups.drop("lo", "hi", "also"), "path")
 
 
 def centre_groups(large: DataFrame, classes: DataFrame, leaf: int = LEAF) -> DataFrame:
@@ -313,33 +344,39 @@ def rare_keys(tokens: np.ndarray, freq: np.ndarray, part: int, whole: int) -> tu
 
 def rare_groups(crowd: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch,
                 threshold: float = THRESHOLD) -> DataFrame:
-    """``(path, rep, comp, cnt)``: the members ``(rep, comp)`` of nodes that
-    trees can't split, grouped by rare shingles that every pair at the
-    threshold shares (an exact prefix join); groups of one component are
-    left out.  ``freq`` counts shingles in 2**20 cells, so it is bounded."""
+    """``(path, rep, comp, cnt)``: the members ``(rep, comp, met)`` of nodes
+    that trees can't split, grouped by rare shingles that every pair at the
+    threshold shares (an exact prefix join); groups of one component and those
+    of only members that have ``met`` are left out.  ``freq`` counts shingles
+    in 2**20 cells, so it is bounded; cells that only such members have count
+    for none, as any pair that has not met shares no shingle of theirs."""
     part, whole = ratio(threshold)
-    rows = crowd.join(texts_of(crowd, docs, classes, scratch), "rep").select("rep", "comp", "text")
+    rows = crowd.join(texts_of(crowd, docs, classes, scratch), "rep").select("rep", "comp", "text", "met")
 
     def to_sets(batches):
         for b in batches:
             sets = [shingles(t).tobytes() for t in each_text(b.column(2))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())],
-                                             names=["rep", "comp", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary()), b.column(3)],
+                                             names=["rep", "comp", "set", "met"])
 
-    sets = scratch.save(rows.mapInArrow(to_sets, "rep bigint, comp bigint, set binary"), "sets")
+    sets = scratch.save(rows.mapInArrow(to_sets, "rep bigint, comp bigint, set binary, met boolean"), "sets")
 
     def count(batches):
-        cells = np.zeros(1 << FREQ_BITS, np.int64)
+        cells, new = np.zeros(1 << FREQ_BITS, np.int64), np.zeros(1 << FREQ_BITS, bool)
         for b in batches:
-            for s in each_text(b.column(0)):
+            for s, met in zip(each_text(b.column(0)), b.column(1).to_pylist()):
                 at, times = np.unique(np.frombuffer(s, np.uint64) >> np.uint64(64 - FREQ_BITS), return_counts=True)
                 cells[at.astype(np.int64)] += times
+                if not met:
+                    new[at.astype(np.int64)] = True
         at = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64())], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64()), pa.array(new[at])],
+                                         names=["cell", "n", "new"])
 
-    counted = sets.select("set").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = sets.select("set", "met").mapInArrow(count, "cell bigint, n bigint, new boolean").groupBy("cell").agg(
+        F.sum("n").alias("n"), F.max("new").alias("new"))
     freq = np.zeros(1 << FREQ_BITS, np.int32)
-    got = counted.where("n > 1").toArrow()
+    got = counted.where("n > 1 AND new").drop("new").toArrow()
     freq[got["cell"].to_numpy()] = np.minimum(got["n"].to_numpy(), 2**31 - 1)
 
     def keys(batches):
@@ -349,14 +386,16 @@ def rare_groups(crowd: DataFrame, docs: DataFrame, classes: DataFrame, scratch:
             if len(of):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([k for k, _ in each])), b.column(0).take(pa.array(of)),
-                     b.column(1).take(pa.array(of)), pa.array(np.concatenate([x for _, x in each]))],
-                    names=["path", "rep", "comp", "side"])
-
-    found = scratch.save(sets.mapInArrow(keys, "path bigint, rep bigint, comp bigint, side int"), "keys")
-    # A key of two bands needs members of both, any key those of two components.
-    live = found.groupBy("path").agg(F.bit_or("side").alias("sides"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    live = live.where("lo < hi AND sides IN (0, 3)").select("path")
-    found = scratch.save(found.drop("side").join(live, "path", "left_semi"), "shared")
+                     b.column(1).take(pa.array(of)), pa.array(np.concatenate([x for _, x in each])),
+                     b.column(3).take(pa.array(of))], names=["path", "rep", "comp", "side", "met"])
+
+    found = scratch.save(sets.mapInArrow(keys, "path bigint, rep bigint, comp bigint, side int, met boolean"), "keys")
+    # A key of two bands needs members of both, any key those of two components
+    # that have not all met.
+    live = found.groupBy("path").agg(F.bit_or("side").alias("sides"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                     F.min("met").alias("met"))
+    live = live.where("lo < hi AND sides IN (0, 3) AND NOT met").select("path")
+    found = scratch.save(found.drop("side", "met").join(live, "path", "left_semi"), "shared")
     return scratch.save(_mixed(distinct_groups(found)), "rare")
 
 
@@ -376,31 +415,52 @@ def blocks(large: DataFrame, size: int = LEAF // 2) -> DataFrame:
     return (as_out.unionByName(as_any).select(F.xxhash64("path", "i", "j").alias("path"), "rep", "comp").distinct())
 
 
+def _connected(ok: np.ndarray) -> np.ndarray:
+    """The smallest member that each member of a symmetric relation reaches."""
+    label = np.arange(len(ok))
+    while True:
+        low = np.minimum(label, np.where(ok, label[None, :], len(ok)).min(axis=1))
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
 def candidates(leaves: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(path, rep, comp)``: the members of each leaf that have a partner of
-    another component whose size and sketch allow the threshold."""
+    another component whose size and sketch allow the threshold, in groups
+    connected by such pairs.  ``path`` is a hash of the group's members, so a
+    group is the same from whichever leaf."""
     rows = (leaves.join(classes.select("rep", "n", "sketch"), "rep").select("path", "rep", "comp", "n", "sketch")
-            .repartition("path").sortWithinPartitions("path"))
+            .repartition("path").sortWithinPartitions("path", "rep"))
     least, (part, whole) = agree(threshold), ratio(threshold)
 
     def run(batches):
-        held: list[pa.Table] = []
+        held: list[tuple] = []
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["path", "rep", "comp"])
+
         for t in runs_of(batches, "path"):
-            comp, n = t["comp"].to_numpy(), t["n"].to_numpy()
+            rep, comp, n = t["rep"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy()
             m = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u4").reshape(len(n), COORDS)
             same = np.zeros((len(n), len(n)), np.int32)
             for c in range(COORDS):
                 same += m[:, c, None] == m[None, :, c]
             ok = (same >= least) & (comp[:, None] != comp[None, :])
             ok &= whole * np.minimum(n[:, None], n[None, :]) >= part * np.maximum(n[:, None], n[None, :])
-            keep = ok.any(axis=1)
-            if keep.any():
-                held.append(t.select(["path", "rep", "comp"]).filter(pa.array(keep)))
+            keep = np.flatnonzero(ok.any(axis=1))
+            if len(keep):
+                label = _connected(ok[np.ix_(keep, keep)])
+                for x in np.unique(label):
+                    at = keep[label == x]
+                    path = np.frombuffer(xxhash.xxh3_64_digest(rep[at].tobytes()), np.int64)
+                    held.append((np.repeat(path, len(at)), rep[at], comp[at]))
             if len(held) >= 2_000:
-                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                yield out()
                 held = []
         if held:
-            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            yield out()
 
     return rows.mapInArrow(run, "path bigint, rep bigint, comp bigint")
 
@@ -450,9 +510,8 @@ def leaf_links(sets: list[np.ndarray], comp: list[int], threshold: float = THRES
 
 def confirm(members: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch,
             threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)``: links on the full sets within the groups ``(path, rep,
-    comp)``, each of at most about ``LEAF`` members."""
-    members = scratch.save(members.distinct(), "members")
+    """``(a, b)``: links on the full sets within the stored groups ``(path,
+    rep, comp)``, each of at most about ``LEAF`` members."""
     text = texts_of(members, docs, classes, scratch)
     rows = (members.join(text, "rep").select("path", "rep", "comp", "text")
             .repartition("path").sortWithinPartitions("path", "rep"))
@@ -481,36 +540,41 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     classes = scratch.save(grouped.select("n", "h1", "h2", F.xxhash64("n", "h1", "h2").alias("rep"), "m.doc_id", "m.tk",
                                           "m.sketch"), "classes")
 
-    confirmed = lambda members: scratch.save(confirm(members, docs, classes, scratch, threshold), "links")
-
-    def crowd_links(crowd: DataFrame, links: DataFrame) -> DataFrame:
-        """``links`` and those among the classes ``crowd``, all of which meet."""
-        rows = _labelled(crowd.select("rep"), components(links, scratch))
-        rare = rare_groups(rows, docs, classes, scratch, threshold)
+    compared: list[DataFrame] = []
+
+    def linked(members: DataFrame, comp: DataFrame | None) -> DataFrame | None:
+        """The components ``comp`` with the links within the groups ``members``
+        that have not been compared before."""
+        members = members.distinct()
+        if compared:
+            members = members.join(reduce(DataFrame.union, compared).distinct(), "path", "left_anti")
+        members = scratch.save(members, "members")
+        compared.append(members.select("path"))
+        return merged(comp, scratch.save(confirm(members, docs, classes, scratch, threshold), "links"), scratch)
+
+    def met_by_rare(crowd: DataFrame, met: DataFrame | None, comp: DataFrame | None) -> DataFrame | None:
+        """The components ``comp`` with the links among the classes ``crowd``,
+        all of which meet but those ``met`` before."""
+        rare = rare_groups(_met(_labelled(crowd.select("rep"), comp), met), docs, classes, scratch, threshold)
         few, many = rare.where(F.col("cnt") <= leaf), rare.where(F.col("cnt") > leaf)
         members = candidates(few.select("path", "rep", "comp"), classes, threshold)
-        links = links.union(confirmed(members.union(centre_groups(many, classes, leaf))))
         if many.isEmpty():
-            return links
-        still = scratch.save(_mixed(_labelled(many.select("path", "rep"), components(links, scratch))), "still")
-        return links.union(confirmed(candidates(blocks(still, max(1, leaf // 2)), classes, threshold)))
-
-    leaves, large = grow(classes, None, None, range(trees[0]), scratch, leaf, levels, threshold)
-    members = candidates(distinct_groups(leaves), classes, threshold)
-    met = None
-    if large is not None:
-        members = members.union(centre_groups(large, classes, leaf))
-    links = confirmed(members)
-    if large is not None:
-        met = scratch.save(large.select("rep").distinct(), "crowd")
-        links = crowd_links(met, links)
-
-    leaves, large = grow(classes, components(links, scratch), met, range(trees[0], sum(trees)), scratch, leaf, levels,
-                         threshold)
-    links = links.union(confirmed(candidates(distinct_groups(leaves), classes, threshold)))
-    if large is not None:
-        links = crowd_links(scratch.save(large.select("rep").distinct(), "crowd"), links)
-    comp = components(links, scratch)
+            return linked(members, comp)
+        comp = linked(members.union(centre_groups(many, classes, leaf)), comp)
+        still = scratch.save(_mixed(_labelled(many.select("path", "rep"), comp)), "still")
+        return linked(candidates(blocks(still, max(1, leaf // 2)), classes, threshold), comp)
+
+    comp = met = None
+    for some in (range(trees[0]), range(trees[0], sum(trees))):
+        leaves, large = grow(classes, comp, met, some, scratch, leaf, levels, threshold)
+        members = candidates(distinct_groups(sized(leaves, threshold)), classes, threshold)
+        if large is not None and not some.start:
+            members = members.union(centre_groups(large, classes, leaf))
+        comp = linked(members, comp)
+        if large is not None:
+            crowd = scratch.save(large.select("rep").distinct(), "crowd")
+            comp = met_by_rare(crowd, met, comp)
+            met = crowd
 
     of = classes.select("n", "h1", "h2", "rep", "doc_id")
     if comp is not None:

@@ -7,7 +7,7 @@ import pytest
 
 from eddy.llm import near_dups as N
 from eddy.llm.common import Scratch
-from eddy.llm.components import components
+from eddy.llm.components import components, merged
 
 from . import helpers as H
 
@@ -179,3 +179,63 @@ def test_work_follows_the_group(spark, monkeypatch, make):
         if n == 150:
             assert got == brute(list(enumerate(texts)))
     assert seen[1] <= 3 * seen[0] + 200, seen
+
+
+def test_a_group_is_compared_once(spark, monkeypatch):
+    """What many trees and both phases find again is not compared again."""
+    seen, confirm = [], N.confirm
+
+    def kept(members, *rest):
+        by = {}
+        for r in members.collect():
+            by.setdefault(r.path, set()).add(r.rep)
+        seen.extend(frozenset(x) for x in by.values())
+        return confirm(members, *rest)
+
+    monkeypatch.setattr(N, "confirm", kept)
+    texts = passage(6, 40) + family(9, 20, 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert result(N.find(docs)) == brute(list(enumerate(texts)))
+    assert seen and len(seen) == len(set(seen))
+
+
+def test_nodes_of_met_members_end(spark):
+    """A large node of met members and one that has not met is not branched
+    on and on, and its members come back to meet by rare shingles."""
+    rows = [(i, 100, bytes(4 * N.COORDS)) for i in range(200)]
+    classes = spark.createDataFrame(rows, "rep bigint, n bigint, sketch binary")
+    met = spark.createDataFrame([(i,) for i in range(199)], "rep bigint")
+    leaves, large = N.grow(classes, None, met, range(8), Scratch(spark, "test"), 16, 6)
+    assert {r.rep for r in large.select("rep").distinct().collect()} == set(range(200))
+    assert leaves.isEmpty() and large.count() <= 3 * 8 * 200
+
+
+def test_sized(spark):
+    rows = [(1, 10, 10, 100), (1, 11, 11, 117), (1, 12, 12, 30), (2, 10, 10, 100), (2, 12, 12, 30),
+            (3, 10, 7, 100), (3, 11, 7, 100), (3, 12, 12, 30), (4, 13, 13, 17), (4, 14, 14, 20)]
+    got = N.sized(spark.createDataFrame(rows, "path bigint, rep bigint, comp bigint, n bigint"))
+    assert sorted((r.path, r.rep) for r in got.collect()) == [(1, 10), (1, 11), (4, 13), (4, 14)]
+
+
+def test_merged(spark):
+    """Links in portions give the components of all links."""
+    r = random.Random(8)
+    links, scratch = [(r.randrange(120), r.randrange(120)) for _ in range(90)], Scratch(spark, "test")
+    stored = lambda x: scratch.save(spark.createDataFrame(x, "a bigint, b bigint"), "part")
+    comp = None
+    for i in (0, 40, 90):
+        comp = merged(comp, stored(links[i:i + 45]), scratch)
+    want = components(stored(links), scratch)
+    assert sorted(comp.collect()) == sorted(want.select("node", "label").collect())
+    assert merged(None, stored([]), scratch) is None
+
+
+def test_keys_of_met_members(spark):
+    """Shingles that only met members have need no keys; a new member's do."""
+    texts = [f"{x} " + " ".join(f"w{i}" for i in range(60)) for x in ("a", "b", "c")] + [
+        " ".join(f"v{i}" for i in range(60)) + y for y in ("", " end")]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    classes = N.sketches(docs).withColumnRenamed("doc_id", "rep").selectExpr("*", "rep AS doc_id")
+    crowd = spark.createDataFrame([(i, i, i < 4) for i in range(5)], "rep bigint, comp bigint, met boolean")
+    got = N.rare_groups(crowd, docs, classes, Scratch(spark, "test"))
+    assert {r.rep for r in got.collect()} == {3, 4}
