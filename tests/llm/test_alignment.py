@@ -101,3 +101,12 @@ def test_byte_offsets_of_characters_of_any_width():
     assert A.byte_offsets(text).tolist() == want
     assert A.byte_offsets("").tolist() == [0]
     assert [A._blank(c) for c in (" ", " ", "᠎", "​", "﻿", "\x1c", "x")] == [True] * 6 + [False]
+
+
+def test_groups_as_text():
+    """Tokens of both sides in their groups, A's first, with their marks."""
+    p = A.Pair(f"{A.FOLDER}/{A.A_FILE}", f"{A.FOLDER}/{A.B_FILE}")
+    at = p.in_groups(np.array([5, 6, 7, 8]), np.array([1, 2, 3]), np.array([2, 3, 4]), np.array([1, 2, 3]))
+    assert "".join(p.marked[i] for i in at.tolist()) == "5,6|1;7|2;8|3;"
+    at = p.in_groups(np.array([5]), np.array([1, 2, 3]), np.array([1]), np.array([3]))
+    assert "".join(p.marked[i] for i in at.tolist()) == "5|1,2,3;"
