@@ -23,13 +23,13 @@
 5. What ``LEVELS`` levels can't split are many texts that share nearly all
    tokens.  Phase one compares them, in groups of about ``LEAF``, with the
    one nearest to their centre, which connects the near copies of one text.
-   All of them then meet by rare shingles: an exact prefix join by bands of
+   After phase two all of them meet by rare shingles: an exact prefix join by bands of
    set sizes, in which only groups of several components count.  Groups that
    are too large meet their own centre, and what then is outside the most
    frequent component is compared in blocks with the rest.  Phase two leaves
-   nodes of texts that have met; a node of its second level or below that is
-   too large and holds some of them is not branched again: its members meet
-   by rare shingles.
+   nodes of only texts that will so meet; a node of its second level or below
+   that is too large and holds some of them is not branched again: its members
+   meet by rare shingles too.
 
 No step gathers a group: leaves are bounded, and larger nodes are only
 counted, joined and branched.
@@ -207,7 +207,7 @@ def grow(classes: DataFrame, comp: DataFrame | None, met: DataFrame | None, tree
          leaf: int = LEAF, levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame | None]:
     """The leaves ``(path, rep, comp, n)`` of the trees, and the members of the
     large nodes that are not branched again, with ``cnt``.  Classes ``met``
-    have been compared with each other: nodes of only such ones are left, and
+    are compared with each other elsewhere: nodes of only such ones are left, and
     from the second level on large nodes that hold some are not branched."""
     base = scratch.save(_met(_labelled(classes.select("rep", "n", "sketch"), comp), met), "base")
     roots = F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in trees])
@@ -291,7 +291,7 @@ def centre_groups(large: DataFrame, classes: DataFrame, leaf: int = LEAF) -> Dat
               .select("path", "of", "comp"))
     of = rows.select("path", "group").distinct().join(centre, "path").select(
         F.col("group").alias("path"), F.col("of").alias("rep"), "comp")
-    return rows.select(F.col("group").alias("path"), "rep", "comp").union(of).distinct()
+    return rows.select(F.col("group").alias("path"), "rep", "comp").union(of)
 
 
 def texts_of(reps: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -344,39 +344,33 @@ def rare_keys(tokens: np.ndarray, freq: np.ndarray, part: int, whole: int) -> tu
 
 def rare_groups(crowd: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch,
                 threshold: float = THRESHOLD) -> DataFrame:
-    """``(path, rep, comp, cnt)``: the members ``(rep, comp, met)`` of nodes
-    that trees can't split, grouped by rare shingles that every pair at the
-    threshold shares (an exact prefix join); groups of one component and those
-    of only members that have ``met`` are left out.  ``freq`` counts shingles
-    in 2**20 cells, so it is bounded; cells that only such members have count
-    for none, as any pair that has not met shares no shingle of theirs."""
+    """``(path, rep, comp, cnt)``: the members ``(rep, comp)`` of nodes that
+    trees can't split, grouped by rare shingles that every pair at the
+    threshold shares (an exact prefix join); groups of one component are
+    left out.  ``freq`` counts shingles in 2**20 cells, so it is bounded."""
     part, whole = ratio(threshold)
-    rows = crowd.join(texts_of(crowd, docs, classes, scratch), "rep").select("rep", "comp", "text", "met")
+    rows = crowd.join(texts_of(crowd, docs, classes, scratch), "rep").select("rep", "comp", "text")
 
     def to_sets(batches):
         for b in batches:
             sets = [shingles(t).tobytes() for t in each_text(b.column(2))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary()), b.column(3)],
-                                             names=["rep", "comp", "set", "met"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())],
+                                             names=["rep", "comp", "set"])
 
-    sets = scratch.save(rows.mapInArrow(to_sets, "rep bigint, comp bigint, set binary, met boolean"), "sets")
+    sets = scratch.save(rows.mapInArrow(to_sets, "rep bigint, comp bigint, set binary"), "sets")
 
     def count(batches):
-        cells, new = np.zeros(1 << FREQ_BITS, np.int64), np.zeros(1 << FREQ_BITS, bool)
+        cells = np.zeros(1 << FREQ_BITS, np.int64)
         for b in batches:
-            for s, met in zip(each_text(b.column(0)), b.column(1).to_pylist()):
+            for s in each_text(b.column(0)):
                 at, times = np.unique(np.frombuffer(s, np.uint64) >> np.uint64(64 - FREQ_BITS), return_counts=True)
                 cells[at.astype(np.int64)] += times
-                if not met:
-                    new[at.astype(np.int64)] = True
         at = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64()), pa.array(new[at])],
-                                         names=["cell", "n", "new"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64())], names=["cell", "n"])
 
-    counted = sets.select("set", "met").mapInArrow(count, "cell bigint, n bigint, new boolean").groupBy("cell").agg(
-        F.sum("n").alias("n"), F.max("new").alias("new"))
+    counted = sets.select("set").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     freq = np.zeros(1 << FREQ_BITS, np.int32)
-    got = counted.where("n > 1 AND new").drop("new").toArrow()
+    got = counted.where("n > 1").toArrow()
     freq[got["cell"].to_numpy()] = np.minimum(got["n"].to_numpy(), 2**31 - 1)
 
     def keys(batches):
@@ -386,16 +380,14 @@ def rare_groups(crowd: DataFrame, docs: DataFrame, classes: DataFrame, scratch:
             if len(of):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([k for k, _ in each])), b.column(0).take(pa.array(of)),
-                     b.column(1).take(pa.array(of)), pa.array(np.concatenate([x for _, x in each])),
-                     b.column(3).take(pa.array(of))], names=["path", "rep", "comp", "side", "met"])
-
-    found = scratch.save(sets.mapInArrow(keys, "path bigint, rep bigint, comp bigint, side int, met boolean"), "keys")
-    # A key of two bands needs members of both, any key those of two components
-    # that have not all met.
-    live = found.groupBy("path").agg(F.bit_or("side").alias("sides"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                     F.min("met").alias("met"))
-    live = live.where("lo < hi AND sides IN (0, 3) AND NOT met").select("path")
-    found = scratch.save(found.drop("side", "met").join(live, "path", "left_semi"), "shared")
+                     b.column(1).take(pa.array(of)), pa.array(np.concatenate([x for _, x in each]))],
+                    names=["path", "rep", "comp", "side"])
+
+    found = scratch.save(sets.mapInArrow(keys, "path bigint, rep bigint, comp bigint, side int"), "keys")
+    # A key of two bands needs members of both, any key those of two components.
+    live = found.groupBy("path").agg(F.bit_or("side").alias("sides"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    live = live.where("lo < hi AND sides IN (0, 3)").select("path")
+    found = scratch.save(found.drop("side").join(live, "path", "left_semi"), "shared")
     return scratch.save(_mixed(distinct_groups(found)), "rare")
 
 
@@ -545,36 +537,33 @@ def find(docs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, trees: tuple[i
     def linked(members: DataFrame, comp: DataFrame | None) -> DataFrame | None:
         """The components ``comp`` with the links within the groups ``members``
         that have not been compared before."""
-        members = members.distinct()
         if compared:
-            members = members.join(reduce(DataFrame.union, compared).distinct(), "path", "left_anti")
+            members = members.join(reduce(DataFrame.union, compared), "path", "left_anti")
+        members = members.distinct()
         members = scratch.save(members, "members")
         compared.append(members.select("path"))
         return merged(comp, scratch.save(confirm(members, docs, classes, scratch, threshold), "links"), scratch)
 
-    def met_by_rare(crowd: DataFrame, met: DataFrame | None, comp: DataFrame | None) -> DataFrame | None:
-        """The components ``comp`` with the links among the classes ``crowd``,
-        all of which meet but those ``met`` before."""
-        rare = rare_groups(_met(_labelled(crowd.select("rep"), comp), met), docs, classes, scratch, threshold)
-        few, many = rare.where(F.col("cnt") <= leaf), rare.where(F.col("cnt") > leaf)
-        members = candidates(few.select("path", "rep", "comp"), classes, threshold)
-        if many.isEmpty():
-            return linked(members, comp)
-        comp = linked(members.union(centre_groups(many, classes, leaf)), comp)
-        still = scratch.save(_mixed(_labelled(many.select("path", "rep"), comp)), "still")
-        return linked(candidates(blocks(still, max(1, leaf // 2)), classes, threshold), comp)
-
-    comp = met = None
+    comp = crowd = None
     for some in (range(trees[0]), range(trees[0], sum(trees))):
-        leaves, large = grow(classes, comp, met, some, scratch, leaf, levels, threshold)
+        leaves, large = grow(classes, comp, crowd, some, scratch, leaf, levels, threshold)
         members = candidates(distinct_groups(sized(leaves, threshold)), classes, threshold)
         if large is not None and not some.start:
             members = members.union(centre_groups(large, classes, leaf))
         comp = linked(members, comp)
         if large is not None:
-            crowd = scratch.save(large.select("rep").distinct(), "crowd")
-            comp = met_by_rare(crowd, met, comp)
-            met = crowd
+            more = large.select("rep") if crowd is None else large.select("rep").union(crowd)
+            crowd = scratch.save(more.distinct(), "crowd")
+    if crowd is not None:
+        rare = rare_groups(_labelled(crowd, comp), docs, classes, scratch, threshold)
+        few, many = rare.where(F.col("cnt") <= leaf), rare.where(F.col("cnt") > leaf)
+        members = candidates(few.select("path", "rep", "comp"), classes, threshold)
+        if many.isEmpty():
+            comp = linked(members, comp)
+        else:
+            comp = linked(members.union(centre_groups(many, classes, leaf)), comp)
+            still = scratch.save(_mixed(_labelled(many.select("path", "rep"), comp)), "still")
+            comp = linked(candidates(blocks(still, max(1, leaf // 2)), classes, threshold), comp)
 
     of = classes.select("n", "h1", "h2", "rep", "doc_id")
     if comp is not None:
